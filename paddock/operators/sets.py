@@ -56,18 +56,24 @@ def _like(pattern: str) -> re.Pattern:
 
 
 def tables_by_pattern(
-    spark: SparkSession, schema_pattern: str, table_pattern: str, exclude: str = ""
+    spark: SparkSession, schema_pattern: str, table_pattern: str, exclude: str = "", temporary: bool = False
 ) -> dict[str, DataFrame]:
-    """Catalog tables and views whose schema and name match LIKE patterns."""
+    """Catalog tables and views whose schema and name match LIKE patterns, any case.
+
+    With ``temporary`` the session's temporary views, which have no schema, are matched by
+    name instead.
+    """
     schema, table, without = _like(schema_pattern), _like(table_pattern), _like(exclude)
+    databases = [spark.catalog.currentDatabase()] if temporary else [d.name for d in spark.catalog.listDatabases()]
     found = {}
-    for database in spark.catalog.listDatabases():
-        if not schema.fullmatch(database.name):
+    for database in databases:
+        if not temporary and not schema.fullmatch(database):
             continue
-        for entry in spark.catalog.listTables(database.name):
-            if not entry.isTemporary and table.fullmatch(entry.name) and not without.fullmatch(entry.name):
-                found[f"{database.name}.{entry.name}"] = spark.table(f"`{database.name}`.`{entry.name}`")
-    return found
+        for entry in spark.catalog.listTables(database):
+            if entry.isTemporary == temporary and table.fullmatch(entry.name) and not without.fullmatch(entry.name):
+                name = entry.name if temporary else f"{database}.{entry.name}"
+                found[name] = spark.table(".".join(f"`{part}`" for part in name.split(".")))
+    return dict(sorted(found.items()))
 
 
 def tables_by_prefix(spark: SparkSession, schema: str, prefix: str, exclude: str = "") -> dict[str, DataFrame]:
@@ -75,9 +81,14 @@ def tables_by_prefix(spark: SparkSession, schema: str, prefix: str, exclude: str
 
 
 def union_by_pattern(
-    spark: SparkSession, schema_pattern: str, table_pattern: str, exclude: str = "", **options
+    spark: SparkSession,
+    schema_pattern: str,
+    table_pattern: str,
+    exclude: str = "",
+    temporary: bool = False,
+    **options,
 ) -> DataFrame:
-    return union_relations(tables_by_pattern(spark, schema_pattern, table_pattern, exclude), **options)
+    return union_relations(tables_by_pattern(spark, schema_pattern, table_pattern, exclude, temporary), **options)
 
 
 def union_by_prefix(spark: SparkSession, schema: str, prefix: str, exclude: str = "", **options) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -110,10 +111,9 @@ def run_suite(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
             lines.append(_line(expectation, ~off, metric, F.when(off, 1).otherwise(0)))
         else:
             lines.append(_line(expectation, metric == 0, F.col("rows"), metric))
-    report = once.select(F.inline(F.array(*lines)))
-    for other in reports:
-        report = report.unionByName(other)
-    return report
+    if lines:
+        reports.insert(0, once.select(F.inline(F.array(*lines))))
+    return reduce(DataFrame.unionByName, reports)
 
 
 class SuiteFailed(Exception):

@@ -41,11 +41,19 @@ def column_values(
 
 
 def column_value_list(df: DataFrame, column: str, max_records: int, default: list | None = None, **options) -> list:
-    """At most ``max_records`` values as a list, e.g. for pivot columns; ``default`` if there are none."""
+    """The first ``max_records`` values as a list; ``default`` if there are none."""
     values = [r["value"] for r in column_values(df, column, max_records=max_records, **options).collect()]
     return values if values else default
 
 
+def pivot_values(df: DataFrame, column: str, at_most: int = 1000) -> list:
+    """All values of a column that becomes columns; raises when there are more than ``at_most``."""
+    values = column_value_list(df, column, at_most + 1, default=[])
+    if len(values) > at_most:
+        raise ValueError(f"{column} has more than {at_most} values")
+    return values
+
+
 def single_value(source: DataFrame, order_by: Sequence[Column | str], default: object = None) -> DataFrame:
     """One row with the first column of the first row, or the default if there is none."""
     name = source.columns[0]

@@ -1 +1,119 @@
-"""To be filled."""
+"""Lap events sent as JSON and taken in again by a stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from paddock.plans import race_view
+from paddock.registry import query
+from paddock.registry.race_sql import race_sql
+from paddock.session import scratch_path
+from paddock.streaming import lap_events
+
+
+
+def _seconds(column: str) -> str:
+    """Milliseconds as seconds, rounded half up on the decimal value as Spark does."""
+    return f"CAST(round(CAST({column} / 1000.0::DOUBLE AS DECIMAL(18, 8)), 3) AS DOUBLE)"
+
+
+_EVENTS = f"""
+    SELECT round_number AS race_id, trim(race_name) AS race_name, driver_abbr, lap_number,
+           {_seconds('lap_time_ms')} AS lap_time_sec, {_seconds('sector1_ms')} AS sector1_sec,
+           {_seconds('sector2_ms')} AS sector2_sec, {_seconds('sector3_ms')} AS sector3_sec, is_personal_best
+    FROM raw_laps JOIN raw_races USING (season, round_number)"""
+
+
+def _events(spark: SparkSession, sf: str, cap: int | None) -> DataFrame:
+    races = race_view.races(spark, sf).withColumn("race_name", F.trim("race_name"))
+    return lap_events.lap_event_projection(race_view.laps(spark, sf, with_numbers=True), races, cap)
+
+
+@query("st1_lap_event_projection", race_sql(_EVENTS))
+def st1(spark, sf):
+    return _events(spark, sf, cap=None)
+
+
+@query(
+    "st1_first_events",
+    race_sql(f"SELECT race_id, driver_abbr, lap_number FROM ({_EVENTS}) ORDER BY race_id, lap_number, driver_abbr LIMIT 500"),
+)
+def st1_first(spark, sf):
+    return _events(spark, sf, cap=500).select("race_id", "driver_abbr", "lap_number")
+
+
+def _messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Every lap as one message whose id is the event's id, so the same lap always has the same id."""
+    at = F.col("ts").cast("timestamp")
+    laps = race_view.race_events(spark, sf).select(
+        F.col("round_number").alias("race_id"),
+        F.concat(F.lit("U"), F.col("user_id")).alias("driver_abbr"),
+        (F.col("event_id") % 60).alias("lap_number"),
+        F.round("value", 3).alias("lap_time_sec"),
+        F.when(F.col("event_id") % 5 != 0, F.round("value", 2)).alias("sector1_sec"),
+        (F.col("event_type") == "purchase").alias("is_personal_best"),
+        F.col("event_id").alias("number"),
+        "ts",
+    )
+    return lap_events.to_event(laps, id_fields=["number"], at=at).withColumn("number", F.get_json_object("value", "$.number").cast("double"))
+
+
+@query("st2_to_event", "SELECT count(*) AS messages, count(DISTINCT event_id) AS ids, "
+       "count(CASE WHEN event_id % 5 = 0 THEN 1 END) AS null_sectors, count(*) AS float_laps FROM events")
+def st2(spark, sf):
+    messages = _messages(spark, sf)
+    field = lambda name: F.get_json_object("value", f"$.{name}")
+    return messages.agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.count_distinct(field("event_id")).alias("ids"),
+        F.count_if(F.col("value").contains('"sector1_sec":null')).alias("null_sectors"),
+        F.count_if(field("lap_number").contains(".")).alias("float_laps"),
+    )
+
+
+def _received(spark: SparkSession, sf: str, dedup: bool) -> DataFrame:
+    """Send all messages, some twice and some broken, in two folders, and stream each in."""
+    base = scratch_path(spark, "stream")
+    messages = _messages(spark, sf)
+    broken = messages.where(F.col("number") % 100 == 0).select(F.expr("substring(value, 1, 20)").alias("value"))
+    once = messages.select("value")
+    again = messages.where(F.col("number") % 10 == 0).select("value")
+    once.unionAll(again).unionAll(broken).write.mode("append").text(f"{base}/in")
+    events = lap_events.read_files(spark, f"{base}/in")
+    taken = lap_events.deduplicated(events, "90 days") if dedup else events
+    lap_events.event_sink(taken, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    again.write.mode("append").text(f"{base}/in")
+    lap_events.event_sink(taken, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+_RECEIVED = """
+    SELECT 'U' || user_id AS driver_code, CAST(event_id % 60 AS INTEGER) AS lap_number, round(value, 3) AS lap_time_sec,
+           CASE WHEN event_id % 5 <> 0 THEN round(value, 2) END AS sector1_sec,
+           event_type = 'purchase' AS is_personal_best, {n} AS copies
+    FROM events"""
+
+
+def _copies(received: DataFrame) -> DataFrame:
+    columns = ["driver_code", "lap_number", "lap_time_sec", "sector1_sec", "is_personal_best"]
+    return received.groupBy("event_id", *columns).agg(F.count(F.lit(1)).alias("copies")).select(*columns, "copies")
+
+
+@query("st3_read_events", _RECEIVED.format(n="CASE WHEN event_id % 10 = 0 THEN 3 ELSE 1 END::BIGINT"))
+def st3(spark, sf):
+    return _copies(_received(spark, sf, dedup=False))
+
+
+@query("st5_dedup_by_event_id", _RECEIVED.format(n="1::BIGINT"))
+def st5(spark, sf):
+    return _copies(_received(spark, sf, dedup=True))
+
+
+@query(
+    "snk7_stream_append",
+    "SELECT 'U' || user_id AS driver_code, count(*) AS events, max(ts) AS newest FROM events GROUP BY ALL",
+)
+def snk7(spark, sf):
+    received = _received(spark, sf, dedup=True)
+    newest = F.max("event_timestamp").cast("timestamp_ntz")
+    return received.groupBy("driver_code").agg(F.count(F.lit(1)).alias("events"), newest.alias("newest"))

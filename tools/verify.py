@@ -69,7 +69,7 @@ def main() -> int:
             took = time.time() - start
             problem = "" if query.sql is None else compare(got, connection.sql(query.sql).to_arrow_table())
         except Exception as error:
-            took, got, problem = time.time() - start, None, f"{type(error).__name__}: {str(error)[:1500]}"
+            took, got, problem = time.time() - start, None, f"{type(error).__name__}: {str(error)[:700]}"
         bad += bool(problem)
         verdict = "FAIL" if problem else "ok" if query.sql else "ran"
         print(f"{verdict:5}{name:45}{took:7.2f}s rows={got.num_rows if got else '-'} {problem}", flush=True)
