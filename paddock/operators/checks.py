@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from paddock.functions.scalars import add_parts
 from paddock.operators.aggregates import not_null_share
+from paddock.operators.joins import measured
 from paddock.operators.ordered import MAX_GROUP_ROWS, shifted
 from paddock.operators.sets import both_differences
 
@@ -256,7 +257,7 @@ def no_orphan_laps(laps: DataFrame, results: DataFrame) -> DataFrame:
 def valid_finish_positions(results: DataFrame) -> DataFrame:
     """Results with a position outside 1 to 30, or one shared within the race."""
     spot = ["season", "round_number", "finish_position"]
-    shared = (
+    shared = measured(
         results.where(F.col("finish_position").isNotNull())
         .groupBy(*spot)
         .agg((F.count(F.lit(1)) > 1).alias("_shared"))

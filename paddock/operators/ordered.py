@@ -6,9 +6,9 @@ the group sizes (one aggregate over the key columns). When all groups are within
 partitions ("chunks"), works inside each (chunk, group) and carries the small
 per-chunk results across, so that no task holds more than one range partition.
 
-The chunked frame is checkpointed because it is read twice: range bounds come
-from sampling, and both readers have to see the same chunks, also after an
-executor is lost.
+The chunked frame is written to the shared folder because it is read twice: range
+bounds come from sampling, and both readers have to see the same chunks, also after
+an executor is lost.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from paddock.session import shared_dir
+from paddock.sources.sinks import materialize_table
 
 MAX_GROUP_ROWS = 1_000_000
 CHUNK = "_chunk"
@@ -47,12 +47,8 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Rows range-partitioned by group and order, with the partition number as ``_chunk``."""
-    shared_dir(df.sparkSession)
-    return (
-        df.repartitionByRange(*[F.col(k) for k in keys], *order)
-        .withColumn(CHUNK, F.spark_partition_id())
-        .checkpoint()
-    )
+    ranged = df.repartitionByRange(*[F.col(k) for k in keys], *order)
+    return materialize_table(ranged.withColumn(CHUNK, F.spark_partition_id()), label="chunks")
 
 
 def running(
@@ -178,9 +174,11 @@ def ranked(
 
     Ranks are computed on the distinct values with their counts and joined back, so a
     group is reduced before it is ordered. Give ``limit`` when a group can have more
-    distinct values than fit one task.
+    distinct values than fit one task. The rows are written once because they are read
+    for the counts and for the join.
     """
-    counts = df.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
+    rows = materialize_table(df, label="ranked")
+    counts = rows.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
     order = [F.desc(by) if descending else F.asc(by)]
     if limit is None:
         frame = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
@@ -188,7 +186,7 @@ def ranked(
     else:
         places = running(counts, keys, order, {"_ahead": F.col("_n")}, past_only=True, limit=limit)
     places = places.select(*keys, by, (F.coalesce("_ahead", F.lit(0)) + 1).cast("long").alias(name))
-    return join_null_safe(df, places, [*keys, by], "inner")
+    return join_null_safe(rows, materialize_table(places, label="measured"), [*keys, by], "inner")
 
 
 def group_median(df: DataFrame, keys: Sequence[str], value: str, name: str, limit: int = MAX_GROUP_ROWS) -> DataFrame:

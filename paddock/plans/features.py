@@ -13,8 +13,10 @@ from paddock.operators.history import (
     prior_stddev,
     prior_sum,
 )
+from paddock.operators.joins import measured
 from paddock.operators.ordered import MAX_GROUP_ROWS, needs_split, running
 from paddock.plans.staging import ENTRY, RACE, grid_log
+from paddock.sources.sinks import materialize_table
 
 # Fill values of features without history, and frame lengths in races.
 FILL = {
@@ -46,10 +48,16 @@ def lap_statistics(staged_laps: DataFrame, min_laps: int = MIN_CLEAN_LAPS) -> Da
 
 
 def int_lap_analysis(staged_laps: DataFrame, results: DataFrame, min_laps: int = MIN_CLEAN_LAPS) -> DataFrame:
-    """Clean-lap statistics and the gap to the race winner's mean lap."""
-    stats = lap_statistics(staged_laps, min_laps)
-    winners = results.where(F.col("finish_position") == 1).select(*ENTRY)
-    leader = stats.join(winners, ENTRY, "inner").select(*RACE, F.col("mean_lap_time").alias("leader_mean_lap_time"))
+    """Clean-lap statistics and the gap to the race winner's mean lap.
+
+    The statistics are written once, so the laps are read once; winners and leaders have
+    about one row per race.
+    """
+    stats = materialize_table(lap_statistics(staged_laps, min_laps), label="lap-statistics")
+    winners = measured(results.where(F.col("finish_position") == 1).select(*ENTRY))
+    leader = measured(
+        stats.join(winners, ENTRY, "inner").select(*RACE, F.col("mean_lap_time").alias("leader_mean_lap_time"))
+    )
     return stats.join(leader, RACE, "left").select(
         *ENTRY,
         "valid_laps",
@@ -85,7 +93,7 @@ def with_team_history(results: DataFrame, mode: str = "races", limit: int = MAX_
     """
     if mode not in ("races", "rows"):
         raise ValueError("mode must be 'races' or 'rows'")
-    joined = results.join(team_history(results), ["team_name", *RACE], "left").withColumn(
+    joined = results.join(measured(team_history(results)), ["team_name", *RACE], "left").withColumn(
         "prev_team_points", F.coalesce("prev_team_points", F.lit(0))
     )
     if mode == "races":
@@ -178,7 +186,7 @@ def feature_frame(
     laps = lap_analysis.select(*ENTRY, "mean_lap_time", "lap_time_std", F.col("relative_pace").alias("race_pace")).withColumn(
         "_has_laps", F.lit(True)
     )
-    slots = past_grid_expectations(results) if as_of else grid_expectations(results)
+    slots = measured(past_grid_expectations(results) if as_of else grid_expectations(results))
     slot_keys = ["grid_position", *RACE] if as_of else ["grid_position"]
     extra = [c for c in results.columns if c not in CARRIED and c != "grid_log"]
     entries = (

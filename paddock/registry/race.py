@@ -30,7 +30,7 @@ def stored_results(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def staged_races(spark: SparkSession, sf: str) -> DataFrame:
-    return staging.stg_races(race_view.races(spark, sf))
+    return staging.stg_races(materialize_table(race_view.races(spark, sf), label="races"))
 
 
 def lap_analysis(spark: SparkSession, sf: str, results: DataFrame) -> DataFrame:
