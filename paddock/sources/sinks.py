@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from paddock.operators.topk import deduplicate
+from paddock.schemas import KEYS
 from paddock.session import scratch_path
 
 PARTITIONS = ("season", "round_number")
@@ -108,11 +109,11 @@ RESULT_UPDATES = [
 
 
 def load_races(races: DataFrame, root: str) -> None:
-    upsert(races, f"{root}/races", ["season", "round_number"], partitions=["season"])
+    upsert(races, f"{root}/races", KEYS["races"], partitions=["season"])
 
 
 def load_results(results: DataFrame, root: str) -> None:
-    upsert(results, f"{root}/results", ["season", "round_number", "driver_abbr"], RESULT_UPDATES)
+    upsert(results, f"{root}/results", KEYS["results"], RESULT_UPDATES)
 
 
 def load_laps(laps: DataFrame, root: str) -> None:
