@@ -24,18 +24,14 @@ MAX_GROUP_ROWS = 1_000_000
 CHUNK = "_chunk"
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
-    """Groups with more than ``limit`` rows and their sizes; None if there are none.
-
-    There are at most rows / limit such groups.
-    """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
-    return None if sizes.isEmpty() else sizes
+def hot_groups(df: DataFrame, keys: Sequence[str], limit: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Groups with more than ``limit`` rows and their sizes: at most rows / limit of them."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
 
 
 def needs_split(df: DataFrame, keys: Sequence[str], limit: int = MAX_GROUP_ROWS) -> bool:
     """Whether some group has more than ``limit`` rows."""
-    return hot_groups(df, keys, limit) is not None
+    return not hot_groups(df, keys, limit).isEmpty()
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -214,31 +210,30 @@ def with_median(
 ) -> DataFrame:
     """Every row with the exact median of its group.
 
-    Groups within ``limit`` rows take one shuffle (a window over the whole group). Larger
-    groups get their median from ``group_median`` and are joined in salted pieces.
+    Groups within ``limit`` rows take one shuffle (a window over the whole group). Rows of
+    larger groups are set apart by a join with the written list of these groups, and get
+    their median from ``group_median`` in salted pieces.
     """
     whole = W.partitionBy(*keys)
-    hot = hot_groups(df, keys, limit)
-    if hot is None:
+    hot = materialize_table(hot_groups(df, keys, limit), label="hot")
+    if hot.isEmpty():
         return df.withColumn(name, F.median(value).over(whole))
-    marked = join_null_safe(df, hot, keys)
-    cold = marked.where(F.col("_rows").isNull()).withColumn(name, F.median(value).over(whole))
-    large = marked.where(F.col("_rows").isNotNull())
-    medians = group_median(large, keys, value, name, limit)
-    pieces = join_salted(large, medians, keys, spread=F.ceil(F.col("_rows") / limit))
+    spread = hot.select(*keys, F.ceil(F.col("_rows") / limit).cast("int").alias("_spread"))
+    marked = materialize_table(join_null_safe(df, spread, keys), label="marked")
+    cold = marked.where(F.col("_spread").isNull()).withColumn(name, F.median(value).over(whole))
+    large = marked.where(F.col("_spread").isNotNull())
+    medians = join_null_safe(group_median(large, keys, value, name, limit), spread, keys, "inner")
+    pieces = join_salted(large, medians, keys, "_spread")
     return cold.select(*df.columns, name).unionByName(pieces.select(*df.columns, name))
 
 
-def join_salted(left: DataFrame, right: DataFrame, keys: Sequence[str], spread: Column) -> DataFrame:
-    """Inner join of rows to one row per group, each group cut into ``spread`` pieces.
+def join_salted(left: DataFrame, right: DataFrame, keys: Sequence[str], spread: str) -> DataFrame:
+    """Inner join of rows to one row per group, each group cut into pieces.
 
-    ``spread`` is a function of the group read from ``left``; the right row is repeated
-    once per piece.
+    Both frames carry the number of pieces of the group as ``spread``; the right row is
+    repeated once per piece and written, so a small right side is broadcast.
     """
-    cut = left.withColumn("_spread", spread.cast("int"))
-    salted = cut.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.col("_spread")).cast("int"))
-    pieces = cut.groupBy(*keys).agg(F.max("_spread").alias("_spread"))
-    repeated = join_null_safe(right, pieces, keys, "inner").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.col("_spread") - 1))
-    )
-    return join_null_safe(salted.drop("_spread"), repeated.drop("_spread"), [*keys, "_salt"], "inner").drop("_salt")
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.col(spread)).cast("int"))
+    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col(spread) - 1))).drop(spread)
+    pieces = materialize_table(repeated, label="pieces")
+    return join_null_safe(salted, pieces, [*keys, "_salt"], "inner").drop("_salt")

@@ -26,7 +26,8 @@ def both(function, df, *args, **kwargs):
 
 
 def test_hot_groups(skewed):
-    assert ordered.hot_groups(skewed, KEYS, 10_000) is None
+    assert not ordered.needs_split(skewed, KEYS, 10_000)
+    assert ordered.needs_split(skewed, KEYS, 50)
     assert rows(ordered.hot_groups(skewed, KEYS, 50)) == [("hot", 200), (None, 60)]
 
 
@@ -95,14 +96,24 @@ def test_with_median(skewed):
     assert plain == split
 
 
-def test_join_salted(skewed, frame):
+def test_join_salted(skewed):
+    spread = F.when(F.col("k") == "hot", 7).otherwise(1).alias("pieces")
     per_key = skewed.groupBy("k").agg(F.max("t").alias("top"))
     want = rows(ordered.join_null_safe(skewed, per_key, KEYS, "inner"))
-    got = ordered.join_salted(skewed, per_key, KEYS, spread=F.when(F.col("k") == "hot", 7).otherwise(1))
+    got = ordered.join_salted(skewed.select("*", spread), per_key.select("*", spread), KEYS, "pieces")
     assert rows(got.select("k", "t", "id", "v", "top")) == want
 
 
-def test_split_path_has_no_large_task(skewed):
-    """Each (chunk, group) of the split path stays far below the hot group's size."""
-    base = ordered.chunked(skewed.hint("rebalance"), KEYS, ORDER)
+def test_chunks_cover_all_rows_in_order(spark, skewed):
+    """With enough partitions a huge group is spread over several chunks, in order."""
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(conf, "false")
+    try:
+        base = ordered.chunked(skewed, KEYS, ORDER).cache()
+    finally:
+        spark.conf.unset(conf)
     assert base.count() == skewed.count()
+    spans = base.where("k = 'hot'").groupBy(ordered.CHUNK).agg(F.min("t"), F.max("t"), F.count("*"))
+    ordered_spans = sorted(tuple(r) for r in spans.collect())
+    assert len(ordered_spans) > 1
+    assert all(a[2] <= b[1] for a, b in zip(ordered_spans, ordered_spans[1:]))
