@@ -525,6 +525,43 @@ def relations(spark, sf):
     }
 
 
-@query("dq31_run_checks")
+_ORACLE_NAME = {
+    "races": "raw_races",
+    "results": "raw_results",
+    "lap_times": "raw_laps",
+    "int_driver_cumulative_stats": "history",
+    "int_driver_race_features": "features",
+}
+
+
+def _declared_sql() -> str:
+    parts = []
+
+    def add(relation: str, check: str, column: str, failing: str) -> None:
+        parts.append(
+            f"SELECT '{relation}' AS relation, '{check}' AS check, '{column}' AS column, "
+            f"CAST(({failing}) AS BIGINT) AS failures"
+        )
+
+    name = lambda relation: _ORACLE_NAME.get(relation, relation)
+    for relation, columns in declared_checks.NOT_NULL.items():
+        for c in columns:
+            add(relation, "not_null", c, f"SELECT count(*) FROM {name(relation)} WHERE {c} IS NULL")
+    for relation, ranges in declared_checks.RANGES.items():
+        for c, (low, high) in ranges.items():
+            add(relation, "accepted_range", c, f"SELECT count(*) FROM {name(relation)} WHERE {c} < {low} OR {c} > {high}")
+    for relation, keys in declared_checks.UNIQUE.items():
+        key = ",".join(keys)
+        groups = f"SELECT 1 FROM {name(relation)} GROUP BY {key} HAVING count(*) > 1"
+        add(relation, "unique", key, f"SELECT count(*) FROM ({groups})")
+    orphans = f"FROM stg_lap_times ANTI JOIN stg_results USING ({_ENTRY})"
+    add("stg_lap_times", "no_orphan_laps", "", f"SELECT count(*) {orphans}")
+    positions = "FROM stg_results WHERE finish_position < 1 OR finish_position > 30"
+    add("stg_results", "valid_finish_positions", "", f"SELECT count(*) {positions}")
+    checked = " UNION ALL ".join(parts)
+    return race_sql(f"SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'error' END AS verdict FROM ({checked})")
+
+
+@query("dq31_run_checks", _declared_sql())
 def dq31(spark, sf):
     return declared_checks.run_checks(relations(spark, sf))

@@ -112,55 +112,25 @@ def pl6(spark, sf):
 # --- dimensions and facts ---------------------------------------------------------------
 
 
-@query(
-    "pl7_dim_drivers",
-    race_sql("""
-    SELECT driver_abbr, driver_name, current_team, career_top3_rate, career_dnf_rate, career_finish_consistency
-    FROM (SELECT driver_abbr, min(driver_name) AS driver_name FROM stg_results GROUP BY driver_abbr)
-    LEFT JOIN (SELECT driver_abbr, team_name AS current_team FROM stg_results
-               QUALIFY row_number() OVER (PARTITION BY driver_abbr ORDER BY season DESC, round_number DESC) = 1)
-      USING (driver_abbr)
-    LEFT JOIN (SELECT driver_abbr, round(avg(top3_rate), 3) AS career_top3_rate,
-                      round(avg(dnf_rate), 3) AS career_dnf_rate,
-                      round(avg(finish_consistency), 3) AS career_finish_consistency
-               FROM features GROUP BY driver_abbr) USING (driver_abbr)"""),
-)
+@query("pl7_dim_drivers", race_sql("SELECT * FROM dim_drivers"))
 def pl7(spark, sf):
     return marts.dim_drivers(feature_frame(spark, sf))
 
 
-_TEAMS_SQL = """
-    SELECT team_name, count(*) AS total_race_entries,
-           count(CASE WHEN finish_position = 1 AND NOT is_dnf THEN 1 END) AS total_wins,
-           count(CASE WHEN finish_position <= 3 AND NOT is_dnf THEN 1 END) AS total_podiums,
-           count(CASE WHEN is_dnf THEN 1 END) AS total_dnfs,
-           round(count(CASE WHEN NOT is_dnf THEN 1 END)::DOUBLE / count(*), 3) AS reliability_rate,
-           CAST(sum(points) AS BIGINT) AS total_constructor_points
-    FROM stg_results GROUP BY team_name"""
-
-
-@query("pl8_dim_teams", race_sql(_TEAMS_SQL))
+@query("pl8_dim_teams", race_sql("SELECT * FROM dim_teams"))
 def pl8(spark, sf):
     return marts.dim_teams(staging.stg_results(race_view.results(spark, sf)))
 
 
-@query("top3_teams_ordered", race_sql(f"{_TEAMS_SQL} ORDER BY total_constructor_points DESC, team_name"))
+@query(
+    "top3_teams_ordered", race_sql("SELECT * FROM dim_teams ORDER BY total_constructor_points DESC, team_name")
+)
 def top3(spark, sf):
     teams = marts.dim_teams(staging.stg_results(race_view.results(spark, sf)))
     return teams.orderBy(F.desc("total_constructor_points"), "team_name")
 
 
-@query(
-    "pl9_dim_circuits",
-    race_sql("""
-    SELECT circuit_name, country, race_name, round_number AS most_recent_round, race_date,
-           coalesce(total_starters, 0) AS total_starters, coalesce(dnf_count, 0) AS dnf_count,
-           round(dnf_count::DOUBLE / nullif(total_starters, 0), 3) AS circuit_dnf_rate
-    FROM stg_races
-    LEFT JOIN (SELECT season, round_number, count(DISTINCT driver_abbr) AS total_starters,
-                      count(CASE WHEN is_dnf THEN 1 END) AS dnf_count
-               FROM stg_results GROUP BY ALL) USING (season, round_number)"""),
-)
+@query("pl9_dim_circuits", race_sql("SELECT * FROM dim_circuits"))
 def pl9(spark, sf):
     return marts.dim_circuits(staged_races(spark, sf), staging.stg_results(race_view.results(spark, sf)))
 
@@ -172,20 +142,7 @@ _FACT_FEATURES = [c for c in _FEATURE_DOUBLES if c != "relative_pace"]
     "pl10_fct_race_results",
     race_sql(
         rounded_sql(
-            """
-    SELECT r.season, r.round_number, r.driver_abbr, r.team_name, race_name, circuit_name, country, race_date,
-           r.finish_position, r.grid_position, r.points, r.is_dnf, r.finish_category,
-           l.mean_lap_time, l.lap_time_std, l.relative_pace,
-           f.grid_log, f.top3_rate, f.top5_rate, f.top10_rate, f.top15_rate, f.finish_consistency, f.perf_vs_expected,
-           f.lap_time_consistency, f.dnf_rate, f.team_reliability, f.driver_points, f.team_points, f.points_momentum
-    FROM stg_results AS r
-    LEFT JOIN stg_races USING (season, round_number)
-    LEFT JOIN features AS f USING (season, round_number, driver_abbr)
-    LEFT JOIN int_lap_analysis AS l USING (season, round_number, driver_abbr)""",
-            "mean_lap_time",
-            "lap_time_std",
-            "relative_pace",
-            *_FACT_FEATURES,
+            "SELECT * FROM fct_race_results", "mean_lap_time", "lap_time_std", "relative_pace", *_FACT_FEATURES
         )
     ),
 )
@@ -193,58 +150,17 @@ def pl10(spark, sf):
     return rounded(marts.fct_race_results(feature_frame(spark, sf), staged_races(spark, sf)))
 
 
-STANDINGS_SQL = """
-    SELECT *, rank() OVER (PARTITION BY season, round_number ORDER BY total_points DESC) AS championship_position
-    FROM (SELECT season, round_number, driver_abbr, team_name, points AS race_points,
-                 CAST(sum(points) OVER (PARTITION BY season, driver_abbr ORDER BY round_number) AS BIGINT)
-                     AS total_points
-          FROM stg_results)"""
-
-
-@query("pl11_fct_championship_standings", race_sql(STANDINGS_SQL))
+@query("pl11_fct_championship_standings", race_sql("SELECT * FROM fct_championship_standings"))
 def pl11(spark, sf):
     return marts.fct_championship_standings(stored_results(spark, sf))
 
 
-@query(
-    "pl12_fct_driver_performance",
-    race_sql("""
-    SELECT f.driver_abbr, f.team_name, count(*) AS races_entered,
-           count(CASE WHEN NOT f.is_dnf THEN 1 END) AS races_finished,
-           count(CASE WHEN f.finish_position <= 3 AND NOT f.is_dnf THEN 1 END) AS podiums,
-           count(CASE WHEN f.finish_position = 1 AND NOT f.is_dnf THEN 1 END) AS wins,
-           CAST(sum(r.points) AS BIGINT) AS total_points,
-           round(avg(CASE WHEN NOT f.is_dnf THEN f.finish_position END), 2) AS avg_finish,
-           round(avg(f.grid_position), 2) AS avg_grid, round(avg(f.perf_vs_expected), 2) AS avg_perf_vs_expected,
-           round(avg(f.lap_time_consistency), 2) AS avg_lap_consistency,
-           round(avg(f.relative_pace), 2) AS avg_relative_pace,
-           round(stddev_samp(CASE WHEN NOT f.is_dnf THEN f.finish_position END), 2) AS finish_stddev,
-           round(max(f.top3_rate), 3) AS final_top3_rate, round(max(f.dnf_rate), 3) AS final_dnf_rate
-    FROM features AS f JOIN stg_results AS r USING (season, round_number, driver_abbr)
-    GROUP BY f.driver_abbr, f.team_name"""),
-)
+@query("pl12_fct_driver_performance", race_sql("SELECT * FROM fct_driver_performance"))
 def pl12(spark, sf):
     return marts.fct_driver_performance(feature_frame(spark, sf))
 
 
-@query(
-    "pl13_fct_race_summary",
-    race_sql("""
-    SELECT season, round_number, race_name, circuit_name, country, race_date, winner, winning_team, total_starters,
-           total_dnfs, avg_finish_position, fastest_avg_pace, avg_lap_consistency
-    FROM stg_races
-    LEFT JOIN (SELECT season, round_number, count(DISTINCT driver_abbr) AS total_starters,
-                      count(CASE WHEN is_dnf THEN 1 END) AS total_dnfs,
-                      round(avg(CASE WHEN NOT is_dnf THEN finish_position END), 2) AS avg_finish_position
-               FROM stg_results GROUP BY ALL) USING (season, round_number)
-    LEFT JOIN (SELECT season, round_number, round(min(mean_lap_time), 3) AS fastest_avg_pace,
-                      round(avg(lap_time_std), 3) AS avg_lap_consistency
-               FROM int_lap_analysis GROUP BY ALL) USING (season, round_number)
-    LEFT JOIN (SELECT season, round_number, driver_abbr AS winner, team_name AS winning_team
-               FROM stg_results WHERE finish_position = 1
-               QUALIFY row_number() OVER (PARTITION BY season, round_number ORDER BY driver_abbr) = 1)
-      USING (season, round_number)"""),
-)
+@query("pl13_fct_race_summary", race_sql("SELECT * FROM fct_race_summary"))
 def pl13(spark, sf):
     results = stored_results(spark, sf)
     return marts.fct_race_summary(staged_races(spark, sf), results, lap_analysis(spark, sf, results))

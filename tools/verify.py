@@ -37,7 +37,7 @@ def _rows(table: pa.Table) -> list[tuple]:
 
 def _same(a, b) -> bool:
     if isinstance(a, float) and isinstance(b, float):
-        return abs(a - b) <= 1e-9 * max(1.0, abs(a)) or (a != a and b != b)
+        return a == b or (a != a and b != b)
     return type(a) is type(b) and a == b
 
 
