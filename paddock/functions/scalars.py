@@ -37,6 +37,14 @@ def safe_divide(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
+def round_half_up(value: Column, digits: int) -> Column:
+    """Value rounded as a decimal, half away from zero.
+
+    The cast keeps ten decimals, so noise in the last bits of a mean does not decide a tie.
+    """
+    return F.round(value.cast("decimal(28, 10)"), digits).cast("double")
+
+
 def surrogate_key(fields: Sequence, nulls_as_empty: bool = False) -> Column:
     """MD5 of the fields as text, joined by ``-``."""
     token = F.lit("" if nulls_as_empty else NULL_KEY_TOKEN)
@@ -67,7 +75,7 @@ def histogram(df: DataFrame, column: str, low: float, high: float, buckets: int)
 
 def to_seconds(milliseconds: Column, digits: int | None = None) -> Column:
     seconds = milliseconds / 1000.0
-    return seconds if digits is None else F.round(seconds, digits)
+    return seconds if digits is None else round_half_up(seconds, digits)
 
 
 def bool_to_text(column: Column) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from paddock.functions.scalars import safe_divide
+from paddock.functions.scalars import round_half_up, safe_divide
 from paddock.operators.ordered import ranked
 from paddock.plans.features import FEATURES
 from paddock.plans.staging import ENTRY, RACE
@@ -22,9 +22,9 @@ def dim_drivers(frame: DataFrame) -> DataFrame:
     return frame.groupBy("driver_abbr").agg(
         F.min("driver_name").alias("driver_name"),
         F.max_by("team_name", F.struct(*RACE)).alias("current_team"),
-        F.round(F.avg("top3_rate"), 3).alias("career_top3_rate"),
-        F.round(F.avg("dnf_rate"), 3).alias("career_dnf_rate"),
-        F.round(F.avg("finish_consistency"), 3).alias("career_finish_consistency"),
+        round_half_up(F.avg("top3_rate"), 3).alias("career_top3_rate"),
+        round_half_up(F.avg("dnf_rate"), 3).alias("career_dnf_rate"),
+        round_half_up(F.avg("finish_consistency"), 3).alias("career_finish_consistency"),
     )
 
 
@@ -35,7 +35,7 @@ def dim_teams(results: DataFrame) -> DataFrame:
         _finished(finish == 1).alias("total_wins"),
         _finished(finish <= 3).alias("total_podiums"),
         F.count_if("is_dnf").alias("total_dnfs"),
-        F.round(F.avg(F.when(F.col("is_dnf"), 0.0).otherwise(1.0)), 3).alias("reliability_rate"),
+        round_half_up(F.avg(F.when(F.col("is_dnf"), 0.0).otherwise(1.0)), 3).alias("reliability_rate"),
         F.sum("points").alias("total_constructor_points"),
     )
 
@@ -54,7 +54,7 @@ def dim_circuits(races: DataFrame, results: DataFrame) -> DataFrame:
         "race_date",
         starters.alias("total_starters"),
         dnfs.alias("dnf_count"),
-        F.round(safe_divide(dnfs, starters), 3).alias("circuit_dnf_rate"),
+        round_half_up(safe_divide(dnfs, starters), 3).alias("circuit_dnf_rate"),
     )
 
 
@@ -113,14 +113,14 @@ def fct_driver_performance(frame: DataFrame) -> DataFrame:
         _finished(finish <= 3).alias("podiums"),
         _finished(finish == 1).alias("wins"),
         F.sum("points").alias("total_points"),
-        F.round(F.avg(classified), 2).alias("avg_finish"),
-        F.round(F.avg("grid_position"), 2).alias("avg_grid"),
-        F.round(F.avg("perf_vs_expected"), 2).alias("avg_perf_vs_expected"),
-        F.round(F.avg("lap_time_consistency"), 2).alias("avg_lap_consistency"),
-        F.round(F.avg("relative_pace"), 2).alias("avg_relative_pace"),
-        F.round(F.stddev(classified), 2).alias("finish_stddev"),
-        F.round(F.max("top3_rate"), 3).alias("final_top3_rate"),
-        F.round(F.max("dnf_rate"), 3).alias("final_dnf_rate"),
+        round_half_up(F.avg(classified), 2).alias("avg_finish"),
+        round_half_up(F.avg("grid_position"), 2).alias("avg_grid"),
+        round_half_up(F.avg("perf_vs_expected"), 2).alias("avg_perf_vs_expected"),
+        round_half_up(F.avg("lap_time_consistency"), 2).alias("avg_lap_consistency"),
+        round_half_up(F.avg("relative_pace"), 2).alias("avg_relative_pace"),
+        round_half_up(F.stddev(classified), 2).alias("finish_stddev"),
+        round_half_up(F.max("top3_rate"), 3).alias("final_top3_rate"),
+        round_half_up(F.max("dnf_rate"), 3).alias("final_dnf_rate"),
     )
 
 
@@ -129,12 +129,12 @@ def fct_race_summary(races: DataFrame, results: DataFrame, lap_analysis: DataFra
     stats = results.groupBy(*RACE).agg(
         F.count_distinct("driver_abbr").alias("total_starters"),
         F.count_if("is_dnf").alias("total_dnfs"),
-        F.round(F.avg(F.when(~F.col("is_dnf"), F.col("finish_position"))), 2).alias("avg_finish_position"),
+        round_half_up(F.avg(F.when(~F.col("is_dnf"), F.col("finish_position"))), 2).alias("avg_finish_position"),
         winner.alias("_winner"),
     )
     pace = lap_analysis.groupBy(*RACE).agg(
-        F.round(F.min("mean_lap_time"), 3).alias("fastest_avg_pace"),
-        F.round(F.avg("lap_time_std"), 3).alias("avg_lap_consistency"),
+        round_half_up(F.min("mean_lap_time"), 3).alias("fastest_avg_pace"),
+        round_half_up(F.avg("lap_time_std"), 3).alias("avg_lap_consistency"),
     )
     return (
         races.join(stats, RACE, "left")

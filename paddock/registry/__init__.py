@@ -9,6 +9,8 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from paddock.functions.scalars import round_half_up
+
 Run = Callable[[SparkSession, str], DataFrame]
 
 
@@ -42,9 +44,14 @@ def load() -> dict[str, Query]:
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded, so that the order of summation does not show."""
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    return df.withColumns({c: F.round(c, digits) for c in doubles}) if doubles else df
+    return df.withColumns({c: round_half_up(F.col(c), digits) for c in doubles}) if doubles else df
+
+
+def round_sql(expression: str, digits: int) -> str:
+    """A double rounded half up on its decimal value."""
+    return f"round(CAST({expression} AS DECIMAL(28, 10)), {digits})::DOUBLE"
 
 
 def rounded_sql(body: str, *columns: str, digits: int = 6) -> str:
-    replaced = ", ".join(f"round({c}, {digits}) AS {c}" for c in columns)
+    replaced = ", ".join(f"{round_sql(c, digits)} AS {c}" for c in columns)
     return f"SELECT * REPLACE ({replaced}) FROM ({body})"

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paddock.operators import checks, suite
-from paddock.plans import declared_checks, features, marts, race_view, staging
+from paddock.plans import declared_checks, models, race_view
 from paddock.plans.race_view import table
 from paddock.registry import query, rounded
-from paddock.registry.race import staged_races
 from paddock.registry.race_sql import race_sql
 from paddock.sources.sinks import materialize_table
 
@@ -190,7 +189,7 @@ def dq11(spark, sf):
 
 @query(
     "dq12_not_null_proportion",
-    "SELECT user_id, round(avg(CASE WHEN event_type <> 'error' THEN 1.0 ELSE 0.0 END), 6) AS not_null_proportion "
+    "SELECT user_id, round(CAST(avg(CASE WHEN event_type <> 'error' THEN 1.0 ELSE 0.0 END) AS DECIMAL(28, 10)), 6)::DOUBLE AS not_null_proportion "
     "FROM events GROUP BY ALL HAVING avg(CASE WHEN event_type <> 'error' THEN 1.0 ELSE 0.0 END) < 0.75 "
     "OR avg(CASE WHEN event_type <> 'error' THEN 1.0 ELSE 0.0 END) > 0.85",
 )
@@ -496,35 +495,6 @@ def dq30_metric(spark, sf):
     )
 
 
-def relations(spark, sf):
-    """All raw, staged and derived relations; shared parents are written once."""
-    races, raw_races = staged_races(spark, sf), race_view.races(spark, sf)
-    raw_results = materialize_table(race_view.results(spark, sf), label="results")
-    raw_laps = materialize_table(race_view.laps(spark, sf, with_numbers=True), label="laps")
-    results = staging.stg_results(raw_results)
-    laps = materialize_table(staging.stg_lap_times(raw_laps), label="staged-laps")
-    analysis = materialize_table(features.int_lap_analysis(laps, results), label="analysis")
-    frame = materialize_table(features.feature_frame(results, analysis), label="features")
-    return {
-        "races": raw_races,
-        "results": raw_results,
-        "lap_times": raw_laps,
-        "stg_races": races,
-        "stg_results": results,
-        "stg_lap_times": laps,
-        "int_driver_cumulative_stats": features.int_driver_cumulative_stats(results),
-        "int_lap_analysis": analysis,
-        "int_driver_race_features": features.int_driver_race_features(frame),
-        "dim_drivers": marts.dim_drivers(frame),
-        "dim_teams": marts.dim_teams(results),
-        "dim_circuits": marts.dim_circuits(races, results),
-        "fct_race_results": marts.fct_race_results(frame, races),
-        "fct_championship_standings": marts.fct_championship_standings(results),
-        "fct_driver_performance": marts.fct_driver_performance(frame),
-        "fct_race_summary": marts.fct_race_summary(races, results, analysis),
-    }
-
-
 _ORACLE_NAME = {
     "races": "raw_races",
     "results": "raw_results",
@@ -564,4 +534,7 @@ def _declared_sql() -> str:
 
 @query("dq31_run_checks", _declared_sql())
 def dq31(spark, sf):
-    return declared_checks.run_checks(relations(spark, sf))
+    results = materialize_table(race_view.results(spark, sf), label="results")
+    laps = materialize_table(race_view.laps(spark, sf, with_numbers=True), label="laps")
+    races = materialize_table(race_view.races(spark, sf), label="races")
+    return declared_checks.run_checks(models.build(races, results, laps))

@@ -18,7 +18,7 @@ def fn1(spark, sf):
 
 @query(
     "fn2_log",
-    "SELECT l_orderkey, l_linenumber, round(ln(CAST(l_quantity AS DOUBLE) + 1), 6) AS quantity_log FROM lineitem",
+    "SELECT l_orderkey, l_linenumber, round(CAST(ln(CAST(l_quantity AS DOUBLE) + 1) AS DECIMAL(28, 10)), 6)::DOUBLE AS quantity_log FROM lineitem",
 )
 def fn2(spark, sf):
     lines = table(spark, sf, "lineitem")
@@ -31,7 +31,7 @@ def fn3(spark, sf):
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", seventh)
 
 
-@query("fn4_to_seconds", "SELECT event_id, round(value / 1000.0::DOUBLE, 3) AS seconds FROM events")
+@query("fn4_to_seconds", "SELECT event_id, round(CAST(value / 1000.0::DOUBLE AS DECIMAL(28, 10)), 3)::DOUBLE AS seconds FROM events")
 def fn4(spark, sf):
     return table(spark, sf, "events").select("event_id", scalars.to_seconds(F.col("value"), 3).alias("seconds"))
 
@@ -41,8 +41,8 @@ _TERMS = "coalesce(nullif(l_quantity, 10), 0)", "coalesce(nullif(l_discount, 0),
 
 @query(
     "fn5_safe_add_subtract",
-    f"SELECT l_orderkey, l_linenumber, round({' + '.join(_TERMS)}, 6) AS total, "
-    f"round({' - '.join(_TERMS)}, 6) AS remainder FROM lineitem",
+    f"SELECT l_orderkey, l_linenumber, round(CAST({' + '.join(_TERMS)} AS DECIMAL(28, 10)), 6)::DOUBLE AS total, "
+    f"round(CAST({' - '.join(_TERMS)} AS DECIMAL(28, 10)), 6)::DOUBLE AS remainder FROM lineitem",
 )
 def fn5(spark, sf):
     terms = [
@@ -62,7 +62,7 @@ def fn5(spark, sf):
 
 @query(
     "fn6_safe_divide",
-    "SELECT l_orderkey, l_linenumber, round(l_quantity / nullif(l_discount * l_tax, 0), 4) AS ratio FROM lineitem",
+    "SELECT l_orderkey, l_linenumber, round(CAST(l_quantity / nullif(l_discount * l_tax, 0) AS DECIMAL(28, 10)), 4)::DOUBLE AS ratio FROM lineitem",
 )
 def fn6(spark, sf):
     ratio = scalars.safe_divide(F.col("l_quantity"), F.col("l_discount") * F.col("l_tax"))
@@ -118,8 +118,8 @@ _LON = "(CAST({k} AS DOUBLE) * 13 - 150)"
 def _haversine_sql(a: str, b: str, factor: str) -> str:
     lat1, lon1, lat2, lon2 = _LAT.format(k=a), _LON.format(k=a), _LAT.format(k=b), _LON.format(k=b)
     return (
-        f"round(2 * 3961 * asin(sqrt(power(sin(radians(({lat2} - {lat1}) / 2)), 2) + cos(radians({lat1})) * "
-        f"cos(radians({lat2})) * power(sin(radians(({lon2} - {lon1}) / 2)), 2))) * {factor}, 4)"
+        f"round(CAST(2 * 3961 * asin(sqrt(power(sin(radians(({lat2} - {lat1}) / 2)), 2) + cos(radians({lat1})) * "
+        f"cos(radians({lat2})) * power(sin(radians(({lon2} - {lon1}) / 2)), 2))) * {factor} AS DECIMAL(28, 10)), 4)::DOUBLE"
     )
 
 

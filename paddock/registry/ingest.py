@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paddock.operators import scd
 from paddock.operators.ordered import numbered
-from paddock.plans import race_view, staging
+from paddock.plans import models, race_view, staging
 from paddock.plans.race_view import race_events, table
 from paddock.registry import query, rounded, rounded_sql
 from paddock.registry.race_sql import race_sql
@@ -313,6 +313,12 @@ def scd1(spark, sf):
 _FIRST, _SECOND = "2024-01-15 00:00:00", "2024-01-30 00:00:00"
 
 
+def _wall_clock(snapshot: DataFrame) -> DataFrame:
+    return snapshot.withColumns(
+        {c: F.col(c).cast("timestamp_ntz") for c in (scd.UPDATED_AT, scd.VALID_FROM, scd.VALID_TO)}
+    )
+
+
 def _snapshots(spark, sf, hard_deletes: bool) -> DataFrame:
     results = staging.stg_results(race_view.results(spark, sf))
     first, second = [F.lit(t).cast("timestamp") for t in (_FIRST, _SECOND)]
@@ -321,8 +327,7 @@ def _snapshots(spark, sf, hard_deletes: bool) -> DataFrame:
     left = F.regexp_extract("driver_abbr", r"\d+", 0).cast("long") % 10 == 3
     after = scd.current_driver_teams(results.where(~left))
     merged = scd.snapshot_merge(history, after, ["driver_abbr"], ["team_name"], second, hard_deletes)
-    wall = {c: F.col(c).cast("timestamp_ntz") for c in (scd.UPDATED_AT, scd.VALID_FROM, scd.VALID_TO)}
-    return merged.withColumns(wall)
+    return _wall_clock(merged)
 
 
 def _snapshot_sql(hard_deletes: bool) -> str:
@@ -359,7 +364,11 @@ def scd3(spark, sf):
 
 @query("snk6_snapshot_table", _snapshot_sql(True))
 def snk6(spark, sf):
-    return sinks.materialize_table(_snapshots(spark, sf, hard_deletes=True), label="snapshot")
+    path = scratch_path(spark, "snapshots")
+    results = staging.stg_results(sinks.materialize_table(race_view.results(spark, sf), label="results"))
+    stays = F.regexp_extract("driver_abbr", r"\d+", 0).cast("long") % 10 != 3
+    models.refresh_snapshot(results.where("season = 2023"), path, F.lit(_FIRST).cast("timestamp"))
+    return _wall_clock(models.refresh_snapshot(results.where(stays), path, F.lit(_SECOND).cast("timestamp")))
 
 
 @query(

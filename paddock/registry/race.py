@@ -232,7 +232,7 @@ def wn4_rows(spark, sf):
     return features.with_team_history(results, mode="rows").select(*ENTRY, "team_name", "prev_team_points")
 
 
-@query("wn5_rolling_avg", _history_sql(f"round(coalesce(avg(points) {_LAST5}, 0), 6) AS momentum"))
+@query("wn5_rolling_avg", _history_sql(f"round(CAST(coalesce(avg(points) {_LAST5}, 0) AS DECIMAL(28, 10)), 6)::DOUBLE AS momentum"))
 def wn5(spark, sf):
     return _history(spark, sf, momentum=prior_avg(F.col("points"), prior(_DRIVER, last=5)))
 
@@ -240,8 +240,8 @@ def wn5(spark, sf):
 @query(
     "wn6_rolling_stddev",
     _history_sql(
-        f"round(stddev_samp(CASE WHEN NOT is_dnf THEN finish_position END) {_LAST6}, 6) AS consistency, "
-        f"round(coalesce(stddev_samp(CASE WHEN NOT is_dnf THEN finish_position END) {_LAST6}, 5.0), 6) AS filled"
+        f"round(CAST(stddev_samp(CASE WHEN NOT is_dnf THEN finish_position END) {_LAST6} AS DECIMAL(28, 10)), 6)::DOUBLE AS consistency, "
+        f"round(CAST(coalesce(stddev_samp(CASE WHEN NOT is_dnf THEN finish_position END) {_LAST6}, 5.0) AS DECIMAL(28, 10)), 6)::DOUBLE AS filled"
     ),
 )
 def wn6(spark, sf):
@@ -253,8 +253,8 @@ def wn6(spark, sf):
 @query(
     "wn7_prior_rate",
     _history_sql(
-        f"round(CASE WHEN count(*) {_PAST} > 0 THEN CAST(count(CASE WHEN is_dnf THEN 1 END) {_PAST} AS DOUBLE)"
-        f" / count(*) {_PAST} ELSE 0 END, 6) AS dnf_rate"
+        f"round(CAST(CASE WHEN count(*) {_PAST} > 0 THEN CAST(count(CASE WHEN is_dnf THEN 1 END) {_PAST} AS DOUBLE)"
+        f" / count(*) {_PAST} ELSE 0 END AS DECIMAL(28, 10)), 6)::DOUBLE AS dnf_rate"
     ),
 )
 def wn7(spark, sf):
@@ -280,7 +280,7 @@ def wn8(spark, sf):
 
 @query(
     "wn9_prior_reliability",
-    race_sql("SELECT team_name, season, round_number, round(team_reliability, 6) AS team_reliability FROM team_history"),
+    race_sql("SELECT team_name, season, round_number, round(CAST(team_reliability AS DECIMAL(28, 10)), 6)::DOUBLE AS team_reliability FROM team_history"),
 )
 def wn9(spark, sf):
     results = staging.stg_results(race_view.results(spark, sf))
@@ -302,7 +302,7 @@ def wn10(spark, sf):
 @query(
     "wn10_perf_vs_expected_as_of",
     race_sql("""
-    SELECT season, round_number, grid_position, round(sum(s) OVER w / sum(n) OVER w, 6) AS expected_finish
+    SELECT season, round_number, grid_position, round(CAST(sum(s) OVER w / sum(n) OVER w AS DECIMAL(28, 10)), 6)::DOUBLE AS expected_finish
     FROM (SELECT grid_position, season, round_number, sum(finish_position) AS s, count(finish_position) AS n
           FROM stg_results WHERE NOT is_dnf GROUP BY ALL)
     WINDOW w AS (PARTITION BY grid_position ORDER BY season, round_number

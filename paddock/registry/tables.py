@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from paddock.operators import aggregates, generators, joins, projection, sets, topk
 from paddock.operators.ordered import exact_median, numbered, ranked, rolling, running, shifted
 from paddock.plans.race_view import table
+from paddock.functions.scalars import round_half_up
 from paddock.registry import query, rounded
 
 # --- projections ------------------------------------------------------------------------
@@ -102,14 +103,14 @@ def flt2(spark, sf):
 
 @query(
     "flt3_coalesce_nullif",
-    "SELECT l_orderkey, l_linenumber, round(l_extendedprice / nullif(l_discount, 0), 4) AS per_discount, "
+    "SELECT l_orderkey, l_linenumber, round(CAST(l_extendedprice / nullif(l_discount, 0) AS DECIMAL(28, 10)), 4)::DOUBLE AS per_discount, "
     "coalesce(nullif(l_returnflag, 'N'), 'none') AS flag FROM lineitem",
 )
 def flt3(spark, sf):
     return table(spark, sf, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
-        F.round(F.col("l_extendedprice") / F.nullif("l_discount", F.lit(0.0)), 4).alias("per_discount"),
+        round_half_up(F.col("l_extendedprice") / F.nullif("l_discount", F.lit(0.0)), 4).alias("per_discount"),
         F.coalesce(F.nullif("l_returnflag", F.lit("N")), F.lit("none")).alias("flag"),
     )
 
@@ -150,7 +151,7 @@ def flt7(spark, sf):
 
 @query(
     "jn1_inner",
-    "SELECT o_orderpriority, count(*) AS orders, CAST(sum(lines) AS BIGINT) AS lines, round(sum(revenue), 2) AS revenue "
+    "SELECT o_orderpriority, count(*) AS orders, CAST(sum(lines) AS BIGINT) AS lines, round(CAST(sum(revenue) AS DECIMAL(28, 10)), 2)::DOUBLE AS revenue "
     "FROM orders JOIN (SELECT l_orderkey, count(*) AS lines, sum(l_extendedprice * (1 - l_discount)) AS revenue "
     "FROM lineitem GROUP BY ALL) ON l_orderkey = o_orderkey GROUP BY ALL",
 )
@@ -167,7 +168,7 @@ def jn1(spark, sf):
     return joined.groupBy("o_orderpriority").agg(
         F.count(F.lit(1)).alias("orders"),
         F.sum("lines").alias("lines"),
-        F.round(F.sum("revenue"), 2).alias("revenue"),
+        round_half_up(F.sum("revenue"), 2).alias("revenue"),
     )
 
 
@@ -254,8 +255,8 @@ def ag3(spark, sf):
 
 @query(
     "ag4_sum_avg_min_max",
-    "SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, round(sum(l_extendedprice), 2) AS sum_price, "
-    "round(avg(l_discount), 6) AS avg_disc, min(l_extendedprice) AS min_price, max(l_extendedprice) AS max_price "
+    "SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, round(CAST(sum(l_extendedprice) AS DECIMAL(28, 10)), 2)::DOUBLE AS sum_price, "
+    "round(CAST(avg(l_discount) AS DECIMAL(28, 10)), 6)::DOUBLE AS avg_disc, min(l_extendedprice) AS min_price, max(l_extendedprice) AS max_price "
     "FROM lineitem GROUP BY ALL",
 )
 def ag4(spark, sf):
@@ -264,8 +265,8 @@ def ag4(spark, sf):
         .groupBy("l_returnflag", "l_linestatus")
         .agg(
             F.sum("l_quantity").alias("sum_qty"),
-            F.round(F.sum("l_extendedprice"), 2).alias("sum_price"),
-            F.round(F.avg("l_discount"), 6).alias("avg_disc"),
+            round_half_up(F.sum("l_extendedprice"), 2).alias("sum_price"),
+            round_half_up(F.avg("l_discount"), 6).alias("avg_disc"),
             F.min("l_extendedprice").alias("min_price"),
             F.max("l_extendedprice").alias("max_price"),
         )
@@ -274,8 +275,8 @@ def ag4(spark, sf):
 
 @query(
     "ag5_conditional_avg",
-    "SELECT l_suppkey, round(avg(CASE WHEN l_returnflag <> 'R' THEN l_quantity END), 6) AS kept_avg, "
-    "round(stddev_samp(CASE WHEN l_returnflag <> 'R' THEN l_quantity END), 6) AS kept_std FROM lineitem GROUP BY ALL",
+    "SELECT l_suppkey, round(CAST(avg(CASE WHEN l_returnflag <> 'R' THEN l_quantity END) AS DECIMAL(28, 10)), 6)::DOUBLE AS kept_avg, "
+    "round(CAST(stddev_samp(CASE WHEN l_returnflag <> 'R' THEN l_quantity END) AS DECIMAL(28, 10)), 6)::DOUBLE AS kept_std FROM lineitem GROUP BY ALL",
 )
 def ag5(spark, sf):
     kept = F.when(F.col("l_returnflag") != "R", F.col("l_quantity"))
@@ -285,14 +286,14 @@ def ag5(spark, sf):
 
 @query(
     "ag6_stddev",
-    "SELECT o_custkey, count(*) AS orders, round(stddev_samp(o_totalprice), 4) AS price_std FROM orders GROUP BY ALL",
+    "SELECT o_custkey, count(*) AS orders, round(CAST(stddev_samp(o_totalprice) AS DECIMAL(28, 10)), 4)::DOUBLE AS price_std FROM orders GROUP BY ALL",
 )
 def ag6(spark, sf):
     orders = table(spark, sf, "orders").groupBy("o_custkey")
-    return orders.agg(F.count(F.lit(1)).alias("orders"), F.round(F.stddev("o_totalprice"), 4).alias("price_std"))
+    return orders.agg(F.count(F.lit(1)).alias("orders"), round_half_up(F.stddev("o_totalprice"), 4).alias("price_std"))
 
 
-@query("ag7_median", "SELECT l_returnflag, round(median(l_extendedprice), 4) AS mid FROM lineitem GROUP BY ALL")
+@query("ag7_median", "SELECT l_returnflag, round(CAST(median(l_extendedprice) AS DECIMAL(28, 10)), 4)::DOUBLE AS mid FROM lineitem GROUP BY ALL")
 def ag7(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice")
     return rounded(exact_median(lines, ["l_returnflag"], "l_extendedprice", "mid"), 4)
@@ -306,7 +307,7 @@ def ag8(spark, sf):
 
 @query(
     "ag9_proportion",
-    "SELECT l_suppkey, round(avg(CASE WHEN nullif(l_returnflag, 'N') IS NOT NULL THEN 1.0 ELSE 0.0 END), 6) AS share "
+    "SELECT l_suppkey, round(CAST(avg(CASE WHEN nullif(l_returnflag, 'N') IS NOT NULL THEN 1.0 ELSE 0.0 END) AS DECIMAL(28, 10)), 6)::DOUBLE AS share "
     "FROM lineitem GROUP BY ALL",
 )
 def ag9(spark, sf):
@@ -404,25 +405,25 @@ def wn15(spark, sf):
 
 @query(
     "wn3_prior_sum_orders",
-    "SELECT o_custkey, o_orderkey, round(coalesce(sum(o_totalprice) OVER (PARTITION BY o_custkey "
-    "ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 2) AS spent_before "
+    "SELECT o_custkey, o_orderkey, round(CAST(coalesce(sum(o_totalprice) OVER (PARTITION BY o_custkey "
+    "ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DECIMAL(28, 10)), 2)::DOUBLE AS spent_before "
     "FROM orders",
 )
 def wn3_orders(spark, sf):
     before = running(
         _orders(spark, sf), ["o_custkey"], _by_date(), {"spent": F.col("o_totalprice")}, past_only=True
     )
-    return before.select("o_custkey", "o_orderkey", F.round(F.coalesce("spent", F.lit(0.0)), 2).alias("spent_before"))
+    return before.select("o_custkey", "o_orderkey", round_half_up(F.coalesce("spent", F.lit(0.0)), 2).alias("spent_before"))
 
 
 @query(
     "wn5_rolling_avg_orders",
-    "SELECT o_custkey, o_orderkey, round(avg(o_totalprice) OVER (PARTITION BY o_custkey "
-    "ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), 4) AS recent_avg FROM orders",
+    "SELECT o_custkey, o_orderkey, round(CAST(avg(o_totalprice) OVER (PARTITION BY o_custkey "
+    "ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS DECIMAL(28, 10)), 4)::DOUBLE AS recent_avg FROM orders",
 )
 def wn5_orders(spark, sf):
     recent = rolling(_orders(spark, sf), ["o_custkey"], _by_date(), 5, {"recent_avg": F.avg("o_totalprice")})
-    return recent.select("o_custkey", "o_orderkey", F.round("recent_avg", 4).alias("recent_avg"))
+    return recent.select("o_custkey", "o_orderkey", round_half_up(F.col("recent_avg"), 4).alias("recent_avg"))
 
 
 @query(

@@ -7,7 +7,9 @@ repeated load gives the same table.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
@@ -17,6 +19,7 @@ from paddock.schemas import KEYS
 from paddock.session import scratch_path
 
 PARTITIONS = ("season", "round_number")
+MAX_LITERAL_PARTITIONS = 1000
 LOADED_AT = "loaded_at"
 
 
@@ -75,6 +78,20 @@ def _read(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
         return like.limit(0)
 
 
+def _partition_filter(stored: DataFrame, incoming: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Stored rows in the partitions that ``incoming`` touches.
+
+    The partition values become literals, so the scan lists only these folders. Beyond
+    ``MAX_LITERAL_PARTITIONS`` of them the same rows are found by a semi join.
+    """
+    touched = incoming.select(*partitions).distinct()
+    values = touched.limit(MAX_LITERAL_PARTITIONS + 1).collect()
+    if len(values) > MAX_LITERAL_PARTITIONS:
+        return stored.join(touched, list(partitions), "left_semi")
+    same = [reduce(lambda a, b: a & b, [F.col(p) == row[p] for p in partitions]) for row in values]
+    return stored.where(reduce(lambda a, b: a | b, same, F.lit(False)))
+
+
 def upsert(
     incoming: DataFrame,
     path: str,
@@ -85,15 +102,14 @@ def upsert(
 ) -> None:
     """Upsert into a partitioned parquet table and stamp written rows with the load time.
 
-    Only partitions that occur in ``incoming`` are read and rewritten. ``partitions`` must
-    be part of the key.
+    The incoming rows are staged once; then only partitions that occur in them are read and
+    rewritten. ``partitions`` must be part of the key.
     """
-    stamped = incoming.withColumn(LOADED_AT, F.current_timestamp())
-    stored = _read(incoming.sparkSession, path, stamped)
-    touched = incoming.select(*partitions).distinct()
-    affected = stored.join(touched, list(partitions), "left_semi")
+    staged = materialize_table(incoming.withColumn(LOADED_AT, F.current_timestamp()), label="staged")
+    stored = _read(incoming.sparkSession, path, staged)
+    affected = _partition_filter(stored, staged, partitions)
     columns = None if update_cols is None else [*update_cols, LOADED_AT]
-    replace_partition(merge_upsert(affected, stamped, keys, columns, order_by), path, partitions)
+    replace_partition(merge_upsert(affected, staged, keys, columns, order_by), path, partitions)
 
 
 # Fixed value: on a repeated load of results the driver's full name keeps its first value.
@@ -143,3 +159,26 @@ def materialize_table(df: DataFrame, path: str | None = None, label: str = "tabl
     target = scratch_path(spark, label) if path is None else path
     df.write.mode("overwrite").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions of a table kept as folders ``version=n``."""
+    try:
+        files = spark.read.parquet(path).inputFiles()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted({int(n) for f in files for n in re.findall(r"/version=(\d+)/", f)})
+
+
+def read_version(spark: SparkSession, path: str) -> DataFrame | None:
+    """Newest version of a table, None if there is none."""
+    versions = _versions(spark, path)
+    return spark.read.parquet(f"{path}/version={versions[-1]}") if versions else None
+
+
+def write_version(df: DataFrame, path: str) -> DataFrame:
+    """Write the next version and read it back; ``df`` may read the version before."""
+    versions = _versions(df.sparkSession, path)
+    return materialize_table(df, f"{path}/version={versions[-1] + 1 if versions else 1}")

@@ -97,12 +97,12 @@ def test_url_parts(frame, function, golden):
 
 def test_url_parameter(frame):
     df = frame(
-        [("http://drewbanin.com/milky?utm_medium=organic",), ("http://drewbanin.com/milky?utm_medium=organic&utm_source=github",)],
+        [("http://example.com/milky?utm_medium=organic",), ("http://example.com/milky?utm_medium=organic&utm_source=github",)],
         "url string",
     )
     got = web.with_url_parts(df, "url", ["utm_medium", "utm_source"])
     assert rows(got, "param_utm_medium", "param_utm_source") == [("organic", "github"), ("organic", None)]
-    assert rows(web.url_breakdown(df, "url")) == [("drewbanin.com", 2, 1)]
+    assert rows(web.url_breakdown(df, "url")) == [("example.com", 2, 1)]
 
 
 @settings(max_examples=10, deadline=None)

@@ -285,3 +285,36 @@ def test_team_moves(results, limit):
     got = rows(moves.where("driver_abbr = 'D2'"))
     assert got == [("D2", "T2", 2024, 1, 2024, 4, 2024, 5), ("D2", "T9", 2024, 5, 2025, 7, None, None)]
     assert moves.count() == 10
+
+
+def test_refresh(spark, raw_results, raw_laps, races, tmp_path):
+    from paddock.plans import models
+    from paddock.sources import sinks
+
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    sinks.load_races(races.where("season IS NOT NULL").drop("loaded_at"), raw)
+    sinks.load_results(raw_results.where("driver_abbr IS NOT NULL").drop("loaded_at"), raw)
+    sinks.load_laps(raw_laps.drop("loaded_at"), raw)
+    first = models.refresh(spark, raw, out)
+    assert first["checks"].count() == 71 and first["suite"].count() == 14
+    assert first["snapshot"].count() == 9
+    moved = raw_results.where("driver_abbr = 'D1'").withColumn("team_name", F.lit("T7")).drop("loaded_at")
+    sinks.load_results(moved, raw)
+    again = models.refresh(spark, raw, out)
+    assert again["snapshot"].count() == 10
+    assert spark.read.parquet(f"{out}/marts/dim_drivers").where("current_team = 'T7'").count() == 1
+
+
+def test_upsert_reads_only_touched_partitions(spark, frame, tmp_path):
+    from paddock.sources import sinks
+
+    path = str(tmp_path / "t")
+    rows_ = [(2024, r, f"D{d}", r * d) for r in range(1, 9) for d in range(3)]
+    df = frame(rows_, "season int, round_number int, driver_abbr string, v int")
+    sinks.upsert(df, path, staging.ENTRY)
+    stored = spark.read.parquet(path)
+    pruned = sinks._partition_filter(stored, df.where("round_number = 3"), sinks.PARTITIONS)
+    assert len(pruned.inputFiles()) == len(stored.inputFiles())
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(season" in plan or "PartitionFilters: [((season" in plan
+    assert pruned.count() == 3

@@ -139,13 +139,13 @@ def test_single_value(frame):
 
 @pytest.fixture(scope="module")
 def relations(frame):
-    one = frame([(1, "drew", "pi"), (2, "bob", "e"), (3, "alice", "4")], "id int, name string, favorite_number string")
+    one = frame([(1, "dan", "pi"), (2, "bob", "e"), (3, "alice", "4")], "id int, name string, favorite_number string")
     two = frame([(1, "green", 7), (2, "pink", 13)], "id int, favorite_color string, favorite_number int")
     return {"t1": one, "t2": two}
 
 
 UNION = [
-    (1, "drew", "pi", None),
+    (1, "dan", "pi", None),
     (1, None, "7", "green"),
     (2, "bob", "e", None),
     (2, None, "13", "pink"),
