@@ -27,9 +27,7 @@ def date_spine(spark: SparkSession, part: str, start: str | datetime, end: str |
 
 def spine_over(df: DataFrame, column: str, part: str) -> DataFrame:
     """Spine from the first to the last value of a column, both included."""
-    span = df.agg(
-        F.date_trunc(part, F.min(column)).cast("timestamp_ntz").alias("lo"),
-        F.date_trunc(part, F.max(column)).cast("timestamp_ntz").alias("hi"),
-    )
-    steps = span.select("lo", F.explode(F.sequence(F.lit(0), diff_parts(part, F.col("lo"), F.col("hi")))).alias("i"))
-    return steps.select(add_parts(F.col("lo"), part, F.col("i")).alias(f"date_{part}"))
+    low, high = [F.date_trunc(part, f(column)).cast("timestamp_ntz") for f in (F.min, F.max)]
+    first, steps = df.agg(low, diff_parts(part, low, high)).first()
+    start = F.lit(str(first)).cast("timestamp_ntz")
+    return df.sparkSession.range(steps + 1).select(add_parts(start, part, F.col("id")).alias(f"date_{part}"))

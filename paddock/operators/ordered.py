@@ -3,8 +3,10 @@
 A window sends each group to a single task. Every function here first looks at
 the group sizes (one aggregate over the key columns). When all groups are within
 ``limit`` rows it uses the plain window. Otherwise it sorts rows into range
-partitions ("chunks"), works inside each (chunk, group) and carries the small
-per-chunk results across, so that no task holds more than one range partition.
+partitions ("chunks"), works inside each (chunk, group) and carries results across
+chunk borders, so that no task holds more than one range partition. Only the first
+group of a chunk can continue from an earlier one, so at most one row per chunk is
+carried.
 
 The chunked frame is written to the shared folder because it is read twice: range
 bounds come from sampling, and both readers have to see the same chunks, also after
@@ -47,6 +49,11 @@ def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Data
     return materialize_table(ranged.withColumn(CHUNK, F.spark_partition_id()), label="chunks")
 
 
+def _across(carried: DataFrame, condition: str) -> DataFrame:
+    """The carried rows that cross a chunk border; few, and written so that they are broadcast."""
+    return materialize_table(carried.where(condition), label="carried")
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -69,9 +76,14 @@ def running(
     local = W.partitionBy(CHUNK, *keys).orderBy(*order).rowsBetween(W.unboundedPreceding, end)
     totals = base.groupBy(CHUNK, *keys).agg(*[F.sum(f"_in_{n}").alias(f"_t_{n}") for n in sums])
     before = W.partitionBy(*keys).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
-    carried = totals.select(CHUNK, *keys, *[F.sum(f"_t_{n}").over(before).alias(f"_c_{n}") for n in sums])
+    carried = totals.select(
+        CHUNK,
+        *keys,
+        F.count(F.lit(1)).over(before).alias("_earlier"),
+        *[F.sum(f"_t_{n}").over(before).alias(f"_c_{n}") for n in sums],
+    )
     inside = base.withColumns({n: F.sum(f"_in_{n}").over(local) for n in sums})
-    joined = join_null_safe(inside, carried, [CHUNK, *keys])
+    joined = join_null_safe(inside, _across(carried, "_earlier > 0"), [CHUNK, *keys])
     both = {
         n: F.when(F.col(n).isNull(), F.col(f"_c_{n}"))
         .when(F.col(f"_c_{n}").isNull(), F.col(n))
@@ -118,8 +130,13 @@ def shifted(
     )
     edges = inside.where("_leaves").select(CHUNK, *keys, *[f"_in_{n}" for n in values])
     across = W.partitionBy(*keys).orderBy(CHUNK)
-    carried = edges.select(CHUNK, *keys, *[F.lag(f"_in_{n}", offset).over(across).alias(f"_c_{n}") for n in values])
-    joined = join_null_safe(inside, carried, [CHUNK, *keys])
+    carried = edges.select(
+        CHUNK,
+        *keys,
+        F.lag(CHUNK, offset).over(across).alias("_other"),
+        *[F.lag(f"_in_{n}", offset).over(across).alias(f"_c_{n}") for n in values],
+    )
+    joined = join_null_safe(inside, _across(carried, "_other IS NOT NULL"), [CHUNK, *keys])
     both = {n: F.when(F.col("_enters"), F.col(f"_c_{n}")).otherwise(F.col(n)) for n in values}
     return joined.withColumns(both).select(*df.columns, *values)
 
@@ -164,67 +181,77 @@ def ranked(
     by: str,
     name: str = "rank",
     descending: bool = True,
-    limit: int | None = None,
+    limit: int = MAX_GROUP_ROWS,
+    split: bool | None = None,
 ) -> DataFrame:
     """Rank per group (ties share a rank and leave a gap).
 
-    Ranks are computed on the distinct values with their counts and joined back, so a
-    group is reduced before it is ordered. Give ``limit`` when a group can have more
-    distinct values than fit one task. The rows are written once because they are read
-    for the counts and for the join.
+    For huge groups, ranks are computed on the distinct values with their counts and joined
+    back. The rows are then written once, because they are read for the counts and for the
+    join.
     """
+    order = [F.desc(by) if descending else F.asc(by)]
+    if not (needs_split(df, keys, limit) if split is None else split):
+        return df.withColumn(name, F.rank().over(W.partitionBy(*keys).orderBy(*order)).cast("long"))
     rows = materialize_table(df, label="ranked")
     counts = rows.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
-    order = [F.desc(by) if descending else F.asc(by)]
-    if limit is None:
-        frame = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-        places = counts.withColumn("_ahead", F.sum("_n").over(frame))
-    else:
-        places = running(counts, keys, order, {"_ahead": F.col("_n")}, past_only=True, limit=limit)
-    places = places.select(*keys, by, (F.coalesce("_ahead", F.lit(0)) + 1).cast("long").alias(name))
-    return join_null_safe(rows, materialize_table(places, label="measured"), [*keys, by], "inner")
+    places = running(counts, keys, order, {"_ahead": F.col("_n")}, past_only=True, limit=limit)
+    ranks = places.select(*keys, by, (F.coalesce("_ahead", F.lit(0)) + 1).cast("long").alias(name))
+    return join_null_safe(rows, materialize_table(ranks, label="ranks"), [*keys, by], "inner")
 
 
 def group_median(df: DataFrame, keys: Sequence[str], value: str, name: str, limit: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Exact continuous median per group, by positions in the running counts of the distinct values."""
+    """Exact continuous median of a few huge groups.
+
+    The middle positions are looked up in the running counts of the distinct values.
+    """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     upto = running(counts, keys, [F.col(value)], {"_upto": F.col("_n")}, limit=limit)
-    totals = df.groupBy(*keys).agg(F.count(value).alias("_total"))
-    placed = join_null_safe(totals, upto, keys)
+    totals = materialize_table(df.groupBy(*keys).agg(F.count(value).alias("_total")), label="totals")
+    placed = join_null_safe(upto, totals, keys, "inner")
     low, high = F.floor((F.col("_total") + 1) / 2), F.floor((F.col("_total") + 2) / 2)
     middle = [
         F.max(F.when((F.col("_upto") >= p) & (F.col("_upto") - F.col("_n") < p), F.col(value))) for p in (low, high)
     ]
-    return placed.groupBy(*keys).agg(((middle[0] + middle[1]) / 2).alias(name))
+    medians = placed.groupBy(*keys).agg(((middle[0] + middle[1]) / 2).alias(name))
+    return join_null_safe(totals, medians, keys).drop("_total")
+
+
+def _set_apart(
+    df: DataFrame, keys: Sequence[str], limit: int
+) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """Rows of groups within ``limit``, rows of larger groups, and the list of these.
+
+    The list is written, so joining it broadcasts it; it gives the number of pieces of at
+    most ``limit`` rows as ``_spread``.
+    """
+    pieces = F.ceil(F.col("_rows") / limit).cast("int").alias("_spread")
+    hot = materialize_table(hot_groups(df, keys, limit).select(*keys, pieces), label="hot")
+    if hot.isEmpty():
+        return df, None, None
+    marked = materialize_table(join_null_safe(df, hot, keys), label="marked")
+    return marked.where(F.col("_spread").isNull()), marked.where(F.col("_spread").isNotNull()), hot
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str, limit: int = MAX_GROUP_ROWS) -> DataFrame:
     """Exact continuous median per group; the built-in buffers a group's values, so only up to ``limit`` rows."""
-    if needs_split(df, keys, limit):
-        return group_median(df, keys, value, name, limit)
-    return df.groupBy(*keys).agg(F.median(value).alias(name))
+    cold, large, _ = _set_apart(df.select(*keys, value), keys, limit)
+    medians = cold.groupBy(*keys).agg(F.median(value).alias(name))
+    return medians if large is None else medians.unionByName(group_median(large, keys, value, name, limit))
 
 
-def with_median(
-    df: DataFrame, keys: Sequence[str], value: str, name: str, limit: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def with_median(df: DataFrame, keys: Sequence[str], value: str, name: str, limit: int = MAX_GROUP_ROWS) -> DataFrame:
     """Every row with the exact median of its group.
 
-    Groups within ``limit`` rows take one shuffle (a window over the whole group). Rows of
-    larger groups are set apart by a join with the written list of these groups, and get
-    their median from ``group_median`` in salted pieces.
+    Groups within ``limit`` rows take one shuffle (a window over the whole group). Larger
+    groups get their median from ``group_median``, joined in salted pieces.
     """
-    whole = W.partitionBy(*keys)
-    hot = materialize_table(hot_groups(df, keys, limit), label="hot")
-    if hot.isEmpty():
-        return df.withColumn(name, F.median(value).over(whole))
-    spread = hot.select(*keys, F.ceil(F.col("_rows") / limit).cast("int").alias("_spread"))
-    marked = materialize_table(join_null_safe(df, spread, keys), label="marked")
-    cold = marked.where(F.col("_spread").isNull()).withColumn(name, F.median(value).over(whole))
-    large = marked.where(F.col("_spread").isNotNull())
-    medians = join_null_safe(group_median(large, keys, value, name, limit), spread, keys, "inner")
-    pieces = join_salted(large, medians, keys, "_spread")
-    return cold.select(*df.columns, name).unionByName(pieces.select(*df.columns, name))
+    cold, large, hot = _set_apart(df, keys, limit)
+    own = cold.withColumn(name, F.median(value).over(W.partitionBy(*keys))).select(*df.columns, name)
+    if large is None:
+        return own
+    medians = join_null_safe(group_median(large, keys, value, name, limit), hot, keys, "inner")
+    return own.unionByName(join_salted(large, medians, keys, "_spread").select(*df.columns, name))
 
 
 def join_salted(left: DataFrame, right: DataFrame, keys: Sequence[str], spread: str) -> DataFrame:

@@ -95,6 +95,14 @@ def union_by_prefix(spark: SparkSession, schema: str, prefix: str, exclude: str
     return union_relations(tables_by_prefix(spark, schema, prefix, exclude), **options)
 
 
+def union_files(spark: SparkSession, pattern: str, source_column: str | None = SOURCE_COLUMN) -> DataFrame:
+    """Union by name of all parquet files that match a path pattern, with the file as source."""
+    files = spark.read.option("mergeSchema", "true").parquet(pattern)
+    if source_column is None:
+        return files
+    return files.select(F.col("_metadata.file_path").alias(source_column), "*")
+
+
 def difference(left: DataFrame, right: DataFrame, keep_duplicates: bool = False) -> DataFrame:
     """Rows of left that are not in right, NULLs equal.
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from paddock.functions.scalars import round_half_up, safe_divide
-from paddock.operators.ordered import ranked
+from paddock.operators.ordered import MAX_GROUP_ROWS, needs_split, ranked
 from paddock.plans.features import FEATURES
 from paddock.plans.staging import ENTRY, RACE
 
@@ -91,17 +91,18 @@ def fct_race_results(frame: DataFrame, races: DataFrame, with_history_pace: bool
     )
 
 
-def fct_championship_standings(results: DataFrame) -> DataFrame:
+def fct_championship_standings(results: DataFrame, limit: int = MAX_GROUP_ROWS) -> DataFrame:
     """Running points per season and the rank in each race.
 
-    A driver's total has at most (rounds x 25 + 1) values, so the rank is computed on the
-    distinct totals of a race and joined back; no task orders all drivers of a race.
+    A race with very many drivers is ranked on its distinct totals, of which there are at
+    most (rounds x 25 + 1), so no task orders all its drivers.
     """
     so_far = W.partitionBy("season", "driver_abbr").orderBy("round_number")
     totals = results.select(*ENTRY, "team_name", F.col("points").alias("race_points")).withColumn(
         "total_points", F.sum("race_points").over(so_far)
     )
-    return ranked(totals, RACE, "total_points", "championship_position")
+    split = needs_split(results, RACE, limit)
+    return ranked(totals, RACE, "total_points", "championship_position", limit=limit, split=split)
 
 
 def fct_driver_performance(frame: DataFrame) -> DataFrame:

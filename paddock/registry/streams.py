@@ -104,6 +104,16 @@ def st3(spark, sf):
     return _copies(_received(spark, sf, dedup=False))
 
 
+@query(
+    "st4_event_sink",
+    "SELECT 'U' || user_id AS driver_code, CAST(sum(CASE WHEN event_id % 10 = 0 THEN 3 ELSE 1 END) AS BIGINT) AS events "
+    "FROM events GROUP BY ALL",
+)
+def st4(spark, sf):
+    received = _received(spark, sf, dedup=False)
+    return received.groupBy("driver_code").agg(F.count(F.lit(1)).alias("events"))
+
+
 @query("st5_dedup_by_event_id", _RECEIVED.format(n="1::BIGINT"))
 def st5(spark, sf):
     return _copies(_received(spark, sf, dedup=True))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
+from paddock.functions.scalars import round_half_up
 from paddock.operators import aggregates, generators, joins, projection, sets, topk
 from paddock.operators.ordered import exact_median, numbered, ranked, rolling, running, shifted
 from paddock.plans.race_view import table
-from paddock.functions.scalars import round_half_up
 from paddock.registry import query, rounded
+from paddock.session import scratch_path
 
 # --- projections ------------------------------------------------------------------------
 
@@ -432,7 +433,7 @@ def wn5_orders(spark, sf):
     "FROM orders",
 )
 def wn12_orders(spark, sf):
-    placed = ranked(_orders(spark, sf), ["o_orderpriority"], "o_totalprice", "place", limit=1_000_000)
+    placed = ranked(_orders(spark, sf), ["o_orderpriority"], "o_totalprice", "place")
     return placed.select("o_orderkey", "o_orderpriority", "place")
 
 
@@ -534,6 +535,22 @@ def set2(spark, sf):
     return sets.union_by_pattern(spark, "%", "SET2_orders_%", exclude="%_old", temporary=True, source_column="source")
 
 
+@query(
+    "set2_union_files",
+    "SELECT 'status_' || o_orderstatus AS part, o_orderkey, o_totalprice, "
+    "CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS o_orderpriority FROM orders",
+)
+def set2_files(spark, sf):
+    base = scratch_path(spark, "files")
+    orders = table(spark, sf, "orders")
+    for status in topk.pivot_values(orders, "o_orderstatus"):
+        extra = ["o_orderpriority"] if status == "O" else []
+        part = orders.where(F.col("o_orderstatus") == status).select("o_orderkey", "o_totalprice", *extra)
+        part.write.parquet(f"{base}/status_{status}")
+    union = sets.union_files(spark, f"{base}/status_*", source_column="file")
+    return union.withColumn("part", F.regexp_extract("file", "status_[A-Z]", 0)).drop("file")
+
+
 @query(
     "set3_except",
     "SELECT DISTINCT l_partkey AS part, l_suppkey AS supplier FROM lineitem WHERE l_returnflag = 'R' EXCEPT "

@@ -250,6 +250,7 @@ def test_marts(results, races, analysis, frame_):
     facts = marts.fct_race_results(frame_, staged, with_history_pace=True)
     assert facts.count() == results.count() and "relative_pace_hist" in facts.columns
     standings = marts.fct_championship_standings(results)
+    assert rows(marts.fct_championship_standings(results, limit=3)) == rows(standings)
     last = standings.where("season = 2025 AND round_number = 7 AND championship_position = 1").first()
     total = results.where("season = 2025").groupBy("driver_abbr").agg(F.sum("points").alias("p"))
     assert last.total_points == total.agg(F.max("p")).first()[0]

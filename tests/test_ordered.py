@@ -70,7 +70,7 @@ def test_rolling(skewed, preceding):
 def test_ranked(skewed, descending):
     direction = F.desc("t") if descending else F.asc("t")
     want = rows(skewed.withColumn("place", F.rank().over(W.partitionBy("k").orderBy(direction)).cast("long")))
-    for limit in (None, 5, 10_000):
+    for limit in (5, 80, 10_000):
         assert rows(ordered.ranked(skewed, KEYS, "t", "place", descending, limit)) == want
 
 
