@@ -225,10 +225,10 @@ def _set_apart(
     The list is written, so joining it broadcasts it; it gives the number of pieces of at
     most ``limit`` rows as ``_spread``.
     """
+    if not needs_split(df, keys, limit):
+        return df, None, None
     pieces = F.ceil(F.col("_rows") / limit).cast("int").alias("_spread")
     hot = materialize_table(hot_groups(df, keys, limit).select(*keys, pieces), label="hot")
-    if hot.isEmpty():
-        return df, None, None
     marked = materialize_table(join_null_safe(df, hot, keys), label="marked")
     return marked.where(F.col("_spread").isNull()), marked.where(F.col("_spread").isNotNull()), hot
 

@@ -148,6 +148,15 @@ def append_copy(df: DataFrame, path: str, keys: Sequence[str] | None = None) ->
     rows.write.mode("append").parquet(path)
 
 
+def write_jdbc(df: DataFrame, url: str, table: str, batch_rows: int = 1000, **options: str) -> None:
+    """Append the rows to a warehouse table over JDBC, in batches from every task.
+
+    Credentials and driver class are passed as options.
+    """
+    writer = df.drop(LOADED_AT).write.format("jdbc").mode("append").option("batchsize", str(batch_rows))
+    writer.option("url", url).option("dbtable", table).options(**options).save()
+
+
 def materialize_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)

@@ -81,8 +81,15 @@ def read_files(spark: SparkSession, path: str, max_files: int | None = None) ->
     return parse_events(source.load(path))
 
 
-def deduplicated(events: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Events with a new id. State is kept for ``delay`` of event time, so it stays bounded."""
+def deduplicated(events: DataFrame, delay: str | None) -> DataFrame:
+    """Events with a new id.
+
+    With a ``delay`` ids are kept for that much event time, so the state stays bounded, and
+    events that arrive later than that behind the newest one are dropped. None keeps every
+    id and every event; the state then grows with the stream.
+    """
+    if delay is None:
+        return events.dropDuplicates(["event_id"])
     return events.withWatermark("event_timestamp", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 

@@ -49,7 +49,8 @@ def test_fixed_ids(projection):
     assert ids[0] == ids[1] and len(set(ids[0])) == 12
 
 
-def test_stream_equals_batch_after_dedup(spark, projection, tmp_path):
+@pytest.mark.parametrize("delay", [None, "1 hour"])
+def test_stream_equals_batch_after_dedup(spark, projection, tmp_path, delay):
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
     key = ["race_id", "driver_abbr", "lap_number"]
     messages = lap_events.to_event(projection(None), key, at=F.lit("2025-01-01 10:00:00").cast("timestamp"))
@@ -57,7 +58,7 @@ def test_stream_equals_batch_after_dedup(spark, projection, tmp_path):
     messages.unionAll(messages.limit(4)).unionAll(noise).write.text(source)
 
     def run():
-        events = lap_events.deduplicated(lap_events.read_files(spark, source, max_files=1))
+        events = lap_events.deduplicated(lap_events.read_files(spark, source, max_files=1), delay)
         lap_events.event_sink(events, out, checkpoint).awaitTermination()
         return spark.read.parquet(out)
 
