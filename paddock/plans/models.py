@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from paddock.operators import scd
 from paddock.operators.suite import run_suite
 from paddock.plans import declared_checks, features, marts, staging
 from paddock.sources.catalog import read_raw
-from paddock.sources.sinks import materialize_table, read_version, write_version
+from paddock.sources.sinks import materialize_table
+from paddock.sources.snapshots import write_snapshot
 
 MARTS = [
     "dim_drivers",
@@ -59,13 +60,8 @@ def write_marts(relations: Mapping[str, DataFrame], root: str) -> dict[str, Data
 
 
 def refresh_snapshot(results: DataFrame, path: str, at: Column | None = None) -> DataFrame:
-    """Compare the drivers' current teams with the stored snapshot and store the next version."""
-    now = F.current_timestamp() if at is None else at
-    incoming = scd.current_driver_teams(results)
-    history = read_version(results.sparkSession, path)
-    if history is None:
-        return write_version(scd.first_snapshot(incoming, ["driver_abbr"], now), path)
-    return write_version(scd.snapshot_merge(history, incoming, ["driver_abbr"], ["team_name"], now), path)
+    """Compare the drivers' current teams with the stored snapshot and store what changed."""
+    return write_snapshot(scd.current_driver_teams(results), path, ["driver_abbr"], ["team_name"], at)
 
 
 def refresh(spark: SparkSession, raw_root: str, root: str) -> dict[str, DataFrame]:

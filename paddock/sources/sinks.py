@@ -170,7 +170,7 @@ def materialize_table(df: DataFrame, path: str | None = None, label: str = "tabl
     return spark.read.schema(df.schema).parquet(target)
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
+def versions(spark: SparkSession, path: str) -> list[int]:
     """Versions of a table kept as folders ``version=n``."""
     try:
         files = spark.read.parquet(path).inputFiles()
@@ -183,11 +183,5 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
 
 def read_version(spark: SparkSession, path: str) -> DataFrame | None:
     """Newest version of a table, None if there is none."""
-    versions = _versions(spark, path)
-    return spark.read.parquet(f"{path}/version={versions[-1]}") if versions else None
-
-
-def write_version(df: DataFrame, path: str) -> DataFrame:
-    """Write the next version and read it back; ``df`` may read the version before."""
-    versions = _versions(df.sparkSession, path)
-    return materialize_table(df, f"{path}/version={versions[-1] + 1 if versions else 1}")
+    stored = versions(spark, path)
+    return spark.read.parquet(f"{path}/version={stored[-1]}") if stored else None

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from paddock import schemas
 from paddock.operators import scd
-from paddock.sources import catalog, extract, sinks
+from paddock.sources import catalog, extract, sinks, snapshots
 
 RESULTS_FRAME = (
     "season int, round_number int, result_order int, Abbreviation string, FirstName string, LastName string, "
@@ -223,6 +223,24 @@ def test_snapshot_hard_deletes_and_nulls(facts, frame):
     assert rows(back.where("driver_abbr = 'C'").select(closed)) == [(False,), (True,)]
 
 
+def test_stored_snapshot_equals_merge_and_ignores_unfinished_runs(facts, spark, tmp_path):
+    path, history = str(tmp_path / "snap"), None
+    for rnd in range(1, 7):
+        incoming = scd.current_driver_teams(facts.where(f"round_number <= {rnd}")).where(f"driver_abbr <> 'D' OR {rnd} < 5")
+        if history is None:
+            history = scd.first_snapshot(incoming, ["driver_abbr"], at(rnd))
+        else:
+            history = scd.snapshot_merge(history, incoming, ["driver_abbr"], ["team_name"], at(rnd))
+        history = sinks.materialize_table(history)
+        if rnd == 4:
+            unfinished = snapshots.read_snapshot(spark, path)
+            sinks.materialize_table(unfinished, f"{path}/closed/version={rnd}")
+            assert rows(snapshots.read_snapshot(spark, path)) == rows(unfinished)
+        stored = snapshots.write_snapshot(incoming, path, ["driver_abbr"], ["team_name"], at(rnd))
+        assert rows(stored.select(*history.columns)) == rows(history)
+    assert snapshots.read_snapshot(spark, str(tmp_path / "none")) is None
+
+
 def test_driver_teams(facts):
     assert ("A", "x", "A") in rows(scd.driver_teams(facts)) and ("A", "y", "A") in rows(scd.driver_teams(facts))
     assert rows(scd.current_driver_teams(facts), "driver_abbr", "team_name") == [
