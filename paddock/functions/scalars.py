@@ -51,7 +51,9 @@ def surrogate_key(fields: Sequence, nulls_as_empty: bool = False) -> Column:
     return F.md5(F.concat_ws("-", *[F.coalesce(c.cast("string"), token) for c in _columns(fields)]))
 
 
-def with_surrogate_key(df: DataFrame, fields: Sequence, name: str = "surrogate_key", nulls_as_empty: bool = False) -> DataFrame:
+def with_surrogate_key(
+    df: DataFrame, fields: Sequence, name: str = "surrogate_key", nulls_as_empty: bool = False
+) -> DataFrame:
     return df.withColumn(name, surrogate_key(fields, nulls_as_empty))
 
 

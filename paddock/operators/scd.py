@@ -97,11 +97,11 @@ def history_from_facts(
     split = needs_split(facts, [key], limit)
     by, position = [F.col(c) for c in order], F.struct(*order)
     rows = facts.select(key, value, *order)
-    previous = shifted(rows, [key], by, {"_prev": F.struct(F.col(value).alias("v"), position.alias("p"))}, split=split)
+    here = F.struct(F.col(value).alias("v"), position.alias("p"))
+    previous = shifted(rows, [key], by, {"_prev": here}, split=split)
     starts = previous.where(F.col("_prev").isNull() | ~F.col("_prev.v").eqNullSafe(F.col(value)))
-    ended = shifted(
-        starts, [key], by, {"_next": F.struct(position.alias("p"), F.col("_prev.p").alias("last"))}, offset=-1, split=split
-    )
+    start = F.struct(position.alias("p"), F.col("_prev.p").alias("last"))
+    ended = shifted(starts, [key], by, {"_next": start}, offset=-1, split=split)
     newest = facts.groupBy(key).agg(F.max(position).alias("_newest"))
     named = ended.join(newest, key).select(
         key,

@@ -183,9 +183,8 @@ def feature_frame(
     one shuffle on the driver. Rows that count for a history are told apart by a flag in the
     window partition, so each history still runs only over its own rows.
     """
-    laps = lap_analysis.select(*ENTRY, "mean_lap_time", "lap_time_std", F.col("relative_pace").alias("race_pace")).withColumn(
-        "_has_laps", F.lit(True)
-    )
+    pace = F.col("relative_pace").alias("race_pace")
+    laps = lap_analysis.select(*ENTRY, "mean_lap_time", "lap_time_std", pace, F.lit(True).alias("_has_laps"))
     slots = measured(past_grid_expectations(results) if as_of else grid_expectations(results))
     slot_keys = ["grid_position", *RACE] if as_of else ["grid_position"]
     extra = [c for c in results.columns if c not in CARRIED and c != "grid_log"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from paddock.functions.scalars import to_seconds
 from paddock.operators.ordered import MAX_GROUP_ROWS, with_median
 
 RACE = ["season", "round_number"]
@@ -73,9 +74,8 @@ def stg_results(results: DataFrame) -> DataFrame:
 
 def lap_seconds(laps: DataFrame) -> DataFrame:
     """Laps with a positive time, in seconds."""
-    seconds = [
-        (F.col(f"{part}_ms") / 1000.0).alias(f"{part}_seconds") for part in ("lap_time", "sector1", "sector2", "sector3")
-    ]
+    parts = ("lap_time", "sector1", "sector2", "sector3")
+    seconds = [to_seconds(F.col(f"{part}_ms")).alias(f"{part}_seconds") for part in parts]
     return laps.where((F.col("lap_time_ms") > 0) & F.col("driver_abbr").isNotNull()).select(
         *ENTRY, "lap_number", *seconds, "compound", "tyre_life", "is_personal_best", "loaded_at"
     )

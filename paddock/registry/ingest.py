@@ -63,36 +63,30 @@ def schedule_frame(spark: SparkSession, sf: str) -> DataFrame:
     return rounds.withColumn("EventFormat", kind)
 
 
-_SESSION_RESULTS = """session_results AS (
-    SELECT season, round_number, driver_abbr, CAST(finish_position AS BIGINT) AS place,
-           CASE WHEN u % 13 <> 0 THEN 'Driver' END AS first_name, CASE WHEN u % 19 <> 0 THEN CAST(u AS VARCHAR) END
-               AS last_name,
+_SESSION = {
+    "session_results": """
+    SELECT season, round_number, driver_abbr, place, CASE WHEN u % 13 <> 0 THEN 'Driver' END AS first_name,
+           CASE WHEN u % 19 <> 0 THEN CAST(u AS VARCHAR) END AS last_name,
            CASE WHEN u % 11 <> 0 THEN trim(team_name) END AS team,
            CASE WHEN place % 9 = 0 THEN 'Collision damage' WHEN place % 7 = 0 THEN '+1 Lap'
                 WHEN place % 5 <> 0 THEN 'Finished' END AS session_status,
            CASE WHEN place % 3 <> 0 THEN points END AS session_points
     FROM (SELECT *, CAST(substr(driver_abbr, 2) AS BIGINT) AS u, CAST(finish_position AS BIGINT) AS place
-          FROM raw_results))"""
-
-_GRID = """grid AS (
+          FROM raw_results)""",
+    "grid": """
     SELECT season, round_number, driver_abbr, CAST(max((u * 7 + round_number) % 20 + 1) AS INTEGER) AS grid
     FROM (SELECT *, CAST(substr(driver_abbr, 2) AS BIGINT) AS u FROM raw_laps)
-    WHERE lap_number = 1 AND u % 11 <> 0 GROUP BY ALL)"""
-
-_DRIVEN = """driven AS (
+    WHERE lap_number = 1 AND u % 11 <> 0 GROUP BY ALL""",
+    "driven": """
     SELECT season, round_number, driver_abbr, last_lap,
            max(last_lap) OVER (PARTITION BY season, round_number) AS race_laps
     FROM (SELECT season, round_number, driver_abbr, CAST(max(lap_number) AS DOUBLE) AS last_lap
-          FROM raw_laps GROUP BY season, round_number, driver_abbr))"""
+          FROM raw_laps GROUP BY season, round_number, driver_abbr)""",
+}
 
 
 def _session_sql(body: str) -> str:
-    """``body`` over the session CTEs, after the race CTEs these need."""
-    names = {"session_results": _SESSION_RESULTS, "grid": _GRID, "driven": _DRIVEN}
-    used = [cte for name, cte in names.items() if f"{name} " in f"{body} " or f"{name}\n" in body]
-    inner = "".join(f", {cte}" for cte in used)
-    base = race_sql("".join(used))
-    return base[: base.rindex("".join(used))].rstrip() + inner + f" {body}"
+    return race_sql(body, _SESSION)
 
 
 @query(
@@ -106,7 +100,7 @@ def src1(spark, sf):
     return catalog.read_raw(spark, root, "results").drop("loaded_at")
 
 
-_DNF = """(coalesce(regexp_matches(lower(session_status), 'retired|accident|collision|mechanical|engine|gearbox|hydraulic|electrical|spin|damage|puncture|brake|withdrew|disqualified|dns|dnf|not classified'), false)
+_DNF = f"""(coalesce(regexp_matches(lower(session_status), '{"|".join(extract.DNF_WORDS)}'), false)
        OR coalesce(last_lap < race_laps * 0.9::DOUBLE, false))"""
 
 

@@ -55,11 +55,15 @@ def _messages(spark: SparkSession, sf: str) -> DataFrame:
         F.col("event_id").alias("number"),
         "ts",
     )
-    return lap_events.to_event(laps, id_fields=["number"], at=at).withColumn("number", F.get_json_object("value", "$.number").cast("double"))
+    number = F.get_json_object("value", "$.number").cast("double")
+    return lap_events.to_event(laps, id_fields=["number"], at=at).withColumn("number", number)
 
 
-@query("st2_to_event", "SELECT count(*) AS messages, count(DISTINCT event_id) AS ids, "
-       "count(CASE WHEN event_id % 5 = 0 THEN 1 END) AS null_sectors, count(*) AS float_laps FROM events")
+@query(
+    "st2_to_event",
+    "SELECT count(*) AS messages, count(DISTINCT event_id) AS ids, "
+    "count(CASE WHEN event_id % 5 = 0 THEN 1 END) AS null_sectors, count(*) AS float_laps FROM events",
+)
 def st2(spark, sf):
     messages = _messages(spark, sf)
     field = lambda name: F.get_json_object("value", f"$.{name}")

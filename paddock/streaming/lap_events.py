@@ -57,8 +57,8 @@ def send_to_kafka(messages: DataFrame, servers: str, topic: str, **options: str)
 
 def parse_events(messages: DataFrame) -> DataFrame:
     """Typed events from ``value``; messages that are no event are dropped."""
-    parsed = messages.select(F.from_json(F.col("value").cast("string"), LAP_EVENT, JSON_OPTIONS).alias("e")).select("e.*")
-    return parsed.where(F.col("event_id").isNotNull()).withColumns(
+    event = F.from_json(F.col("value").cast("string"), LAP_EVENT, JSON_OPTIONS)
+    return messages.select(event.alias("e")).select("e.*").where(F.col("event_id").isNotNull()).withColumns(
         {
             "race_id": F.col("race_id").cast("int"),
             "lap_number": F.col("lap_number").cast("int"),
