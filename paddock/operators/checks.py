@@ -10,7 +10,7 @@ from paddock.functions.scalars import add_parts
 from paddock.operators.aggregates import not_null_share
 from paddock.operators.joins import measured
 from paddock.operators.ordered import MAX_GROUP_ROWS, shifted
-from paddock.operators.sets import both_differences
+from paddock.operators.sets import both_differences, sides
 
 
 def accepted_range(df: DataFrame, column: str, low=None, high=None, inclusive: bool = True) -> DataFrame:
@@ -34,9 +34,10 @@ def at_least_one(df: DataFrame, column: str, group_by: Sequence[str] = ()) -> Da
 
 def cardinality_equality(df: DataFrame, column: str, to: DataFrame, field: str) -> DataFrame:
     """Values whose number of rows differs between two columns."""
-    counts = lambda frame, c: frame.groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("num_rows"))
-    a, b = counts(df, column), counts(to, field)
-    return a.subtract(b).unionAll(b.subtract(a))
+    counts = sides(df.select(F.col(column).alias("value")), to.select(field))
+    differing = counts.where(F.col("_left") != F.col("_right"))
+    found = differing.select("value", F.explode(F.array("_left", "_right")).alias("num_rows"))
+    return found.where("num_rows > 0")
 
 
 def _paired_counts(df: DataFrame, compare: DataFrame, group_by: Sequence[str]) -> DataFrame:

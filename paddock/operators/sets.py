@@ -103,25 +103,33 @@ def union_files(spark: SparkSession, pattern: str, source_column: str | None = S
     return files.select(F.col("_metadata.file_path").alias(source_column), "*")
 
 
-def difference(left: DataFrame, right: DataFrame, keep_duplicates: bool = False) -> DataFrame:
-    """Rows of left that are not in right, NULLs equal.
+def sides(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows of both frames with the number of copies on each side, ``_left`` and ``_right``.
 
-    Both sides are made distinct before they meet, so copies of one row do not pile up in
-    one join task.
+    One shuffle for both frames; copies of a row are counted before it, and NULLs are equal.
+    Columns are matched by position and named as in ``left``.
     """
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    a = left.select("*", one.alias("_left"), none.alias("_right"))
+    b = right.toDF(*left.columns).select("*", none.alias("_left"), one.alias("_right"))
+    return a.unionAll(b).groupBy(*left.columns).agg(F.sum("_left").alias("_left"), F.sum("_right").alias("_right"))
+
+
+def difference(left: DataFrame, right: DataFrame, keep_duplicates: bool = False) -> DataFrame:
+    """Rows of left that are not in right, NULLs equal; distinct unless copies are kept."""
     if keep_duplicates:
         return left.exceptAll(right)
-    return left.distinct().subtract(right.distinct())
+    return sides(left, right).where((F.col("_left") > 0) & (F.col("_right") == 0)).drop("_left", "_right")
 
 
 def both_differences(left: DataFrame, right: DataFrame, keep_duplicates: bool = False) -> DataFrame:
     """Rows found on one side only, labelled ``a_minus_b`` or ``b_minus_a``."""
-    sides = {"a_minus_b": (left, right), "b_minus_a": (right, left)}
-    parts = [
-        difference(a, b, keep_duplicates).select(F.lit(label).alias("which_diff"), "*")
-        for label, (a, b) in sides.items()
-    ]
-    return parts[0].unionAll(parts[1])
+    if keep_duplicates:
+        a = left.exceptAll(right).select(F.lit("a_minus_b").alias("which_diff"), "*")
+        return a.unionAll(right.exceptAll(left).select(F.lit("b_minus_a").alias("which_diff"), "*"))
+    only = sides(left, right).where((F.col("_left") == 0) | (F.col("_right") == 0))
+    label = F.when(F.col("_right") == 0, "a_minus_b").otherwise("b_minus_a")
+    return only.select(label.alias("which_diff"), *left.columns)
 
 
 def unpivot(

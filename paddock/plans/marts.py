@@ -126,13 +126,13 @@ def fct_driver_performance(frame: DataFrame) -> DataFrame:
 
 
 def fct_race_summary(races: DataFrame, results: DataFrame, lap_analysis: DataFrame) -> DataFrame:
-    winner = F.min(F.when(F.col("finish_position") == 1, F.struct("driver_abbr", "team_name")))
     stats = results.groupBy(*RACE).agg(
         F.count_distinct("driver_abbr").alias("total_starters"),
         F.count_if("is_dnf").alias("total_dnfs"),
         round_half_up(F.avg(F.when(~F.col("is_dnf"), F.col("finish_position"))), 2).alias("avg_finish_position"),
-        winner.alias("_winner"),
     )
+    first = F.min_by(F.struct("driver_abbr", "team_name"), "driver_abbr")
+    winners = results.where(F.col("finish_position") == 1).groupBy(*RACE).agg(first.alias("_winner"))
     pace = lap_analysis.groupBy(*RACE).agg(
         round_half_up(F.min("mean_lap_time"), 3).alias("fastest_avg_pace"),
         round_half_up(F.avg("lap_time_std"), 3).alias("avg_lap_consistency"),
@@ -140,6 +140,7 @@ def fct_race_summary(races: DataFrame, results: DataFrame, lap_analysis: DataFra
     return (
         races.join(stats, RACE, "left")
         .join(pace, RACE, "left")
+        .join(winners, RACE, "left")
         .select(
             *RACE,
             "race_name",

@@ -10,7 +10,9 @@ from paddock.functions.scalars import surrogate_key, to_seconds
 from paddock.schemas import LAP_EVENT
 
 EVENT_CAP = 500
-JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timeZone": "UTC"}
+WRITE_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timeZone": "UTC", "ignoreNullFields": "false"}
+# A sender may leave out the fraction when it is zero.
+READ_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", "timeZone": "UTC"}
 
 
 def lap_event_projection(laps: DataFrame, races: DataFrame, cap: int | None = EVENT_CAP) -> DataFrame:
@@ -46,7 +48,7 @@ def to_event(rows: DataFrame, id_fields: list[str] | None = None, at: Column | N
     event_id = F.expr("uuid()") if id_fields is None else surrogate_key(id_fields)
     stamped = rows.withColumns({"event_id": event_id, "event_timestamp": F.current_timestamp() if at is None else at})
     body = F.struct(*_numbers_as_double(stamped))
-    return stamped.select(F.to_json(body, {**JSON_OPTIONS, "ignoreNullFields": "false"}).alias("value"))
+    return stamped.select(F.to_json(body, WRITE_OPTIONS).alias("value"))
 
 
 def send_to_kafka(messages: DataFrame, servers: str, topic: str, **options: str) -> None:
@@ -57,7 +59,7 @@ def send_to_kafka(messages: DataFrame, servers: str, topic: str, **options: str)
 
 def parse_events(messages: DataFrame) -> DataFrame:
     """Typed events from ``value``; messages that are no event are dropped."""
-    event = F.from_json(F.col("value").cast("string"), LAP_EVENT, JSON_OPTIONS)
+    event = F.from_json(F.col("value").cast("string"), LAP_EVENT, READ_OPTIONS)
     return messages.select(event.alias("e")).select("e.*").where(F.col("event_id").isNotNull()).withColumns(
         {
             "race_id": F.col("race_id").cast("int"),

@@ -68,3 +68,18 @@ def test_stream_equals_batch_after_dedup(spark, projection, tmp_path, delay):
     assert "driver_code" in batch.columns and "driver_abbr" not in batch.columns
     messages.limit(5).write.mode("append").text(source)
     assert rows(run()) == rows(batch)
+
+
+def test_parse_foreign_messages(spark):
+    message = {
+        "race_id": 1.0, "race_name": "One", "driver_abbr": "VER", "lap_number": 3.0, "lap_time_sec": 91.234,
+        "sector1_sec": None, "sector2_sec": 30.2, "sector3_sec": 30.9, "is_personal_best": 1.0, "event_id": "e1",
+    }
+    times = ["2025-01-01T00:00:00.123456", "2025-01-01T00:00:01"]
+    lines = [(json.dumps({**message, "event_timestamp": t}),) for t in times] + [("{broken",)]
+    got = lap_events.parse_events(spark.createDataFrame(lines, "value string"))
+    assert got.count() == 2
+    row = got.orderBy("event_timestamp").first()
+    assert (row.race_id, row.lap_number, row.is_personal_best, row.sector1_sec) == (1, 3, True, None)
+    stamps = rows(got.select(F.date_format("event_timestamp", "HH:mm:ss.SSSSSS")))
+    assert stamps == [("00:00:00.123456",), ("00:00:01.000000",)]
