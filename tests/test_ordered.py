@@ -31,6 +31,15 @@ def test_hot_groups(skewed):
     assert rows(ordered.hot_groups(skewed, KEYS, 50)) == [("hot", 200), (None, 60)]
 
 
+def test_hot_groups_by_sample(spark):
+    df = spark.range(300_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 500).alias("k"))
+    found = rows(ordered.hot_groups(df, KEYS, 20_000))
+    assert [k for k, _ in found] == [-1] and abs(found[0][1] - 100_000) < 10_000
+    assert ordered.needs_split(df, [], 20_000) and not ordered.needs_split(df, KEYS, 300_000)
+    want = rows(df.groupBy("k").agg(F.median("k").alias("m")))
+    assert rows(ordered.exact_median(df.withColumn("v", F.col("k")), KEYS, "v", "m", 20_000)) == want
+
+
 @pytest.mark.parametrize("past_only", [False, True])
 @pytest.mark.parametrize("keys", [KEYS, []])
 def test_running(skewed, keys, past_only):
