@@ -37,9 +37,9 @@ def results(spark: SparkSession, sf_dir: str, limit: int = MAX_GROUP_ROWS) -> Da
         (F.count_if(F.col("event_type") == "error") * 4 > F.count(F.lit(1))).alias("failed"),
         F.max("ts").alias("loaded_at"),
     )
-    placed = numbered(
-        entries, RACE, [F.desc("total"), F.asc("user_id")], "place", split=needs_split(events, RACE, limit)
-    )
+    drivers = events.groupBy(*RACE).agg(F.approx_count_distinct("user_id").alias("n"))
+    split = needs_split(events, RACE, limit) and not drivers.where(F.col("n") > limit * 0.9).isEmpty()
+    placed = numbered(entries, RACE, [F.desc("total"), F.asc("user_id")], "place", split=split)
     user, failed = F.col("user_id"), F.col("failed")
     moved = ((user % 7 == 0) & (F.col("round_number") >= 3)).cast("int")
     return placed.select(
