@@ -9,6 +9,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 
+# Characters that become an underscore, and those that are dropped.
+SEPARATORS = "[ -]+"
+DROPPED = "[^a-z0-9_]+"
+
+
 def _folded(names: Sequence[str]) -> set[str]:
     return {n.lower() for n in names}
 
@@ -40,8 +45,7 @@ def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def slugify(text: str) -> str:
     """Lower-case name of letters, digits and underscores that does not start with a digit."""
-    words = re.sub("[ -]+", "_", text.lower())
-    kept = re.sub("[^a-z0-9_]+", "", words)
+    kept = re.sub(DROPPED, "", re.sub(SEPARATORS, "_", text.lower()))
     return f"_{kept}" if kept[:1].isdigit() else kept
 
 
