@@ -15,6 +15,7 @@ an executor is lost.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from paddock.sources.sinks import materialize_table
 
-MAX_GROUP_ROWS = 1_000_000
+MAX_GROUP_ROWS = int(os.environ.get("PADDOCK_MAX_GROUP_ROWS", "1000000"))
 SAMPLED_ROWS = 1_000
 CHUNK = "_chunk"
 
