@@ -13,10 +13,9 @@ from paddock.operators.history import (
     prior_stddev,
     prior_sum,
 )
-from paddock.operators.joins import measured
+from paddock.operators.joins import measured, measured_all
 from paddock.operators.ordered import MAX_GROUP_ROWS, needs_split, running
 from paddock.plans.staging import ENTRY, RACE, grid_log
-from paddock.sources.sinks import materialize_table
 
 # Fill values of features without history, and frame lengths in races.
 FILL = {
@@ -53,8 +52,9 @@ def int_lap_analysis(staged_laps: DataFrame, results: DataFrame, min_laps: int =
     The statistics are written once, so the laps are read once; winners and leaders have
     about one row per race.
     """
-    stats = materialize_table(lap_statistics(staged_laps, min_laps), label="lap-statistics")
-    winners = measured(results.where(F.col("finish_position") == 1).select(*ENTRY))
+    stats, winners = measured_all(
+        lap_statistics(staged_laps, min_laps), results.where(F.col("finish_position") == 1).select(*ENTRY)
+    )
     leader = measured(
         stats.join(winners, ENTRY, "inner").select(*RACE, F.col("mean_lap_time").alias("leader_mean_lap_time"))
     )
@@ -84,16 +84,19 @@ def team_history(results: DataFrame) -> DataFrame:
     )
 
 
-def with_team_history(results: DataFrame, mode: str = "races", limit: int = MAX_GROUP_ROWS) -> DataFrame:
+def with_team_history(
+    results: DataFrame, mode: str = "races", limit: int = MAX_GROUP_ROWS, history: DataFrame | None = None
+) -> DataFrame:
     """Results with ``prev_team_points`` and ``team_reliability``.
 
     Mode ``races`` sums whole earlier races. Mode ``rows`` runs over single rows ordered by
     race and driver, so the second driver of a team also sees the first one's points of the
-    same race.
+    same race. ``history`` is the written ``team_history`` if the caller has it.
     """
     if mode not in ("races", "rows"):
         raise ValueError("mode must be 'races' or 'rows'")
-    joined = results.join(measured(team_history(results)), ["team_name", *RACE], "left").withColumn(
+    teams = measured(team_history(results)) if history is None else history
+    joined = results.join(teams, ["team_name", *RACE], "left").withColumn(
         "prev_team_points", F.coalesce("prev_team_points", F.lit(0))
     )
     if mode == "races":
@@ -185,11 +188,12 @@ def feature_frame(
     """
     pace = F.col("relative_pace").alias("race_pace")
     laps = lap_analysis.select(*ENTRY, "mean_lap_time", "lap_time_std", pace, F.lit(True).alias("_has_laps"))
-    slots = measured(past_grid_expectations(results) if as_of else grid_expectations(results))
+    expectations = past_grid_expectations(results) if as_of else grid_expectations(results)
+    teams, slots = measured_all(team_history(results), expectations)
     slot_keys = ["grid_position", *RACE] if as_of else ["grid_position"]
     extra = [c for c in results.columns if c not in CARRIED and c != "grid_log"]
     entries = (
-        with_team_history(results.select(*CARRIED, *extra), team_mode)
+        with_team_history(results.select(*CARRIED, *extra), team_mode, history=teams)
         .join(slots, slot_keys, "left")
         .withColumn("_has_result", F.lit(True))
     )
