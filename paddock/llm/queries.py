@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paddock.llm import bpe, dac
+from paddock.llm import bpe, dac, html_text, secrets, url_filter
 from paddock.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -33,3 +33,18 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op9_token_ids")
 def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.written_and_read(table(spark, sf_dir, "documents"))
+
+
+@_query("op2_url_filter", url_filter.SQL)
+def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@_query("op4_secrets")
+def secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find(table(spark, sf_dir, "documents"))
+
+
+@_query("op8_main_text")
+def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
