@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paddock.llm import bpe, dac, html_text, secrets, url_filter
+from paddock.llm import bpe, dac, decontaminate, html_text, pii, secrets, url_filter
 from paddock.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,11 @@ def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.written_and_read(table(spark, sf_dir, "documents"))
 
 
+@_query("op1_personal_data")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 @_query("op2_url_filter", url_filter.SQL)
 def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
@@ -48,3 +53,8 @@ def secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op8_main_text")
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@_query("op10_contaminated")
+def contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
