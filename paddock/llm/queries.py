@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paddock.llm import bpe, dac, decontaminate, html_text, pii, secrets, url_filter
+from paddock.llm import bpe, dac, decontaminate, html_text, pii, secrets, toxicity, url_filter
 from paddock.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,11 @@ def secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(table(spark, sf_dir, "documents"))
 
 
+@_query("op6_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @_query("op8_main_text")
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
