@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paddock.llm import bpe, dac, decontaminate, html_text, pii, secrets, toxicity, url_filter
+from paddock.llm import bpe, dac, decontaminate, html_text, pii, secrets, simhash, toxicity, url_filter
 from paddock.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,11 @@ def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+@_query("op3_simhash")
+def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @_query("op4_secrets")
 def secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(table(spark, sf_dir, "documents"))
