@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paddock.llm import bpe, dac, decontaminate, html_text, pii, secrets, simhash, toxicity, url_filter
+from paddock.llm import bpe, dac, decontaminate, html_text, nearest, pii, secrets, simhash, toxicity, url_filter
 from paddock.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,11 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@_query("op7_nearest", nearest.SQL)
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(table(spark, sf_dir, "embeddings"))
+
+
 @_query("op8_main_text")
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
