@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections import deque
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -64,6 +65,57 @@ def arrow_map(
     return df.mapInArrow(run, out)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The table with its columns named ``_0``, ``_1``, ...; no new column can clash with them."""
+    return df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+
+
+def arrow_extend(
+    df: DataFrame,
+    read: list[str],
+    schema: str,
+    rows: Callable[[Iterator[tuple]], Iterable[tuple]],
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """The columns to keep (all) as they are, and new ones that ``rows`` makes from the columns read.
+
+    ``rows`` yields one tuple for each it takes, in order, and may read ahead by
+    a bounded number. Kept columns stay Arrow arrays throughout.
+    """
+    new = T.StructType.fromDDL(schema)
+    names = df.columns if keep is None else keep
+    sent = df.select(*dict.fromkeys([*names, *read]))
+    out = T.StructType([*sent.select(*names).schema.fields, *new.fields])
+    kept_at = [sent.columns.index(n) for n in names]
+    read_at = [sent.columns.index(n) for n in read]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields = list(to_arrow_schema(new))
+        waiting: deque[pa.RecordBatch] = deque()
+
+        def tuples() -> Iterator[tuple]:
+            for batch in batches:
+                waiting.append(batch)
+                for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                    yield from zip(*[batch.column(i).slice(at, ROWS_AT_ONCE).to_pylist() for i in read_at])
+
+        made: list[tuple] = []
+        for row in rows(tuples()):
+            made.append(row)
+            while waiting and len(made) >= waiting[0].num_rows:
+                batch = waiting.popleft()
+                own, made = made[: batch.num_rows], made[batch.num_rows :]
+                if not own:
+                    continue
+                arrays = [pa.array(list(v), f.type) for v, f in zip(zip(*own), fields)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(i) for i in kept_at), *arrays],
+                    schema=pa.schema([*(batch.schema.field(i) for i in kept_at), *fields]),
+                )
+
+    return sent.mapInArrow(run, out)
+
+
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = [pa.array(list(values), field.type) for values, field in zip(zip(*rows), schema)]
     return pa.RecordBatch.from_arrays(columns, schema=schema)

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 
-from paddock.llm.common import arrow_map, pick
+from paddock.llm.common import arrow_extend, arrow_map, numbered, pick
 
 #: Words of a seed, which is also the shortest tile.
 SEED = 5
@@ -194,21 +194,18 @@ def _pass(docs: DataFrame, items: list[tuple[int | None, list[str]]], coverage:
 def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """The rows of documents that no benchmark item contaminates, all columns kept."""
     names = docs.columns
-    text = names.index("text")
-    plain = docs.toDF(*[f"_{i}" for i in range(len(names))])
+    plain = numbered(docs)
     for items in _groups(benchmark):
-        plain = _kept(plain, text, items, coverage)
+        plain = _kept(plain, f"_{names.index('text')}", items, coverage)
     return plain.toDF(*names)
 
 
-def _kept(docs: DataFrame, text: int, items: list[tuple[int | None, list[str]]], coverage: float) -> DataFrame:
+def _kept(docs: DataFrame, text: str, items: list[tuple[int | None, list[str]]], coverage: float) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def rows(tuples: Iterator[tuple]) -> Iterator[tuple]:
         index = Index(shared.value)
-        for row in tuples:
-            if not any(sum(n for _, _, n in t) >= coverage * length for _, length, t in index.tilings(row[text])):
-                yield row
-
-    return arrow_map(docs, docs.schema, rows)
+        for (whole,) in tuples:
+            yield (not any(sum(n for _, _, n in t) >= coverage * length for _, length, t in index.tilings(whole)),)
 
+    return arrow_extend(docs, [text], "clean boolean", rows).where("clean").drop("clean")

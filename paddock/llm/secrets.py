@@ -15,10 +15,10 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from paddock.llm.automaton import SEPARATOR, Automaton
-from paddock.llm.common import arrow_map, join_spans, pick, sha256
+from paddock.llm.common import arrow_extend, arrow_map, join_spans, numbered, pick, sha256
 
 
 @dataclass(frozen=True)
@@ -182,19 +182,19 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
     and all other columns stay as they are.
     """
     names = docs.columns
-    text, n_chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
-    plain = docs.toDF(*[f"_{i}" for i in range(len(names))])
+    text = f"_{names.index('text')}"
 
     def rows(tuples: Iterator[tuple]) -> Iterator[tuple]:
-        ending = ((*row, row[text]) for row in tuples)
-        for (*row, whole), spans in _scanned(ending, rules):
-            if spans:
-                row[text] = _replaced(whole, spans, mark)
-                if n_chars is not None:
-                    row[n_chars] = len(row[text])
-            yield tuple(row)
-
-    return arrow_map(plain, plain.schema, rows).toDF(*names)
+        for (whole,), spans in _scanned(tuples, rules):
+            new = _replaced(whole, spans, mark) if spans else None
+            yield new, None if new is None else len(new)
+
+    plain = arrow_extend(numbered(docs), [text], "new string, size long", rows)
+    changed = {text: F.coalesce("new", text)}
+    if "n_chars" in names:
+        own = f"_{names.index('n_chars')}"
+        changed[own] = F.coalesce(F.col("size").cast(plain.schema[own].dataType), own)
+    return plain.withColumns(changed).drop("new", "size").toDF(*names)
 
 
 def _replaced(text: str, spans: list[Span], mark: str) -> str:

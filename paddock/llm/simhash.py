@@ -18,7 +18,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from paddock.llm.common import arrow_map, pick
+from paddock.llm.common import arrow_map, numbered, pick
 from paddock.llm.components import smallest_reachable
 
 #: Words of a shingle, most differing bits of a link, and the seed of the hash.
@@ -203,14 +203,13 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
     """One row of each component, the one of the smallest doc_id (of equal ids any one), all columns kept."""
     names = docs.columns
     place = {name: names.index(name) for name in ("doc_id", "text")}
-    plain = docs.toDF(*[f"_{i}" for i in range(len(names))])
-    numbered = plain.withColumn("row", F.monotonically_increasing_id())
-    own = numbered.select(F.col("row").alias("doc_id"), F.col(f"_{place['text']}").alias("text"))
+    rows = numbered(docs).withColumn("row", F.monotonically_increasing_id())
+    own = rows.select(F.col("row").alias("doc_id"), F.col(f"_{place['text']}").alias("text"))
     # the row number stands for the id, so that null and repeated ids cannot tie
     found = components(own, shingle, distance).select(F.col("doc_id").alias("row"), "root")
-    ids = numbered.select("row", F.col(f"_{place['doc_id']}").alias("id"))
+    ids = rows.select("row", F.col(f"_{place['doc_id']}").alias("id"))
     kept = (
         found.join(ids, "row").groupBy("root")
         .agg(F.min(F.struct(F.col("id").isNull().alias("null"), "id", "row"))["row"].alias("row")).select("row")
     )
-    return numbered.join(kept, "row", "left_semi").drop("row").toDF(*names)
+    return rows.join(kept, "row", "left_semi").drop("row").toDF(*names)

@@ -22,7 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paddock.llm.common import arrow_map, pick
+from paddock.llm.common import arrow_extend, arrow_map, numbered, pick
 
 #: Labelled rows that are used at most (in expectation: rows are taken by a hash of their id).
 TRAINING_ROWS = 20_000
@@ -173,18 +173,16 @@ def induce(sample: DataFrame) -> dict[str, float]:
     return {r.entry: r.odds for r in best.collect()}
 
 
-def _featured(df: DataFrame, lexicon: dict[str, float], *more: str) -> DataFrame:
-    """doc_id, more columns and the features of text."""
+def _featured(df: DataFrame, text: str, lexicon: dict[str, float], keep: list[str]) -> DataFrame:
+    """The columns to keep and the features of the text column."""
     shared = df.sparkSession.sparkContext.broadcast(lexicon)
-    kinds = dict(df.dtypes)
 
     def rows(tuples: Iterator[tuple]) -> Iterator[tuple]:
         read = Reader(shared.value).features
-        for *kept, text in tuples:
-            yield *kept, *read(text)
+        for (whole,) in tuples:
+            yield read(whole)
 
-    schema = ", ".join([f"{c} {kinds[c]}" for c in ("doc_id", *more)] + [f"{f} double" for f in FEATURES])
-    return arrow_map(df.select("doc_id", *more, "text"), schema, rows)
+    return arrow_extend(df, [text], ", ".join(f"{f} double" for f in FEATURES), rows, keep)
 
 
 class Model:
@@ -193,13 +191,12 @@ class Model:
     def __init__(self, lexicon, trees, calibration, share: float):
         self.lexicon, self.trees, self.calibration, self.share = lexicon, trees, calibration, share
 
-    def score(self, docs: DataFrame, *more: str) -> DataFrame:
-        """doc_id, more columns and the score of every row."""
+    def score(self, docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
+        """The columns to keep and the score of every row; no kept column may be named like a feature."""
         if self.trees is None:
-            return docs.select("doc_id", *more, F.lit(self.share).alias("score"))
-        scored = _margin(self.trees, _featured(docs, self.lexicon, *more))
-        scored = self.calibration.transform(scored)
-        return scored.select("doc_id", *more, F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)).alias("score"))
+            return docs.select(*keep, F.lit(self.share).alias("score"))
+        scored = self.calibration.transform(_margin(self.trees, _featured(docs, text, self.lexicon, keep)))
+        return scored.select(*keep, F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)).alias("score"))
 
 
 def _margin(trees, featured: DataFrame) -> DataFrame:
@@ -215,8 +212,8 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS) -> Model
     share = toxic / max(1, sum(counts.values()))
     if any(counts.get((part, t), 0) < LEAST_ROWS for part in (1, 2) for t in (0.0, 1.0)):
         return Model({}, None, None, share)
-    lexicon = induce(sample.where("part = 0"))
-    featured = _featured(sample, lexicon, "toxic", "part").checkpoint()
+    lexicon = induce(sample.where("part = 0").dropDuplicates(["text"]))
+    featured = _featured(sample, "text", lexicon, ["toxic", "part"]).checkpoint()
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(featured)
     trees = GBTClassifier(
         labelCol="toxic", maxIter=15, maxDepth=4, stepSize=0.3, seed=7, minInstancesPerNode=5, maxMemoryInMB=64
@@ -235,7 +232,7 @@ def score(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS, thresh
     labels every score is the share of toxic rows. Other columns are not read.
     """
     model = fit(docs, labels, bound)
-    scored = model.score(pick(docs, "doc_id", "text"))
+    scored = model.score(pick(docs, "doc_id", "text"), "text", ["doc_id"])
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
@@ -243,11 +240,6 @@ def reject(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
     """The rows that score below the threshold, all columns kept."""
     model = fit(docs, labels)
     names = docs.columns
-    # positions instead of names, so that no column can clash with a feature
-    plain = docs.toDF(*[f"_{i}" for i in range(len(names))])
-    at = {name: names.index(name) for name in ("doc_id", "text")}
-    row = plain.select(
-        F.col(f"_{at['doc_id']}").alias("doc_id"), F.struct(*plain.columns).alias("_row"), F.col(f"_{at['text']}").alias("text")
-    )
-    kept = model.score(row, "_row").where(F.col("score") < threshold)
-    return kept.select("_row.*").toDF(*names)
+    plain = numbered(docs)
+    scored = model.score(plain, f"_{names.index('text')}", plain.columns)
+    return scored.where(F.col("score") < threshold).drop("score").toDF(*names)
