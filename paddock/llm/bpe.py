@@ -11,6 +11,7 @@ is new is merged once. Only words with a failing pair are merged exactly.
 from __future__ import annotations
 
 import functools
+import gc
 import heapq
 import json
 import re
@@ -33,7 +34,7 @@ _NOT_SPACE = re.compile("[\x1c-\x1f]")
 #: Characters of a text that are worked on together; longer texts are cut at white space.
 PIECE = 1 << 19
 #: Entries of the young half of a cache of words; bounds memory, not results.
-CACHE = 300_000
+CACHE = 400_000
 #: Longest word, in symbols, that is merged beside others; longer ones use a heap.
 SIDE_BY_SIDE = 32
 _ALONE = 0xFFFF
@@ -127,9 +128,16 @@ class WordBpe:
         yield from self._encode_group(group)
 
     def _encode_group(self, group: list[list[str]]) -> Iterator[np.ndarray]:
-        known = self.raw.holding(set().union(*group), self._learn)
-        for words in group:
-            yield np.frombuffer(b"".join([known[w] for w in words]), np.uint16)
+        collecting = gc.isenabled()
+        gc.disable()  # many objects are made here and none refers to itself
+        try:
+            known = self.raw.holding(set().union(*group), self._learn)
+            found = [b"".join([known[w] for w in words]) for words in group]
+        finally:
+            if collecting:
+                gc.enable()
+        for ids in found:
+            yield np.frombuffer(ids, np.uint16)
 
     def _learn(self, chunks: list[str]) -> dict[str, bytes]:
         """Encode chunks between white space."""
@@ -144,11 +152,12 @@ class WordBpe:
 
     def _parts(self, chunk: str) -> list[str | bytes]:
         """Words of a chunk as text, special tokens as encoded ids."""
-        if chunk.isascii():
-            if chunk.isalpha():  # one word, perhaps with a stop: no pattern is needed
-                return [chunk.lower()]
-            if chunk[:-1].isalpha() and chunk[-1] in ".,;:!?":
-                return [chunk[:-1].lower(), chunk[-1]]
+        plain = chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
+        word = plain.lower()
+        if word.isalpha():  # one word, perhaps with a stop: no pattern is needed
+            return [word]
+        if word[:-1].isalpha() and word[-1] in ".,;:!?":
+            return [word[:-1], word[-1]]
         if "<|" not in chunk:
             return self._split(chunk)
         out: list[str | bytes] = []
@@ -167,7 +176,7 @@ class WordBpe:
 
     def _encode_words(self, words: list[str]) -> dict[str, bytes]:
         """Propose, check all neighbours at once, merge exactly where a check fails."""
-        mapped = [(w if w.isascii() else w.encode().decode("latin-1")).translate(self.characters) for w in words]
+        mapped = [self._mapped_word(w) for w in words]
         proposed = [self._greedy(w) for w in mapped]
         sizes = np.fromiter(map(len, proposed), np.int64, len(proposed))
         flat = np.fromiter((t for p in proposed for t in p), np.uint32, int(sizes.sum()))
@@ -186,6 +195,9 @@ class WordBpe:
         ends = (2 * np.cumsum(np.fromiter(map(len, proposed), np.int64, len(proposed)))).tolist()
         return {w: flat[a:b] for w, a, b in zip(words, [0, *ends], ends)}
 
+    def _mapped_word(self, word: str) -> str:
+        return (word if word.isascii() else word.encode().decode("latin-1")).translate(self.characters)
+
     def _greedy(self, word: str) -> list[int]:
         whole = self.ending.get(word)
         if whole is not None:

@@ -27,7 +27,7 @@ Span = tuple[str, int, int]
 # The base expressions, in the forms that take linear time.
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)++")
+_DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")

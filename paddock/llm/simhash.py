@@ -18,7 +18,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from paddock.llm.common import arrow_map, numbered, pick
+from paddock.llm.common import arrow_extend, arrow_map, numbered, pick
 from paddock.llm.components import smallest_reachable
 
 #: Words of a shingle, most differing bits of a link, and the seed of the hash.
@@ -200,16 +200,25 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """One row of each component, the one of the smallest doc_id (of equal ids any one), all columns kept."""
+    """One row of each component, the one of the smallest doc_id (of equal ids any one), all columns kept.
+
+    Rows are found again by fingerprint, not by a number given to them, so a task
+    that runs twice cannot name another row. The texts are shuffled once; only
+    components whose smallest id is repeated are reduced to one row.
+    """
     names = docs.columns
-    place = {name: names.index(name) for name in ("doc_id", "text")}
-    rows = numbered(docs).withColumn("row", F.monotonically_increasing_id())
-    own = rows.select(F.col("row").alias("doc_id"), F.col(f"_{place['text']}").alias("text"))
-    # the row number stands for the id, so that null and repeated ids cannot tie
-    found = components(own, shingle, distance).select(F.col("doc_id").alias("row"), "root")
-    ids = rows.select("row", F.col(f"_{place['doc_id']}").alias("id"))
-    kept = (
-        found.join(ids, "row").groupBy("root")
-        .agg(F.min(F.struct(F.col("id").isNull().alias("null"), "id", "row"))["row"].alias("row")).select("row")
+    plain = numbered(docs)
+    doc_id, text = (f"_{names.index(name)}" for name in ("doc_id", "text"))
+
+    def rows(tuples: Iterator[tuple]) -> Iterator[tuple]:
+        for (whole,) in tuples:
+            yield (_signed(fingerprint(whole, shingle)),)
+
+    found = components(docs, shingle, distance)
+    chosen = found.groupBy("root").agg(
+        F.min("component_id").alias("least"), F.count_if(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("equal")
     )
-    return rows.join(kept, "row", "left_semi").drop("row").toDF(*names)
+    named = found.select("print", "root").distinct().join(chosen, "root")
+    kept = arrow_extend(plain, [text], "print long", rows).join(named, "print").where(F.col(doc_id).eqNullSafe(F.col("least")))
+    alone, repeated = kept.where("equal = 1"), kept.where("equal > 1").dropDuplicates(["root"])
+    return alone.union(repeated).select(*plain.columns).toDF(*names)
