@@ -7,9 +7,7 @@ repeated load gives the same table.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
@@ -19,8 +17,8 @@ from paddock.schemas import KEYS
 from paddock.session import scratch_path
 
 PARTITIONS = ("season", "round_number")
-MAX_LITERAL_PARTITIONS = 1000
 LOADED_AT = "loaded_at"
+_PLACE = "_place"
 
 
 def merge_upsert(
@@ -34,7 +32,8 @@ def merge_upsert(
 
     On a known key the ``update_cols`` (default: all non-key columns of ``incoming``) take
     the new value, also when it is NULL; other columns keep the old one. Both frames are
-    expected to hold a key once; with ``order_by`` only the first incoming row per key counts.
+    expected to hold a key once (``upsert`` sees to it); with ``order_by`` only the first
+    incoming row per key counts.
     """
     new = incoming if order_by is None else deduplicate(incoming, keys, order_by)
     updated = set(new.columns if update_cols is None else update_cols)
@@ -78,18 +77,17 @@ def _read(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
         return like.limit(0)
 
 
-def _partition_filter(stored: DataFrame, incoming: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """Stored rows in the partitions that ``incoming`` touches.
+def refuse_null_keys(df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if a key column is NULL anywhere; such a row could never be found again."""
+    counts = df.agg(*[F.count_if(F.col(k).isNull()).alias(k) for k in keys]).first()
+    missing = {k: counts[k] for k in keys if counts[k]}
+    if missing:
+        raise ValueError(f"rows without a key are not loaded: NULLs by column {missing}")
 
-    The partition values become literals, so the scan lists only these folders. Beyond
-    ``MAX_LITERAL_PARTITIONS`` of them the same rows are found by a semi join.
-    """
-    touched = incoming.select(*partitions).distinct()
-    values = touched.limit(MAX_LITERAL_PARTITIONS + 1).collect()
-    if len(values) > MAX_LITERAL_PARTITIONS:
-        return stored.join(touched, list(partitions), "left_semi")
-    same = [reduce(lambda a, b: a & b, [F.col(p) == row[p] for p in partitions]) for row in values]
-    return stored.where(reduce(lambda a, b: a | b, same, F.lit(False)))
+
+def _staged(rows: DataFrame, label: str) -> DataFrame:
+    """The rows written once, with their place in the load."""
+    return materialize_table(rows.withColumn(_PLACE, F.monotonically_increasing_id()), label=label)
 
 
 def upsert(
@@ -102,14 +100,19 @@ def upsert(
 ) -> None:
     """Upsert into a partitioned parquet table and stamp written rows with the load time.
 
-    The incoming rows are staged once; then only partitions that occur in them are read and
+    A key that occurs more than once in a load is stored once: the first row by ``order_by``
+    counts, by default the last row of the load. NULL keys are refused before anything is
+    written. The incoming rows are staged once; then only partitions that occur in them are
+    read (a semi join on the partition columns, which Spark prunes at run time) and
     rewritten. ``partitions`` must be part of the key.
     """
-    staged = materialize_table(incoming.withColumn(LOADED_AT, F.current_timestamp()), label="staged")
-    stored = _read(incoming.sparkSession, path, staged)
-    affected = _partition_filter(stored, staged, partitions)
+    staged = _staged(incoming.withColumn(LOADED_AT, F.current_timestamp()), "staged")
+    refuse_null_keys(staged, keys)
+    new = deduplicate(staged, keys, [F.desc(_PLACE)] if order_by is None else order_by).drop(_PLACE)
+    stored = _read(incoming.sparkSession, path, new)
+    affected = stored.join(staged.select(*partitions).distinct(), list(partitions), "left_semi")
     columns = None if update_cols is None else [*update_cols, LOADED_AT]
-    replace_partition(merge_upsert(affected, staged, keys, columns, order_by), path, partitions)
+    replace_partition(merge_upsert(affected.select(*new.columns), new, keys, columns), path, partitions)
 
 
 # Fixed value: on a repeated load of results the driver's full name keeps its first value.
@@ -139,12 +142,15 @@ def load_laps(laps: DataFrame, root: str) -> None:
 def append_copy(df: DataFrame, path: str, keys: Sequence[str] | None = None) -> None:
     """Append the rows without their load time.
 
-    A second run appends them again; give ``keys`` to add only rows whose key is new.
+    A second run appends them again; give ``keys`` to add only rows whose key is new. Of rows
+    with equal keys in one load the last one is added; NULL keys are refused then.
     """
     rows = df.drop(LOADED_AT)
     if keys is not None:
+        staged = _staged(rows, "copy")
+        refuse_null_keys(staged, keys)
         stored = _read(df.sparkSession, path, rows).select(*keys)
-        rows = rows.join(stored, list(keys), "left_anti")
+        rows = deduplicate(staged, keys, [F.desc(_PLACE)]).drop(_PLACE).join(stored, list(keys), "left_anti")
     rows.write.mode("append").parquet(path)
 
 
@@ -171,14 +177,12 @@ def materialize_table(df: DataFrame, path: str | None = None, label: str = "tabl
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
-    """Versions of a table kept as folders ``version=n``."""
-    try:
-        files = spark.read.parquet(path).inputFiles()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return []
-    return sorted({int(n) for f in files for n in re.findall(r"/version=(\d+)/", f)})
+    """Versions of a table kept as folders ``version=n``; only the folder names are listed."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = store.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS"))
+    names = [status.getPath().getParent().getName() for status in found or []]
+    return sorted(int(name.removeprefix("version=")) for name in names)
 
 
 def read_version(spark: SparkSession, path: str) -> DataFrame | None:

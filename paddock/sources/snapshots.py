@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paddock.operators.scd import VALID_TO, first_snapshot, snapshot_merge
-from paddock.sources.sinks import materialize_table, read_version, versions
+from paddock.sources.sinks import materialize_table, read_version, refuse_null_keys, versions
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
@@ -25,6 +25,13 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
     return newest.unionByName(closed)
 
 
+def _require_keys(incoming: DataFrame, keys: Sequence[str]) -> None:
+    """Refuse NULL and repeated keys: the one would be closed and opened in every run, the other opened twice."""
+    refuse_null_keys(incoming, keys)
+    if not incoming.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        raise ValueError(f"a snapshot needs one row for each {list(keys)}")
+
+
 def write_snapshot(
     incoming: DataFrame,
     path: str,
@@ -35,6 +42,8 @@ def write_snapshot(
 ) -> DataFrame:
     """Compare ``incoming`` with the open rows, store the next version and give the whole snapshot."""
     spark = incoming.sparkSession
+    incoming = materialize_table(incoming, label="incoming")
+    _require_keys(incoming, keys)
     now = F.current_timestamp() if at is None else at
     open_rows = read_version(spark, f"{path}/open")
     if open_rows is None:

@@ -249,3 +249,43 @@ def test_driver_teams(facts):
         ("C", "q"),
         ("D", "w"),
     ]
+
+
+_RESULTS = "season int, round_number int, driver_abbr string, driver_full_name string, team_name string, points double"
+
+
+def test_repeated_key_in_a_load_is_stored_once(spark, frame, tmp_path):
+    path = str(tmp_path / "results")
+    load = frame([(2025, 1, "A", "n", f"T{i}", float(i)) for i in range(40)], _RESULTS).coalesce(1)
+    sinks.load_results(load.drop("driver_full_name").withColumn("driver_full_name", F.lit("n")), str(tmp_path))
+    stored = spark.read.parquet(path)
+    assert [(r.team_name, r.points) for r in stored.collect()] == [("T39", 39.0)]
+    sinks.load_races(frame([(2025, 1, "a"), (2025, 1, "b")], "season int, round_number int, race_name string").coalesce(1), str(tmp_path))
+    assert [r.race_name for r in spark.read.parquet(str(tmp_path / "races")).collect()] == ["b"]
+
+
+@pytest.mark.parametrize("row", [(2025, None, "C"), (None, 1, "C"), (2025, 1, None)])
+def test_null_keys_are_refused_before_a_write(spark, frame, tmp_path, row):
+    schema = "season int, round_number int, driver_abbr string"
+    path = str(tmp_path / "t")
+    sinks.upsert(frame([(2025, 1, "A")], schema), path, ["season", "round_number", "driver_abbr"])
+    with pytest.raises(ValueError, match="NULL"):
+        sinks.upsert(frame([(2025, 1, "B"), row], schema), path, ["season", "round_number", "driver_abbr"])
+    assert [r.driver_abbr for r in spark.read.parquet(path).collect()] == ["A"]
+    with pytest.raises(ValueError, match="NULL"):
+        sinks.append_copy(frame([row], schema), str(tmp_path / "copy"), keys=["season", "round_number", "driver_abbr"])
+    with pytest.raises(ValueError, match="NULL"):
+        snapshots.write_snapshot(frame([row], schema), str(tmp_path / "s"), ["season", "round_number", "driver_abbr"], [])
+
+
+def test_snapshot_refuses_repeated_keys(frame, tmp_path):
+    with pytest.raises(ValueError, match="one row"):
+        snapshots.write_snapshot(frame([("A", "x"), ("A", "y")], "k string, v string"), str(tmp_path / "s"), ["k"], ["v"])
+
+
+def test_versions_need_a_finished_write(spark, frame, tmp_path):
+    for n in (2, 10):
+        frame([(n,)], "n int").write.parquet(str(tmp_path / f"version={n}"))
+    (tmp_path / "version=11").mkdir()
+    assert sinks.versions(spark, str(tmp_path)) == [2, 10]
+    assert sinks.versions(spark, str(tmp_path / "none")) == []
