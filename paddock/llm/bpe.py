@@ -34,7 +34,7 @@ _NOT_SPACE = re.compile("[\x1c-\x1f]")
 #: Characters of a text that are worked on together; longer texts are cut at white space.
 PIECE = 1 << 19
 #: Entries of the young half of a cache of words; bounds memory, not results.
-CACHE = 400_000
+CACHE = 200_000
 #: Longest word, in symbols, that is merged beside others; longer ones use a heap.
 SIDE_BY_SIDE = 32
 _ALONE = 0xFFFF
