@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from paddock.functions.scalars import add_parts
 from paddock.operators.aggregates import not_null_share
-from paddock.operators.joins import measured
-from paddock.operators.ordered import MAX_GROUP_ROWS, shifted
+from paddock.operators.ordered import shifted
 from paddock.operators.sets import both_differences, sides
 
 
@@ -117,7 +116,6 @@ def mutually_exclusive_ranges(
     partition_by: str | None = None,
     gaps: str = "allowed",
     zero_length_range_allowed: bool = False,
-    limit: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Ranges that overlap the next one, leave a forbidden gap, or are empty or open."""
     if gaps not in _GAPS:
@@ -126,10 +124,10 @@ def mutually_exclusive_ranges(
     keys = [] if partition_by is None else ["partition_by_col"]
     named = [] if partition_by is None else [F.col(partition_by).alias("partition_by_col")]
     ranges = df.select(*named, as_column(lower).alias("lower_bound"), as_column(upper).alias("upper_bound"))
-    order = [F.col("lower_bound").asc_nulls_last(), F.col("upper_bound").asc_nulls_last()]
-    following = shifted(
-        ranges, keys, order, {"_next": F.struct(F.col("lower_bound").alias("v"))}, offset=-1, limit=limit
-    )
+    # open bounds come last
+    marked = ranges.withColumns({"_open": F.col("lower_bound").isNull(), "_endless": F.col("upper_bound").isNull()})
+    order = ["_open", "lower_bound", "_endless", "upper_bound"]
+    following = shifted(marked, keys, order, {"_next": F.struct(F.col("lower_bound").alias("v"))}, offset=-1)
     low, high, nxt = F.col("lower_bound"), F.col("upper_bound"), F.col("_next.v")
     ordered = low <= high if zero_length_range_allowed else low < high
     checked = following.select(
@@ -210,12 +208,11 @@ def sequential_values(
     interval: int = 1,
     datepart: str | None = None,
     group_by: Sequence[str] = (),
-    limit: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Rows whose value is not the previous one plus the interval."""
     previous = f"previous_{column}"
     rows = df.select(*group_by, column)
-    lagged = shifted(rows, list(group_by), [F.col(column)], {previous: F.col(column)}, limit=limit)
+    lagged = shifted(rows, list(group_by), [column], {previous: F.col(column)})
     step = F.lit(interval)
     expected = F.col(previous) + step if datepart is None else add_parts(F.col(previous), datepart, step)
     return lagged.where(~(F.col(column) == expected))
@@ -258,7 +255,7 @@ def no_orphan_laps(laps: DataFrame, results: DataFrame) -> DataFrame:
 def valid_finish_positions(results: DataFrame) -> DataFrame:
     """Results with a position outside 1 to 30, or one shared within the race."""
     spot = ["season", "round_number", "finish_position"]
-    shared = measured(
+    shared = (
         results.where(F.col("finish_position").isNotNull())
         .groupBy(*spot)
         .agg((F.count(F.lit(1)) > 1).alias("_shared"))

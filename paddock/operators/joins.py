@@ -7,30 +7,9 @@ partitions; what they cannot know is that only the distinct keys of one side mat
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paddock.sources.sinks import materialize_table
-
-
-def measured(df: DataFrame) -> DataFrame:
-    """An aggregate written out before it is joined, so its size is known when the join is planned.
-
-    Catalyst broadcasts it below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise plans
-    a shuffle join. Without the size it would shuffle the large side first, often on a key
-    with few values.
-    """
-    return materialize_table(df, label="measured")
-
-
-def measured_all(*frames: DataFrame) -> list[DataFrame]:
-    """``measured`` for several frames whose jobs run at the same time."""
-    run = inheritable_thread_target(frames[0].sparkSession)(measured)
-    with ThreadPoolExecutor(len(frames)) as pool:
-        return list(pool.map(run, frames))
-
 
 def semi_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of left whose key occurs in right."""

@@ -1,52 +1,31 @@
 """Ordered computations that stay distributed when one group is huge.
 
-A window sends each group to a single task. Every function here first looks at
-the group sizes (a sample of the key columns). When all groups are within
-``limit`` rows it uses the plain window. Otherwise it sorts rows into range
-partitions ("chunks"), works inside each (chunk, group) and carries results across
-chunk borders, so that no task holds more than one range partition. Only the first
-group of a chunk can continue from an earlier one, so at most one row per chunk is
-carried.
-
-The chunked frame is written to the shared folder because it is read twice: range
-bounds come from sampling, and both readers have to see the same chunks, also after
-an executor is lost.
+A window sends each group to a single task. Here every group is cut into chunks along
+its order: a chunk is a pure function of the first order column (octaves of numbers, spans
+of days, beginnings of text), so all branches of a plan agree on it without sampling or
+writing anything. Windows run inside a chunk, one row per chunk carries the result on, and
+the window over chunks is as short as the number of chunks of a group. The same steps are
+taken for groups of any size.
+
+Orders are lists of column names, ``-name`` for descending, with Spark's default place of
+NULLs. Sums of doubles are taken over DECIMAL(38, 18), so they do not depend on the order in
+which chunks are added; a value that does not fit raises an error.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import types as T
 
-from paddock.sources.sinks import materialize_table
-
-MAX_GROUP_ROWS = int(os.environ.get("PADDOCK_MAX_GROUP_ROWS", "1000000"))
-SAMPLED_ROWS = 1_000
-CHUNK = "_chunk"
-
-
-def hot_groups(df: DataFrame, keys: Sequence[str], limit: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Groups with more than ``limit`` rows and their estimated sizes: a few times rows / limit at most.
-
-    Sizes are counted on a sample that is expected to hold ``SAMPLED_ROWS`` rows of a group
-    of ``limit`` rows, so only that sample is shuffled. From half of that on a group is
-    listed; a larger group is not missed in practice, and a miss or a needless entry changes
-    the plan, never the rows. Small limits count all rows.
-    """
-    fraction = min(1.0, SAMPLED_ROWS / limit)
-    rows, least = df.select(*keys), limit
-    if fraction < 1:
-        rows, least = rows.sample(fraction, seed=17), SAMPLED_ROWS // 2
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > least)
-    return counts.select(*keys, F.ceil(F.col("_n") / fraction).alias("_rows"))
-
-
-def needs_split(df: DataFrame, keys: Sequence[str], limit: int = MAX_GROUP_ROWS) -> bool:
-    """Whether some group has more than ``limit`` rows, by the estimate of ``hot_groups``."""
-    return not hot_groups(df, keys, limit).isEmpty()
+KEY = "_key"
+#: Chunks per octave of a number, and per eight days of a date; 0 makes each group one chunk.
+GRAIN = 8
+#: Rows between two cuts of a group for frames of a fixed number of rows.
+BLOCK_ROWS = 100_000
+_EXACT = "decimal(38, 18)"
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -56,123 +35,131 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Rows range-partitioned by group and order, with the partition number as ``_chunk``."""
-    ranged = df.repartitionByRange(*[F.col(k) for k in keys], *order)
-    return materialize_table(ranged.withColumn(CHUNK, F.spark_partition_id()), label="chunks")
+def _sorts(order: Sequence[str]) -> list[Column]:
+    return [F.desc(name[1:]) if name.startswith("-") else F.asc(name) for name in order]
 
 
-def _across(carried: DataFrame, condition: str) -> DataFrame:
-    """The carried rows that cross a chunk border; few, and written so that they are broadcast."""
-    return materialize_table(carried.where(condition), label="carried")
+def _bucket(column: Column, kind: T.DataType, grain: int) -> Column:
+    """A number or text that never falls as the column rises."""
+    if isinstance(kind, T.NumericType):
+        value = column.cast("double")
+        bucket = F.signum(value) * F.floor(grain * F.log2(1 + F.abs(value))).cast("double")
+        return F.when(F.isnan(value), F.lit(float("inf"))).otherwise(bucket) if grain else F.lit(0.0) * value
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        days = F.unix_date(column.cast("date"))
+        return F.floor(days * grain / 8) if grain else days * 0
+    if isinstance(kind, T.StringType) and grain:
+        return F.substring(column, 1, 2)
+    return column.isNull()
+
+
+def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], grain: int) -> tuple[DataFrame, list[Column], Column]:
+    """The rows with their chunk in ``_key``, the order of the chunks of a group, and the group.
+
+    Leading boolean order columns are used whole; the first other one is cut into buckets.
+    """
+    chunks, sorts = [], []
+    for name in order:
+        plain, descending = name.removeprefix("-"), name.startswith("-")
+        kind = df.schema[plain].dataType
+        label = f"_c{len(chunks)}"
+        whole = isinstance(kind, T.BooleanType)
+        # NULL stays NULL and so keeps its place
+        cut = F.col(plain) if whole else F.when(F.col(plain).isNotNull(), _bucket(F.col(plain), kind, grain))
+        chunks.append(cut.alias(label))
+        sorts.append(F.desc(f"{KEY}.{label}") if descending else F.asc(f"{KEY}.{label}"))
+        if not whole:
+            break
+    # one struct, in which NULLs equal each other: the window and the join below use one shuffle
+    own = df.withColumn(KEY, F.struct(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *chunks))
+    if keys:
+        group = F.struct(*[f"{KEY}._k{i}" for i in range(len(keys))])
+    else:  # all chunks, one row each, belong together
+        group = F.pmod(F.hash(f"{KEY}._c0"), F.lit(1))
+    return own, sorts, group
 
 
 def running(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[str],
     sums: Mapping[str, Column],
     past_only: bool = False,
-    limit: int = MAX_GROUP_ROWS,
-    split: bool | None = None,
+    grain: int = GRAIN,
 ) -> DataFrame:
     """Running sums per group. ``order`` should be unique within a group.
 
-    ``past_only`` leaves the current row out. ``split`` gives the answer of the size check
-    when the caller has it, e.g. from a cheaper frame with at least as many rows per group.
+    ``past_only`` leaves the current row out.
     """
     end = -1 if past_only else W.currentRow
-    whole = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, end)
-    if not (needs_split(df, keys, limit) if split is None else split):
-        return df.withColumns({n: F.sum(c).over(whole) for n, c in sums.items()})
-    base = chunked(df.withColumns({f"_in_{n}": c for n, c in sums.items()}), keys, order)
-    local = W.partitionBy(CHUNK, *keys).orderBy(*order).rowsBetween(W.unboundedPreceding, end)
-    totals = base.groupBy(CHUNK, *keys).agg(*[F.sum(f"_in_{n}").alias(f"_t_{n}") for n in sums])
-    before = W.partitionBy(*keys).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
-    carried = totals.select(
-        CHUNK,
-        *keys,
-        F.count(F.lit(1)).over(before).alias("_earlier"),
-        *[F.sum(f"_t_{n}").over(before).alias(f"_c_{n}") for n in sums],
-    )
+    kinds = {n: df.select(c.alias(n)).schema[n].dataType for n, c in sums.items()}
+    exact = {n: isinstance(kind, (T.DoubleType, T.FloatType)) for n, kind in kinds.items()}
+    inputs = {f"_in_{n}": c.cast(_EXACT) if exact[n] else c for n, c in sums.items()}
+    base, chunk_order, group = _chunked(df.withColumns(inputs), keys, order, grain)
+    local = W.partitionBy(KEY).orderBy(*_sorts(order)).rowsBetween(W.unboundedPreceding, end)
     inside = base.withColumns({n: F.sum(f"_in_{n}").over(local) for n in sums})
-    joined = join_null_safe(inside, _across(carried, "_earlier > 0"), [CHUNK, *keys])
-    both = {
-        n: F.when(F.col(n).isNull(), F.col(f"_c_{n}"))
-        .when(F.col(f"_c_{n}").isNull(), F.col(n))
-        .otherwise(F.col(n) + F.col(f"_c_{n}"))
-        for n in sums
-    }
-    return joined.withColumns(both).select(*df.columns, *sums)
+    totals = base.groupBy(KEY).agg(*[F.sum(f"_in_{n}").alias(f"_t_{n}") for n in sums])
+    before = W.partitionBy(group).orderBy(*chunk_order).rowsBetween(W.unboundedPreceding, -1)
+    carried = totals.select(KEY, *[F.sum(f"_t_{n}").over(before).alias(f"_c_{n}") for n in sums])
+
+    def both(name: str) -> Column:
+        own, earlier = F.col(name), F.col(f"_c_{name}")
+        total = F.when(own.isNull(), earlier).when(earlier.isNull(), own).otherwise(own + earlier)
+        return total.cast("double") if exact[name] else total
+
+    return inside.join(carried, KEY).withColumns({n: both(n) for n in sums}).select(*df.columns, *sums)
 
 
 def numbered(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    name: str = "row_number",
-    limit: int = MAX_GROUP_ROWS,
-    split: bool | None = None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_number", grain: int = GRAIN
 ) -> DataFrame:
     """Row number per group, 1-based."""
-    return running(df, keys, order, {name: F.lit(1).cast("long")}, limit=limit, split=split)
+    return running(df, keys, order, {name: F.lit(1).cast("long")}, grain=grain)
 
 
 def shifted(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[str],
     values: Mapping[str, Column],
     offset: int = 1,
-    limit: int = MAX_GROUP_ROWS,
-    split: bool | None = None,
+    grain: int = GRAIN,
 ) -> DataFrame:
     """Value of the previous (``offset`` 1) or next (``offset`` -1) row in the group."""
     if offset not in (1, -1):
         raise ValueError("offset must be 1 or -1")
-    whole = W.partitionBy(*keys).orderBy(*order)
-    if not (needs_split(df, keys, limit) if split is None else split):
-        return df.withColumns({n: F.lag(c, offset).over(whole) for n, c in values.items()})
-    base = chunked(df.withColumns({f"_in_{n}": c for n, c in values.items()}), keys, order)
-    local = W.partitionBy(CHUNK, *keys).orderBy(*order)
+    base, chunk_order, group = _chunked(df.withColumns({f"_in_{n}": c for n, c in values.items()}), keys, order, grain)
+    local = W.partitionBy(KEY).orderBy(*_sorts(order))
     inside = base.withColumns({n: F.lag(f"_in_{n}", offset).over(local) for n in values}).withColumns(
         {
             "_enters": F.lag(F.lit(1), offset).over(local).isNull(),
             "_leaves": F.lag(F.lit(1), -offset).over(local).isNull(),
         }
     )
-    edges = inside.where("_leaves").select(CHUNK, *keys, *[f"_in_{n}" for n in values])
-    across = W.partitionBy(*keys).orderBy(CHUNK)
-    carried = edges.select(
-        CHUNK,
-        *keys,
-        F.lag(CHUNK, offset).over(across).alias("_other"),
-        *[F.lag(f"_in_{n}", offset).over(across).alias(f"_c_{n}") for n in values],
-    )
-    joined = join_null_safe(inside, _across(carried, "_other IS NOT NULL"), [CHUNK, *keys])
+    across = W.partitionBy(group).orderBy(*chunk_order)
+    edges = inside.where("_leaves").select(KEY, *[f"_in_{n}" for n in values])
+    carried = edges.select(KEY, *[F.lag(f"_in_{n}", offset).over(across).alias(f"_c_{n}") for n in values])
     both = {n: F.when(F.col("_enters"), F.col(f"_c_{n}")).otherwise(F.col(n)) for n in values}
-    return joined.withColumns(both).select(*df.columns, *values)
+    return inside.join(carried, KEY).withColumns(both).select(*df.columns, *values)
 
 
 def rolling(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[str],
     preceding: int,
     aggregates: Mapping[str, Column],
-    limit: int = MAX_GROUP_ROWS,
-    split: bool | None = None,
+    block_rows: int = BLOCK_ROWS,
+    grain: int = GRAIN,
 ) -> DataFrame:
     """Aggregates over the ``preceding`` rows before the current one (it is left out).
 
-    For huge groups the rows are cut by position into blocks of ``limit`` rows, and the
-    last ``preceding`` rows of a block are also given to the next one.
+    Groups are cut by position into blocks of ``block_rows`` rows; the last ``preceding``
+    rows of a block are also given to the next one. Every frame holds the same rows in the
+    same order wherever the cuts are.
     """
-    whole = W.partitionBy(*keys).orderBy(*order).rowsBetween(-preceding, -1)
-    if not (needs_split(df, keys, limit) if split is None else split):
-        return df.withColumns({n: c.over(whole) for n, c in aggregates.items()})
-    block = max(limit, preceding)
-    placed = numbered(df, keys, order, "_pos", split=True)
+    block = max(block_rows, preceding)
+    placed = numbered(df, keys, order, "_pos", grain=grain)
     slot = F.col("_pos") % block
     spread = placed.withColumn("_home", F.floor(F.col("_pos") / block)).withColumn(
         "_block",
@@ -189,38 +176,24 @@ def rolling(
 
 
 def ranked(
-    df: DataFrame,
-    keys: Sequence[str],
-    by: str,
-    name: str = "rank",
-    descending: bool = True,
-    limit: int = MAX_GROUP_ROWS,
-    split: bool | None = None,
+    df: DataFrame, keys: Sequence[str], by: str, name: str = "rank", descending: bool = True, grain: int = GRAIN
 ) -> DataFrame:
     """Rank per group (ties share a rank and leave a gap).
 
-    For huge groups, ranks are computed on the distinct values with their counts and joined
-    back. The rows are then written once, because they are read for the counts and for the
-    join.
+    Ranks are computed on the distinct values and their counts, then joined back.
     """
-    order = [F.desc(by) if descending else F.asc(by)]
-    if not (needs_split(df, keys, limit) if split is None else split):
-        return df.withColumn(name, F.rank().over(W.partitionBy(*keys).orderBy(*order)).cast("long"))
-    rows = materialize_table(df, label="ranked")
-    counts = rows.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
-    places = running(counts, keys, order, {"_ahead": F.col("_n")}, past_only=True, limit=limit)
+    counts = df.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
+    order = [f"-{by}" if descending else by]
+    places = running(counts, keys, order, {"_ahead": F.col("_n")}, past_only=True, grain=grain)
     ranks = places.select(*keys, by, (F.coalesce("_ahead", F.lit(0)) + 1).cast("long").alias(name))
-    return join_null_safe(rows, materialize_table(ranks, label="ranks"), [*keys, by], "inner")
+    return join_null_safe(df, ranks, [*keys, by], "inner").select(*df.columns, name)
 
 
-def group_median(df: DataFrame, keys: Sequence[str], value: str, name: str, limit: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Exact continuous median of a few huge groups.
-
-    The middle positions are looked up in the running counts of the distinct values.
-    """
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str, grain: int = GRAIN) -> DataFrame:
+    """Exact continuous median per group: the middle positions in the running counts of the distinct values."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    upto = running(counts, keys, [F.col(value)], {"_upto": F.col("_n")}, limit=limit)
-    totals = materialize_table(df.groupBy(*keys).agg(F.count(value).alias("_total")), label="totals")
+    upto = running(counts, keys, [value], {"_upto": F.col("_n")}, grain=grain)
+    totals = df.groupBy(*keys).agg(F.count(value).alias("_total"))
     placed = join_null_safe(upto, totals, keys, "inner")
     low, high = F.floor((F.col("_total") + 1) / 2), F.floor((F.col("_total") + 2) / 2)
     middle = [
@@ -230,50 +203,6 @@ def group_median(df: DataFrame, keys: Sequence[str], value: str, name: str, limi
     return join_null_safe(totals, medians, keys).drop("_total")
 
 
-def _set_apart(
-    df: DataFrame, keys: Sequence[str], limit: int
-) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
-    """Rows of groups within ``limit``, rows of larger groups, and the list of these.
-
-    The list is written, so joining it broadcasts it; it gives the number of pieces of at
-    most ``limit`` rows as ``_spread``.
-    """
-    if not needs_split(df, keys, limit):
-        return df, None, None
-    pieces = F.ceil(F.col("_rows") / limit).cast("int").alias("_spread")
-    hot = materialize_table(hot_groups(df, keys, limit).select(*keys, pieces), label="hot")
-    marked = materialize_table(join_null_safe(df, hot, keys), label="marked")
-    return marked.where(F.col("_spread").isNull()), marked.where(F.col("_spread").isNotNull()), hot
-
-
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str, limit: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Exact continuous median per group; the built-in buffers a group's values, so only up to ``limit`` rows."""
-    cold, large, _ = _set_apart(df.select(*keys, value), keys, limit)
-    medians = cold.groupBy(*keys).agg(F.median(value).alias(name))
-    return medians if large is None else medians.unionByName(group_median(large, keys, value, name, limit))
-
-
-def with_median(df: DataFrame, keys: Sequence[str], value: str, name: str, limit: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Every row with the exact median of its group.
-
-    Groups within ``limit`` rows take one shuffle (a window over the whole group). Larger
-    groups get their median from ``group_median``, joined in salted pieces.
-    """
-    cold, large, hot = _set_apart(df, keys, limit)
-    own = cold.withColumn(name, F.median(value).over(W.partitionBy(*keys))).select(*df.columns, name)
-    if large is None:
-        return own
-    medians = join_null_safe(group_median(large, keys, value, name, limit), hot, keys, "inner")
-    return own.unionByName(join_salted(large, medians, keys, "_spread").select(*df.columns, name))
-
-
-def join_salted(left: DataFrame, right: DataFrame, keys: Sequence[str], spread: str) -> DataFrame:
-    """Inner join of rows to one row per group, each group cut into pieces.
-
-    Both frames carry the number of pieces of the group as ``spread``; the right row is
-    repeated once per piece and written, so a small right side is broadcast.
-    """
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.col(spread)).cast("int"))
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col(spread) - 1))).drop(spread)
-    pieces = materialize_table(repeated, label="pieces")
-    return join_null_safe(salted, pieces, [*keys, "_salt"], "inner").drop("_salt")
+def with_median(df: DataFrame, keys: Sequence[str], value: str, name: str, grain: int = GRAIN) -> DataFrame:
+    """Every row with the exact median of its group."""
+    return join_null_safe(df, exact_median(df, keys, value, name, grain), keys, "inner").select(*df.columns, name)

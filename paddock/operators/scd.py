@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paddock.operators.ordered import MAX_GROUP_ROWS, needs_split, shifted
+from paddock.operators.ordered import shifted
 from paddock.operators.topk import latest_per_key
 
 # Names of the snapshot columns.
@@ -87,21 +87,19 @@ def history_from_facts(
     key: str,
     value: str,
     order: Sequence[str] = ("season", "round_number"),
-    limit: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Validity intervals of ``value`` per key, read off ordered facts (gaps and islands).
 
     Gives key, value, the first and last order position of each stretch, and the position at
     which the next one starts (NULL for the open one).
     """
-    split = needs_split(facts, [key], limit)
-    by, position = [F.col(c) for c in order], F.struct(*order)
+    by, position = list(order), F.struct(*order)
     rows = facts.select(key, value, *order)
     here = F.struct(F.col(value).alias("v"), position.alias("p"))
-    previous = shifted(rows, [key], by, {"_prev": here}, split=split)
+    previous = shifted(rows, [key], by, {"_prev": here})
     starts = previous.where(F.col("_prev").isNull() | ~F.col("_prev.v").eqNullSafe(F.col(value)))
     start = F.struct(position.alias("p"), F.col("_prev.p").alias("last"))
-    ended = shifted(starts, [key], by, {"_next": start}, offset=-1, split=split)
+    ended = shifted(starts, [key], by, {"_next": start}, offset=-1)
     newest = facts.groupBy(key).agg(F.max(position).alias("_newest"))
     named = ended.join(newest, key).select(
         key,

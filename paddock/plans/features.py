@@ -13,8 +13,7 @@ from paddock.operators.history import (
     prior_stddev,
     prior_sum,
 )
-from paddock.operators.joins import measured, measured_all
-from paddock.operators.ordered import MAX_GROUP_ROWS, needs_split, running
+from paddock.operators.ordered import running
 from paddock.plans.staging import ENTRY, RACE, grid_log
 
 # Fill values of features without history, and frame lengths in races.
@@ -49,15 +48,12 @@ def lap_statistics(staged_laps: DataFrame, min_laps: int = MIN_CLEAN_LAPS) -> Da
 def int_lap_analysis(staged_laps: DataFrame, results: DataFrame, min_laps: int = MIN_CLEAN_LAPS) -> DataFrame:
     """Clean-lap statistics and the gap to the race winner's mean lap.
 
-    The statistics are written once, so the laps are read once; winners and leaders have
-    about one row per race.
+    Winners and leaders have about one row per race; adaptive execution broadcasts them by
+    the size they turn out to have.
     """
-    stats, winners = measured_all(
-        lap_statistics(staged_laps, min_laps), results.where(F.col("finish_position") == 1).select(*ENTRY)
-    )
-    leader = measured(
-        stats.join(winners, ENTRY, "inner").select(*RACE, F.col("mean_lap_time").alias("leader_mean_lap_time"))
-    )
+    stats = lap_statistics(staged_laps, min_laps)
+    winners = results.where(F.col("finish_position") == 1).select(*ENTRY)
+    leader = stats.join(winners, ENTRY, "inner").select(*RACE, F.col("mean_lap_time").alias("leader_mean_lap_time"))
     return stats.join(leader, RACE, "left").select(
         *ENTRY,
         "valid_laps",
@@ -85,30 +81,28 @@ def team_history(results: DataFrame) -> DataFrame:
 
 
 def with_team_history(
-    results: DataFrame, mode: str = "races", limit: int = MAX_GROUP_ROWS, history: DataFrame | None = None
+    results: DataFrame, mode: str = "races", history: DataFrame | None = None
 ) -> DataFrame:
     """Results with ``prev_team_points`` and ``team_reliability``.
 
     Mode ``races`` sums whole earlier races. Mode ``rows`` runs over single rows ordered by
     race and driver, so the second driver of a team also sees the first one's points of the
-    same race. ``history`` is the written ``team_history`` if the caller has it.
+    same race. ``history`` is the ``team_history`` if the caller has it.
     """
     if mode not in ("races", "rows"):
         raise ValueError("mode must be 'races' or 'rows'")
-    teams = measured(team_history(results)) if history is None else history
+    teams = team_history(results) if history is None else history
     joined = results.join(teams, ["team_name", *RACE], "left").withColumn(
         "prev_team_points", F.coalesce("prev_team_points", F.lit(0))
     )
     if mode == "races":
         return joined
-    order = [F.col(c) for c in (*RACE, "driver_abbr")]
     summed = running(
         joined.drop("prev_team_points"),
         ["team_name"],
-        order,
+        [*RACE, "driver_abbr"],
         {"prev_team_points": F.col("points")},
         past_only=True,
-        split=needs_split(results, ["team_name"], limit),
     )
     return summed.withColumn("prev_team_points", F.coalesce("prev_team_points", F.lit(0)))
 
@@ -177,6 +171,11 @@ def int_driver_cumulative_stats(results: DataFrame, team_mode: str = "races") ->
     )
 
 
+def driver_frame(results: DataFrame) -> DataFrame:
+    """Result rows with the driver's own history, without team and lap columns."""
+    return _cumulative(results, ["driver_abbr"]).withColumn("finish_consistency", F.col("finish_consistency_filled"))
+
+
 def feature_frame(
     results: DataFrame, lap_analysis: DataFrame, as_of: bool = False, team_mode: str = "races"
 ) -> DataFrame:
@@ -188,12 +187,11 @@ def feature_frame(
     """
     pace = F.col("relative_pace").alias("race_pace")
     laps = lap_analysis.select(*ENTRY, "mean_lap_time", "lap_time_std", pace, F.lit(True).alias("_has_laps"))
-    expectations = past_grid_expectations(results) if as_of else grid_expectations(results)
-    teams, slots = measured_all(team_history(results), expectations)
+    slots = past_grid_expectations(results) if as_of else grid_expectations(results)
     slot_keys = ["grid_position", *RACE] if as_of else ["grid_position"]
     extra = [c for c in results.columns if c not in CARRIED and c != "grid_log"]
     entries = (
-        with_team_history(results.select(*CARRIED, *extra), team_mode, history=teams)
+        with_team_history(results.select(*CARRIED, *extra), team_mode)
         .join(slots, slot_keys, "left")
         .withColumn("_has_result", F.lit(True))
     )

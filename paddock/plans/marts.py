@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from paddock.functions.scalars import round_half_up, safe_divide
-from paddock.operators.ordered import MAX_GROUP_ROWS, needs_split, ranked
+from paddock.operators.ordered import ranked
 from paddock.plans.features import FEATURES
 from paddock.plans.staging import ENTRY, RACE
 
@@ -19,6 +19,7 @@ def _finished(condition):
 
 
 def dim_drivers(frame: DataFrame) -> DataFrame:
+    """One row per driver, from ``feature_frame`` or the narrower ``driver_frame``."""
     return frame.groupBy("driver_abbr").agg(
         F.min("driver_name").alias("driver_name"),
         F.max_by("team_name", F.struct(*RACE)).alias("current_team"),
@@ -91,18 +92,17 @@ def fct_race_results(frame: DataFrame, races: DataFrame, with_history_pace: bool
     )
 
 
-def fct_championship_standings(results: DataFrame, limit: int = MAX_GROUP_ROWS) -> DataFrame:
+def fct_championship_standings(results: DataFrame) -> DataFrame:
     """Running points per season and the rank in each race.
 
-    A race with very many drivers is ranked on its distinct totals, of which there are at
-    most (rounds x 25 + 1), so no task orders all its drivers.
+    A race is ranked on its distinct totals, of which there are at most (rounds x 25 + 1), so
+    no task orders all its drivers.
     """
     so_far = W.partitionBy("season", "driver_abbr").orderBy("round_number")
     totals = results.select(*ENTRY, "team_name", F.col("points").alias("race_points")).withColumn(
         "total_points", F.sum("race_points").over(so_far)
     )
-    split = needs_split(results, RACE, limit)
-    return ranked(totals, RACE, "total_points", "championship_position", limit=limit, split=split)
+    return ranked(totals, RACE, "total_points", "championship_position")
 
 
 def fct_driver_performance(frame: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paddock.operators.ordered import MAX_GROUP_ROWS, needs_split, numbered
+from paddock.operators.ordered import numbered
 from paddock.plans.staging import ENTRY, RACE
 
 FIRST_DAY = "2024-01-01"
@@ -30,16 +30,14 @@ def race_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def results(spark: SparkSession, sf_dir: str, limit: int = MAX_GROUP_ROWS) -> DataFrame:
+def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = race_events(spark, sf_dir)
     entries = events.groupBy(*RACE, "user_id").agg(
         F.round(F.sum("value"), 2).alias("total"),
         (F.count_if(F.col("event_type") == "error") * 4 > F.count(F.lit(1))).alias("failed"),
         F.max("ts").alias("loaded_at"),
     )
-    drivers = events.groupBy(*RACE).agg(F.approx_count_distinct("user_id").alias("n"))
-    split = needs_split(events, RACE, limit) and not drivers.where(F.col("n") > limit * 0.9).isEmpty()
-    placed = numbered(entries, RACE, [F.desc("total"), F.asc("user_id")], "place", split=split)
+    placed = numbered(entries, RACE, ["-total", "user_id"], "place")
     user, failed = F.col("user_id"), F.col("failed")
     moved = ((user % 7 == 0) & (F.col("round_number") >= 3)).cast("int")
     return placed.select(
@@ -57,11 +55,11 @@ def results(spark: SparkSession, sf_dir: str, limit: int = MAX_GROUP_ROWS) -> Da
     )
 
 
-def laps(spark: SparkSession, sf_dir: str, with_numbers: bool = False, limit: int = MAX_GROUP_ROWS) -> DataFrame:
+def laps(spark: SparkSession, sf_dir: str, with_numbers: bool = False) -> DataFrame:
     """Laps; ``lap_number`` is left NULL unless asked for, since it costs an ordered pass."""
     drivers = race_events(spark, sf_dir).withColumn("driver_abbr", F.concat(F.lit("U"), F.col("user_id")))
     if with_numbers:
-        timed = numbered(drivers, ENTRY, [F.asc("ts"), F.asc("event_id")], "lap", limit=limit)
+        timed = numbered(drivers, ENTRY, ["ts", "event_id"], "lap")
     else:
         timed = drivers.withColumn("lap", F.lit(None).cast("long"))
     lap_ms = F.col("value") * 1000

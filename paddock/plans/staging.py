@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paddock.functions.scalars import to_seconds
-from paddock.operators.ordered import MAX_GROUP_ROWS, with_median
+from paddock.operators.ordered import with_median
 
 RACE = ["season", "round_number"]
 ENTRY = ["season", "round_number", "driver_abbr"]
@@ -81,8 +81,8 @@ def lap_seconds(laps: DataFrame) -> DataFrame:
     )
 
 
-def stg_lap_times(laps: DataFrame, limit: int = MAX_GROUP_ROWS) -> DataFrame:
+def stg_lap_times(laps: DataFrame) -> DataFrame:
     """Laps with the driver's median lap of the race and the outlier flag."""
-    timed = with_median(lap_seconds(laps), ENTRY, "lap_time_seconds", "median_lap_time", limit)
+    timed = with_median(lap_seconds(laps), ENTRY, "lap_time_seconds", "median_lap_time")
     slow = F.col("lap_time_seconds") > F.col("median_lap_time") * OUTLIER_FACTOR
     return timed.withColumn("is_outlier", F.coalesce(slow, F.lit(False)))

@@ -42,7 +42,7 @@ def laps_frame(spark: SparkSession, sf: str) -> DataFrame:
     """Laps as a session delivers them: numbers as doubles, times in seconds."""
     user, value = F.col("user_id"), F.col("value")
     laps = race_events(spark, sf).withColumn("Driver", F.concat(F.lit("U"), user))
-    ordered = numbered(laps, [*RACE, "Driver"], [F.col("ts"), F.col("event_id")], "lap")
+    ordered = numbered(laps, [*RACE, "Driver"], ["ts", "event_id"], "lap")
     return ordered.select(
         *RACE,
         "Driver",
@@ -385,5 +385,4 @@ def snk6(spark, sf):
           GROUP BY driver_abbr, team_name, island)"""),
 )
 def scd4(spark, sf):
-    results = sinks.materialize_table(race_view.results(spark, sf), label="results")
-    return scd.history_from_facts(staging.stg_results(results), "driver_abbr", "team_name")
+    return scd.history_from_facts(staging.stg_results(race_view.results(spark, sf)), "driver_abbr", "team_name")

@@ -17,20 +17,18 @@ from paddock.operators.ordered import ranked
 from paddock.plans import features, marts, race_view, staging
 from paddock.registry import query, rounded, rounded_sql
 from paddock.registry.race_sql import race_sql
-from paddock.sources.sinks import materialize_table
 
 ENTRY = staging.ENTRY
 RACE = staging.RACE
 
 
-def stored_results(spark: SparkSession, sf: str) -> DataFrame:
-    """Staged results on top of the raw table, written once because several branches read it."""
-    raw = materialize_table(race_view.results(spark, sf), label="results")
-    return staging.stg_results(raw)
+def staged_results(spark: SparkSession, sf: str) -> DataFrame:
+    """Staged results of the race view."""
+    return staging.stg_results(race_view.results(spark, sf))
 
 
 def staged_races(spark: SparkSession, sf: str) -> DataFrame:
-    return staging.stg_races(materialize_table(race_view.races(spark, sf), label="races"))
+    return staging.stg_races(race_view.races(spark, sf))
 
 
 def lap_analysis(spark: SparkSession, sf: str, results: DataFrame) -> DataFrame:
@@ -38,7 +36,7 @@ def lap_analysis(spark: SparkSession, sf: str, results: DataFrame) -> DataFrame:
 
 
 def feature_frame(spark: SparkSession, sf: str, as_of: bool = False) -> DataFrame:
-    results = stored_results(spark, sf)
+    results = staged_results(spark, sf)
     return features.feature_frame(results, lap_analysis(spark, sf, results), as_of=as_of)
 
 
@@ -72,7 +70,7 @@ def pl3(spark, sf):
     ),
 )
 def pl4(spark, sf):
-    return rounded(lap_analysis(spark, sf, stored_results(spark, sf)))
+    return rounded(lap_analysis(spark, sf, staged_results(spark, sf)))
 
 
 _RATES = ["points_momentum", "top3_rate", "top5_rate", "top10_rate", "top15_rate", "dnf_rate"]
@@ -90,7 +88,7 @@ _RATES = ["points_momentum", "top3_rate", "top5_rate", "top10_rate", "top15_rate
     ),
 )
 def pl5(spark, sf):
-    return rounded(features.int_driver_cumulative_stats(stored_results(spark, sf)))
+    return rounded(features.int_driver_cumulative_stats(staged_results(spark, sf)))
 
 
 _FEATURE_DOUBLES = [
@@ -114,7 +112,7 @@ def pl6(spark, sf):
 
 @query("pl7_dim_drivers", race_sql("SELECT * FROM dim_drivers"))
 def pl7(spark, sf):
-    return marts.dim_drivers(feature_frame(spark, sf))
+    return marts.dim_drivers(features.driver_frame(staged_results(spark, sf)))
 
 
 @query("pl8_dim_teams", race_sql("SELECT * FROM dim_teams"))
@@ -152,7 +150,7 @@ def pl10(spark, sf):
 
 @query("pl11_fct_championship_standings", race_sql("SELECT * FROM fct_championship_standings"))
 def pl11(spark, sf):
-    return marts.fct_championship_standings(stored_results(spark, sf))
+    return marts.fct_championship_standings(staged_results(spark, sf))
 
 
 @query("pl12_fct_driver_performance", race_sql("SELECT * FROM fct_driver_performance"))
@@ -162,7 +160,7 @@ def pl12(spark, sf):
 
 @query("pl13_fct_race_summary", race_sql("SELECT * FROM fct_race_summary"))
 def pl13(spark, sf):
-    results = stored_results(spark, sf)
+    results = staged_results(spark, sf)
     return marts.fct_race_summary(staged_races(spark, sf), results, lap_analysis(spark, sf, results))
 
 
@@ -215,7 +213,7 @@ def wn3(spark, sf):
     FROM stg_results JOIN team_history USING (team_name, season, round_number)"""),
 )
 def wn4(spark, sf):
-    results = stored_results(spark, sf)
+    results = staged_results(spark, sf)
     return features.with_team_history(results).select(*ENTRY, "team_name", "prev_team_points")
 
 
@@ -228,7 +226,7 @@ def wn4(spark, sf):
     FROM stg_results"""),
 )
 def wn4_rows(spark, sf):
-    results = stored_results(spark, sf)
+    results = staged_results(spark, sf)
     return features.with_team_history(results, mode="rows").select(*ENTRY, "team_name", "prev_team_points")
 
 
@@ -267,7 +265,7 @@ def wn7(spark, sf):
     race_sql(rounded_sql("SELECT * FROM rolling_laps", "avg_lap_consistency", "avg_relative_pace")),
 )
 def wn8(spark, sf):
-    laps = lap_analysis(spark, sf, stored_results(spark, sf))
+    laps = lap_analysis(spark, sf, staged_results(spark, sf))
     recent = prior(_DRIVER, last=features.ROLLING_RACES)
     return rounded(
         laps.select(
@@ -289,7 +287,7 @@ def wn9(spark, sf):
 
 @query("wn10_perf_vs_expected", race_sql(rounded_sql("SELECT * FROM perf", "avg_perf_vs_expected")))
 def wn10(spark, sf):
-    results = stored_results(spark, sf)
+    results = staged_results(spark, sf)
     finished = results.where(~F.col("is_dnf")).join(features.grid_expectations(results), "grid_position", "left")
     surplus = F.col("expected_finish") - F.col("finish_position")
     return rounded(
@@ -334,5 +332,5 @@ def wn11(spark, sf):
     FROM stg_results"""),
 )
 def wn12(spark, sf):
-    results = stored_results(spark, sf).select(*ENTRY, "points")
+    results = staged_results(spark, sf).select(*ENTRY, "points")
     return ranked(results, RACE, "points", "place")

@@ -372,7 +372,7 @@ def _orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _by_date():
-    return [F.col("o_orderdate"), F.col("o_orderkey")]
+    return ["o_orderdate", "o_orderkey"]
 
 
 @query(

@@ -8,10 +8,10 @@ TyreLife, IsPersonalBest.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.sql import types as T
 
-from paddock.operators.ordered import MAX_GROUP_ROWS, numbered
+from paddock.operators.ordered import numbered
 from paddock.plans.staging import ENTRY, RACE
 
 # Words in a status that mean the car did not finish.
@@ -42,9 +42,9 @@ UNKNOWN = "Unknown"
 UNKNOWN_DRIVER = "UNK"
 
 
-def finish_from_order(results: DataFrame, limit: int = MAX_GROUP_ROWS) -> DataFrame:
+def finish_from_order(results: DataFrame) -> DataFrame:
     """Finish position: the place of the row in its race."""
-    return numbered(results, RACE, [F.asc("result_order")], "finish_order", limit=limit)
+    return numbered(results, RACE, ["result_order"], "finish_order")
 
 
 def grid_from_lap1(laps: DataFrame) -> DataFrame:
@@ -60,11 +60,22 @@ def dnf_from_status(status: Column) -> Column:
     return F.coalesce(F.lower(status).rlike("|".join(DNF_WORDS)), F.lit(False))
 
 
+def lap_facts(laps: DataFrame) -> DataFrame:
+    """Per entry from one aggregate over the laps: grid, last lap, and the race's last lap.
+
+    The window over a race sees one row per driver.
+    """
+    first = (F.col("LapNumber") == 1) & F.col("Position").isNotNull()
+    per_entry = laps.groupBy(*RACE, F.col("Driver").alias("driver_abbr")).agg(
+        F.max(F.when(first, F.col("Position").cast("int"))).alias("grid"), F.max("LapNumber").alias("last_lap")
+    )
+    race = W.partitionBy(*RACE)
+    return per_entry.withColumn("race_laps", F.max("last_lap").over(race))
+
+
 def laps_driven(laps: DataFrame) -> DataFrame:
     """Last lap per entry and the race's last lap, as (entry, last_lap, race_laps)."""
-    per_driver = laps.groupBy(*RACE, F.col("Driver").alias("driver_abbr")).agg(F.max("LapNumber").alias("last_lap"))
-    per_race = per_driver.groupBy(*RACE).agg(F.max("last_lap").alias("race_laps"))
-    return per_driver.join(per_race, RACE)
+    return lap_facts(laps).drop("grid")
 
 
 def dnf_from_laps(last_lap: Column, race_laps: Column) -> Column:
@@ -72,10 +83,10 @@ def dnf_from_laps(last_lap: Column, race_laps: Column) -> Column:
     return F.coalesce(last_lap < race_laps * DNF_DISTANCE, F.lit(False))
 
 
-def build_results(results: DataFrame, laps: DataFrame, limit: int = MAX_GROUP_ROWS) -> DataFrame:
+def build_results(results: DataFrame, laps: DataFrame) -> DataFrame:
     """Rows of the raw results table."""
-    ordered = finish_from_order(results, limit).withColumn("driver_abbr", F.col("Abbreviation"))
-    joined = ordered.join(grid_from_lap1(laps), ENTRY, "left").join(laps_driven(laps), ENTRY, "left")
+    ordered = finish_from_order(results).withColumn("driver_abbr", F.col("Abbreviation"))
+    joined = ordered.join(lap_facts(laps), ENTRY, "left")
     dnf = dnf_from_status(F.col("Status")) | dnf_from_laps(F.col("last_lap"), F.col("race_laps"))
     finish = F.col("finish_order")
     return joined.withColumn("is_dnf", dnf).select(

@@ -84,9 +84,8 @@ def day(text):
     return None if text is None else dt.date.fromisoformat(text)
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 1])
-def test_mutually_exclusive_ranges(frame, limit):
-    check = lambda *a, **k: checks.mutually_exclusive_ranges(*a, limit=limit, **k)
+def test_mutually_exclusive_ranges(frame):
+    check = checks.mutually_exclusive_ranges
     joined = frame([(0, 1), (1, 2), (2, 4)], "lower_bound int, upper_bound int")
     assert passes(check(joined, "lower_bound", "upper_bound", gaps="not_allowed"))
     assert check(joined, "lower_bound", "upper_bound", gaps="required").count() == 2
@@ -169,15 +168,14 @@ def test_relationships_where(frame):
     assert rows(checks.relationships_where(child, "id", parent, "id", to_condition="id > 1")) == [(1,), (4,)]
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 1])
-def test_sequential_values(frame, limit):
+def test_sequential_values(frame):
     df = frame([(1, 2), (1, 4), (1, 6), (2, 8), (2, 10)], "col_a int, even int")
-    assert passes(checks.sequential_values(df, "even", 2, limit=limit))
-    assert passes(checks.sequential_values(df, "even", 2, group_by=["col_a"], limit=limit))
-    assert rows(checks.sequential_values(df.where("even <> 6"), "even", 2, limit=limit)) == [(8, 4)]
+    assert passes(checks.sequential_values(df, "even", 2))
+    assert passes(checks.sequential_values(df, "even", 2, group_by=["col_a"]))
+    assert rows(checks.sequential_values(df.where("even <> 6"), "even", 2)) == [(8, 4)]
     hours = frame([(dt.datetime(2021, 1, 1, h),) for h in range(5)], "at timestamp_ntz")
-    assert passes(checks.sequential_values(hours, "at", 1, datepart="hour", limit=limit))
-    assert checks.sequential_values(hours, "at", 2, datepart="hour", limit=limit).count() == 4
+    assert passes(checks.sequential_values(hours, "at", 1, datepart="hour"))
+    assert checks.sequential_values(hours, "at", 2, datepart="hour").count() == 4
 
 
 def test_uniqueness(frame):

@@ -1,4 +1,4 @@
-"""The split path for huge groups gives the same rows as one window per group."""
+"""Chunked computations give the rows of one window per group, with the same bits however groups are cut."""
 
 import random
 
@@ -10,57 +10,87 @@ from paddock.operators import ordered
 
 KEYS = ["k"]
 ORDER = ["t", "id"]
+GRAINS = (0, 1, 8, 64)
 
 
 @pytest.fixture(scope="module")
-def skewed(frame):
-    """A third of the rows in one group, a NULL group, ties in ``t`` and NULL values."""
+def skewed(spark, frame):
+    """A third of the rows in one group, a NULL group, ties in ``t`` and NULL values; partitions are not merged."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     rng = random.Random(7)
     keys = ["hot"] * 200 + [None] * 60 + [f"k{rng.randrange(40)}" for _ in range(340)]
-    data = [(k, rng.randrange(50), i, None if i % 11 == 0 else float(rng.randrange(30))) for i, k in enumerate(keys)]
-    return frame(data, "k string, t int, id int, v double").repartition(5).cache()
+    data = [
+        (k, None if i % 37 == 0 else rng.randrange(50) - 9, i, None if i % 11 == 0 else rng.random() * 30, f"n{rng.randrange(99)}")
+        for i, k in enumerate(keys)
+    ]
+    yield frame(data, "k string, t int, id int, v double, s string").repartition(5).cache()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
-def both(function, df, *args, **kwargs):
-    return [rows(function(df, *args, limit=n, **kwargs)) for n in (10_000, 25)]
+def exact(df):
+    """Rows with all bits of doubles."""
+    return sorted((tuple(v.hex() if isinstance(v, float) else v for v in r) for r in df.collect()), key=repr)
 
 
-def test_hot_groups(skewed):
-    assert not ordered.needs_split(skewed, KEYS, 10_000)
-    assert ordered.needs_split(skewed, KEYS, 50)
-    assert rows(ordered.hot_groups(skewed, KEYS, 50)) == [("hot", 200), (None, 60)]
+def at_all_grains(function, *args, **kwargs):
+    """Rows that are the same at every grain."""
+    got = [exact(function(*args, grain=grain, **kwargs)) for grain in GRAINS]
+    assert all(g == got[0] for g in got)
+    return function(*args, **kwargs)
 
 
-def test_hot_groups_by_sample(spark):
-    df = spark.range(300_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 500).alias("k"))
-    found = rows(ordered.hot_groups(df, KEYS, 20_000))
-    assert [k for k, _ in found] == [-1] and abs(found[0][1] - 100_000) < 10_000
-    assert ordered.needs_split(df, [], 20_000) and not ordered.needs_split(df, KEYS, 300_000)
-    want = rows(df.groupBy("k").agg(F.median("k").alias("m")))
-    assert rows(ordered.exact_median(df.withColumn("v", F.col("k")), KEYS, "v", "m", 20_000)) == want
+def sorts(order):
+    return [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in order]
+
+
+@pytest.mark.parametrize("order", [["t", "id"], ["-t", "-id"], ["s", "id"], ["-s", "id"]])
+def test_groups_are_cut_in_order(skewed, order):
+    base, chunk_order, group = ordered._chunked(skewed, KEYS, order, 8)
+    chunk = F.col(f"{ordered.KEY}._c0")
+    assert base.where("k = 'hot'").select(chunk).distinct().count() > 4
+    assert ordered._chunked(skewed, KEYS, order, 0)[0].where("k = 'hot'").select(chunk).distinct().count() <= 2
+    # in the order of the rows no chunk comes back
+    n = F.row_number().over(W.partitionBy("k").orderBy(*sorts(order)))
+    c = F.dense_rank().over(W.partitionBy("k").orderBy(*chunk_order))
+    placed = base.withColumns({"n": n, "c": c})
+    back = placed.withColumn("before", F.lag("c").over(W.partitionBy("k").orderBy("n"))).where("before > c")
+    assert back.isEmpty()
 
 
 @pytest.mark.parametrize("past_only", [False, True])
 @pytest.mark.parametrize("keys", [KEYS, []])
 def test_running(skewed, keys, past_only):
     sums = {"total": F.col("v"), "n": F.lit(1)}
-    plain, split = both(ordered.running, skewed, keys, ORDER, sums, past_only=past_only)
-    assert plain == split
+    got = at_all_grains(ordered.running, skewed, keys, ORDER, sums, past_only=past_only)
+    frame = W.partitionBy(*keys).orderBy(*sorts(ORDER)).rowsBetween(W.unboundedPreceding, -1 if past_only else 0)
+    assert rows(got) == rows(skewed.withColumns({n: F.sum(c).over(frame) for n, c in sums.items()}))
+
 
+@pytest.mark.parametrize("order", [["t", "id"], ["-t", "-id"], ["-s", "id"], ["v", "id"], ["-v", "id"]])
+def test_numbered(skewed, order):
+    want = F.row_number().over(W.partitionBy("k").orderBy(*sorts(order))).cast("long")
+    assert rows(at_all_grains(ordered.numbered, skewed, KEYS, order, "nth")) == rows(skewed.withColumn("nth", want))
 
-def test_numbered_descending(skewed):
-    plain, split = both(ordered.numbered, skewed, KEYS, [F.desc("t"), F.desc("id")], "nth")
-    assert plain == split
-    want = F.row_number().over(W.partitionBy("k").orderBy(F.desc("t"), F.desc("id"))).cast("long")
-    assert plain == rows(skewed.withColumn("nth", want))
+
+def test_order_types(spark):
+    df = spark.range(300).selectExpr(
+        "id % 2 AS k", "id", "id % 3 = 0 AS flag", "date_add(DATE '2020-01-01', CAST(id * 7919 % 900 AS INT)) AS d",
+        "timestamp_seconds(1.6e9 + id * 7919 % 9000000) AS ts", "CAST(id * 7919 % 1000 - 500 AS DECIMAL(9, 2)) AS n",
+        "CASE WHEN id % 50 = 0 THEN double('NaN') WHEN id % 51 = 0 THEN double('-Infinity') ELSE 1e12 / (id - 150.5) END AS x",
+    )
+    for first in ("flag", "d", "ts", "n", "x", "-d", "-ts", "-x", "-flag"):
+        order = [first, "-x", "id"] if "flag" in first else [first, "id"]
+        want = F.row_number().over(W.partitionBy("k").orderBy(*sorts(order))).cast("long")
+        assert rows(ordered.numbered(df, ["k"], order).select("id", "row_number")) == rows(df.select("id", want))
 
 
 @pytest.mark.parametrize("offset", [1, -1])
 @pytest.mark.parametrize("keys", [KEYS, []])
 def test_shifted(skewed, keys, offset):
     values = {"other": F.col("v"), "other_t": F.col("t")}
-    plain, split = both(ordered.shifted, skewed, keys, ORDER, values, offset=offset)
-    assert plain == split
+    got = at_all_grains(ordered.shifted, skewed, keys, ORDER, values, offset=offset)
+    frame = W.partitionBy(*keys).orderBy(*sorts(ORDER))
+    assert rows(got) == rows(skewed.withColumns({n: F.lag(c, offset).over(frame) for n, c in values.items()}))
 
 
 def test_shifted_rejects_other_offsets(skewed):
@@ -71,58 +101,41 @@ def test_shifted_rejects_other_offsets(skewed):
 @pytest.mark.parametrize("preceding", [1, 6])
 def test_rolling(skewed, preceding):
     aggregates = {"mean": F.avg("v"), "spread": F.stddev("v"), "n": F.count("v")}
-    plain, split = both(ordered.rolling, skewed, KEYS, ORDER, preceding, aggregates)
-    assert plain == split
+    frame = W.partitionBy("k").orderBy(*sorts(ORDER)).rowsBetween(-preceding, -1)
+    want = exact(skewed.withColumns({n: c.over(frame) for n, c in aggregates.items()}))
+    for block in (7, 25, 100_000):
+        assert exact(ordered.rolling(skewed, KEYS, ORDER, preceding, aggregates, block)) == want
 
 
+@pytest.mark.parametrize("by", ["t", "v"])
 @pytest.mark.parametrize("descending", [True, False])
-def test_ranked(skewed, descending):
-    direction = F.desc("t") if descending else F.asc("t")
+def test_ranked(skewed, descending, by):
+    direction = F.desc(by) if descending else F.asc(by)
     want = rows(skewed.withColumn("place", F.rank().over(W.partitionBy("k").orderBy(direction)).cast("long")))
-    for limit in (5, 80, 10_000):
-        assert rows(ordered.ranked(skewed, KEYS, "t", "place", descending, limit)) == want
-
-
-def test_ranked_null_value(skewed):
-    want = rows(skewed.withColumn("place", F.rank().over(W.partitionBy("k").orderBy(F.desc("v"))).cast("long")))
-    assert rows(ordered.ranked(skewed, KEYS, "v", "place", limit=5)) == want
+    assert rows(at_all_grains(ordered.ranked, skewed, KEYS, by, "place", descending)) == want
 
 
 def test_medians(skewed):
     want = rows(skewed.groupBy("k").agg(F.median("v").alias("mid")))
-    assert rows(ordered.group_median(skewed, KEYS, "v", "mid")) == want
-    for limit in (10, 10_000):
-        assert rows(ordered.exact_median(skewed, KEYS, "v", "mid", limit)) == want
+    assert rows(at_all_grains(ordered.exact_median, skewed, KEYS, "v", "mid")) == want
+    every = rows(skewed.withColumn("mid", F.median("v").over(W.partitionBy("k"))))
+    assert rows(ordered.with_median(skewed, KEYS, "v", "mid")) == every
 
 
 def test_median_of_nulls(frame):
     df = frame([("a", None), ("b", 1.0), ("b", 4.0)], "k string, v double")
-    assert rows(ordered.group_median(df, KEYS, "v", "mid")) == [("a", None), ("b", 2.5)]
-
-
-def test_with_median(skewed):
-    plain, split = both(ordered.with_median, skewed, KEYS, "v", "mid")
-    assert plain == split
-
-
-def test_join_salted(skewed):
-    spread = F.when(F.col("k") == "hot", 7).otherwise(1).alias("pieces")
-    per_key = skewed.groupBy("k").agg(F.max("t").alias("top"))
-    want = rows(ordered.join_null_safe(skewed, per_key, KEYS, "inner"))
-    got = ordered.join_salted(skewed.select("*", spread), per_key.select("*", spread), KEYS, "pieces")
-    assert rows(got.select("k", "t", "id", "v", "top")) == want
-
-
-def test_chunks_cover_all_rows_in_order(spark, skewed):
-    """With enough partitions a huge group is spread over several chunks, in order."""
-    conf = "spark.sql.adaptive.coalescePartitions.enabled"
-    spark.conf.set(conf, "false")
-    try:
-        base = ordered.chunked(skewed, KEYS, ORDER).cache()
-    finally:
-        spark.conf.unset(conf)
-    assert base.count() == skewed.count()
-    spans = base.where("k = 'hot'").groupBy(ordered.CHUNK).agg(F.min("t"), F.max("t"), F.count("*"))
-    ordered_spans = sorted(tuple(r) for r in spans.collect())
-    assert len(ordered_spans) > 1
-    assert all(a[2] <= b[1] for a, b in zip(ordered_spans, ordered_spans[1:]))
+    assert rows(ordered.exact_median(df, KEYS, "v", "mid")) == [("a", None), ("b", 2.5)]
+
+
+def test_nothing_goes_to_one_task_and_nothing_runs_early(spark, skewed):
+    plan = ordered.shifted(skewed, [], ["t"], {"x": F.col("t")})._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    ordered.with_median(ordered.running(skewed, KEYS, ORDER, {"s": F.col("v")}), KEYS, "v", "mid")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+
+
+def test_sums_that_do_not_fit_raise(frame):
+    df = frame([("a", 1, 1e30)], "k string, t int, v double")
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        ordered.running(df, KEYS, ["t"], {"s": F.col("v")}).collect()
