@@ -27,7 +27,7 @@ KEYS = {
 
 # All numbers in the message are floats; reading 1.0 as int or boolean would give NULL.
 LAP_EVENT = (
-    "race_id double, race_name string, driver_abbr string, lap_number double, lap_time_sec double, "
+    "season double, race_id double, race_name string, driver_abbr string, lap_number double, lap_time_sec double, "
     "sector1_sec double, sector2_sec double, sector3_sec double, is_personal_best double, "
     "event_id string, event_timestamp timestamp"
 )

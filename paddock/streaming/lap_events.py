@@ -8,22 +8,24 @@ from pyspark.sql.streaming import StreamingQuery
 
 from paddock.functions.scalars import surrogate_key, to_seconds
 from paddock.schemas import LAP_EVENT
+from paddock.sources.sinks import materialize_table
 
-EVENT_CAP = 500
 WRITE_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timeZone": "UTC", "ignoreNullFields": "false"}
 # A sender may leave out the fraction when it is zero.
 READ_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", "timeZone": "UTC"}
 
 
-def lap_event_projection(laps: DataFrame, races: DataFrame, cap: int | None = EVENT_CAP) -> DataFrame:
-    """Laps with their race in seconds, ordered by race, lap and driver, at most ``cap`` of them.
+def lap_event_projection(laps: DataFrame, races: DataFrame, cap: int | None = None) -> DataFrame:
+    """Laps with their race, in seconds; a round number counts within its season.
 
-    With a cap Spark keeps the first rows per task and merges them; no full sort. Without
-    one, rows are not ordered.
+    With a ``cap`` only the first laps by season, race, lap and driver are given: Spark keeps
+    the first rows per task and merges them, without a full sort. Without one, rows are not
+    ordered.
     """
     named = races.select("season", "round_number", "race_name")
     seconds = {"lap_time_sec": "lap_time_ms", **{f"sector{i}_sec": f"sector{i}_ms" for i in (1, 2, 3)}}
     events = laps.join(named, ["season", "round_number"]).select(
+        "season",
         F.col("round_number").alias("race_id"),
         "race_name",
         "driver_abbr",
@@ -31,7 +33,7 @@ def lap_event_projection(laps: DataFrame, races: DataFrame, cap: int | None = EV
         *[to_seconds(F.col(ms), 3).alias(name) for name, ms in seconds.items()],
         "is_personal_best",
     )
-    return events if cap is None else events.orderBy("race_id", "lap_number", "driver_abbr").limit(cap)
+    return events if cap is None else events.orderBy("season", "race_id", "lap_number", "driver_abbr").limit(cap)
 
 
 def _numbers_as_double(df: DataFrame) -> list[Column]:
@@ -57,11 +59,18 @@ def send_to_kafka(messages: DataFrame, servers: str, topic: str, **options: str)
     sink.options(**options).save()
 
 
-def parse_events(messages: DataFrame) -> DataFrame:
-    """Typed events from ``value``; messages that are no event are dropped."""
+def _parsed(messages: DataFrame) -> DataFrame:
+    """``value`` and the event in it, NULL where there is none."""
     event = F.from_json(F.col("value").cast("string"), LAP_EVENT, READ_OPTIONS)
-    return messages.select(event.alias("e")).select("e.*").where(F.col("event_id").isNotNull()).withColumns(
+    return messages.select("value", event.alias("e")).select(
+        "value", F.when(F.col("e.event_id").isNotNull(), F.col("e")).alias("e")
+    )
+
+
+def _typed(events: DataFrame) -> DataFrame:
+    return events.withColumns(
         {
+            "season": F.col("season").cast("int"),
             "race_id": F.col("race_id").cast("int"),
             "lap_number": F.col("lap_number").cast("int"),
             "is_personal_best": F.col("is_personal_best").cast("boolean"),
@@ -69,26 +78,41 @@ def parse_events(messages: DataFrame) -> DataFrame:
     )
 
 
+def parse_events(messages: DataFrame) -> DataFrame:
+    """Typed events from ``value``; what is no event is given by ``broken_messages``."""
+    return _typed(_parsed(messages).where("e IS NOT NULL").select("e.*"))
+
+
+def broken_messages(messages: DataFrame) -> DataFrame:
+    """The ``value`` of messages that hold no event: no JSON, or no event id."""
+    return _parsed(messages).where("e IS NULL").select("value")
+
+
 def read_kafka(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
     """Events of a topic from the earliest offset; needs the Kafka connector on the class path."""
     source = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
     return parse_events(source.option("startingOffsets", "earliest").options(**options).load())
 
 
-def read_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Events from a folder of text files with one JSON message per line."""
+def read_messages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Messages from a folder of text files with one JSON message per line."""
     source = spark.readStream.format("text")
     if max_files is not None:
         source = source.option("maxFilesPerTrigger", str(max_files))
-    return parse_events(source.load(path))
+    return source.load(path)
+
+
+def read_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Events from a folder of text files with one JSON message per line."""
+    return parse_events(read_messages(spark, path, max_files))
 
 
 def deduplicated(events: DataFrame, delay: str | None) -> DataFrame:
     """Events with a new id.
 
     With a ``delay`` ids are kept for that much event time, so the state stays bounded, and
-    events that arrive later than that behind the newest one are dropped. None keeps every
-    id and every event; the state then grows with the stream.
+    events that arrive later than that behind the newest one are dropped; ``intake`` keeps
+    them. None keeps every id and every event; the state then grows with the stream.
     """
     if delay is None:
         return events.dropDuplicates(["event_id"])
@@ -99,6 +123,7 @@ def sink_columns(events: DataFrame) -> DataFrame:
     """Columns of the event table."""
     return events.select(
         "event_id",
+        "season",
         "race_id",
         "race_name",
         F.col("driver_abbr").alias("driver_code"),
@@ -119,3 +144,60 @@ def event_sink(events: DataFrame, path: str, checkpoint: str, trigger: dict | No
     """
     writer = sink_columns(events).writeStream.format("parquet").outputMode("append").option("path", path)
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+OUTPUTS = ("events", "late", "broken")
+
+
+def intake(messages: DataFrame, path: str, checkpoint: str, delay: str, trigger: dict | None = None) -> StreamingQuery:
+    """Take in messages without losing any: new events, late ones and broken ones, a table each below ``path``.
+
+    An event is stored once by its id. An event more than ``delay`` behind the newest one
+    of earlier batches goes to ``late``, repeated or not, since ids are compared with stored
+    events of the last ``delay`` only (days of events are folders, so no more is read). A batch writes
+    folders of its own number, so a batch that is run again replaces what it wrote.
+    """
+
+    def store(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        parsed = materialize_table(_parsed(batch), label="batch")
+        parsed.where("e IS NULL").select("value").write.mode("overwrite").parquet(f"{path}/broken/batch={number}")
+        newest = _newest(spark, path, number)
+        events = sink_columns(_typed(parsed.where("e IS NOT NULL").select("e.*")))
+        if newest is None:
+            events.limit(0).write.mode("overwrite").parquet(f"{path}/late/batch={number}")
+            fresh = events
+        else:
+            bound = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+            in_time = F.coalesce(F.col("event_timestamp") >= bound, F.lit(True))
+            events.where(~in_time).write.mode("overwrite").parquet(f"{path}/late/batch={number}")
+            stored = spark.read.parquet(f"{path}/events").where(
+                (F.col("batch") < number) & (F.col("day") >= F.to_date(bound)) | F.col("day").isNull()
+            )
+            fresh = events.where(in_time).join(stored.select("event_id"), "event_id", "left_anti")
+        dated = fresh.dropDuplicates(["event_id"]).withColumn("day", F.to_date("event_timestamp"))
+        dated.write.mode("overwrite").partitionBy("day").parquet(f"{path}/events/batch={number}")
+        top = events.agg(F.max("event_timestamp").alias("newest"))
+        top.write.mode("overwrite").parquet(f"{path}/progress/batch={number}")
+
+    writer = messages.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def _newest(spark: SparkSession, path: str, number: int) -> str | None:
+    """Newest event time of the batches before this one; one row per batch is read."""
+    if number == 0:
+        return None
+    seen = spark.read.parquet(f"{path}/progress").where(F.col("batch") < number)
+    return seen.agg(F.max("newest").cast("string")).first()[0]
+
+
+def read_intake(spark: SparkSession, path: str, output: str) -> DataFrame:
+    """One of the tables ``intake`` writes: ``events``, ``late`` or ``broken``."""
+    if output not in OUTPUTS:
+        raise ValueError(f"output must be one of {OUTPUTS}")
+    kinds = {"broken": "value string"}
+    sink = "event_id string, season int, race_id int, race_name string, driver_code string, lap_number int, " \
+        "lap_time_sec double, sector1_sec double, sector2_sec double, sector3_sec double, " \
+        "is_personal_best boolean, event_timestamp timestamp"
+    return spark.read.schema(kinds.get(output, sink)).parquet(f"{path}/{output}")

@@ -28,13 +28,21 @@ def projection(frame):
 def test_projection(projection):
     first = [tuple(r) for r in projection(3).collect()]
     assert first == [
-        (1, "One", "HAM", 1, 91.235, 30.1, None, 30.9, True),
-        (1, "One", "VER", 1, 91.235, 30.1, None, 30.9, True),
-        (1, "One", "HAM", 2, 91.235, 30.1, None, 30.9, False),
+        (2025, 1, "One", "HAM", 1, 91.235, 30.1, None, 30.9, True),
+        (2025, 1, "One", "VER", 1, 91.235, 30.1, None, 30.9, True),
+        (2025, 1, "One", "HAM", 2, 91.235, 30.1, None, 30.9, False),
     ]
     assert projection(None).count() == 12
 
 
+def test_no_event_is_left_out_by_default(frame):
+    laps = frame([(s, 1, 'A', n, 9e4, None, None, None, 'S', 1, False, None) for s in (2024, 2025) for n in range(400)], schemas.LAP_TIMES)
+    races = frame([(s, 1, 'One', '', '', None, None) for s in (2024, 2025)], schemas.RACES)
+    assert lap_events.lap_event_projection(laps, races).count() == 800
+    cut = lap_events.lap_event_projection(laps, races, 3).collect()
+    assert [(r.season, r.lap_number) for r in cut] == [(2024, 0), (2024, 1), (2024, 2)]
+
+
 def test_message_types(projection):
     message = json.loads(lap_events.to_event(projection(1)).first()["value"])
     assert message["lap_number"] == 1.0 and isinstance(message["lap_number"], float)
@@ -83,3 +91,61 @@ def test_parse_foreign_messages(spark):
     assert (row.race_id, row.lap_number, row.is_personal_best, row.sector1_sec) == (1, 3, True, None)
     stamps = rows(got.select(F.date_format("event_timestamp", "HH:mm:ss.SSSSSS")))
     assert stamps == [("00:00:00.123456",), ("00:00:01.000000",)]
+
+
+def test_intake_loses_nothing(spark, projection, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    key = ["race_id", "driver_abbr", "lap_number"]
+    at = lambda text: F.lit(text).cast("timestamp")
+    every = projection(None)
+    messages = lap_events.to_event(every, key, at=at("2025-01-10 10:00:00"))
+    near = lap_events.to_event(every.withColumn("lap_number", F.col("lap_number") + 50), key, at=at("2025-01-09 23:00:00"))
+    old = lap_events.to_event(every.withColumn("lap_number", F.col("lap_number") + 90), key, at=at("2025-01-01 10:00:00"))
+    noise = spark.createDataFrame([("not json",), ("{}",), (None,)], "value string")
+    count = lambda name: lap_events.read_intake(spark, out, name).count()
+
+    def run(frame):
+        frame.write.mode("append").text(source)
+        lap_events.intake(lap_events.read_messages(spark, source), out, checkpoint, "1 day").awaitTermination()
+        return [count(name) for name in lap_events.OUTPUTS]
+
+    assert run(messages.unionAll(messages.limit(4)).unionAll(noise)) == [12, 0, 3]
+    assert run(messages.limit(5).unionAll(near).unionAll(old)) == [24, 12, 3]
+    assert run(near.unionAll(old.limit(1)).unionAll(noise.limit(1))) == [24, 13, 4]
+    ids = lap_events.read_intake(spark, out, "events").select("event_id")
+    assert ids.distinct().count() == 24
+    with pytest.raises(ValueError):
+        lap_events.read_intake(spark, out, "other")
+
+
+def test_broken_messages(spark):
+    lines = spark.createDataFrame([("{broken",), ("{}",), (None,), ('{"event_id": "a"}',)], "value string")
+    assert rows(lap_events.broken_messages(lines)) == sorted([("{broken",), ("{}",), (None,)], key=repr)
+    assert lap_events.parse_events(lines).count() == 1
+
+
+def test_kafka_options(monkeypatch):
+    """The connector is not here; what is asked of it is checked instead."""
+    asked = {}
+
+    class Source:
+        def format(self, name):
+            asked["format"] = name
+            return self
+
+        def option(self, key, value):
+            asked[key] = value
+            return self
+
+        def options(self, **more):
+            asked.update(more)
+            return self
+
+        def save(self):
+            asked["saved"] = True
+
+    class Frame:
+        write = Source()
+
+    lap_events.send_to_kafka(Frame(), "host:9092", "laps", acks="all")
+    assert asked == {"format": "kafka", "kafka.bootstrap.servers": "host:9092", "topic": "laps", "acks": "all", "saved": True}
