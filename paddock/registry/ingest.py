@@ -19,10 +19,19 @@ RACE = staging.RACE
 # --- session frames over events -----------------------------------------------------------
 
 
+# Fixed values of the oracle: words in a status that mean the car did not finish.
+_STATUS_WORDS = (
+    "Retired", "Accident", "Collision", "Mechanical", "Engine", "Gearbox", "Hydraulic", "Electrical", "Spin", "Damage",
+    "Puncture", "Brake", "Withdrew", "Disqualified", "DNS", "DNF", "Not Classified",
+)
+_STATUS_LIST = ", ".join(f"'{word}'" for word in _STATUS_WORDS)
+
+
 def results_frame(spark: SparkSession, sf: str) -> DataFrame:
     """Results as a session delivers them, with the finishing order as ``result_order``."""
     user = F.regexp_extract("driver_abbr", r"\d+", 0).cast("long")
     place = F.col("finish_position").cast("long")
+    words = F.array(*[F.lit(w) for w in _STATUS_WORDS])
     return race_view.results(spark, sf).select(
         *RACE,
         (place * 10).alias("result_order"),
@@ -30,7 +39,10 @@ def results_frame(spark: SparkSession, sf: str) -> DataFrame:
         F.when(user % 13 != 0, "Driver").alias("FirstName"),
         F.when(user % 19 != 0, user.cast("string")).alias("LastName"),
         F.when(user % 11 != 0, F.trim("team_name")).alias("TeamName"),
-        F.when(place % 9 == 0, "Collision damage")
+        F.when(
+            (user + F.col("season") + 5 * F.col("round_number")) % 2 == 0,
+            F.concat(F.lit("Lap: "), F.element_at(words, (1 + (user + 3 * F.col("round_number")) % 17).cast("int"))),
+        )
         .when(place % 7 == 0, "+1 Lap")
         .when(place % 5 != 0, "Finished")
         .alias("Status"),
@@ -68,11 +80,13 @@ _SESSION = {
     SELECT season, round_number, driver_abbr, place, CASE WHEN u % 13 <> 0 THEN 'Driver' END AS first_name,
            CASE WHEN u % 19 <> 0 THEN CAST(u AS VARCHAR) END AS last_name,
            CASE WHEN u % 11 <> 0 THEN trim(team_name) END AS team,
-           CASE WHEN place % 9 = 0 THEN 'Collision damage' WHEN place % 7 = 0 THEN '+1 Lap'
+           CASE WHEN (u + season + 5 * round_number) % 2 = 0
+                THEN 'Lap: ' || list_extract([__WORDS__], CAST(1 + (u + 3 * round_number) % 17 AS INTEGER))
+                WHEN place % 7 = 0 THEN '+1 Lap'
                 WHEN place % 5 <> 0 THEN 'Finished' END AS session_status,
            CASE WHEN place % 3 <> 0 THEN points END AS session_points
     FROM (SELECT *, CAST(substr(driver_abbr, 2) AS BIGINT) AS u, CAST(finish_position AS BIGINT) AS place
-          FROM raw_results)""",
+          FROM raw_results)""".replace("__WORDS__", _STATUS_LIST),
     "grid": """
     SELECT season, round_number, driver_abbr, CAST(max((u * 7 + round_number) % 20 + 1) AS INTEGER) AS grid
     FROM (SELECT *, CAST(substr(driver_abbr, 2) AS BIGINT) AS u FROM raw_laps)
@@ -100,7 +114,7 @@ def src1(spark, sf):
     return catalog.read_raw(spark, root, "results").drop("loaded_at")
 
 
-_DNF = f"""(coalesce(regexp_matches(lower(session_status), '{"|".join(extract.DNF_WORDS)}'), false)
+_DNF = """(coalesce(starts_with(session_status, 'Lap: '), false)
        OR coalesce(last_lap < race_laps * 0.9::DOUBLE, false))"""
 
 
@@ -136,7 +150,7 @@ def src5(spark, sf):
 
 @query(
     "src6_dnf_from_status",
-    _session_sql("""SELECT session_status AS status, coalesce(session_status = 'Collision damage', false) AS dnf,
+    _session_sql("""SELECT session_status AS status, coalesce(starts_with(session_status, 'Lap: '), false) AS dnf,
     count(*) AS entries FROM session_results GROUP BY ALL"""),
 )
 def src6(spark, sf):
