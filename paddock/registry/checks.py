@@ -516,6 +516,27 @@ _ORACLE_NAME = {
 }
 
 
+# Fixed values of the oracle, one line per relation: columns without NULL | ranges, ends included | unique key.
+_DECLARED = """
+races: season round_number | | season,round_number
+results: driver_abbr round_number | |
+lap_times: driver_abbr lap_number | |
+stg_races: round_number | | season,round_number
+stg_results: driver_abbr round_number grid_position | |
+stg_lap_times: driver_abbr lap_time_seconds | |
+int_driver_cumulative_stats: driver_abbr round_number prev_cumulative_points dnf_rate | dnf_rate 0 1 |
+int_lap_analysis: driver_abbr round_number mean_lap_time | |
+int_driver_race_features: driver_abbr round_number grid_log top3_rate dnf_rate team_reliability | top3_rate 0 1, dnf_rate 0 1, team_reliability 0 1 |
+dim_drivers: driver_abbr driver_name current_team | | driver_abbr
+dim_teams: team_name reliability_rate | reliability_rate 0 1 | team_name
+dim_circuits: circuit_name country | circuit_dnf_rate 0 1 |
+fct_race_results: driver_abbr round_number season finish_position points | finish_position 1 30, points 0 25 |
+fct_championship_standings: driver_abbr round_number championship_position total_points | championship_position 1 30, total_points 0 1000 |
+fct_driver_performance: driver_abbr wins podiums avg_finish | wins 0 24, podiums 0 72, avg_finish 1 30 |
+fct_race_summary: round_number winner total_starters total_dnfs | total_starters 1 30, total_dnfs 0 30 | season,round_number
+"""
+
+
 def _declared_sql() -> str:
     parts = []
 
@@ -526,16 +547,16 @@ def _declared_sql() -> str:
         )
 
     name = lambda relation: _ORACLE_NAME.get(relation, relation)
-    for relation, columns in declared_checks.NOT_NULL.items():
-        for c in columns:
+    for line in _DECLARED.strip().splitlines():
+        relation, rest = line.split(":")
+        columns, ranges, key = (part.strip() for part in rest.split("|"))
+        for c in columns.split():
             add(relation, "not_null", c, f"SELECT count(*) FROM {name(relation)} WHERE {c} IS NULL")
-    for relation, ranges in declared_checks.RANGES.items():
-        for c, (low, high) in ranges.items():
+        for c, low, high in (r.split() for r in ranges.split(",") if r):
             add(relation, "accepted_range", c, f"SELECT count(*) FROM {name(relation)} WHERE {c} < {low} OR {c} > {high}")
-    for relation, keys in declared_checks.UNIQUE.items():
-        key = ",".join(keys)
-        groups = f"SELECT 1 FROM {name(relation)} GROUP BY {key} HAVING count(*) > 1"
-        add(relation, "unique", key, f"SELECT count(*) FROM ({groups})")
+        if key:
+            groups = f"SELECT 1 FROM {name(relation)} GROUP BY {key} HAVING count(*) > 1"
+            add(relation, "unique", key, f"SELECT count(*) FROM ({groups})")
     orphans = f"FROM stg_lap_times ANTI JOIN stg_results USING ({_ENTRY})"
     add("stg_lap_times", "no_orphan_laps", "", f"SELECT count(*) {orphans}")
     positions = "FROM stg_results WHERE finish_position < 1 OR finish_position > 30"
