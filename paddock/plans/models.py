@@ -10,7 +10,8 @@ from paddock.operators import scd
 from paddock.operators.suite import run_suite
 from paddock.plans import declared_checks, features, marts, staging
 from paddock.sources.catalog import read_raw
-from paddock.sources.sinks import materialize_table
+from paddock.session import remove, scratch_scope
+from paddock.sources.sinks import materialize_table, read_version, versions
 from paddock.sources.snapshots import write_snapshot
 
 MARTS = [
@@ -55,8 +56,26 @@ def build(raw_races: DataFrame, raw_results: DataFrame, raw_laps: DataFrame) ->
 
 
 def write_marts(relations: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
-    """The relations with the marts stored as tables below ``root``."""
-    return {n: materialize_table(df, f"{root}/{n}") if n in MARTS else df for n, df in relations.items()}
+    """The relations with the marts stored as new versions of tables below ``root``.
+
+    ``read_mart`` gives the newest version that is written in full, so a reader never meets
+    half a table; the version before it stays for readers that have begun, older ones go.
+    """
+    return {n: _new_version(df, f"{root}/{n}") if n in MARTS else df for n, df in relations.items()}
+
+
+def _new_version(df: DataFrame, path: str) -> DataFrame:
+    spark = df.sparkSession
+    known = versions(spark, path)
+    stored = materialize_table(df, f"{path}/version={known[-1] + 1 if known else 1}")
+    for old in known[:-1]:
+        remove(spark, f"{path}/version={old}")
+    return stored
+
+
+def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """Newest version of a mart below ``root``, None before the first."""
+    return read_version(spark, f"{root}/{name}")
 
 
 def refresh_snapshot(results: DataFrame, path: str, at: Column | None = None) -> DataFrame:
@@ -70,9 +89,10 @@ def refresh(spark: SparkSession, raw_root: str, root: str) -> dict[str, DataFram
     Gives ``checks``, ``snapshot`` and ``suite``; the marts are stored below ``root``.
     """
     raw = [read_raw(spark, raw_root, name) for name in ("races", "results", "lap_times")]
-    relations = write_marts(build(*raw), f"{root}/marts")
-    return {
-        "checks": materialize_table(declared_checks.run_checks(relations), f"{root}/checks"),
-        "snapshot": refresh_snapshot(relations["stg_results"], f"{root}/snapshots/driver_teams"),
-        "suite": materialize_table(run_suite(raw[1], declared_checks.RAW_RESULTS_SUITE), f"{root}/suite"),
-    }
+    with scratch_scope(spark):  # the shared parents are removed in the end
+        relations = write_marts(build(*raw), f"{root}/marts")
+        return {
+            "checks": materialize_table(declared_checks.run_checks(relations), f"{root}/checks"),
+            "snapshot": refresh_snapshot(relations["stg_results"], f"{root}/snapshots/driver_teams"),
+            "suite": materialize_table(run_suite(raw[1], declared_checks.RAW_RESULTS_SUITE), f"{root}/suite"),
+        }

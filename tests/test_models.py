@@ -298,7 +298,10 @@ def test_refresh(spark, raw_results, raw_laps, races, tmp_path):
     sinks.load_results(moved, raw)
     again = models.refresh(spark, raw, out)
     assert again["snapshot"].count() == 10
-    assert spark.read.parquet(f"{out}/marts/dim_drivers").where("current_team = 'T7'").count() == 1
+    assert models.read_mart(spark, f"{out}/marts", "dim_drivers").where("current_team = 'T7'").count() == 1
+    assert sinks.versions(spark, f"{out}/marts/dim_drivers") == [1, 2]
+    models.refresh(spark, raw, out)
+    assert sinks.versions(spark, f"{out}/marts/dim_drivers") == [2, 3]
 
 
 def test_upsert_reads_only_touched_partitions(spark, frame, tmp_path):
