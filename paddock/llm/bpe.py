@@ -33,8 +33,9 @@ _SPACES = re.compile(f"[{_SPACE}]+")
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
 #: Characters of a text that are worked on together; longer texts are cut at white space.
 PIECE = 1 << 19
-#: Entries of the young half of a cache of words; bounds memory, not results.
-CACHE = 200_000
+#: Entries of the young half of the caches of raw and of split words; they bound memory, not results.
+RAW_CACHE = 100_000
+CACHE = 350_000
 #: Longest word, in symbols, that is merged beside others; longer ones use a heap.
 SIDE_BY_SIDE = 32
 _ALONE = 0xFFFF
@@ -51,13 +52,14 @@ def _byte_characters() -> list[str]:
 class Cache:
     """Results by word in two halves: a full young half becomes the old one, words in use move on."""
 
-    def __init__(self) -> None:
+    def __init__(self, entries: int) -> None:
+        self.entries = entries
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def holding(self, words: set[str], make: Callable[[list[str]], dict[str, bytes]]) -> dict[str, bytes]:
         """A table that has all these words; ``make`` gives those not kept."""
-        if len(self.young) > CACHE:
+        if len(self.young) > self.entries:
             self.young, self.old = {}, self.young
         missing = words.difference(self.young)
         moved = {w: self.old[w] for w in missing if w in self.old}
@@ -103,8 +105,8 @@ class WordBpe:
         self.symbols: dict[int, list[int]] = {}
         self.pairs = np.zeros(0, np.uint32)
         self.fits = np.zeros(0, bool)
-        self.raw = Cache()
-        self.words = Cache()
+        self.raw = Cache(RAW_CACHE)
+        self.words = Cache(CACHE)
 
     # encoding
 
@@ -196,7 +198,9 @@ class WordBpe:
         return {w: flat[a:b] for w, a, b in zip(words, [0, *ends], ends)}
 
     def _mapped_word(self, word: str) -> str:
-        return (word if word.isascii() else word.encode().decode("latin-1")).translate(self.characters)
+        if word.isascii():
+            return word if word.isalpha() else word.translate(self.characters)
+        return word.encode().decode("latin-1").translate(self.characters)
 
     def _greedy(self, word: str) -> list[int]:
         whole = self.ending.get(word)

@@ -176,14 +176,20 @@ def links(prints: DataFrame, distance: int = DISTANCE, groups: int = GROUPS) ->
     return arrow_map(together, "a long, b long", verified)
 
 
+def _rooted(distinct: DataFrame, distance: int) -> DataFrame:
+    """print and root (a fingerprint that names the group) of distinct fingerprints."""
+    roots = smallest_reachable(links(distinct, distance)).withColumnRenamed("node", "print")
+    return distinct.select("print").join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
+
+
 def components(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """doc_id, print, root (a fingerprint that names the group) and component_id of each row."""
+    """doc_id, print, root and component_id of each row."""
     every = fingerprints(docs, shingle).checkpoint()  # the texts are read once
     distinct = every.groupBy("print").agg(F.min("doc_id").alias("first")).checkpoint()
-    roots = smallest_reachable(links(distinct, distance)).withColumnRenamed("node", "print")
-    rooted = distinct.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
+    rooted = _rooted(distinct, distance).join(distinct, "print")
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.select("print", "root").join(least, "root")
+    # dealt by root, so that the join deals both sides anew and Spark can split a fingerprint of very many rows
+    named = rooted.select("print", "root").join(least, "root").repartition("root")
     return every.join(named, "print")
 
 
@@ -214,11 +220,16 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
         for (whole,) in tuples:
             yield (_signed(fingerprint(whole, shingle)),)
 
-    found = components(docs, shingle, distance)
-    chosen = found.groupBy("root").agg(
-        F.min("component_id").alias("least"), F.count_if(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("equal")
-    )
-    named = found.select("print", "root").distinct().join(chosen, "root")
+    every = fingerprints(docs, shingle).checkpoint()
+    counted = every.groupBy("print", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "n")).alias("first")
+    firsts = counted.groupBy("print").agg(first).checkpoint()  # the smallest id of each fingerprint and its rows
+    rooted = _rooted(firsts, distance).join(firsts, "print").select("print", "root", "first.*")
+    equal = rooted.groupBy("root", "null", "doc_id").agg(F.sum("n").alias("n"))
+    chosen = equal.groupBy("root").agg(F.min(F.struct("null", "doc_id", "n")).alias("least"))
+    # dealt by root, so that the join deals both sides anew and Spark can split a fingerprint of very many rows
+    named = rooted.select("print", "root").join(chosen, "root").repartition("root")
+    named = named.select("print", "root", F.col("least.doc_id").alias("least"), F.col("least.n").alias("equal"))
     kept = arrow_extend(plain, [text], "print long", rows).join(named, "print").where(F.col(doc_id).eqNullSafe(F.col("least")))
     alone, repeated = kept.where("equal = 1"), kept.where("equal > 1").dropDuplicates(["root"])
     return alone.union(repeated).select(*plain.columns).toDF(*names)
