@@ -64,8 +64,20 @@ def key_collisions(df: DataFrame, fields: Sequence[str], nulls_as_empty: bool =
     return keyed.groupBy("surrogate_key").agg(F.count(F.lit(1)).alias("combinations")).where("combinations > 1")
 
 
-def width_bucket(value: Column, low: float, high: float, buckets: int) -> Column:
-    """Bucket 1..n of equal width, 0 below ``low`` and n + 1 from ``high`` on."""
+def width_bucket(value: Column, low: float, high: float, buckets: int, count_multiples: bool = False) -> Column:
+    """Bucket 1..n of equal width, 0 below ``low`` and n + 1 from ``high`` on.
+
+    With ``count_multiples`` as dialects without the function count: the rounded-up number of
+    widths above ``low``, at most n + 1, and one more for a multiple of the width. The two
+    agree inside buckets; they differ at edges where ``low`` is no multiple of the width, below
+    ``low`` (0 and less), and for multiples above ``high`` (n + 2).
+    """
+    if count_multiples:
+        width = (high - low) / buckets
+        exact = lambda c: c.cast("decimal(28, 10)")
+        on_multiple = (exact(value) % exact(F.lit(width)) == 0).cast("int")
+        widths = F.ceil((value.cast("double") - low) / width)
+        return on_multiple + F.least(widths, F.lit(buckets + 1).cast("long"))
     return F.width_bucket(value.cast("double"), F.lit(float(low)), F.lit(float(high)), F.lit(buckets))
 
 

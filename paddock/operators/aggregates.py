@@ -43,10 +43,11 @@ def pivot_columns(
     else_value: object = 0,
     quote_names: bool = True,
     distinct: bool = False,
+    alias: bool = True,
 ) -> list[Column]:
     """One conditional aggregate per value, for ``groupBy(...).agg(*...)``.
 
-    ``then_value`` and ``else_value`` may be columns. Without ``quote_names`` the column
+    Without ``alias`` the columns keep the names Spark gives the expressions. ``then_value`` and ``else_value`` may be columns. Without ``quote_names`` the column
     names are slugified. ``distinct`` works with sum and count.
     """
     lit = lambda v: v if isinstance(v, Column) else F.lit(v)
@@ -57,10 +58,8 @@ def pivot_columns(
             raise ValueError("distinct is supported for sum and count") from None
     name = (lambda v: f"{prefix}{v}{suffix}") if quote_names else (lambda v: slugify(f"{prefix}{v}{suffix}"))
     test = COMPARE[compare]
-    return [
-        agg(F.when(test(F.col(column), v), lit(then_value)).otherwise(lit(else_value))).alias(name(v))
-        for v in values
-    ]
+    cases = [agg(F.when(test(F.col(column), v), lit(then_value)).otherwise(lit(else_value))) for v in values]
+    return [case.alias(name(v)) if alias else case for case, v in zip(cases, values)]
 
 
 def pivot(df: DataFrame, keys: Sequence[str], column: str, values: Sequence, **options) -> DataFrame:

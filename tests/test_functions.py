@@ -113,3 +113,10 @@ def test_safe_arithmetic_matches_python(spark, data):
     for i, total, rest in got:
         a, b, c = (v or 0 for v in data[i])
         assert (total, rest) == (a + b + c, a - b - c)
+
+
+def test_width_bucket_by_multiples(frame):
+    """Edges as dialects without the function count them: low 1, high 11, 5 buckets of width 2."""
+    df = frame([(v,) for v in (0.5, 1.5, 2.0, 3.0, 4.0, 10.5, 11.5, 12.0)], "v double")
+    buckets = df.select("v", scalars.width_bucket(F.col("v"), 1, 11, 5, count_multiples=True))
+    assert rows(buckets) == sorted([(0.5, 0), (1.5, 1), (2.0, 2), (3.0, 1), (4.0, 3), (10.5, 5), (11.5, 6), (12.0, 7)], key=repr)

@@ -254,3 +254,9 @@ def test_joins(frame):
     counted = joins.aggregate_then_join(left, right, ["k"], [F.count("v").alias("n")])
     assert rows(counted) == [(1, 2), (2, None), (None, None)]
     assert rows(joins.compare_counts(left.where("k > 0"), right, ["k"])) == [(1, 1, 2), (2, 1, None), (3, None, 1)]
+
+
+def test_pivot_without_alias(frame):
+    df = frame([(1, "a"), (1, "b"), (1, "a")], "k int, c string")
+    got = aggregates.pivot(df, ["k"], "c", ["a", "b"], alias=False)
+    assert rows(got) == [(1, 2, 1)] and "a" not in got.columns
