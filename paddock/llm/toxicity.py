@@ -33,6 +33,8 @@ LEAST_LOG_ODDS = 2.5
 #: Rows of either label that a fit needs; with fewer every score is the share of toxic rows.
 LEAST_ROWS = 3
 THRESHOLD = 0.3
+#: Trees that are boosted.
+ROUNDS = 15
 STEMS = (4, 5, 6)
 
 # Words that address the reader, by language.
@@ -49,7 +51,7 @@ FEATURES = (
 )
 
 _WORD = re.compile(r"[^\W_]+")
-_OBFUSCATED = re.compile(r"[A-Za-z]+(?:[0-9@$*!]+[A-Za-z]+)+|(?<!\w)[A-Za-z](?:[ .*_-][A-Za-z]){3,}(?!\w)")
+_OBFUSCATED = re.compile(r"(?<![A-Za-z])[A-Za-z]++(?:[0-9@$*!]++[A-Za-z]++)+|(?<!\w)[A-Za-z](?:[ .*_-][A-Za-z]){3,}(?!\w)")
 _NOT_WORD = re.compile(r"[^\w@$!]|_")
 _BYTE_KIND = np.zeros(256, np.int64)
 _BYTE_KIND[65:91] = 1
@@ -204,7 +206,7 @@ def _margin(trees, featured: DataFrame) -> DataFrame:
     return trees.transform(vectors).withColumn("margin", vector_to_array("rawPrediction")[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS, rounds: int = ROUNDS) -> Model:
     """Fit on a sample of at most about ``bound`` labelled rows that are not held out."""
     sample = _sample(docs, labels, bound).checkpoint()
     counts = {(r.part, r.toxic): r["count"] for r in sample.groupBy("part", "toxic").count().collect()}
@@ -216,14 +218,16 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS) -> Model
     featured = _featured(sample, "text", lexicon, ["toxic", "part"]).checkpoint()
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(featured)
     trees = GBTClassifier(
-        labelCol="toxic", maxIter=15, maxDepth=4, stepSize=0.3, seed=7, minInstancesPerNode=5, maxMemoryInMB=64
+        labelCol="toxic", maxIter=rounds, maxDepth=4, stepSize=0.3, seed=7, minInstancesPerNode=5, maxMemoryInMB=64
     ).fit(vectors.where("part = 1").coalesce(4))
     margins = _margin(trees, featured.where("part = 2"))
     calibration = IsotonicRegression(labelCol="toxic", featuresCol="margin", predictionCol="score").fit(margins)
     return Model(lexicon, trees, calibration, share)
 
 
-def score(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS, threshold: float = THRESHOLD) -> DataFrame:
+def score(
+    docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS, threshold: float = THRESHOLD, rounds: int = ROUNDS
+) -> DataFrame:
     """doc_id, held_out, score and predicted of every row.
 
     Labels, language, source and id are no inputs of a score. Null and empty
@@ -231,14 +235,14 @@ def score(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS, thresh
     a null id is not held out; an empty table gives an empty one; without enough
     labels every score is the share of toxic rows. Other columns are not read.
     """
-    model = fit(docs, labels, bound)
+    model = fit(docs, labels, bound, rounds)
     scored = model.score(pick(docs, "doc_id", "text"), "text", ["doc_id"])
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def reject(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def reject(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
     """The rows that score below the threshold, all columns kept."""
-    model = fit(docs, labels)
+    model = fit(docs, labels, rounds=rounds)
     names = docs.columns
     plain = numbered(docs)
     scored = model.score(plain, f"_{names.index('text')}", plain.columns)

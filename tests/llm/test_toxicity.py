@@ -28,7 +28,7 @@ def test_held_out_accuracy_and_cases(spark, docs, odd_texts):
     odd = [(10_000 + i, t) for i, t in enumerate(odd_texts)] + [(None, "you"), (3, pairs[3][1])]
     # a null id or label, a repeated label and a foreign id teach nothing
     table = spark.createDataFrame([*labels, (None, 1, 1), (4, 1, None), (5, 1, labels[5][2]), (77_777, 0, 1)], LABELS)
-    got = toxicity.score(docs(pairs + odd, clash=True), table).collect()
+    got = toxicity.score(docs(pairs + odd, clash=True), table, rounds=4).collect()
     assert len(got) == len(pairs) + len(odd)
     truth = {i: t for i, _, t in labels}
     held = [r for r in got if r.held_out and r.doc_id in truth]
@@ -37,7 +37,7 @@ def test_held_out_accuracy_and_cases(spark, docs, odd_texts):
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3)
         assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
     assert len({r.score for r in got if r.doc_id == 3}) == 1
-    kept = toxicity.reject(docs(pairs + odd, clash=True), table)
+    kept = toxicity.reject(docs(pairs + odd, clash=True), table, rounds=4).cache()
     assert kept.columns == ["doc_id", "text", "TEXT", "spans", "score"]
     assert kept.count() == sum(r.score < 0.3 for r in got)
 
@@ -46,7 +46,7 @@ def test_held_out_labels_are_never_read(spark, docs):
     pairs, labels = _corpus(200, 2)
     turned = [(i, q, 1 - t if zlib.crc32(str(i).encode()) % 4 == 2 else t) for i, q, t in labels]
     scores = [
-        sorted((r.doc_id, r.score) for r in toxicity.score(docs(pairs), spark.createDataFrame(x, LABELS)).collect())
+        sorted((r.doc_id, r.score) for r in toxicity.score(docs(pairs), spark.createDataFrame(x, LABELS), rounds=2).collect())
         for x in (labels, turned)
     ]
     assert scores[0] == scores[1]
