@@ -11,10 +11,10 @@ from paddock.operators.ordered import shifted
 from paddock.operators.topk import latest_per_key
 
 # Names of the snapshot columns.
-SCD_ID = "dbt_scd_id"
-UPDATED_AT = "dbt_updated_at"
-VALID_FROM = "dbt_valid_from"
-VALID_TO = "dbt_valid_to"
+SCD_ID = "scd_id"
+UPDATED_AT = "updated_at"
+VALID_FROM = "valid_from"
+VALID_TO = "valid_to"
 SNAPSHOT_COLUMNS = [SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO]
 
 

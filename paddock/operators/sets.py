@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from paddock.functions.scalars import as_text
 
 # Fixed value: default name of the column that holds the relation's name.
-SOURCE_COLUMN = "_dbt_source_relation"
+SOURCE_COLUMN = "source_relation"
 
 
 def union_relations(

@@ -347,13 +347,13 @@ def _snapshot_sql(hard_deletes: bool) -> str:
     vanished = f"TIMESTAMP '{_SECOND}'" if hard_deletes else "NULL"
     latest = "QUALIFY row_number() OVER (PARTITION BY driver_abbr ORDER BY season DESC, round_number DESC) = 1"
     version = (
-        "md5(driver_abbr || '|' || '{t}') AS dbt_scd_id, TIMESTAMP '{t}' AS dbt_updated_at, "
-        "TIMESTAMP '{t}' AS dbt_valid_from"
+        "md5(driver_abbr || '|' || '{t}') AS scd_id, TIMESTAMP '{t}' AS updated_at, "
+        "TIMESTAMP '{t}' AS valid_from"
     )
     return race_sql(f"""
     SELECT driver_abbr, b.team_name, b.driver_name, {version.format(t=_FIRST)},
            CAST(CASE WHEN a.team_name IS NULL THEN {vanished} WHEN a.team_name <> b.team_name THEN TIMESTAMP '{_SECOND}'
-                END AS TIMESTAMP) AS dbt_valid_to
+                END AS TIMESTAMP) AS valid_to
     FROM (SELECT driver_abbr, team_name, driver_name FROM stg_results WHERE season = 2023 {latest}) AS b
     LEFT JOIN (SELECT driver_abbr, team_name FROM stg_results WHERE CAST(substr(driver_abbr, 2) AS BIGINT) % 10 <> 3
                {latest}) AS a USING (driver_abbr)

@@ -493,7 +493,7 @@ def top6(spark, sf):
 
 @query(
     "set1_union_relations",
-    "SELECT 'customer' AS _dbt_source_relation, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation, "
+    "SELECT 'customer' AS source_relation, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation, "
     "c_mktsegment AS segment, CAST(NULL AS DOUBLE) AS balance FROM customer UNION ALL "
     "SELECT 'supplier', s_name, CAST(s_nationkey AS VARCHAR), NULL, s_acctbal FROM supplier",
 )
