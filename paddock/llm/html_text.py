@@ -1,10 +1,12 @@
 """Main text of web pages by block rules in two passes.
 
-First pass: every block is decided by its place (menus, footers, forms and the
-like are boilerplate, an article element is the article), or by stop-word
-density, length and link density. Second pass: short blocks that stayed open
-take the label of the nearest decided neighbours. The stop words are those of a
-fixed list per language; a page is measured against the best of them.
+First pass: stop-word density, length and link density decide every block that
+does not stand in a menu, footer, form or the like, or under a class or id of such
+a name. Second pass: blocks that stayed open belong to the
+article element they stand in if that holds text of the first pass (or nothing
+does); others take the label of the nearest decided neighbours. The stop words
+are those of a fixed list per language; where a page fits none of them, length
+and link density decide alone.
 """
 
 from __future__ import annotations
@@ -26,13 +28,19 @@ STOP_WORDS = {
     "fr": "le la les de des du et en un une est pour que qui dans par sur au plus ne pas ce il".split(),
     "es": "el la los las de del y en que un una es por con para su al se no lo como más".split(),
 }
-_STOPS = {lang: frozenset(words) for lang, words in STOP_WORDS.items()}
+_STOPS: dict[str, list[str]] = {}
+for _lang, _list in STOP_WORDS.items():
+    for _word in _list:
+        _STOPS.setdefault(_word, []).append(_lang)
 
 # Element names by their part in a page.
 SKIPPED = frozenset("script style noscript template svg math iframe object canvas head title select textarea".split())
 RAW = frozenset("script style textarea title noscript iframe template svg math".split())
 APART = frozenset("nav header footer aside form menu dialog button fieldset".split())
 MAIN = frozenset("article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: Elements that some pages put around all of their text.
+WRAPPERS = frozenset("form dialog fieldset".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th "
@@ -54,6 +62,8 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|aria-label)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORD = re.compile(r"\w+")
+# Characters of scripts that say in one what others say in about three.
+_DENSE = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")
 
 #: A block of this many characters with few links and enough stop words is text.
 LONG = 140
@@ -64,20 +74,37 @@ LINKS_HIGH = 0.34
 
 GOOD, BAD, OPEN = 1, 0, None
 
+#: What a mark does: WEAK asks a region for some text, HINT for much of it inside an article and decides outside;
+#: COMMENT and PLACE decide, FIRM does so whatever the element holds.
+WEAK, HINT, COMMENT, PLACE, FIRM = 1, 2, 3, 4, 5
+
+
+@dataclass
+class Mark:
+    """An element that may be boilerplate; `above` is the mark around it, -1 for none."""
+
+    kind: int
+    above: int
+    main: bool
+
 
 @dataclass
 class Block:
     text: list[str] = field(default_factory=list)
     linked: int = 0
-    apart: bool = False
-    main: bool = False
+    mark: int = -1  # innermost mark
+    main: int = -1  # outermost article, by number
+    heading: bool = False
 
 
-def blocks(page: str) -> list[Block]:
-    """Blocks in page order; scripts, styles, comments and markup are gone."""
+def blocks(page: str) -> tuple[list[Block], list[Mark]]:
+    """Blocks in page order, and the marks they stand in; scripts, styles, comments and markup are gone."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements that matter: name, whether apart, whether main
-    count: Counter[str] = Counter()  # open elements by name, and of the kinds "apart", "main" and "skipped"
+    marks: list[Mark] = []
+    stack: list[tuple[str, bool, bool]] = []  # open elements that matter: name, whether marked, whether main
+    inside = [-1]  # open marks
+    mains = 0  # outermost articles so far
+    count: Counter[str] = Counter()  # open elements by name, and of the kinds "main", "heading" and "skipped"
     block = Block()
     at, n = 0, len(page)
 
@@ -91,11 +118,13 @@ def blocks(page: str) -> list[Block]:
         nonlocal block
         if any(t.strip() for t in block.text):
             out.append(block)
-        block = Block(apart=count["#apart"] > 0, main=count["#main"] > 0)
+        block = Block(mark=inside[-1], main=mains if count["#main"] else -1, heading=count["#heading"] > 0)
 
     def change(element: tuple[str, bool, bool], by: int) -> None:
-        name, apart, main = element
-        for key in (name, "#apart" * apart, "#main" * main, "#skipped" * (name in SKIPPED)):
+        name, marked, main = element
+        if marked and by < 0:
+            inside.pop()
+        for key in (name, "#main" * main, "#heading" * (name in HEADINGS), "#skipped" * (name in SKIPPED)):
             if key:
                 count[key] += by
 
@@ -134,36 +163,43 @@ def blocks(page: str) -> list[Block]:
             if name == "li" and stack and stack[-1][0] == "li":
                 close("li")
         main = name in MAIN
-        hinted = bool(attributes) and not main and name not in ("html", "body") and _apart(attributes)
+        kind = _kind(name, attributes) if attributes and name not in ("html", "body") else 0
         # the head of an article belongs to it
-        apart = hinted or name in APART and not (name == "header" and count["#main"])
-        element = (name, apart, main)
-        if not attributes.endswith("/") and (apart or name in BLOCKS or name in SKIPPED or name in RAW or name == "a"):
+        if name in APART and not (name == "header" and count["#main"]):
+            kind = max(kind, PLACE if name in WRAPPERS else FIRM)
+        element = (name, kind > 0, main)
+        if not attributes.endswith("/") and (kind or name in BLOCKS or name in SKIPPED or name in RAW or name == "a"):
             stack.append(element)
+            if kind:
+                marks.append(Mark(kind, inside[-1], count["#main"] > 0))
+                inside.append(len(marks) - 1)
+            mains += main and not count["#main"]
             change(element, 1)
-        if name in BLOCKS or apart:
+        if name in BLOCKS or kind:
             cut()
         if name in RAW:
             end = _RAW_END[name].search(page, at)
             close(name)
             at = end.end() if end else n
     cut()
-    return out
+    return out, marks
 
 
-def _apart(attributes: str) -> bool:
+def _kind(name: str, attributes: str) -> int:
+    """What the attributes of an element say; 0 for nothing."""
+    kind = 0
     for match in _ATTRIBUTE.finditer(attributes):
         key = match[1].lower()
         value = match[2] or match[3] or match[4] or ""
         if key in ("class", "id") and _HINT.search(value):
-            return True
-        if key == "role" and value.strip().lower() in _ROLE:
-            return True
-        if key == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
-        if key == "hidden" and not match[0].lower().startswith("hidden-"):
-            return True
-    return False
+            kind = FIRM
+        elif key == "role" and value.strip().lower() in _ROLE:
+            return PLACE
+        elif key == "style" and re.search(r"display\s*:\s*none", value, re.I):
+            return PLACE
+        elif key == "hidden" and not match[0].lower().startswith("hidden-"):
+            return PLACE
+    return kind
 
 
 def clean(text: str) -> str:
@@ -171,35 +207,120 @@ def clean(text: str) -> str:
     return " ".join((html.unescape(text) if "&" in text else text).split())
 
 
-def label(found: list[Block], texts: list[str]) -> list[int]:
-    """Labels of blocks: first by rules, then open ones by their neighbours."""
-    has_main = any(b.main and not b.apart for b in found)
-    first: list[int | None] = []
-    for block, text in zip(found, texts):
-        if block.apart:
-            first.append(BAD)
-        elif block.main:
-            first.append(GOOD)
-        elif has_main:
-            first.append(BAD)
-        else:
-            first.append(_by_rules(block, text))
+def label(found: list[Block], marks: list[Mark], texts: list[str]) -> list[int]:
+    """Labels of blocks: first by rules, then open ones by their article or their neighbours."""
+    counted = [_count(t) for t in texts]
+    total: Counter[str] = Counter()
+    for _, stops in counted:
+        total.update(stops)
+    known = max(total.values(), default=0) >= STOPS_LOW * sum(n for n, _ in counted)
+    scores = [_by_rules(b, t, n, max(s.values(), default=0), known) for b, t, (n, s) in zip(found, texts, counted)]
+    apart, lowered = _weigh(found, marks, texts, scores)
+
+    first: list[int | None] = [BAD if apart[b.mark] else OPEN if s is OPEN else min(s, GOOD) for b, s in zip(found, scores)]
+    # a region under a hint needs a block of its own that is text; beside other words, the neighbours in the article decide
+    held, loose = set(), set()
+    for i, block in enumerate(found):
+        level, region = lowered[block.mark]
+        if level and first[i] is GOOD:
+            if scores[i] > level - 1:
+                held.add(region)
+            else:
+                first[i] = OPEN
+    for i, block in enumerate(found):
+        level, region = lowered[block.mark]
+        if level and first[i] is OPEN and region not in held:
+            if level == WEAK and block.main >= 0:
+                loose.add(i)
+            else:
+                first[i] = BAD
+
+    good = [i for i, f in enumerate(first) if f is GOOD]
+    texty = {found[i].main for i in good}
+    within = [len(texts[i]) for i in good if found[i].main >= 0]
+    articles = any(b.main >= 0 and f is OPEN for b, f in zip(found, first)) or bool(within)
+    mainly = articles and 2 * sum(within) >= sum(len(texts[i]) for i in good)
+    for i, block in enumerate(found):
+        if first[i] is OPEN and i not in loose:
+            if block.main >= 0 and (not good or block.main in texty):
+                first[i] = GOOD
+            elif block.main < 0 and mainly:
+                first[i] = BAD
     return _inherit(first)
 
 
-def _by_rules(block: Block, text: str) -> int | None:
-    words = [w.lower() for w in _WORD.findall(text)]
+def _count(text: str) -> tuple[int, Counter[str]]:
+    """Number of words, and of stop words by language."""
+    words = _WORD.findall(text.lower())
+    stops: Counter[str] = Counter()
+    for word, n in Counter(w for w in words if w in _STOPS).items():
+        for lang in _STOPS[word]:
+            stops[lang] += n
+    return len(words), stops
+
+
+def _by_rules(block: Block, text: str, words: int, stops: int, known: bool) -> int | None:
+    """BAD, OPEN, GOOD, or 2 for much text; `known`: whether the page fits a list of stop words."""
+    if not words:
+        return BAD if block.main < 0 else OPEN
     linked = block.linked / max(1, len(text))
-    if linked > LINKS_HIGH or not words or "©" in text:
+    if linked > LINKS_HIGH:
+        return OPEN if block.main >= 0 and block.heading else BAD
+    size = len(text) if text.isascii() else len(text) + 2 * len(_DENSE.findall(text))
+    if "©" in text and size < LONG and block.main < 0:
         return BAD
-    stops = max(sum(w in s for w in words) for s in _STOPS.values()) / len(words)
-    if len(text) >= LONG:
-        return GOOD if stops >= STOPS_LOW else OPEN
-    if len(text) >= SHORT and stops >= STOPS_HIGH:
+    dense = stops / words
+    if size >= LONG:
+        if dense >= STOPS_HIGH or not known and linked <= LINKS_HIGH / 2:
+            return 2
+        return GOOD if dense >= STOPS_LOW or not known else OPEN
+    if size >= SHORT and dense >= STOPS_HIGH:
         return GOOD
     return OPEN
 
 
+def _weigh(
+    found: list[Block], marks: list[Mark], texts: list[str], scores: list[int | None]
+) -> tuple[list[bool], list[tuple[int, int]]]:
+    """Per mark, whether its blocks are boilerplate, and how much text its region needs (0, 1, 2) and which that is.
+
+    A last entry stands for blocks without marks. Sizes are unlinked text.
+    """
+    n = len(marks)
+    held = [[0, 0, 0, 0] for _ in range(n + 1)]  # size, good blocks, long good ones, blocks of articles
+    for block, text, score in zip(found, texts, scores):
+        own = held[block.mark]
+        own[0] += max(0, len(text) - block.linked)
+        own[1] += (score or 0) > 0
+        own[2] += (score or 0) > 0 and len(text) >= LONG
+        own[3] += block.main >= 0
+    direct = [list(h) for h in held]
+    for i in range(n - 1, -1, -1):
+        if marks[i].above >= 0:
+            held[marks[i].above] = [a + b for a, b in zip(held[marks[i].above], held[i])]
+    size = held[n][0] + sum(h[0] for h, m in zip(held, marks) if m.above < 0)
+    apart = [False] * (n + 1)
+    lowered = [(0, -1)] * (n + 1)
+    outside = [(0, 0)] * n + [(direct[n][1], direct[n][3])]  # free good blocks and blocks of articles, up to a mark
+    for i, mark in enumerate(marks):
+        apart[i], lowered[i], outside[i] = apart[mark.above], lowered[mark.above], outside[mark.above]
+        if apart[i]:
+            continue
+        good, of_articles = outside[i]
+        most = mark.kind != FIRM and 2 * held[i][0] > size
+        if most and mark.kind != WEAK:
+            most = not (good and mark.kind == COMMENT) and (not of_articles or held[i][2] > 0 and not good)
+        if most:
+            outside[i] = (good + direct[i][1], of_articles + direct[i][3])
+        elif mark.kind > HINT or mark.kind == HINT and not mark.main:
+            apart[i] = True
+        else:
+            if mark.kind > lowered[i][0]:
+                lowered[i] = (mark.kind, i)
+            outside[i] = (good + direct[i][1], of_articles + direct[i][3])
+    return apart, lowered
+
+
 def _inherit(first: list[int | None]) -> list[int]:
     """Open blocks take the label of the nearer decided neighbour, good between good ones; alone they are bad."""
     n = len(first)
@@ -224,11 +345,11 @@ def _inherit(first: list[int | None]) -> list[int]:
 
 def main_text(page: str | None) -> str:
     """The article of a page, one line per block; empty if there is none."""
-    found = blocks(page or "")
+    found, marks = blocks(page or "")
     texts = [clean("".join(b.text)) for b in found]
     kept = [i for i, t in enumerate(texts) if t]
     found, texts = [found[i] for i in kept], [texts[i] for i in kept]
-    return "\n".join(t for t, good in zip(texts, label(found, texts)) if good)
+    return "\n".join(t for t, good in zip(texts, label(found, marks, texts)) if good)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -27,11 +27,38 @@ def test_layouts(body, want):
     assert html_text.main_text(page(body)) == want
 
 
+FOREIGN = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw, są oni obdarzeni rozumem oraz sumieniem i powinni postępować wobec innych w duchu braterstwa."
+CARD = "<article class='card'><h3>Other</h3><p>Teaser.</p></article>"
+
+
+@pytest.mark.parametrize(
+    "body, kept, gone",
+    [
+        # the body stands outside the only article, which is a card or a comment
+        (f"<div><h1>Title</h1><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div><div><a href=x>More</a></div>{CARD}", ["Title", PARAGRAPH, PARAGRAPH], []),
+        (f"<div><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div><article class='comment'><p>Mine: {PARAGRAPH}</p></article>", [PARAGRAPH, PARAGRAPH], ["Mine"]),
+        # text and link rules inside an article; its title may be a link
+        (f"<article><h1><a href=x>Title</a></h1><p>{PARAGRAPH}</p><p>Short.</p><ul><li><a href=x>Elsewhere</a></li></ul></article>", ["Title", PARAGRAPH, "Short."], ["Elsewhere"]),
+        # no list of stop words fits
+        (f"<div><a href=x>Menu</a></div><div><p>{FOREIGN}</p><p>{FOREIGN}</p></div>", [FOREIGN, FOREIGN], ["Menu"]),
+    ],
+)
+def test_text_decides_before_the_article_element(body, kept, gone):
+    got = html_text.main_text(page(body)).split("\n")
+    assert [line for line in got if line in kept] == kept
+    assert not any(word in line for word in gone for line in got)
+
+
 def test_odd_pages_take_linear_time():
     for text in ("<b>" * 100_000, "<div>" * 100_000, "</p>" * 100_000, "<" * 100_000, "<a href=\"" * 20_000, "<!--" * 50_000, "&" * 100_000):
         html_text.main_text(text)
 
 
+def test_deep_hints_take_linear_time():
+    for text in ("<div class=sidebar>x" * 50_000, "<div class=related-work>x" * 50_000, "<article><article class=comment>x" * 30_000):
+        html_text.main_text(text)
+
+
 def test_neighbours():
     good, bad, open_ = html_text.GOOD, html_text.BAD, html_text.OPEN
     assert html_text._inherit([open_, good, open_, open_, open_, bad, open_]) == [1, 1, 1, 1, 0, 0, 0]
