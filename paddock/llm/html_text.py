@@ -1,8 +1,10 @@
 """Main text of web pages by block rules in two passes.
 
 First pass: stop-word density, length and link density decide every block that
-does not stand in a menu, footer, form or the like, or under a class or id of such
-a name. Second pass: blocks that stayed open belong to the
+does not stand in a menu, footer, form or the like. Names in classes and ids are
+hints: outside an article a plain one decides, inside it, or beside other words,
+it only asks for more of the text; an element with most of the page's text is
+never decided by a hint. Second pass: blocks that stayed open belong to the
 article element they stand in if that holds text of the first pass (or nothing
 does); others take the label of the nearest decided neighbours. The stop words
 are those of a fixed list per language; where a page fits none of them, length
@@ -55,6 +57,14 @@ _HINT = re.compile(
     r"signup|share|sharing|social|related|recommended|login|search|pagination|pager|toolbar|copyright|legal)(?:$|[\s_-])",
     re.I,
 )
+# Words that leave a hint plain when they stand beside it in one name.
+_PLAIN = frozenset(
+    "site page top main global left right bottom inner outer wrapper wrap container box bar list item items area section "
+    "block content link links icon icons button buttons post posts article articles primary secondary text body form "
+    "title header head col row group panel module space".split()
+)
+_COMMENTS = frozenset("comment comments respond replies disqus".split())
+_PARTS = re.compile(r"[_-]+|(?<=\D)(?=\d)")
 _ROLE = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 
 _TOKEN = re.compile(
@@ -191,15 +201,29 @@ def _kind(name: str, attributes: str) -> int:
     for match in _ATTRIBUTE.finditer(attributes):
         key = match[1].lower()
         value = match[2] or match[3] or match[4] or ""
-        if key in ("class", "id") and _HINT.search(value):
-            kind = FIRM
+        # ids of headings and sections are made from their titles
+        if key == "class" or key == "id" and name not in HEADINGS and name != "section":
+            kind = max([kind, *map(_hint, value.split())]) if _HINT.search(value) else kind
         elif key == "role" and value.strip().lower() in _ROLE:
             return PLACE
         elif key == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return PLACE
         elif key == "hidden" and not match[0].lower().startswith("hidden-"):
             return PLACE
-    return kind
+    # a title is text unless it heads comments; beside other words a hint says nothing against an article
+    return 0 if name in HEADINGS and kind != COMMENT or name in MAIN and kind == WEAK else kind
+
+
+def _hint(token: str) -> int:
+    """The kind of one class or id: hints among plain words or outnumbering others, or beside those."""
+    if not _HINT.search(token):
+        return 0
+    parts = [p for p in _PARTS.split(token.lower()) if p]
+    hints = sum(bool(_HINT.search(p)) for p in parts)
+    others = sum(not (p in _PLAIN or p.isdigit() or _HINT.search(p)) for p in parts)
+    if others and hints <= others:
+        return WEAK
+    return COMMENT if _COMMENTS.intersection(parts) else HINT
 
 
 def clean(text: str) -> str:

@@ -54,6 +54,20 @@ def test_odd_pages_take_linear_time():
         html_text.main_text(text)
 
 
+@pytest.mark.parametrize(
+    "body, want",
+    [
+        (f"<article><h2 id='related-work'>Related work</h2><p>{PARAGRAPH}</p><section id='search-algorithms'><h3>Search</h3><p>Brief.</p></section></article>", f"Related work\n{PARAGRAPH}\nSearch\nBrief."),
+        (f"<article><p>{PARAGRAPH}</p><div class='legal-aspects'><h3>Legal</h3><p>{PARAGRAPH}</p></div></article>", f"{PARAGRAPH}\nLegal\n{PARAGRAPH}"),
+        (f"<div class='layout sidebar-left'><div class='col side-by-side'><h1>Title</h1><p>{PARAGRAPH}</p></div><div class='sidebar'>Aside</div></div>", f"Title\n{PARAGRAPH}"),
+        (f"<div class='layout sidebar-left'><article><p>Short.</p></article></div><footer>&copy; x</footer>", "Short."),
+        (f"<article><p>{PARAGRAPH}</p><div class='share-buttons'>Tell others</div><div id='comments'><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div></article>", PARAGRAPH),
+    ],
+)
+def test_hints_do_not_decide_alone(body, want):
+    assert html_text.main_text(page(body)) == want
+
+
 def test_deep_hints_take_linear_time():
     for text in ("<div class=sidebar>x" * 50_000, "<div class=related-work>x" * 50_000, "<article><article class=comment>x" * 30_000):
         html_text.main_text(text)
