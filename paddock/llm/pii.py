@@ -1,9 +1,9 @@
 """Personal data by bootstrapped contextual extraction.
 
 Four base expressions find the seeds. Every place that looks like an identifier
-(a run of digits, or a token with a sign of an address) is an instance with
-lexical patterns: the kind of identifier it could be, the words before it and
-the word behind it. Patterns and instances form a graph. Spark scores it in rounds: a pattern by
+(a run of digits or a part of a long one, a spelled-out IP address, or a token
+with a sign of a mail address) is an instance with lexical patterns: the kind of identifier it could be, the words before it and
+the word behind it. Patterns and instances form a graph. Spark scores it in rounds until no new pattern is accepted: a pattern by
 the share and number of its instances that are believed, an instance by its best
 pattern. Patterns that end with high confidence mark the instances the base
 expressions missed.
@@ -32,8 +32,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
-#: Rounds of scoring, and what a pattern needs: distinct believed instances, share of believed ones.
-ROUNDS = 2
+#: What a pattern needs: distinct believed instances, share of believed ones.
 SUPPORT = 8
 CONFIDENCE = 0.9
 
@@ -93,12 +92,20 @@ def base_spans(text: str) -> list[Span]:
 
 
 # Candidate instances by shape; what the base expressions found is a seed.
-_DIGITS = re.compile(r"\+?[0-9](?:[\x20().-]{0,2}[0-9]){6,24}+")
-_ADDRESS = re.compile(
-    r"[A-Za-z0-9._%+-]{1,64}+(?:\x20?(?:@|\(at\)|\[at\])\x20?|\x20at\x20)[A-Za-z0-9-]{1,63}+"
-    r"(?:(?:\.|\x20?\(dot\)\x20?|\x20?\[dot\]\x20?|\x20dot\x20)[A-Za-z0-9-]{1,63}+)+"
+_RUN = re.compile(r"\+?[0-9](?:[\x20().-]{0,2}[0-9]){6,}+")
+_GROUP = re.compile(r"[0-9]++")
+_DATE = re.compile(
+    r"(?<![^\x20])(?:(?:19|20)[0-9]{2}([-./])(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12][0-9]|3[01])|"
+    r"(?:0?[1-9]|[12][0-9]|3[01])([-./])(?:0?[1-9]|[12][0-9]|3[01])\2(?:19|20)[0-9]{2})(?![^\x20])"
 )
 _SIGNS = re.compile(r"@|\(at\)|\[at\]|\x20at\x20")
+_AFTER = re.compile(
+    r"\x20?[A-Za-z0-9-]{1,63}+(?:(?:\.|\x20?\(dot\)\x20?|\x20?\[dot\]\x20?|\x20dot\x20)[A-Za-z0-9-]{1,63}+)+"
+)
+_LOOSE_IP = re.compile(
+    r"(?<![0-9])[0-9]{1,3}+(?:\x20?(?:\.|\[\.\]|\(\.\)|\(dot\)|\[dot\])\x20?[0-9]{1,3}+|\x20dot\x20[0-9]{1,3}+){3}(?![0-9])"
+)
+_IPV6 = re.compile(r"(?<![\w:])[0-9A-Fa-f]{0,4}+(?::[0-9A-Fa-f]{0,4}+){2,7}+(?![\w:])")
 _WORDS = re.compile(r"[^\W\d_]+")
 _NEAR = 48  # characters on either side in which the words of a pattern stand
 
@@ -122,16 +129,102 @@ def instances(text: str, seeds: list[Span]) -> Iterator[tuple[str, int, int, str
 
 
 def _candidates(text: str) -> Iterator[tuple[int, int, tuple[str, ...]]]:
-    for match in _DIGITS.finditer(text):
-        digits = len(_NOT_DIGIT.sub("", match[0]))
-        kinds = ("phone",) * (7 <= digits <= 15) + ("card",) * (13 <= digits <= 19)
-        if kinds:
-            yield *match.span(), kinds
-    if _SIGNS.search(text):
-        for sign in _SIGNS.finditer(text):
-            match = _ADDRESS.search(text, max(0, sign.start() - 66), min(len(text), sign.end() + 260))
-            if match and match.start() < sign.start() < match.end():
-                yield *match.span(), ("email",)
+    for match in _RUN.finditer(text):
+        yield from _numbers(match[0], match.start())
+    for match in _LOOSE_IP.finditer(text):
+        if all(int(p) <= 255 for p in _GROUP.findall(match[0])):
+            yield *match.span(), ("ip",)
+    if ":" in text:
+        for match in _IPV6.finditer(text):
+            groups = match[0].count(":")
+            if len(match[0]) > groups and (groups == 7 or "::" in match[0]):
+                yield *match.span(), ("ip",)
+    done = floor = 0  # end of the last address; no local part reaches over the sign before it
+    for sign in _SIGNS.finditer(text):
+        if sign.start() < done:
+            continue
+        end = sign.start() - (sign[0] != " at " and text[sign.start() - 1 : sign.start()] == " ")
+        before = text[max(done, floor) : max(done, floor, end)]
+        floor = sign.end()
+        local = len(before) - len(before.rstrip(_LOCAL))
+        # the space behind " at " is part of it
+        match = _AFTER.match(text, sign.end()) if local else None
+        if match and not (sign[0] == " at " and match[0][0] == " "):
+            yield end - local, match.end(), ("email",)
+            done = match.end()
+
+
+def _kinds(digits: int) -> tuple[str, ...]:
+    return ("phone",) * (7 <= digits <= 15) + ("card",) * (13 <= digits <= 19)
+
+
+def _numbers(run: str, at: int) -> Iterator[tuple[int, int, tuple[str, ...]]]:
+    """A run of digits as one number; of long runs, and runs with dates, the numbers they can be cut into too."""
+    digits = len(_NOT_DIGIT.sub("", run))
+    dates = list(_DATE.finditer(run)) if digits > 8 else []
+    if digits <= 19 and not dates or digits < 15:
+        yield at, at + len(run), _kinds(digits)
+    elif digits <= 19:
+        yield at, at + len(run), ("card",)
+    if digits <= 15 and not dates:
+        return
+    start = 0
+    for stop, behind in [*(d.span() for d in dates), (len(run), len(run))]:
+        for a, b, size in _cut(run[start:stop]):
+            plus = start + a - (start + a == 1 and run[0] == "+")
+            if (plus, start + b) != (0, len(run)):
+                yield at + plus, at + start + b, _kinds(size)
+        start = behind
+
+
+def _cut(run: str) -> list[tuple[int, int, int]]:
+    """Start, end and digits of the numbers in a run.
+
+    Equal parts where its groups repeat, else the cut of least cost: digits left
+    over, and sizes that phones and cards rarely have. Numbers never overlap, so
+    other cuts of the same run are not offered.
+    """
+    spans = [m.span() for m in _GROUP.finditer(run)]
+    sizes = [b - a for a, b in spans]
+    n = len(sizes)
+    equal = []
+    if sum(sizes) > 15:
+        for k in range(1, min(19, n) + 1):
+            size = sum(sizes[:k])
+            if n % k == 0 and 7 <= size <= 19 and sizes[k:] == sizes[:-k] and (k < n or _odd(size, k) == 0):
+                equal.append((_odd(size, k), k))
+    if equal:
+        k = min(equal)[1]
+        return [(spans[i][0], spans[i + k - 1][1], sum(sizes[i : i + k])) for i in range(0, n, k)]
+    # least cost from each group to the end, and the group behind its number
+    best: list[tuple[int, int]] = [(0, 0)] * (n + 1)
+    for i in range(n - 1, -1, -1):
+        best[i] = (best[i + 1][0] + 4 * sizes[i], 0)
+        inside = i and " " not in run[spans[i - 1][1] : spans[i][0]]
+        size = 0
+        for j in range(i, min(n, i + 19)):
+            size += sizes[j]
+            if size > 19:
+                break
+            if size >= 7:
+                whole = 5 * (" " not in run[spans[i][0] : spans[j][1]])
+                cost = best[j + 1][0] + _odd(size, j - i + 1) + 3 * bool(inside) - whole
+                if cost < best[i][0]:
+                    best[i] = (cost, j + 1)
+    found, i = [], 0
+    while i < n:
+        j = best[i][1]
+        if j:
+            found.append((spans[i][0], spans[j - 1][1], sum(sizes[i:j])))
+        i = j or i + 1
+    return found
+
+
+def _odd(size: int, groups: int) -> int:
+    """How far a number of digits is from the usual ones of phones and cards."""
+    if size > 13:
+        return abs(size - 16) + 8 * (groups not in (1, 4))
+    return abs(size - 10)
 
 
 def _plain(text: str) -> str:
@@ -152,7 +245,7 @@ _BASE = (
 )
 
 
-def find(docs: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE, rounds: int = ROUNDS) -> DataFrame:
+def find(docs: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """doc_id, base counts, digest of the base spans, all spans, and n_more: how many the patterns added.
 
     One row per input row. Null and empty texts have no spans; repeated rows
@@ -175,7 +268,7 @@ def find(docs: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE
     # written once to the shared folder: the graph and the result read it
     scanned = arrow_map(texts.select("row", "doc_id", "text"), _BASE, rows).checkpoint()
     places = scanned.select("row", F.inline("more"))
-    believed = _patterns(places, support, confidence, rounds)
+    believed = _patterns(places, support, confidence)
     added = (
         places.where("NOT seed")
         .join(believed, "pattern")
@@ -208,12 +301,13 @@ def find(docs: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE
     )
 
 
-def _patterns(places: DataFrame, support: int, confidence: float, rounds: int) -> DataFrame:
+def _patterns(places: DataFrame, support: int, confidence: float) -> DataFrame:
     """Patterns of high confidence: a column ``pattern``.
 
     Edges are distinct, so copies of a document weigh as one. Each round sums
     the belief of a pattern's instances (both sides pre-aggregated) and passes
-    the score of accepted patterns back to their instances.
+    the score of accepted patterns back to their instances. Belief only grows, so
+    patterns are only added, and the rounds end when one adds none.
     """
     edges = (
         places.withColumn("kind_instance", F.concat_ws(":", "kind", "instance"))
@@ -223,8 +317,8 @@ def _patterns(places: DataFrame, support: int, confidence: float, rounds: int) -
     )
     seeds = edges.groupBy("kind_instance").agg(F.max("belief").alias("belief"))
     belief = seeds
-    scores = None
-    for _ in range(rounds):
+    accepted = 0
+    while True:
         scores = (
             edges.select("pattern", "kind_instance")
             .join(belief, "kind_instance")
@@ -234,6 +328,9 @@ def _patterns(places: DataFrame, support: int, confidence: float, rounds: int) -
             .select("pattern", (F.col("believed") / F.col("n")).alias("score"))
             .checkpoint()
         )
+        before, accepted = accepted, scores.count()
+        if accepted == before:
+            return scores.select("pattern")
         passed = (
             edges.select("pattern", "kind_instance").join(scores, "pattern")
             .groupBy("kind_instance").agg(F.max("score").alias("passed"))
@@ -241,4 +338,3 @@ def _patterns(places: DataFrame, support: int, confidence: float, rounds: int) -
         belief = seeds.join(passed, "kind_instance", "left").select(
             "kind_instance", F.greatest("belief", F.coalesce("passed", F.lit(0.0))).alias("belief")
         )
-    return scores.select("pattern")

@@ -69,3 +69,41 @@ def test_doubtful_patterns_add_nothing(spark, docs):
     seeds = [(i, f"call number +1 555 010 {1000 + i} now") for i in range(10)]
     others = [(50 + i, f"call number 777 888 {1000 + i} now") for i in range(10)]
     assert all(r.n_more == 0 for r in pii.find(docs([*seeds, *others])).collect())
+
+
+def test_every_place_is_a_candidate():
+    def offered(text, kind):
+        return [text[a:b] for a, b, kinds in pii._candidates(text) if kind in kinds]
+
+    assert offered("ann (at) corp (dot) com or bob (at) corp (dot) com", "email") == ["ann (at) corp (dot) com", "bob (at) corp (dot) com"]
+    assert offered("ann@corp.com or bob at corp dot com", "email") == ["ann@corp.com", "bob at corp dot com"]
+    assert offered("call 555 777 9999 555 888 7777 now", "phone") == ["555 777 9999", "555 888 7777"]
+    assert offered("since 2024-05-01 555 777 9999 now", "phone") == ["555 777 9999"]
+    assert offered("+1 555 777 9999 555 888 7777", "phone") == ["+1 555 777 9999", "555 888 7777"]
+    assert offered("555 777 9999 8888777", "phone") == ["555 777 9999", "8888777"]
+    assert offered("555 7777 555 8888 555 9999", "phone") == ["555 7777", "555 8888", "555 9999"]
+    assert offered("2024-05-01 4111 1111 1111 1112", "card") == ["4111 1111 1111 1112"]
+    assert offered("9" * 40, "phone") == offered("9" * 40, "card") == []
+    assert offered("10[.]0[.]0[.]1, 10 dot 1 dot 2 dot 3, 2001:db8::1, 12:30:45, 999[.]1[.]1[.]1", "ip") == ["10[.]0[.]0[.]1", "10 dot 1 dot 2 dot 3", "2001:db8::1"]
+    for text in ("1 22 " * 80_000, "a at " * 80_000, "1:" * 200_000, "dot at " * 60_000, "2024-05-01 " * 20_000, "1 dot " * 80_000):
+        list(pii._candidates(text))
+
+
+def test_patterns_find_lists_and_loose_addresses(spark, docs):
+    seeds = [(i, f"please call our office number +1 555 010 {1000 + i} today about it") for i in range(20)]
+    seeds += [(100 + i, f"the server host address 10.1.2.{i} answers every ping") for i in range(20)]
+    unseen = (200, "please call our office number 555 777 9999 555 888 7777 today about it")
+    loose = (201, "the server host address 10[.]9[.]8[.]7 answers every ping")
+    got = {r.doc_id: r for r in pii.find(docs([*seeds, unseen, loose])).collect()}
+    assert got[200].spans == "phone:30:42,phone:43:55" and got[200].n_more == 2
+    assert got[201].spans == "ip:24:38" and got[201].n_ip == 0 and got[201].n_more == 1
+
+
+def test_rounds_go_on_while_patterns_are_new(spark, docs):
+    def at(first, place, numbers):
+        return [(first + i, f"{place} {n} stop") for i, n in enumerate(numbers)]
+
+    xs, ys, z = [f"555 777 100{i}" for i in range(3)], [f"555 888 200{i}" for i in range(3)], "555 999 3000"
+    texts = at(0, "red ant", [f"+1 555 010 100{i}" for i in range(9)] + xs) + at(20, "blue bee", xs + ys) + at(40, "green cat", [*ys, z])
+    got = {r.doc_id: r.n_more for r in pii.find(docs(texts), support=1, confidence=0.2).collect()}
+    assert got[9] == got[23] == got[43] == 1
