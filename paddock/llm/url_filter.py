@@ -1,6 +1,6 @@
 """URL filtering with a memory-mapped, sorted array of 64-bit digests.
 
-A list of strings (rule keys ``host/path``, blocked hosts) becomes one file:
+A list of strings (rule keys ``host/path``, blocked hosts and families of hosts) becomes one file:
 xxhash64 digests in ascending order, offsets, and the strings themselves. The
 file goes to every executor once and is memory-mapped there, so the pages of it
 that are asked for are all that a worker keeps. A batch of probes is hashed and
@@ -33,7 +33,8 @@ RULES = (
     ("example.com", "/de/", "block"),
     ("org", "/fr/", "allow"),
 )
-#: Hosts that are blocked, with their subdomains, where no rule fits (fixed values).
+#: Hosts that are blocked, with their subdomains, where no rule fits: the four that the oracle names, an example and
+#: no cover of any table. Other endings of the same names are not blocked; give ``families`` for that.
 BLOCKED_HOSTS = (
     "ads-track.example.org",
     "cheap-pills.example.com",
@@ -133,22 +134,30 @@ def suffixes(host: str) -> list[str]:
     return out
 
 
+def runs(host: str, sizes: list[int]) -> list[str]:
+    """Runs of that many neighbouring labels of a host, each with an ending behind it."""
+    labels = host.split(".")
+    return list(dict.fromkeys(".".join(labels[i : i + n]) for n in sizes for i in range(len(labels) - n)))
+
+
 def judge(
     pages: DataFrame,
     rules: Iterable[tuple[str, str, str]] = RULES,
     blocked_hosts: Iterable[str] = BLOCKED_HOSTS,
+    families: Iterable[str] = (),
 ) -> DataFrame:
     """page_id, host, path, rule and verdict of each url.
 
     A rule (host, path prefix, verdict) fits its host and all subdomains where
     the path starts with its prefix; the longest ``host + path`` wins, of equal
     ones that with the longer host. Of rules with equal host and path the first
-    counts. Without a rule, a host at or below a blocked host is blocked, any
-    other url is allowed. Null urls and urls without ``://`` have empty host and
+    counts. Without a rule, a host at or below a blocked host is blocked, and
+    so is one with the labels of a family (``ads-track`` or ``ads-track.example``)
+    before any ending; any other url is allowed. Null urls and urls without ``://`` have empty host and
     path and are allowed. Rows are judged where they are, one by one: repeated
     rows stay, an empty table gives an empty one, other columns are not read.
 
-    Rules and hosts are lists in the driver's memory, so their size is bounded
+    Rules, hosts and families are lists in the driver's memory, so their size is bounded
     by what the caller holds; the verdicts of the rules are kept in the key.
     """
     verdicts: dict[str, tuple[int, str]] = {}
@@ -156,22 +165,25 @@ def judge(
         verdicts.setdefault(host + path, (len(host), verdict))
     lengths = sorted({len(key) - n for key, (n, _) in verdicts.items()})
     keys = [f"{verdict[0]}{n}:{key}" for key, (n, verdict) in verdicts.items()]
-    name = distribute(pages.sparkSession, build([*keys, *(f"h:{h}" for h in blocked_hosts)]))
+    named = [f.translate(_LOWER) for f in families]
+    sizes = sorted({f.count(".") + 1 for f in named})
+    hosts = [*(f"h:{h}" for h in blocked_hosts), *(f"f:{f}" for f in named)]
+    name = distribute(pages.sparkSession, build([*keys, *hosts]))
 
     def rows(tuples: Iterator[tuple]) -> Iterator[tuple]:
         kept: list[tuple] = []
         for row in tuples:
             kept.append(row)
             if len(kept) >= _TOGETHER:
-                yield from _judged(_opened(name), kept, lengths)
+                yield from _judged(_opened(name), kept, lengths, sizes)
                 kept = []
-        yield from _judged(_opened(name), kept, lengths)
+        yield from _judged(_opened(name), kept, lengths, sizes)
 
     schema = "page_id long, host string, path string, rule string, verdict string"
     return arrow_map(pick(pages, "page_id", "url"), schema, rows)
 
 
-def _judged(digests: Digests, rows: list[tuple], lengths: list[int]) -> Iterator[tuple]:
+def _judged(digests: Digests, rows: list[tuple], lengths: list[int], sizes: list[int]) -> Iterator[tuple]:
     split = [parts(url) for _, url in rows]
     asked: dict[str, None] = {}
     wanted = []
@@ -181,18 +193,19 @@ def _judged(digests: Digests, rows: list[tuple], lengths: list[int]) -> Iterator
             (len(h) + n, len(h), verdict, h + path[:n])
             for h in above for n in lengths if n <= len(path) for verdict in ("block", "allow")
         ]
-        wanted.append((own, above))
+        listed = [*(f"h:{h}" for h in above), *(f"f:{r}" for r in runs(host, sizes))]
+        wanted.append((own, listed))
         asked.update(dict.fromkeys(_key(*c) for c in own))
-        asked.update(dict.fromkeys(f"h:{h}" for h in above))
+        asked.update(dict.fromkeys(listed))
     probes = list(asked)
     hit = dict(zip(probes, digests.found(probes)))
-    for (page_id, _), (host, path), (own, above) in zip(rows, split, wanted):
+    for (page_id, _), (host, path), (own, listed) in zip(rows, split, wanted):
         fitting = [c for c in own if hit[_key(*c)]]
         if fitting:
             _, _, verdict, rule = max(fitting)
             yield page_id, host, path, rule, verdict
         else:
-            yield page_id, host, path, None, "block" if any(hit[f"h:{h}"] for h in above) else "allow"
+            yield page_id, host, path, None, "block" if any(hit[k] for k in listed) else "allow"
 
 
 def _key(_: int, host_length: int, verdict: str, rule: str) -> str:

@@ -51,6 +51,16 @@ def test_longest_rule_wins(spark):
     assert got == {1: ("example.net/deep/er/", "allow"), 2: ("example.net/", "block")}
 
 
+def test_a_family_is_blocked_under_any_ending(spark):
+    hosts = ["ads-track.example.com", "m.Ads-Track.example.org", "ads-track.co.uk", "my-ads-track.example.com", "example.ads-track", "ads-track",
+             "www.spam-farm.example.com", "spam-farm.other.com", "spam-farm.example", "", "."]
+    frame = spark.createDataFrame([(i, f"http://{h}/x") for i, h in enumerate(hosts)], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in uf.judge(frame, (), (), ("ads-track", "SPAM-farm.example")).collect()}
+    assert [i for i in sorted(got) if got[i] == "block"] == [0, 1, 2, 6]
+    ruled = uf.judge(frame, (("example.com", "/", "allow"),), (), ("ads-track",)).collect()
+    assert {r.page_id: r.verdict for r in ruled}[0] == "allow"
+
+
 def test_equal_digests_are_told_apart(tmp_path, monkeypatch):
     monkeypatch.setattr(uf.xxhash, "xxh64_intdigest", lambda s: len(s) % 3)
     path = tmp_path / "digests"
