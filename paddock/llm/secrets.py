@@ -5,12 +5,14 @@ last byte of a run of such marks is the end of a match; an automaton of the
 reversed rule, run back from there to the end of the rule's match before it,
 gives the leftmost start. That is the leftmost non-overlapping greedy match of
 rules whose last part is a repeated set of characters that no match can leave
-and enter again, which all rules here are.
+and enter again, which all rules here are. The body of a private key, of which the
+automaton finds the first line, is read on from there.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -32,6 +34,7 @@ class Rule:
     pattern: str
     least: int = 0  # characters of the match
     least_tail: int = 0  # characters of the value behind the sign of assignment
+    behind: str = ""  # what belongs to a match if it follows it
 
     def counts(self, match: str) -> bool:
         if len(match) < self.least:
@@ -51,6 +54,14 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", least=18),
     Rule("hex", r"[0-9a-f]{16,}", least=16),
 )
+# What follows the first line of a private key: headers, base64 lines up to a short last one, and the end line. Lines
+# may be indented, or parted by the escapes of a quoted string.
+_GAP = r"(?:[\x20\t\r\n]|\\[nrt])*+"
+KEY_BODY = (
+    rf"(?:{_GAP}(?:Proc-Type|DEK-Info|Comment):\x20[^\r\n\\]*+)*+"
+    rf"(?:{_GAP}(?:[A-Za-z0-9+/]{{16,}}+={{0,2}}|[A-Za-z0-9+/]++={{1,2}}|[A-Za-z0-9+/]++(?={_GAP}-----END)))*+"
+    rf"(?:{_GAP}-----END [A-Z\x20]{{0,60}}PRIVATE KEY-----)?"
+)
 # Published token formats of common services.
 MORE = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", least=40),
@@ -58,7 +69,7 @@ MORE = (
     Rule("google", r"AIza[A-Za-z0-9_-]+", least=39),
     Rule("stripe", r"[rs]k_live_[A-Za-z0-9]+", least=24),
     Rule("gitlab", r"glpat-[A-Za-z0-9_-]+", least=26),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", behind=KEY_BODY),
 )
 RULES = BASE + MORE
 #: Bytes of text that are scanned in one go; a longer text is scanned alone.
@@ -73,6 +84,7 @@ class Scanner:
     def __init__(self, rules: tuple[Rule, ...]):
         self.rules = rules
         self.forward = Automaton([r.pattern for r in rules], search=True)
+        self.behind = [re.compile(r.behind.encode()) if r.behind else None for r in rules]
         self.backward = [Automaton([r.pattern], search=False, backward=True) for r in rules]
 
     def scan(self, texts: list[bytes]) -> list[list[Span]]:
@@ -127,6 +139,8 @@ class Scanner:
         for r, start, end in found:
             rule = self.rules[r]
             if rule.counts(text[start:end].decode()):
+                if self.behind[r] is not None:
+                    end = self.behind[r].match(text, end).end()
                 if not plain:  # matches are ASCII
                     start, end = int(before[start]) - 1, int(before[end - 1])
                 spans.append((rule.kind, start, end))

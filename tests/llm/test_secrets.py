@@ -70,6 +70,23 @@ def test_other_rules():
     assert {(k, text[a:b][:4]) for k, a, b in spans} >= {("github", "ghp_"), ("private_key", "----"), ("slack", "xoxb"), ("google", "AIza")}
 
 
+def test_a_private_key_is_found_whole():
+    lines = ["MIIEpAIBAAKCAQEA" + "b+/9" * 12, "Q" * 64, "short"]
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    sealed = [head, "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,00FF", "", *lines, end]
+    keys = ["\n".join([head, *lines, end]), "\r\n".join(sealed), "\n    ".join([head, *lines, end]), "\\n".join([head, *lines, end]), "\n".join([head, *lines[:2], "ab=="]), head]
+    for key in keys:
+        for before, after in (("", ""), ("é key: ", "\nThen the text goes on."), ("x", " is a line.")):
+            spans = secrets.scanner(secrets.RULES).scan([(before + key + after).encode()])[0]
+            assert [s for s in spans if s[0] == "private_key"] == [("private_key", len(before), len(before + key))]
+    secrets.scanner(secrets.RULES).scan([(head + part * 100_000).encode() for part in ("\n", "\\n", "a", "a ", "a\n", "Ab: c\n", "QQ==\n")])
+
+
+def test_a_redacted_key_leaves_nothing(spark, docs):
+    key = "-----BEGIN PRIVATE KEY-----\n" + "Ab+/" * 16 + "\nxyz\n-----END PRIVATE KEY-----"
+    assert secrets.redact(docs([(1, f"a\n{key}\nb")])).first()["text"] == "a\n[SECRET]\nb"
+
+
 def test_columns(spark, docs, odd_texts):
     texts = [*odd_texts, "token = abcdefghijkl", "é" * 70_000 + " AKIA" + "B" * 20, "f" * 100_000]
     pairs = [(i, t) for i, t in enumerate(texts)] + [(None, "0" * 16), (1, "0" * 16), (1, "0" * 16)]
