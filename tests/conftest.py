@@ -22,10 +22,3 @@ def frame(spark):
         return spark.createDataFrame([tuple(r) for r in rows], schema)
 
     return build
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples, floats rounded."""
-    chosen = df.select(*columns) if columns else df
-    plain = [tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in chosen.collect()]
-    return sorted(plain, key=repr)

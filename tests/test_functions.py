@@ -1,7 +1,7 @@
 """Golden rows of the scalar functions."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
