@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paddock.llm import bpe, dac, decontaminate, html_text, nearest, pii, secrets, simhash, toxicity, url_filter
+from paddock.llm import (
+    bpe, dac, decontaminate, html_text, nearest, pii, secrets, simhash, toxicity, url_filter, whitening,
+)
 from paddock.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +75,8 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_contaminated")
 def contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query("op13_whitening")
+def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
