@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from paddock.llm import (
-    bpe, dac, decontaminate, html_text, nearest, pii, secrets, simhash, toxicity, url_filter, whitening,
+    bpe, dac, decontaminate, html_text, nearest, periods, pii, secrets, simhash, toxicity, url_filter, whitening,
 )
 from paddock.llm.common import table
 
@@ -80,3 +80,8 @@ def contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op13_whitening")
 def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@_query("op12_periodic_runs")
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.summary(periods.find(periods.planted(table(spark, sf_dir, "documents"))))
