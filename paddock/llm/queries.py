@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from paddock.llm import (
-    bpe, dac, decontaminate, html_text, nearest, periods, pii, secrets, simhash, toxicity, url_filter, whitening,
+    bpe, dac, decontaminate, html_text, minhash, nearest, periods, pii, secrets, simhash, toxicity, url_filter, whitening,
 )
 from paddock.llm.common import table
 
@@ -85,3 +85,8 @@ def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op12_periodic_runs")
 def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.summary(periods.find(periods.planted(table(spark, sf_dir, "documents"))))
+
+
+@_query("op11_fingerprints")
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.fingerprints(table(spark, sf_dir, "documents"))
