@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 #: Sampled values for each border.
-SAMPLED = 32
+SAMPLED = 64
 _CUTS = "_borders_of_parts"
 #: Parts a table is cut into at least.
 LEAST_PARTS = 32
