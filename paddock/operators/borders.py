@@ -23,16 +23,18 @@ def default_parts(df: DataFrame) -> int:
     return max(LEAST_PARTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def borders(df: DataFrame, column: str, parts: int, unique: Sequence[str] = ()) -> DataFrame:
+def borders(
+    df: DataFrame, column: str, parts: int, unique: Sequence[str] = (), sampled: int = SAMPLED
+) -> DataFrame:
     """One row, ``borders``: at most ``parts - 1`` values of ``column``, rising, none null, each once.
 
     ``unique`` names columns that tell rows of an equal value apart, so that a
-    frequent value is as frequent in the sample. A table without values has no borders.
+    frequent value is as frequent in the sample, which has ``sampled`` rows for each part. A table without values has no borders.
     """
     hashed = df.where(F.col(column).isNotNull()).select(
         F.col(column).alias("value"), F.xxhash64(*dict.fromkeys([column, *unique])).alias("hash")
     )
-    sample = hashed.orderBy("hash", "value").limit(SAMPLED * parts).agg(F.sort_array(F.collect_list("value")).alias("sample"))
+    sample = hashed.orderBy("hash", "value").limit(sampled * parts).agg(F.sort_array(F.collect_list("value")).alias("sample"))
     place = lambda i: F.floor(i * F.size("sample") / parts).cast("int")
     quantiles = F.transform(F.sequence(F.lit(1), F.lit(max(parts - 1, 1))), lambda i: F.get("sample", place(i)))
     return sample.select(F.array_sort(F.array_distinct(F.filter(quantiles, lambda v: v.isNotNull()))).alias("borders"))

@@ -1,11 +1,11 @@
 """Ordered computations that stay distributed when one group is huge.
 
 A window sends each group to a single task. Here every group is cut into chunks along
-its order: a chunk is a pure function of the first order column (octaves of numbers, spans
-of days, beginnings of text), so all branches of a plan agree on it without sampling or
-writing anything. Windows run inside a chunk, one row per chunk carries the result on, and
-the window over chunks is as short as the number of chunks of a group. The same steps are
-taken for groups of any size.
+its order, at borders taken from the data (``paddock.operators.borders``): no chunk has more
+than a fair share of all rows, whatever the values look like. Windows run inside a chunk, one
+row per chunk carries the result on, and the window over chunks is as short as the number of
+chunks of a group. The same steps are taken for groups of any size; a caller whose groups are
+bounded by what they mean (the laps of a driver in a race) uses a plain window instead.
 
 Orders are lists of column names, ``-name`` for descending, with Spark's default place of
 NULLs. Sums of doubles are taken over DECIMAL(38, 18), so they do not depend on the order in
@@ -16,13 +16,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from itertools import takewhile
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.sql import types as T
 
+from paddock.operators.borders import borders, default_parts, with_part
+
 KEY = "_key"
-#: Chunks per octave of a number, and per eight days of a date; 0 makes each group one chunk.
-GRAIN = 8
 #: Rows between two cuts of a group for frames of a fixed number of rows.
 BLOCK_ROWS = 100_000
 _EXACT = "decimal(38, 18)"
@@ -39,44 +40,28 @@ def _sorts(order: Sequence[str]) -> list[Column]:
     return [F.desc(name[1:]) if name.startswith("-") else F.asc(name) for name in order]
 
 
-def _bucket(column: Column, kind: T.DataType, grain: int) -> Column:
-    """A number or text that never falls as the column rises."""
-    if isinstance(kind, T.NumericType):
-        value = column.cast("double")
-        bucket = F.signum(value) * F.floor(grain * F.log2(1 + F.abs(value))).cast("double")
-        return F.when(F.isnan(value), F.lit(float("inf"))).otherwise(bucket) if grain else F.lit(0.0) * value
-    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        days = F.unix_date(column.cast("date"))
-        return F.floor(days * grain / 8) if grain else days * 0
-    if isinstance(kind, T.StringType) and grain:
-        return F.substring(column, 1, 2)
-    return column.isNull()
-
-
-def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], grain: int) -> tuple[DataFrame, list[Column], Column]:
+def _chunked(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: int | None
+) -> tuple[DataFrame, Column, Column]:
     """The rows with their chunk in ``_key``, the order of the chunks of a group, and the group.
 
-    Leading boolean order columns are used whole; the first other one is cut into buckets.
+    Chunks are cut along the leading order columns of one direction, taken together.
     """
-    chunks, sorts = [], []
-    for name in order:
-        plain, descending = name.removeprefix("-"), name.startswith("-")
-        kind = df.schema[plain].dataType
-        label = f"_c{len(chunks)}"
-        whole = isinstance(kind, T.BooleanType)
-        # NULL stays NULL and so keeps its place
-        cut = F.col(plain) if whole else F.when(F.col(plain).isNotNull(), _bucket(F.col(plain), kind, grain))
-        chunks.append(cut.alias(label))
-        sorts.append(F.desc(f"{KEY}.{label}") if descending else F.asc(f"{KEY}.{label}"))
-        if not whole:
-            break
+    parts = default_parts(df) if parts is None else parts
+    down = order[0].startswith("-")
+    leading = [name.removeprefix("-") for name in takewhile(lambda name: name.startswith("-") == down, order)]
+    # fields of a struct compare one after the other, NULL first, as the rows are ordered
+    placed = df.withColumn("_at", F.struct(*leading))
+    told_apart = [*keys, *[name.removeprefix("-") for name in order]]
+    placed = with_part(placed, "_at", borders(placed, "_at", parts, told_apart), parts, "_chunk")
     # one struct, in which NULLs equal each other: the window and the join below use one shuffle
-    own = df.withColumn(KEY, F.struct(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *chunks))
+    own = placed.withColumn(KEY, F.struct(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_chunk"))
     if keys:
         group = F.struct(*[f"{KEY}._k{i}" for i in range(len(keys))])
     else:  # all chunks, one row each, belong together
-        group = F.pmod(F.hash(f"{KEY}._c0"), F.lit(1))
-    return own, sorts, group
+        group = F.pmod(F.hash(f"{KEY}._chunk"), F.lit(1))
+    chunk = F.col(f"{KEY}._chunk")
+    return own.drop("_at", "_chunk"), chunk.desc() if down else chunk.asc(), group
 
 
 def running(
@@ -85,7 +70,7 @@ def running(
     order: Sequence[str],
     sums: Mapping[str, Column],
     past_only: bool = False,
-    grain: int = GRAIN,
+    parts: int | None = None,
 ) -> DataFrame:
     """Running sums per group. ``order`` should be unique within a group.
 
@@ -95,11 +80,11 @@ def running(
     kinds = {n: df.select(c.alias(n)).schema[n].dataType for n, c in sums.items()}
     exact = {n: isinstance(kind, (T.DoubleType, T.FloatType)) for n, kind in kinds.items()}
     inputs = {f"_in_{n}": c.cast(_EXACT) if exact[n] else c for n, c in sums.items()}
-    base, chunk_order, group = _chunked(df.withColumns(inputs), keys, order, grain)
+    base, chunk_order, group = _chunked(df.withColumns(inputs), keys, order, parts)
     local = W.partitionBy(KEY).orderBy(*_sorts(order)).rowsBetween(W.unboundedPreceding, end)
     inside = base.withColumns({n: F.sum(f"_in_{n}").over(local) for n in sums})
     totals = base.groupBy(KEY).agg(*[F.sum(f"_in_{n}").alias(f"_t_{n}") for n in sums])
-    before = W.partitionBy(group).orderBy(*chunk_order).rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy(group).orderBy(chunk_order).rowsBetween(W.unboundedPreceding, -1)
     carried = totals.select(KEY, *[F.sum(f"_t_{n}").over(before).alias(f"_c_{n}") for n in sums])
 
     def both(name: str) -> Column:
@@ -111,10 +96,10 @@ def running(
 
 
 def numbered(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_number", grain: int = GRAIN
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_number", parts: int | None = None
 ) -> DataFrame:
     """Row number per group, 1-based."""
-    return running(df, keys, order, {name: F.lit(1).cast("long")}, grain=grain)
+    return running(df, keys, order, {name: F.lit(1).cast("long")}, parts=parts)
 
 
 def shifted(
@@ -123,12 +108,12 @@ def shifted(
     order: Sequence[str],
     values: Mapping[str, Column],
     offset: int = 1,
-    grain: int = GRAIN,
+    parts: int | None = None,
 ) -> DataFrame:
     """Value of the previous (``offset`` 1) or next (``offset`` -1) row in the group."""
     if offset not in (1, -1):
         raise ValueError("offset must be 1 or -1")
-    base, chunk_order, group = _chunked(df.withColumns({f"_in_{n}": c for n, c in values.items()}), keys, order, grain)
+    base, chunk_order, group = _chunked(df.withColumns({f"_in_{n}": c for n, c in values.items()}), keys, order, parts)
     local = W.partitionBy(KEY).orderBy(*_sorts(order))
     inside = base.withColumns({n: F.lag(f"_in_{n}", offset).over(local) for n in values}).withColumns(
         {
@@ -136,7 +121,7 @@ def shifted(
             "_leaves": F.lag(F.lit(1), -offset).over(local).isNull(),
         }
     )
-    across = W.partitionBy(group).orderBy(*chunk_order)
+    across = W.partitionBy(group).orderBy(chunk_order)
     edges = inside.where("_leaves").select(KEY, *[f"_in_{n}" for n in values])
     carried = edges.select(KEY, *[F.lag(f"_in_{n}", offset).over(across).alias(f"_c_{n}") for n in values])
     both = {n: F.when(F.col("_enters"), F.col(f"_c_{n}")).otherwise(F.col(n)) for n in values}
@@ -150,7 +135,7 @@ def rolling(
     preceding: int,
     aggregates: Mapping[str, Column],
     block_rows: int = BLOCK_ROWS,
-    grain: int = GRAIN,
+    parts: int | None = None,
 ) -> DataFrame:
     """Aggregates over the ``preceding`` rows before the current one (it is left out).
 
@@ -159,7 +144,7 @@ def rolling(
     same order wherever the cuts are.
     """
     block = max(block_rows, preceding)
-    placed = numbered(df, keys, order, "_pos", grain=grain)
+    placed = numbered(df, keys, order, "_pos", parts=parts)
     slot = F.col("_pos") % block
     spread = placed.withColumn("_home", F.floor(F.col("_pos") / block)).withColumn(
         "_block",
@@ -176,7 +161,7 @@ def rolling(
 
 
 def ranked(
-    df: DataFrame, keys: Sequence[str], by: str, name: str = "rank", descending: bool = True, grain: int = GRAIN
+    df: DataFrame, keys: Sequence[str], by: str, name: str = "rank", descending: bool = True, parts: int | None = None
 ) -> DataFrame:
     """Rank per group (ties share a rank and leave a gap).
 
@@ -184,25 +169,51 @@ def ranked(
     """
     counts = df.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
     order = [f"-{by}" if descending else by]
-    places = running(counts, keys, order, {"_ahead": F.col("_n")}, past_only=True, grain=grain)
+    places = running(counts, keys, order, {"_ahead": F.col("_n")}, past_only=True, parts=parts)
     ranks = places.select(*keys, by, (F.coalesce("_ahead", F.lit(0)) + 1).cast("long").alias(name))
     return join_null_safe(df, ranks, [*keys, by], "inner").select(*df.columns, name)
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str, grain: int = GRAIN) -> DataFrame:
-    """Exact continuous median per group: the middle positions in the running counts of the distinct values."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    upto = running(counts, keys, [value], {"_upto": F.col("_n")}, grain=grain)
-    totals = df.groupBy(*keys).agg(F.count(value).alias("_total"))
-    placed = join_null_safe(upto, totals, keys, "inner")
+#: Relative rank error of the sketches that enclose a median.
+MEDIAN_ERROR = 1e-4
+
+
+def exact_median(
+    df: DataFrame, keys: Sequence[str], value: str, name: str, error: float = MEDIAN_ERROR
+) -> DataFrame:
+    """Exact continuous median per group, by counting.
+
+    A mergeable quantile sketch gives each group an interval that holds its middle positions.
+    Then values below the interval are counted and those inside, a share of some ``error`` of
+    the group, are kept by value; the middle positions are found among them. Only sketches,
+    counts and inner values are shuffled; no group is sorted or kept whole. NaN comes last.
+    """
+    narrow = df.select(*keys, F.col(value).alias("_v"))
+    # a sketch takes no NaN
+    ranked_as = F.when(F.isnan(F.col("_v").cast("double")), float("inf")).otherwise(F.col("_v").cast("double"))
+    accuracy = int(1 / error)
+    sides = F.lit([max(0.5 - 3 * error, 0.0), min(0.5 + 3 * error, 1.0)])
+    enclosing = narrow.withColumn("_r", ranked_as).groupBy(*keys).agg(
+        F.count("_v").alias("_total"), F.percentile_approx("_r", sides, accuracy).alias("_side")
+    )
+    placed = join_null_safe(narrow.withColumn("_r", ranked_as), enclosing, keys, "inner")
+    inside = F.col("_r").between(F.col("_side")[0], F.col("_side")[1])
+    # of values below the interval only the number matters; a group without values keeps its rows as one count
+    counts = (
+        placed.where(F.coalesce(F.col("_r") <= F.col("_side")[1], F.col("_total") == 0))
+        .groupBy(*keys, F.when(inside, F.col("_v")).alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.first("_total").alias("_total"))
+    )
+    upto = counts.withColumn("_upto", F.sum("_n").over(W.partitionBy(*keys).orderBy("_v")))
     low, high = F.floor((F.col("_total") + 1) / 2), F.floor((F.col("_total") + 2) / 2)
     middle = [
-        F.max(F.when((F.col("_upto") >= p) & (F.col("_upto") - F.col("_n") < p), F.col(value))) for p in (low, high)
+        F.max(F.when((F.col("_upto") >= p) & (F.col("_upto") - F.col("_n") < p), F.col("_v"))) for p in (low, high)
     ]
-    medians = placed.groupBy(*keys).agg(((middle[0] + middle[1]) / 2).alias(name))
-    return join_null_safe(totals, medians, keys).drop("_total")
+    mid = (middle[0] + middle[1]) / 2
+    outside = F.raise_error(F.lit("a sketch missed the median of a group; ask for a larger error")).cast("double")
+    return upto.groupBy(*keys).agg(F.when(mid.isNull() & (F.max("_total") > 0), outside).otherwise(mid).alias(name))
 
 
-def with_median(df: DataFrame, keys: Sequence[str], value: str, name: str, grain: int = GRAIN) -> DataFrame:
+def with_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """Every row with the exact median of its group."""
-    return join_null_safe(df, exact_median(df, keys, value, name, grain), keys, "inner").select(*df.columns, name)
+    return join_null_safe(df, exact_median(df, keys, value, name), keys, "inner").select(*df.columns, name)
