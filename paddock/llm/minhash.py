@@ -23,8 +23,9 @@ BINS = 256
 BITS = 4
 #: Bins drawn for an empty bin before all are ranked.
 PROBES = 8
-#: Parts of the table for each shuffle partition where the next document is looked up.
-PARTS = 4
+#: Parts of the table for each shuffle partition where the next document is looked up, and sampled keys for each;
+#: many parts make partitions even, whichever parts meet in one.
+PARTS, SAMPLED = 16, 8
 
 _BIN_SHIFT = 56  # a bin is the highest byte of a hash
 _REST = (1 << _BIN_SHIFT) - 1
@@ -130,7 +131,7 @@ def with_next(docs: DataFrame, key: str, parts: int, **values: str) -> DataFrame
     part is on its own, rows are shuffled once, and no part is larger than its
     share of the keys. Rows of one key are ordered by their text.
     """
-    cut = with_part(docs, key, borders(docs, key, parts), parts, "_part", "_edge")
+    cut = with_part(docs, key, borders(docs, key, parts, sampled=SAMPLED), parts, "_part", "_edge")
     largest = cut.withColumn("_first", F.col(key) == docs.agg(F.max(key)).scalar())
     place = lambda part, keeps, behind: F.struct(part.alias("part"), F.lit(keeps).alias("keeps"), F.lit(behind).alias("behind"))
     here, none = F.col("_part"), F.array().cast("array<struct<part: int, keeps: boolean, behind: int>>")
