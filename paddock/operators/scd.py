@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from paddock.operators.ordered import shifted
 from paddock.operators.topk import latest_per_key
 
 # Names of the snapshot columns.
@@ -91,17 +90,19 @@ def history_from_facts(
     """Validity intervals of ``value`` per key, read off ordered facts (gaps and islands).
 
     Gives key, value, the first and last order position of each stretch, and the position at
-    which the next one starts (NULL for the open one).
+    which the next one starts (NULL for the open one). A key has at most one row for each
+    position (a driver one for each race), so one window over the key serves all steps: the
+    facts are read and shuffled once.
     """
-    by, position = list(order), F.struct(*order)
-    rows = facts.select(key, value, *order)
+    position = F.struct(*order)
+    of_key = W.partitionBy(key).orderBy(*order)
     here = F.struct(F.col(value).alias("v"), position.alias("p"))
-    previous = shifted(rows, [key], by, {"_prev": here})
+    previous = facts.select(key, value, *order).withColumns(
+        {"_prev": F.lag(here).over(of_key), "_newest": F.max(position).over(W.partitionBy(key))}
+    )
     starts = previous.where(F.col("_prev").isNull() | ~F.col("_prev.v").eqNullSafe(F.col(value)))
     start = F.struct(position.alias("p"), F.col("_prev.p").alias("last"))
-    ended = shifted(starts, [key], by, {"_next": start}, offset=-1)
-    newest = facts.groupBy(key).agg(F.max(position).alias("_newest"))
-    named = ended.join(newest, key).select(
+    named = starts.withColumn("_next", F.lead(start).over(of_key)).select(
         key,
         value,
         position.alias("_from"),

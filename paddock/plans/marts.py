@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from paddock.functions.scalars import round_half_up, safe_divide
-from paddock.operators.ordered import ranked
 from paddock.plans.features import FEATURES
 from paddock.plans.staging import ENTRY, RACE
 
@@ -96,13 +95,18 @@ def fct_championship_standings(results: DataFrame) -> DataFrame:
     """Running points per season and the rank in each race.
 
     A race is ranked on its distinct totals, of which there are at most (rounds x 25 + 1), so
-    no task orders all its drivers.
+    no task orders all its drivers; the ranks are joined back.
     """
     so_far = W.partitionBy("season", "driver_abbr").orderBy("round_number")
     totals = results.select(*ENTRY, "team_name", F.col("points").alias("race_points")).withColumn(
         "total_points", F.sum("race_points").over(so_far)
     )
-    return ranked(totals, RACE, "total_points", "championship_position")
+    drivers = totals.groupBy(*RACE, "total_points").agg(F.count(F.lit(1)).alias("_drivers"))
+    better = W.partitionBy(*RACE).orderBy(F.desc("total_points")).rowsBetween(W.unboundedPreceding, -1)
+    position = (F.coalesce(F.sum("_drivers").over(better), F.lit(0)) + 1).alias("championship_position")
+    return totals.join(drivers.select(*RACE, "total_points", position), [*RACE, "total_points"]).select(
+        *totals.columns, "championship_position"
+    )
 
 
 def fct_driver_performance(frame: DataFrame) -> DataFrame:

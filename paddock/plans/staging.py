@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from paddock.functions.scalars import to_seconds
-from paddock.operators.ordered import with_median
 
 RACE = ["season", "round_number"]
 ENTRY = ["season", "round_number", "driver_abbr"]
@@ -82,7 +81,11 @@ def lap_seconds(laps: DataFrame) -> DataFrame:
 
 
 def stg_lap_times(laps: DataFrame) -> DataFrame:
-    """Laps with the driver's median lap of the race and the outlier flag."""
-    timed = with_median(lap_seconds(laps), ENTRY, "lap_time_seconds", "median_lap_time")
+    """Laps with the driver's median lap of the race and the outlier flag.
+
+    A driver has as many laps in a race as the race is long, so a window holds them: one shuffle.
+    """
+    median = F.median("lap_time_seconds").over(W.partitionBy(*ENTRY))
+    timed = lap_seconds(laps).withColumn("median_lap_time", median)
     slow = F.col("lap_time_seconds") > F.col("median_lap_time") * OUTLIER_FACTOR
     return timed.withColumn("is_outlier", F.coalesce(slow, F.lit(False)))

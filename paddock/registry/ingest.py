@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from paddock.operators import scd
-from paddock.operators.ordered import numbered
 from paddock.plans import models, race_view, staging
 from paddock.plans.race_view import race_events, table
 from paddock.registry import query, rounded, rounded_sql
@@ -54,7 +53,8 @@ def laps_frame(spark: SparkSession, sf: str) -> DataFrame:
     """Laps as a session delivers them: numbers as doubles, times in seconds."""
     user, value = F.col("user_id"), F.col("value")
     laps = race_events(spark, sf).withColumn("Driver", F.concat(F.lit("U"), user))
-    ordered = numbered(laps, [*RACE, "Driver"], ["ts", "event_id"], "lap")
+    of_driver = W.partitionBy(*RACE, "Driver").orderBy("ts", "event_id")
+    ordered = laps.withColumn("lap", F.row_number().over(of_driver))
     return ordered.select(
         *RACE,
         "Driver",

@@ -17,14 +17,15 @@ from paddock.operators.ordered import ranked
 from paddock.plans import features, marts, race_view, staging
 from paddock.registry import query, rounded, rounded_sql
 from paddock.registry.race_sql import race_sql
+from paddock.sources.sinks import materialize_table
 
 ENTRY = staging.ENTRY
 RACE = staging.RACE
 
 
 def staged_results(spark: SparkSession, sf: str) -> DataFrame:
-    """Staged results of the race view."""
-    return staging.stg_results(race_view.results(spark, sf))
+    """Staged results of the race view, whose raw results are written once as the raw table they stand for."""
+    return staging.stg_results(materialize_table(race_view.results(spark, sf), label="raw-results"))
 
 
 def staged_races(spark: SparkSession, sf: str) -> DataFrame:
@@ -112,7 +113,7 @@ def pl6(spark, sf):
 
 @query("pl7_dim_drivers", race_sql("SELECT * FROM dim_drivers"))
 def pl7(spark, sf):
-    return marts.dim_drivers(features.driver_frame(staged_results(spark, sf)))
+    return marts.dim_drivers(features.driver_frame(staging.stg_results(race_view.results(spark, sf))))
 
 
 @query("pl8_dim_teams", race_sql("SELECT * FROM dim_teams"))

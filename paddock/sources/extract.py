@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.sql import types as T
 
-from paddock.operators.ordered import numbered
 from paddock.plans.staging import ENTRY, RACE
 
 # Words in a status that mean the car did not finish.
@@ -43,8 +42,9 @@ UNKNOWN_DRIVER = "UNK"
 
 
 def finish_from_order(results: DataFrame) -> DataFrame:
-    """Finish position: the place of the row in its race."""
-    return numbered(results, RACE, ["result_order"], "finish_order")
+    """Finish position: the place of the row in its race, which has a row for each car."""
+    place = F.row_number().over(W.partitionBy(*RACE).orderBy("result_order"))
+    return results.withColumn("finish_order", place.cast("long"))
 
 
 def grid_from_lap1(laps: DataFrame) -> DataFrame:
