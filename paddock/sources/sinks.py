@@ -176,13 +176,13 @@ def materialize_table(df: DataFrame, path: str | None = None, label: str = "tabl
     return spark.read.schema(df.schema).parquet(target)
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Versions of a table kept as folders ``version=n``; only the folder names are listed."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = store.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS"))
-    names = [status.getPath().getParent().getName() for status in found or []]
-    return sorted(int(name.removeprefix("version=")) for name in names)
+def versions(spark: SparkSession, path: str, name: str = "version") -> list[int]:
+    """Versions of a table kept as folders ``version=n``, those written in full; only the folder names are listed."""
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store = path_of(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = store.globStatus(path_of(f"{path}/{name}=*/_SUCCESS"))
+    folders = [status.getPath().getParent().getName() for status in found or []]
+    return sorted(int(folder.removeprefix(f"{name}=")) for folder in folders)
 
 
 def read_version(spark: SparkSession, path: str) -> DataFrame | None:

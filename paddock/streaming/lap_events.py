@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from paddock.functions.scalars import surrogate_key, to_seconds
 from paddock.schemas import LAP_EVENT
-from paddock.sources.sinks import materialize_table
+from paddock.session import scratch_scope
+from paddock.sources.sinks import materialize_table, versions
 
 WRITE_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timeZone": "UTC", "ignoreNullFields": "false"}
 # A sender may leave out the fraction when it is zero.
@@ -89,9 +90,13 @@ def broken_messages(messages: DataFrame) -> DataFrame:
 
 
 def read_kafka(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
-    """Events of a topic from the earliest offset; needs the Kafka connector on the class path."""
+    """Messages of a topic from the earliest offset; needs the Kafka connector on the class path.
+
+    They are given unread, so what is no event is not lost: ``intake`` keeps it, and
+    ``parse_events`` and ``broken_messages`` tell the two apart.
+    """
     source = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-    return parse_events(source.option("startingOffsets", "earliest").options(**options).load())
+    return source.option("startingOffsets", "earliest").options(**options).load().select("value")
 
 
 def read_messages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -147,6 +152,12 @@ def event_sink(events: DataFrame, path: str, checkpoint: str, trigger: dict | No
 
 
 OUTPUTS = ("events", "late", "broken")
+_EVENT = (
+    "event_id string, season int, race_id int, race_name string, driver_code string, lap_number int, "
+    "lap_time_sec double, sector1_sec double, sector2_sec double, sector3_sec double, "
+    "is_personal_best boolean, event_timestamp timestamp"
+)
+_SCHEMAS = {"events": _EVENT, "late": _EVENT, "broken": "value string"}
 
 
 def intake(messages: DataFrame, path: str, checkpoint: str, delay: str, trigger: dict | None = None) -> StreamingQuery:
@@ -154,50 +165,83 @@ def intake(messages: DataFrame, path: str, checkpoint: str, delay: str, trigger:
 
     An event is stored once by its id. An event more than ``delay`` behind the newest one
     of earlier batches goes to ``late``, repeated or not, since ids are compared with stored
-    events of the last ``delay`` only (days of events are folders, so no more is read). A batch writes
-    folders of its own number, so a batch that is run again replaces what it wrote.
+    events of the last ``delay`` only (days of events are folders, so no more is read).
+    Events without a time are in time; their ids are also compared with all stored events
+    without one.
+
+    A batch writes folders of its own number and, when all are written, its line in the batch
+    log: readers see the batches of the log. A batch that is run again compares with the
+    batches before it, as it did the first time, and replaces what it wrote; one that is in
+    the log already is left as it is.
     """
+    spark = messages.sparkSession
+    if _committed(spark, path) is not None and not _exists(spark, checkpoint):
+        raise ValueError(f"the tables below {path} belong to another checkpoint; batch numbers would repeat")
 
     def store(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        parsed = materialize_table(_parsed(batch), label="batch")
-        parsed.where("e IS NULL").select("value").write.mode("overwrite").parquet(f"{path}/broken/batch={number}")
-        newest = _newest(spark, path, number)
-        events = sink_columns(_typed(parsed.where("e IS NOT NULL").select("e.*")))
-        if newest is None:
-            events.limit(0).write.mode("overwrite").parquet(f"{path}/late/batch={number}")
-            fresh = events
-        else:
-            bound = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {delay}")
-            in_time = F.coalesce(F.col("event_timestamp") >= bound, F.lit(True))
-            events.where(~in_time).write.mode("overwrite").parquet(f"{path}/late/batch={number}")
-            stored = spark.read.parquet(f"{path}/events").where(
-                (F.col("batch") < number) & (F.col("day") >= F.to_date(bound)) | F.col("day").isNull()
-            )
-            fresh = events.where(in_time).join(stored.select("event_id"), "event_id", "left_anti")
-        dated = fresh.dropDuplicates(["event_id"]).withColumn("day", F.to_date("event_timestamp"))
-        dated.write.mode("overwrite").partitionBy("day").parquet(f"{path}/events/batch={number}")
-        top = events.agg(F.max("event_timestamp").alias("newest"))
-        top.write.mode("overwrite").parquet(f"{path}/progress/batch={number}")
+        with scratch_scope(batch.sparkSession):
+            store_batch(batch, number, path, delay)
 
     writer = messages.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def _newest(spark: SparkSession, path: str, number: int) -> str | None:
-    """Newest event time of the batches before this one; one row per batch is read."""
-    if number == 0:
-        return None
-    seen = spark.read.parquet(f"{path}/progress").where(F.col("batch") < number)
-    return seen.agg(F.max("newest").cast("string")).first()[0]
+def store_batch(batch: DataFrame, number: int, path: str, delay: str) -> None:
+    """Store one batch of messages; what it gives depends on the batches before it only."""
+    spark = batch.sparkSession
+    done = _committed(spark, path)
+    if done is not None and number <= done:
+        return
+    parsed = materialize_table(_parsed(batch), label="batch")
+    newest = None if number == 0 else _log(spark, path, number - 1)["newest"]
+    events = sink_columns(_typed(parsed.where("e IS NOT NULL").select("e.*")))
+    stored = _stored(spark, path, "events").where(F.col("batch") < number)
+    in_time = F.lit(True)
+    if newest is not None:
+        bound = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+        in_time = F.coalesce(F.col("event_timestamp") >= bound, F.lit(True))
+        stored = stored.where(F.col("day").isNull() | (F.col("day") >= F.to_date(bound)))
+    fresh = events.where(in_time).dropDuplicates(["event_id"]).join(stored.select("event_id"), "event_id", "left_anti")
+    folder = f"batch={number}"
+    _write(fresh.withColumn("day", F.to_date("event_timestamp")), f"{path}/events/{folder}", "day")
+    _write(events.where(~in_time), f"{path}/late/{folder}")
+    _write(parsed.where("e IS NULL").select("value"), f"{path}/broken/{folder}")
+    top = events.agg(F.greatest(F.max("event_timestamp"), F.lit(newest).cast("timestamp")).cast("string").alias("newest"))
+    _write(top, f"{path}/log/{folder}")
+
+
+def _write(rows: DataFrame, folder: str, *partitions: str) -> None:
+    rows.write.mode("overwrite").partitionBy(*partitions).parquet(folder)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+def _committed(spark: SparkSession, path: str) -> int | None:
+    """Number of the last batch of the log; batches end one after the other, so all before it are there."""
+    found = versions(spark, f"{path}/log", "batch")
+    return found[-1] if found else None
+
+
+def _log(spark: SparkSession, path: str, number: int) -> Row:
+    """Line of one batch: the newest event time up to it."""
+    return spark.read.schema("newest string").parquet(f"{path}/log/batch={number}").first()
+
+
+def _stored(spark: SparkSession, path: str, output: str) -> DataFrame:
+    """Everything batches wrote, finished or not, with ``batch`` (and ``day``)."""
+    kind = f"{_SCHEMAS[output]}, batch int" + (", day date" if output == "events" else "")
+    if not _exists(spark, f"{path}/{output}"):
+        return spark.createDataFrame([], kind)
+    return spark.read.schema(kind).option("basePath", f"{path}/{output}").parquet(f"{path}/{output}")
 
 
 def read_intake(spark: SparkSession, path: str, output: str) -> DataFrame:
-    """One of the tables ``intake`` writes: ``events``, ``late`` or ``broken``."""
+    """One of the tables ``intake`` writes, ``events``, ``late`` or ``broken``: the rows of finished batches."""
     if output not in OUTPUTS:
         raise ValueError(f"output must be one of {OUTPUTS}")
-    kinds = {"broken": "value string"}
-    sink = "event_id string, season int, race_id int, race_name string, driver_code string, lap_number int, " \
-        "lap_time_sec double, sector1_sec double, sector2_sec double, sector3_sec double, " \
-        "is_personal_best boolean, event_timestamp timestamp"
-    return spark.read.schema(kinds.get(output, sink)).parquet(f"{path}/{output}")
+    last = _committed(spark, path)
+    finished = F.lit(False) if last is None else F.col("batch") <= last
+    return _stored(spark, path, output).where(finished).drop("batch", "day")

@@ -118,6 +118,106 @@ def test_intake_loses_nothing(spark, projection, tmp_path):
         lap_events.read_intake(spark, out, "other")
 
 
+def _batches(spark):
+    """Message batches: no time at first, repeated ids, late events, events without a time, broken lines."""
+    at = "2025-01-%02dT10:00:00.000000"
+
+    def message(name, day=None):
+        return json.dumps({"event_id": name, "race_id": 1.0, "event_timestamp": None if day is None else at % day})
+
+    lines = [
+        [message("u1"), message("u2"), message("u1"), "broken"],
+        [message("u1"), message("a", 10), message("u3"), message("a", 10)],
+        [message("a", 10), message("b", 9), message("old", 2), message("u2"), message("u4"), "{}"],
+        [message("b", 9), message("u4"), message("old", 2), message("c", 12), message("u5")],
+    ]
+    return [spark.createDataFrame([(line,) for line in batch], "value string") for batch in lines]
+
+
+_WANTED = {
+    "events": ["a", "b", "c", "u1", "u2", "u3", "u4", "u5"],
+    "late": ["old", "old"],
+    "broken": ["broken", "{}"],
+}
+
+
+def _tables(spark, out):
+    return {name: sorted(r[0] for r in lap_events.read_intake(spark, out, name).collect()) for name in lap_events.OUTPUTS}
+
+
+def test_batches_run_twice(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for number, batch in enumerate(_batches(spark)):
+        lap_events.store_batch(batch, number, out, "3 days")
+        before = _tables(spark, out)
+        lap_events.store_batch(batch, number, out, "3 days")
+        assert _tables(spark, out) == before
+    assert before == _WANTED
+
+
+@pytest.mark.parametrize("killed_at", [1, 2, 3, 4])
+def test_batches_killed_at_each_write(spark, tmp_path, monkeypatch, killed_at):
+    """Every batch is ended before, or after, one of its writes and run again: same tables."""
+    out, write = str(tmp_path / "out"), lap_events._write
+    for number, batch in enumerate(_batches(spark)):
+        for when in ("before", "after"):
+            left = [killed_at]
+
+            def dying(rows_, folder, *partitions):
+                left[0] -= 1
+                if left[0] == 0 and when == "before":
+                    raise InterruptedError
+                write(rows_, folder, *partitions)
+                if left[0] == 0:
+                    raise InterruptedError
+
+            seen = _tables(spark, out)
+            monkeypatch.setattr(lap_events, "_write", dying)
+            with pytest.raises(InterruptedError):
+                lap_events.store_batch(batch, number, out, "3 days")
+            monkeypatch.setattr(lap_events, "_write", write)
+            if (killed_at, when) != (4, "after"):  # readers see nothing of a batch that is not in the log
+                assert _tables(spark, out) == seen
+        lap_events.store_batch(batch, number, out, "3 days")
+    assert _tables(spark, out) == _WANTED
+
+
+def test_stream_killed_and_run_again(spark, tmp_path, monkeypatch):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    write = lap_events._write
+    for batch in _batches(spark):
+        batch.write.mode("append").text(source)
+
+        def dying(rows_, folder, *partitions):
+            write(rows_, folder, *partitions)
+            if "/events/" in folder:
+                raise InterruptedError
+
+        run = lambda: lap_events.intake(lap_events.read_messages(spark, source), out, checkpoint, "3 days").awaitTermination()
+        monkeypatch.setattr(lap_events, "_write", dying)
+        with pytest.raises(Exception, match="InterruptedError"):
+            run()
+        monkeypatch.setattr(lap_events, "_write", write)
+        run()
+    assert _tables(spark, out) == _WANTED
+    with pytest.raises(ValueError, match="another checkpoint"):
+        lap_events.intake(lap_events.read_messages(spark, source), out, str(tmp_path / "new"), "3 days")
+
+
+def test_a_batch_leaves_no_scratch_data(spark, projection, tmp_path):
+    from pathlib import Path
+
+    from paddock.session import shared_dir
+
+    source = str(tmp_path / "in")
+    lap_events.to_event(projection(None)).write.text(source)
+    scratch = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(scratch.glob("batch-*"))
+    messages = lap_events.read_messages(spark, source)
+    lap_events.intake(messages, str(tmp_path / "out"), str(tmp_path / "c"), "1 day").awaitTermination()
+    assert set(scratch.glob("batch-*")) == before
+
+
 def test_broken_messages(spark):
     lines = spark.createDataFrame([("{broken",), ("{}",), (None,), ('{"event_id": "a"}',)], "value string")
     assert rows(lap_events.broken_messages(lines)) == sorted([("{broken",), ("{}",), (None,)], key=repr)
@@ -149,3 +249,36 @@ def test_kafka_options(monkeypatch):
 
     lap_events.send_to_kafka(Frame(), "host:9092", "laps", acks="all")
     assert asked == {"format": "kafka", "kafka.bootstrap.servers": "host:9092", "topic": "laps", "acks": "all", "saved": True}
+
+
+def test_kafka_messages_are_given_unread(spark):
+    """The reader asks for the earliest offset and gives every message, also what is no event."""
+    asked = {}
+    lines = spark.createDataFrame([(b"k", b'{"event_id": "a"}'), (b"k", b"broken")], "key binary, value binary")
+
+    class Source:
+        def format(self, name):
+            asked["format"] = name
+            return self
+
+        def option(self, key, value):
+            asked[key] = value
+            return self
+
+        def options(self, **more):
+            asked.update(more)
+            return self
+
+        def load(self):
+            return lines
+
+    class Session:
+        readStream = Source()
+
+    got = lap_events.read_kafka(Session(), "host:9092", "laps", failOnDataLoss="true")
+    assert asked == {
+        "format": "kafka", "kafka.bootstrap.servers": "host:9092", "subscribe": "laps", "startingOffsets": "earliest",
+        "failOnDataLoss": "true",
+    }
+    assert got.columns == ["value"] and got.count() == 2
+    assert lap_events.parse_events(got).count() == 1 and lap_events.broken_messages(got).count() == 1
