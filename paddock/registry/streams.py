@@ -44,8 +44,11 @@ def st1_first(spark, sf):
 
 
 def _messages(spark: SparkSession, sf: str) -> DataFrame:
-    """Every lap as one message whose id is the event's id, so the same lap always has the same id."""
-    at = F.col("ts").cast("timestamp")
+    """Every lap as one message whose id is the event's id, so the same lap always has the same id.
+
+    Every seventh has no time.
+    """
+    at = F.when(F.col("event_id") % 7 != 0, F.col("ts").cast("timestamp"))
     laps = race_view.race_events(spark, sf).select(
         "season",
         F.col("round_number").alias("race_id"),
@@ -55,6 +58,7 @@ def _messages(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("event_id") % 5 != 0, F.round("value", 2)).alias("sector1_sec"),
         (F.col("event_type") == "purchase").alias("is_personal_best"),
         F.col("event_id").alias("number"),
+        "event_id",
         "ts",
     )
     number = F.get_json_object("value", "$.number").cast("double")
@@ -67,7 +71,8 @@ def _messages(spark: SparkSession, sf: str) -> DataFrame:
        'U' || user_id AS driver_abbr, CAST(event_id % 60 AS DOUBLE) AS lap_number,
        round(value, 3) AS lap_time_sec, CASE WHEN event_id % 5 <> 0 THEN round(value, 2) END AS sector1_sec,
        event_id % 5 = 0 AS null_is_sent, CASE WHEN event_type = 'purchase' THEN 1.0 ELSE 0.0 END::DOUBLE
-       AS is_personal_best, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS event_timestamp, 1::BIGINT AS ids FROM events""",
+       AS is_personal_best, CASE WHEN event_id % 7 <> 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS event_timestamp,
+       1::BIGINT AS ids FROM events""",
 )
 def st2(spark, sf):
     """Every field of every message, and how many messages share its id."""
@@ -166,7 +171,8 @@ def st4(spark, sf):
 
 @query(
     "st5_dedup_by_event_id",
-    """SELECT 'kept' AS output, 'U' || user_id AS driver_code, count(*) AS events, min(ts) AS oldest FROM events GROUP BY ALL
+    """SELECT 'kept' AS output, 'U' || user_id AS driver_code, count(*) AS events,
+           min(CASE WHEN event_id % 7 <> 0 THEN ts END) AS oldest FROM events GROUP BY ALL
     UNION ALL
     SELECT 'late', 'late' || user_id, count(*), min(ts) - INTERVAL 400 DAYS FROM events WHERE event_id % 50 = 0 GROUP BY ALL
     UNION ALL
@@ -190,7 +196,8 @@ def st5(spark, sf):
 
 @query(
     "snk7_stream_append",
-    "SELECT 'U' || user_id AS driver_code, count(*) AS events, max(ts) AS newest FROM events GROUP BY ALL",
+    "SELECT 'U' || user_id AS driver_code, count(*) AS events, max(CASE WHEN event_id % 7 <> 0 THEN ts END) AS newest "
+    "FROM events GROUP BY ALL",
 )
 def snk7(spark, sf):
     received = lap_events.read_intake(spark, _taken_in(spark, sf), "events")
