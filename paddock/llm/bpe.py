@@ -21,25 +21,32 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 from paddock.llm.common import arrow_map, pick, sha256
 
-#: White space of the Unicode property of that name, which the tokenizer's ``\\s`` means.
+#: White space of the Unicode property of that name, which the tokenizer's ``\\s`` means; ``str.split`` and the
+#: ``\\s`` of ``re`` also know others.
 _SPACE = "\t-\r \x85\xa0  -     　"
 _SPACES = re.compile(f"[{_SPACE}]+")
-#: ``str.split`` also breaks at these; texts holding one are split by the pattern.
-_NOT_SPACE = re.compile("[\x1c-\x1f]")
+_SPACE_SET = {chr(c) for c in range(0x10000) if _SPACES.match(chr(c))}
 #: Characters of a text that are worked on together; longer texts are cut at white space.
-PIECE = 1 << 19
-#: Entries of the young half of the caches of raw and of split words; they bound memory, not results.
-RAW_CACHE = 100_000
-CACHE = 350_000
+PIECE = 1 << 21
+#: Entries of the young half of the cache of words; it bounds memory, not results.
+CACHE = 450_000
+#: Code points below this are told apart by classes of letters and numbers written out, others by their properties.
+_LATIN = 0x250
 #: Longest word, in symbols, that is merged beside others; longer ones use a heap.
 SIDE_BY_SIDE = 32
+#: The split the file must name, and the endings it keeps apart.
+_ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_BLANK, _LETTER, _NUMBER, _OTHER = range(4)  # kinds of characters
 _ALONE = 0xFFFF
 _NEVER = np.int32(2**31 - 1)
+_NOTHING = np.zeros(0, np.uint16)
 
 
 def _byte_characters() -> list[str]:
@@ -62,14 +69,146 @@ class Cache:
         if len(self.young) > self.entries:
             self.young, self.old = {}, self.young
         missing = words.difference(self.young)
-        moved = {w: self.old[w] for w in missing if w in self.old}
-        self.young.update(moved)
-        missing.difference_update(moved)
+        if missing and self.old:
+            moved = {w: self.old[w] for w in missing.intersection(self.old)}
+            self.young.update(moved)
+            missing.difference_update(moved)
         if missing:
             self.young.update(make(list(missing)))
         return self.young
 
 
+def _kinds() -> np.ndarray:
+    """Kind of each code point below _LATIN."""
+    space = set(map(ord, _SPACE_SET))
+    category = [unicodedata.category(chr(c))[0] for c in range(_LATIN)]
+    kinds = [_BLANK if c in space else {"L": _LETTER, "N": _NUMBER}.get(k, _OTHER) for c, k in enumerate(category)]
+    return np.array(kinds, np.uint8)
+
+
+def _lower(text: str) -> str:
+    """Composed and in lower case, character by character: no final sigma."""
+    return unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
+
+
+def _word_starts(codes: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Where the words of a text, and the blanks between them, begin.
+
+    A word is a run of letters, one number, or a run of other characters; an
+    apostrophe that begins such a run takes an ending behind it into a word.
+    """
+    kind = kinds[codes]
+    start = np.ones(len(codes), bool)
+    start[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _NUMBER)
+    quotes = np.flatnonzero((codes == ord("'")) & start)
+    if len(quotes):
+        after = np.concatenate([codes, np.zeros(2, codes.dtype)])
+        first, second = after[quotes + 1], after[quotes + 2]
+        one = np.isin(first, [ord(e) for e in _ENDINGS if len(e) == 1])
+        two = np.zeros(len(quotes), bool)
+        for a, b in (e for e in _ENDINGS if len(e) == 2):
+            two |= (first == ord(a)) & (second == ord(b))
+        for some, size in ((one, 2), (two & ~one, 3)):
+            at = quotes[some]
+            for k in range(1, size):
+                start[at + k] = False
+            at = at + size
+            start[at[at < len(codes)]] = True
+    return np.flatnonzero(start)
+
+
+class Lookup:
+    """Values (int32, not negative) by key (uint32) for arrays of keys: open addressing in arrays."""
+
+    _FREE = np.uint32(2**32 - 1)  # no key is as large
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        self.bits = max(int(4 * len(keys)).bit_length(), 4)
+        self.keys = np.full(1 << self.bits, self._FREE, np.uint32)
+        self.values = np.full(1 << self.bits, -1, np.int32)
+        keys, values, slots = keys.astype(np.uint32), values.astype(np.int32), self._slots(keys.astype(np.uint32))
+        while len(keys):
+            free = np.flatnonzero(self.keys[slots] == self._FREE)
+            _, first = np.unique(slots[free], return_index=True)
+            placed = free[first]
+            self.keys[slots[placed]], self.values[slots[placed]] = keys[placed], values[placed]
+            left = np.ones(len(keys), bool)
+            left[placed] = False
+            keys, values, slots = keys[left], values[left], (slots[left] + 1) & (len(self.keys) - 1)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint32(2654435769)) >> np.uint32(32 - self.bits)).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """Value of each key, -1 where it is not known."""
+        slots = self._slots(keys)
+        there = self.keys[slots]
+        values = np.where(there == keys, self.values[slots], -1)
+        asked = np.flatnonzero((there != keys) & (there != self._FREE))
+        slots = slots[asked]
+        while len(asked):
+            slots = (slots + 1) & (len(self.keys) - 1)
+            there = self.keys[slots]
+            same = there == keys[asked]
+            values[asked[same]] = self.values[slots[same]]
+            on = ~same & (there != self._FREE)
+            asked, slots = asked[on], slots[on]
+        return values
+
+
+class Trie:
+    """Longest tokens of many words at once: all words walk the tokens' bytes side by side."""
+
+    def __init__(self, inside: dict[bytes, int], ending: dict[bytes, int]) -> None:
+        children: dict[int, int] = {}
+        ids: list[list[int]] = [[-1], [-1]]
+        for which, tokens in enumerate((inside, ending)):
+            for token, place in tokens.items():
+                node = 0
+                for byte in token:
+                    key = node << 8 | byte
+                    if key not in children:
+                        children[key] = len(ids[0])
+                        ids[0].append(-1)
+                        ids[1].append(-1)
+                    node = children[key]
+                ids[which][node] = place
+        self.children = Lookup(np.array(list(children), np.uint32), np.array(list(children.values())))
+        self.inside, self.ending = (np.array(i, np.int32) for i in ids)
+
+    def longest(self, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the longest tokens from left to right of each word (bytes of ``flat``), and how many these are.
+
+        Every byte must be a token, inside a word and at its end.
+        """
+        found = np.zeros((len(starts), int(sizes.max(initial=1))), np.int32)
+        count = np.zeros(len(starts), np.int64)
+        word = np.arange(len(starts))
+        at, end = starts.copy(), starts + sizes
+        node, best, best_at = np.zeros(len(word), np.int64), np.full(len(word), -1, np.int32), at.copy()
+        while len(word):
+            more = at < end
+            key = node.astype(np.uint32) << np.uint32(8) | flat[np.minimum(at, len(flat) - 1)]
+            child = np.where(more, self.children.get(key), -1)
+            on = child >= 0
+            at = at + on
+            node = np.where(on, child, 0)
+            token = np.where(at < end, self.inside[node], self.ending[node])
+            better = on & (token >= 0)
+            best, best_at = np.where(better, token, best), np.where(better, at, best_at)
+            # a word that cannot go on gives its longest token and begins again behind it
+            stop = np.flatnonzero(~on)
+            found[word[stop], count[word[stop]]] = best[stop]
+            count[word[stop]] += 1
+            at[stop] = best_at[stop]
+            node[stop], best[stop] = 0, -1
+            left = on | (at < end)
+            if not left.all():
+                word, at, end = word[left], at[left], end[left]
+                node, best, best_at = node[left], best[left], best_at[left]
+        return found, count
+
+
 class WordBpe:
     """Encoder and decoder for a ``tokenizers`` file of a BPE with an end-of-word suffix."""
 
@@ -83,29 +222,39 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_at = re.compile("|".join(map(re.escape, self.special)))
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        if split != _SPLIT:
+            raise ValueError("not a BPE file whose words are split in the way this encoder knows")
         self.split = regex.compile(split).findall
+        self.beyond = re.compile(f"[^\\x00-{chr(_LATIN - 1)}]").search
         self.tokens = [""] * (1 + max([*vocab.values(), *self.special.values()]))
         for token, place in [*vocab.items(), *self.special.items()]:
             self.tokens[place] = token
         self.inside = {t: i for t, i in vocab.items() if not t.endswith(suffix)}
         self.ending = {t[: -len(suffix)]: i for t, i in vocab.items() if t.endswith(suffix)}
         self.suffix = len(suffix)
-        self.reach: dict[str, int] = {}  # length of the longest token that begins with three characters
+        sizes: dict[str, set[int]] = {}
         for token in [*self.inside, *self.ending]:
-            self.reach[token[:3]] = max(len(token), self.reach.get(token[:3], 2))
+            sizes.setdefault(token[:3], {1, 2}).add(len(token))
+        #: lengths, falling, of the tokens that begin with three characters
+        self.reach = {start: tuple(sorted(known, reverse=True)) for start, known in sizes.items()}
         self.merges: dict[int, tuple[int, int]] = {}
         for rank, (left, right) in enumerate(model["merges"]):
             self.merges.setdefault(vocab[left] << 16 | vocab[right], (rank, vocab[left + right]))
-        self.keys = np.array(sorted(self.merges), np.uint32)
-        self.rank = np.array([self.merges[k][0] for k in self.keys.tolist()], np.int32)
+        self.rank = Lookup(np.array(list(self.merges), np.uint32), np.array([r for r, _ in self.merges.values()]))
         self.made = np.zeros(len(model["merges"]), np.uint32)
         for rank, made in self.merges.values():
             self.made[rank] = made
-        self.characters = str.maketrans({chr(b): c for b, c in enumerate(_byte_characters())})
+        letters = _byte_characters()
+        self.characters = str.maketrans({chr(b): c for b, c in enumerate(letters)})
+        byte_of = {c: b for b, c in enumerate(letters)}
+        in_bytes = lambda tokens: {bytes(map(byte_of.__getitem__, t)): i for t, i in tokens.items()}
+        self.trie = Trie(in_bytes(self.inside), in_bytes(self.ending))
+        self.inside_byte = np.array([self.inside[c] for c in letters], np.uint32)
+        self.ending_byte = np.array([self.ending[c] for c in letters], np.uint32)
+        self.kinds = _kinds()
         self.symbols: dict[int, list[int]] = {}
         self.pairs = np.zeros(0, np.uint32)
         self.fits = np.zeros(0, bool)
-        self.raw = Cache(RAW_CACHE)
         self.words = Cache(CACHE)
 
     # encoding
@@ -116,109 +265,141 @@ class WordBpe:
 
     def encode_many(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """Ids of each text; the words of about PIECE characters are looked up together."""
-        group: list[list[str]] = []  # words between white space, one list for each text
-        weight = 0
+        parts: list[str] = []
+        owner: list[int] = []  # place of the text of each part
+        n = weight = 0
         for text in texts:
-            words: list[str] = []
             for part in pieces(text or ""):
-                words += _SPACES.split(part) if _NOT_SPACE.search(part) else part.split()
-            group.append(words)
-            weight += len(text or "")
+                parts.append(part)
+                owner.append(n)
+            n, weight = n + 1, weight + len(text or "")
             if weight > PIECE:
-                yield from self._encode_group(group)
-                group, weight = [], 0
-        yield from self._encode_group(group)
+                yield from self._encode_group(parts, owner, n)
+                parts, owner, n, weight = [], [], 0, 0
+        yield from self._encode_group(parts, owner, n)
 
-    def _encode_group(self, group: list[list[str]]) -> Iterator[np.ndarray]:
+    def _encode_group(self, parts: list[str], owner: list[int], n: int) -> Iterator[np.ndarray]:
+        """Ids of n texts, from their parts."""
         collecting = gc.isenabled()
         gc.disable()  # many objects are made here and none refers to itself
         try:
-            known = self.raw.holding(set().union(*group), self._learn)
-            found = [b"".join([known[w] for w in words]) for words in group]
+            ids: list[np.ndarray] = [_NOTHING] * len(parts)
+            plain: list[tuple[int, str]] = []
+            for i, part in enumerate(parts):
+                low = part.lower() if part.isascii() else _lower(part)
+                if "<|" in part or not low.isascii() and self.beyond(low):
+                    words = self._words(part)
+                    known = self.words.holding(set(words), self._encode_words)
+                    ids[i] = np.frombuffer(b"".join([known[w] for w in words]), np.uint16)
+                elif low:
+                    plain.append((i, low))
+            for (i, _), own in zip(plain, self._encode_plain([low for _, low in plain])):
+                ids[i] = own
         finally:
             if collecting:
                 gc.enable()
-        for ids in found:
-            yield np.frombuffer(ids, np.uint16)
-
-    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        """Encode chunks between white space."""
-        parts = [self._parts(c) for c in chunks]
-        words = {w for p in parts for w in p if isinstance(w, str)}
-        known = self.words.holding(words, self._encode_words)
-        return {
-            c: known[p[0]] if len(p) == 1 and isinstance(p[0], str)
-            else b"".join([known[w] if isinstance(w, str) else w for w in p])
-            for c, p in zip(chunks, parts)
-        }
-
-    def _parts(self, chunk: str) -> list[str | bytes]:
-        """Words of a chunk as text, special tokens as encoded ids."""
-        plain = chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
-        word = plain.lower()
-        if word.isalpha():  # one word, perhaps with a stop: no pattern is needed
-            return [word]
-        if word[:-1].isalpha() and word[-1] in ".,;:!?":
-            return [word[:-1], word[-1]]
-        if "<|" not in chunk:
-            return self._split(chunk)
-        out: list[str | bytes] = []
+        found: list[list[np.ndarray]] = [[] for _ in range(n)]
+        for i, own in zip(owner, ids):
+            found[i].append(own)
+        for own in found:
+            yield own[0] if len(own) == 1 else np.concatenate(own)
+
+    def _encode_plain(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts in lower case whose characters all have a kind: words are cut and told apart in arrays."""
+        if not texts:
+            return []
+        joined = "\n".join(texts)
+        codes, data = np.frombuffer(joined.encode("utf-32-le"), np.uint32), joined.encode()
+        begins = _word_starts(codes, self.kinds)
+        ends = np.append(begins, len(codes))
+        if len(data) > len(codes):  # two bytes for a character above ASCII
+            places = np.zeros(len(codes) + 1, np.int32)
+            np.cumsum(1 + (codes > 0x7F), out=places[1:])
+            ends = places[ends]
+        buffers = pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)
+        words = pa.StringArray.from_buffers(len(begins), *buffers).dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        known = self.words.holding({w for w in distinct if w[0] not in _SPACE_SET}, self._encode_words)
+        own = [b"" if w[0] in _SPACE_SET else known[w] for w in distinct]
+        # the ids of all words, gathered by their place in the dictionary
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 2
+        firsts = np.cumsum(sizes) - sizes
+        index = words.indices.to_numpy()
+        each = sizes[index]
+        upto = np.cumsum(each)
+        gather = np.repeat(firsts[index] - upto + each, each)
+        gather += np.arange(len(gather))
+        ids = np.frombuffer(b"".join(own), np.uint16)[gather]
+        # words of earlier texts begin before a text does
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        before = np.searchsorted(begins, np.cumsum(lengths) - lengths)
+        cuts = [*np.append(0, upto)[before].tolist(), len(ids)]
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _words(self, text: str) -> list[str]:
+        """Words of any text as they are merged; a special token is a word with its own spelling."""
+        out: list[str] = []
         at = 0
-        for match in self.special_at.finditer(chunk):
-            out += self._split(chunk[at : match.start()])
-            out.append(np.uint16(self.special[match[0]]).tobytes())
+        for match in self.special_at.finditer(text):
+            out += self.split(_lower(text[at : match.start()]))
+            out.append(match[0])
             at = match.end()
-        return out + self._split(chunk[at:])
-
-    def _split(self, chunk: str) -> list[str]:
-        if chunk.isascii():
-            return self.split(chunk.lower())
-        # lower case character by character: no final sigma
-        return self.split(unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower())
+        return out + self.split(_lower(text[at:]))
 
     def _encode_words(self, words: list[str]) -> dict[str, bytes]:
         """Propose, check all neighbours at once, merge exactly where a check fails."""
-        mapped = [self._mapped_word(w) for w in words]
-        proposed = [self._greedy(w) for w in mapped]
-        sizes = np.fromiter(map(len, proposed), np.int64, len(proposed))
-        flat = np.fromiter((t for p in proposed for t in p), np.uint32, int(sizes.sum()))
-        last = np.cumsum(sizes) - 1
-        right = np.empty_like(flat)
-        right[:-1] = flat[1:]
-        right[last] = _ALONE
-        inner = np.ones(len(flat), bool)
-        inner[last[sizes > 1]] = False
-        owner = np.repeat(np.arange(len(words)), sizes)[inner]
-        good = self._fit((flat[inner] << 16) | right[inner])
-        failing = np.unique(owner[~good]).tolist()
-        for i, merged in zip(failing, self._merge_many([self._start(mapped[i]) for i in failing])):
-            proposed[i] = merged
-        flat = np.fromiter((t for p in proposed for t in p), np.uint16).tobytes()
-        ends = (2 * np.cumsum(np.fromiter(map(len, proposed), np.int64, len(proposed)))).tolist()
-        return {w: flat[a:b] for w, a, b in zip(words, [0, *ends], ends)}
+        out = {w: np.uint16(self.special[w]).tobytes() for w in words if w[:2] == "<|" and w in self.special}
+        short = [w for w in words if len(w) <= SIDE_BY_SIDE and w not in out]
+        for word in words:
+            if len(word) > SIDE_BY_SIDE:
+                mapped = self._mapped_word(word)
+                own = self._greedy(mapped)
+                if not self._fit(_pairs(own)).all():
+                    own = self._merge_long(self._start(mapped))
+                out[word] = np.array(own, np.uint16).tobytes()
+        if not short:
+            return out
+        encoded = [w.encode() for w in short]
+        flat = np.frombuffer(b"".join(encoded), np.uint8)
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        starts = np.cumsum(sizes) - sizes
+        tokens, count = self.trie.longest(flat, starts, sizes)
+        column = np.arange(tokens.shape[1])
+        right = np.full_like(tokens, _ALONE)
+        right[:, :-1] = np.where(column[1:] < count[:, None], tokens[:, 1:], _ALONE)
+        # every token but the last with its neighbour; a word of one token with nothing
+        asked = column < np.maximum(count - 1, 1)[:, None]
+        good = self._fit(tokens[asked].astype(np.uint32) << np.uint32(16) | right[asked].astype(np.uint32))
+        failing = np.unique(np.nonzero(asked)[0][~good])
+        widths = (sizes[failing] + 3) // 4 * 4
+        for width in np.unique(widths).tolist():
+            some = failing[widths == width]
+            at, size = np.arange(width), sizes[some, None]
+            own = flat[np.minimum(starts[some, None] + at, len(flat) - 1)]
+            rows = np.where(at < size - 1, self.inside_byte[own], np.where(at < size, self.ending_byte[own], _ALONE))
+            merged = self._merge_rows(rows.astype(np.uint32))
+            count[some] = (merged != _ALONE).sum(axis=1)
+            fits = min(width, tokens.shape[1])  # no word has more tokens than bytes
+            tokens[some, :fits] = merged[:, :fits]
+        ids = tokens[column < count[:, None]].astype(np.uint16).tobytes()
+        ends = (2 * np.cumsum(count)).tolist()
+        out.update({w: ids[a:b] for w, a, b in zip(short, [0, *ends], ends)})
+        return out
 
     def _mapped_word(self, word: str) -> str:
-        if word.isascii():
-            return word if word.isalpha() else word.translate(self.characters)
         return word.encode().decode("latin-1").translate(self.characters)
 
     def _greedy(self, word: str) -> list[int]:
-        whole = self.ending.get(word)
-        if whole is not None:
-            return [whole]
-        inside, ending, reach, out, at, n = self.inside, self.ending, self.reach, [], 0, len(word)
-        while at < n:
-            most = reach.get(word[at : at + 3], 2)
-            if n - at <= most:
-                found = ending.get(word[at:])
-                if found is not None:
-                    out.append(found)
-                    break
-            for stop in range(min(n - 1, at + most), at, -1):
-                found = inside.get(word[at:stop])
+        """Longest tokens from left to right of one word in mapped characters."""
+        inside, ending, reach, out, at, left = self.inside, self.ending, self.reach, [], 0, len(word)
+        while left:
+            for size in reach.get(word[at : at + 3], (2, 1)):
+                found = inside.get(word[at : at + size]) if size < left else None
+                if size == left:
+                    found = ending.get(word[at:])
                 if found is not None:
                     out.append(found)
-                    at = stop
+                    at, left = at + size, left - size
                     break
         return out
 
@@ -264,12 +445,13 @@ class WordBpe:
             rows = np.full((len(places), width), _ALONE, np.uint32)
             for row, i in enumerate(places):
                 rows[row, : len(words[i])] = words[i]
-            for i, row in zip(places, self._merge_rows(rows)):
-                out[i] = row
+            merged = self._merge_rows(rows)
+            for i, row, n in zip(places, merged.tolist(), (merged != _ALONE).sum(axis=1).tolist()):
+                out[i] = row[:n]
         return out
 
-    def _merge_rows(self, rows: np.ndarray) -> Iterator[list[int]]:
-        """Merge in rows padded with _ALONE; a done row leaves the work."""
+    def _merge_rows(self, rows: np.ndarray) -> np.ndarray:
+        """Merge in rows padded with _ALONE, to rows of the same width; a done row leaves the work."""
         done = rows.copy()
         index = np.arange(len(rows))
         ranks = self._ranks(rows[:, :-1], rows[:, 1:])
@@ -294,14 +476,13 @@ class WordBpe:
             ranks[each, at] = np.where(at < n - 1, self._ranks(rows[each, at], rows[each, np.minimum(at + 1, n - 1)]), _NEVER)
             has = at > 0
             ranks[each[has], at[has] - 1] = self._ranks(rows[each[has], at[has] - 1], rows[each[has], at[has]])
-        for row in done.tolist():
-            yield row[: row.index(_ALONE)] if row[-1] == _ALONE else row
+        return done
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the merge of each pair, _NEVER without one."""
-        keys = (left << 16) | right
-        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[place] == keys, self.rank[place], _NEVER)
+        keys = (left << np.uint32(16)) | right
+        ranks = self.rank.get(keys.ravel()).reshape(keys.shape)
+        return np.where(ranks < 0, _NEVER, ranks)
 
     def _merge_long(self, symbols: list[int]) -> list[int]:
         """The same with a heap and linked neighbours, for very long words."""
@@ -337,6 +518,14 @@ class WordBpe:
         return " ".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
+def _pairs(tokens: list[int]) -> np.ndarray:
+    """Each token but the last with its neighbour, one token with nothing."""
+    if len(tokens) == 1:
+        return np.array([tokens[0] << 16 | _ALONE], np.uint32)
+    own = np.array(tokens, np.uint32)
+    return own[:-1] << np.uint32(16) | own[1:]
+
+
 def _require(spec: dict) -> None:
     """Refuse files of another kind rather than encode them wrongly."""
     model, steps = spec["model"], spec["pre_tokenizer"]["pretokenizers"]

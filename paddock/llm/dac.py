@@ -114,8 +114,8 @@ def write_segments(docs: DataFrame, folder: str, path: str | None = None, end_id
     """Encode documents and write their ids, each document closed by ``end_id``, in ascending doc_id order.
 
     The texts are dealt into ranges of doc_id (nulls first; rows of one doc_id
-    may be split between ranges, their order is the order they are read in), so
-    ids are made once and never shuffled. The folder holds one Parquet row per
+    follow each other by a hash of their text, whatever files they come from),
+    so ids are made once and never shuffled. The folder holds one Parquet row per
     segment: partition number and sequence give the order of the segments.
     """
     file = path or default_path()
@@ -149,24 +149,27 @@ def write_segments(docs: DataFrame, folder: str, path: str | None = None, end_id
 
     ordered = (
         pick(docs, "doc_id", "text")
-        .withColumn("row", F.monotonically_increasing_id())
+        .withColumn("row", F.xxhash64("text"))
         .repartitionByRange("doc_id", "row")
-        .sortWithinPartitions("doc_id", "row")
+        .sortWithinPartitions("doc_id", "row", "text")
         .select(F.spark_partition_id().alias("part"), "doc_id", "text")
     )
     arrow_map(ordered, SEGMENTS, rows).write.mode("errorifexists").parquet(folder)
 
 
-def read_segments(segments: DataFrame) -> DataFrame:
-    """Per document from written segments: doc_id, start (ids of all documents before), n_tokens, ids_crc32."""
+def _placed(segments: DataFrame) -> DataFrame:
+    """Segments with ``start``, the number of ids in all segments before."""
     totals = segments.groupBy("part").agg(F.sum("n_ids").alias("total"))
     # one row for each partition of the writer, however large the table is
     starts = totals.selectExpr(
         "part", "sum(total) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - total AS start"
     )
-    placed = segments.join(F.broadcast(starts), "part").select(
-        (F.col("start") + F.col("part_offset")).alias("start"), "doc_ids", "lengths", "data"
-    )
+    return segments.join(F.broadcast(starts), "part").withColumn("start", F.col("start") + F.col("part_offset"))
+
+
+def read_segments(segments: DataFrame) -> DataFrame:
+    """Per document from written segments: doc_id, start (ids of all documents before), n_tokens, ids_crc32."""
+    placed = _placed(segments).select("start", "doc_ids", "lengths", "data")
 
     def rows(tuples: Iterator[tuple]) -> Iterator[tuple]:
         for start, doc_ids, lengths, data in tuples:
@@ -179,6 +182,39 @@ def read_segments(segments: DataFrame) -> DataFrame:
     return arrow_map(placed, "doc_id long, start long, n_tokens long, ids_crc32 long", rows)
 
 
+def tokens_at(segments: DataFrame, positions: DataFrame) -> DataFrame:
+    """position and id of tokens asked for by their place in the whole corpus (column ``position``).
+
+    A position meets the one segment that holds it by the blocks of SEGMENT_IDS
+    positions a segment reaches into; there each id is read from its codes
+    without decoding others. Positions outside the corpus and null ones have no
+    row, repeated ones are answered once.
+    """
+    block = lambda column: F.floor(column / SEGMENT_IDS).cast("long")
+    placed = _placed(segments).select("start", "n_ids", "data")
+    reach = F.sequence(block(F.col("start")), block(F.col("start") + F.col("n_ids") - 1))
+    ranges = placed.select("start", "n_ids", F.explode(reach).alias("block"))
+    asked = positions.select(F.col("position").cast("long").alias("position")).distinct()
+    inside = F.col("position").between(F.col("start"), F.col("start") + F.col("n_ids") - 1)
+    # at most SEGMENT_IDS positions and a document's length in each list
+    by_segment = (
+        asked.withColumn("block", block(F.col("position")))
+        .join(ranges, "block")
+        .where(inside)
+        .groupBy("start")
+        .agg(F.collect_list("position").alias("positions"))
+    )
+
+    def rows(tuples: Iterator[tuple]) -> Iterator[tuple]:
+        for start, data, wanted in tuples:
+            segment = Segment(data)
+            for position in wanted:
+                yield position, segment.get(position - start)
+
+    found = placed.join(by_segment, "start").select("start", "data", "positions")
+    return arrow_map(found, "position long, id long", rows)
+
+
 def written_and_read(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Write the documents' ids into the shared folder and read them back.
 

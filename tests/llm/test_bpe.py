@@ -45,7 +45,6 @@ def test_pair_rule(own):
 
 
 def test_cache_turns_over(library, own, monkeypatch):
-    monkeypatch.setattr(own.raw, "entries", 50)
     monkeypatch.setattr(own.words, "entries", 30)
     texts = [" ".join(f"w{i}{j}" for j in range(40)) for i in range(30)] * 2
     for text, ids in zip(texts, own.encode_many(texts)):

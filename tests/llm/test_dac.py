@@ -45,3 +45,23 @@ def test_files(spark, docs, odd_texts, monkeypatch, segment_ids):
 
 def test_empty_table(spark, docs):
     assert dac.written_and_read(docs([])).count() == 0
+
+
+@pytest.mark.parametrize("segment_ids", [5, 1 << 18])
+def test_tokens_by_their_place_in_the_corpus(spark, docs, tmp_path, monkeypatch, segment_ids):
+    monkeypatch.setattr(dac, "SEGMENT_IDS", segment_ids)
+    pairs = [(i, f"word {i} and more " * (i % 5)) for i in range(60)]
+    path = str(tmp_path / "segments")
+    dac.write_segments(docs(pairs).repartition(4), path)
+    own = bpe.WordBpe(bpe.default_path())
+    want = [t for _, text in pairs for t in [*own.encode(text).tolist(), dac.END_ID]]
+    segments = spark.read.schema(dac.SEGMENTS).parquet(path)
+    asked = spark.createDataFrame([(i,) for i in [*range(len(want)), 3, -1, len(want), None]], "position long")
+    got = sorted(map(tuple, dac.tokens_at(segments, asked).collect()))
+    assert got == list(enumerate(want))
+
+
+def test_order_of_equal_ids_does_not_depend_on_files(spark, docs):
+    pairs = [(i // 4, f"text {i * 37 % 11}") for i in range(40)]
+    read = lambda order, n: sorted(map(tuple, dac.written_and_read(docs(order).repartition(n)).collect()))
+    assert read(pairs, 1) == read(pairs[::-1], 5)
