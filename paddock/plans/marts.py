@@ -101,6 +101,11 @@ def fct_championship_standings(results: DataFrame) -> DataFrame:
     totals = results.select(*ENTRY, "team_name", F.col("points").alias("race_points")).withColumn(
         "total_points", F.sum("race_points").over(so_far)
     )
+    return race_positions(totals)
+
+
+def race_positions(totals: DataFrame) -> DataFrame:
+    """Entries with the rank of their ``total_points`` in the race."""
     drivers = totals.groupBy(*RACE, "total_points").agg(F.count(F.lit(1)).alias("_drivers"))
     better = W.partitionBy(*RACE).orderBy(F.desc("total_points")).rowsBetween(W.unboundedPreceding, -1)
     position = (F.coalesce(F.sum("_drivers").over(better), F.lit(0)) + 1).alias("championship_position")
