@@ -14,9 +14,11 @@ from paddock.operators.history import (
     prior_sum,
 )
 from paddock.operators.ordered import ranked
-from paddock.plans import features, marts, race_view, staging
+from paddock.plans import features, incremental, marts, race_view, staging
 from paddock.registry import query, rounded, rounded_sql
 from paddock.registry.race_sql import race_sql
+from paddock.session import scratch_path
+from paddock.sources import sinks
 from paddock.sources.sinks import materialize_table
 
 ENTRY = staging.ENTRY
@@ -335,3 +337,58 @@ def wn11(spark, sf):
 def wn12(spark, sf):
     results = staged_results(spark, sf).select(*ENTRY, "points")
     return ranked(results, RACE, "points", "place")
+
+
+# --- relations refreshed season by season ---------------------------------------------------
+
+
+def _refreshed(spark: SparkSession, sf: str, relation: str) -> DataFrame:
+    """The relation after one load and one refresh per season; later ones read the state and their season."""
+    raw, root = scratch_path(spark, "raw"), scratch_path(spark, "refreshed")
+    results = materialize_table(race_view.results(spark, sf).drop("loaded_at"), label="raw-results")
+    laps = race_view.laps(spark, sf).drop("loaded_at")
+    for season in sorted(row["season"] for row in results.select("season").distinct().collect()):
+        sinks.load_results(results.where(F.col("season") == season), raw)
+        sinks.load_laps(laps.where(F.col("season") == season), raw)
+        got = incremental.refresh(spark, raw, root)
+    return rounded(got[relation])
+
+
+@query(
+    "pl5_refreshed",
+    race_sql(
+        rounded_sql(
+            "SELECT * EXCLUDE (team_reliability) FROM history",
+            "finish_consistency",
+            "finish_consistency_filled",
+            *_RATES,
+        )
+    ),
+)
+def pl5_refreshed(spark, sf):
+    return _refreshed(spark, sf, "int_driver_cumulative_stats")
+
+
+# a slot's expected finish from earlier races only
+_PAST_FINISHES = """
+        SELECT r.season, r.round_number, r.driver_abbr,
+               (SELECT avg(e.finish_position) FROM stg_results AS e
+                WHERE NOT e.is_dnf AND e.grid_position = r.grid_position
+                  AND (e.season < r.season OR e.season = r.season AND e.round_number < r.round_number))
+                   - r.finish_position AS surplus,
+               row_number() OVER (PARTITION BY r.driver_abbr ORDER BY r.season, r.round_number) AS n
+        FROM stg_results AS r
+        WHERE NOT r.is_dnf"""
+
+
+@query(
+    "pl6_refreshed",
+    race_sql(rounded_sql("SELECT * FROM features", *_FEATURE_DOUBLES), {"finished_entries": _PAST_FINISHES}),
+)
+def pl6_refreshed(spark, sf):
+    return _refreshed(spark, sf, "int_driver_race_features")
+
+
+@query("pl11_refreshed", race_sql("SELECT * FROM fct_championship_standings"))
+def pl11_refreshed(spark, sf):
+    return _refreshed(spark, sf, "fct_championship_standings")
