@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from paddock.operators.checks import outside_range
 
@@ -80,30 +81,70 @@ def _row_metric(expectation: Expectation) -> Column:
     return F.count_if(outside_range(value, expectation.low, expectation.high))
 
 
-def run_suite(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
+def _missing(df: DataFrame, expectation: Expectation) -> bool:
+    known = {c.lower() for c in df.columns}
+    return expectation.kind not in _SCHEMA_ONLY and not {c.lower() for c in expectation.columns} <= known
+
+
+def _fused(df: DataFrame, expectations: Sequence[Expectation]) -> list[Expectation]:
+    """Expectations on rows and columns, which share one aggregate."""
+    return [
+        e for e in expectations if e.kind not in (*_SCHEMA_ONLY, "compound_unique") and not _missing(df, e)
+    ]
+
+
+def _row_metrics(fused: Sequence[Expectation]) -> list[Column]:
+    return [F.count(F.lit(1)).alias("rows"), *[_row_metric(e).alias(f"m{i}") for i, e in enumerate(fused)]]
+
+
+def counted_while_written(df: DataFrame, *metrics: Column) -> tuple[DataFrame, Callable[[], Mapping[str, int]]]:
+    """The frame, whose next action also computes aggregates over its rows, and what gives these afterwards.
+
+    Put it last before a write: there every task counts once, also when tasks or executors
+    are lost. Rows of an empty frame are counted as 0.
+    """
+    observation = Observation(f"rows-{uuid.uuid4().hex}")
+    return df.observe(observation, *metrics), lambda: observation.get
+
+
+def suite_while_written(
+    df: DataFrame, expectations: Sequence[Expectation]
+) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The frame, whose write also counts for the suite, and what makes the report of it from the stored table.
+
+    Only uniqueness expectations read the stored table.
+    """
+    fused = _fused(df, expectations)
+    watched, counts = counted_while_written(df, *_row_metrics(fused))
+    return watched, lambda stored: run_suite(stored, expectations, counts())
+
+
+def run_suite(
+    df: DataFrame, expectations: Sequence[Expectation], counted: Mapping[str, int] | None = None
+) -> DataFrame:
     """Report (check, column, success, observed, unexpected_count), one line per expectation.
 
     Schema expectations cost no job. All row and column expectations share one aggregate
-    over the table; only each uniqueness expectation adds a grouping. A column that is
-    missing fails its expectations.
+    over the table, or none if they were ``counted`` while it was written; only each
+    uniqueness expectation adds a grouping. A column that is missing fails its expectations.
     """
-    known = {c.lower() for c in df.columns}
-    lines, fused, reports = [], [], []
+    lines, reports, fused = [], [], _fused(df, expectations)
     for expectation in expectations:
-        missing = expectation.kind not in _SCHEMA_ONLY and not {c.lower() for c in expectation.columns} <= known
+        missing = _missing(df, expectation)
         if expectation.kind in _SCHEMA_ONLY or missing:
             problems = 1 if missing else _schema_problems(df, expectation)
             lines.append(_line(expectation, F.lit(problems == 0), F.lit(len(df.columns)), F.lit(problems)))
         elif expectation.kind == "compound_unique":
             groups = df.groupBy(*expectation.columns).agg(F.count(F.lit(1)).alias("n"))
             repeated = F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0))
-            counted = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), repeated.alias("bad"))
+            counts = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), repeated.alias("bad"))
             line = _line(expectation, F.col("bad") == 0, F.col("rows"), F.col("bad"))
-            reports.append(counted.select(F.inline(F.array(line))))
-        else:
-            fused.append(expectation)
-    metrics = [_row_metric(e).alias(f"m{i}") for i, e in enumerate(fused)]
-    once = df.agg(F.count(F.lit(1)).alias("rows"), *metrics)
+            reports.append(counts.select(F.inline(F.array(line))))
+    if counted is None:
+        once = df.agg(*_row_metrics(fused))
+    else:
+        known = {name: int(counted.get(name, 0)) for name in ["rows", *[f"m{i}" for i in range(len(fused))]]}
+        once = df.sparkSession.range(1).select(*[F.lit(n).cast("long").alias(name) for name, n in known.items()])
     for i, expectation in enumerate(fused):
         metric = F.col(f"m{i}")
         if expectation.kind == "row_count_between":

@@ -1,8 +1,8 @@
-"""The declared checks of all relations, run with one aggregate per relation."""
+"""The declared checks of all relations, counted while relations are written or with one aggregate each."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -11,6 +11,7 @@ from paddock.operators.suite import (
     Expectation,
     column_exists,
     compound_unique,
+    counted_while_written,
     row_count_between,
     values_between,
     values_not_null,
@@ -93,11 +94,42 @@ def _metric(relation: str, check: str, column: str, failures: Column) -> Column:
     )
 
 
-def _column_checks(name: str, df: DataFrame) -> DataFrame:
-    """All NOT NULL and range checks of a relation in one aggregate."""
-    failing = {("not_null", c): F.col(c).isNull() for c in NOT_NULL[name]}
-    failing |= {("accepted_range", c): outside_range(F.col(c), *bounds) for c, bounds in RANGES.get(name, {}).items()}
-    counts = df.agg(*[F.count_if(bad).alias(f"m{i}") for i, bad in enumerate(failing.values())])
+def _failing(name: str) -> dict[tuple[str, str], Column]:
+    """Conditions on a row under which it fails, by check and column."""
+    failing = {("not_null", c): F.col(c).isNull() for c in NOT_NULL.get(name, ())}
+    return failing | {
+        ("accepted_range", c): outside_range(F.col(c), *bounds) for c, bounds in RANGES.get(name, {}).items()
+    }
+
+
+class RowChecks:
+    """Counts the rows that fail the declared row checks of relations while these are written."""
+
+    def __init__(self) -> None:
+        self._counts: dict[str, Callable[[], Mapping[str, int]]] = {}
+
+    def watch(self, df: DataFrame, *names: str) -> DataFrame:
+        """The frame; its next write also counts for these relations, whose checked columns it holds in its rows."""
+        for name in names:
+            metrics = [F.count_if(bad).alias(f"m{i}") for i, bad in enumerate(_failing(name).values())]
+            df, self._counts[name] = counted_while_written(df, *metrics)
+        return df
+
+    def found(self) -> dict[str, list[int]]:
+        """Failing rows by relation, in the order of its checks; call it when all are written."""
+        return {
+            name: [int(counts.get(f"m{i}", 0)) for i in range(len(_failing(name)))]
+            for name, counts in ((name, get()) for name, get in self._counts.items())
+        }
+
+
+def _column_checks(name: str, df: DataFrame, counted: list[int] | None) -> DataFrame:
+    """All NOT NULL and range checks of a relation: in one aggregate, or as counted while it was written."""
+    failing = _failing(name)
+    if counted is None:
+        counts = df.agg(*[F.count_if(bad).alias(f"m{i}") for i, bad in enumerate(failing.values())])
+    else:
+        counts = df.sparkSession.range(1).select(*[F.lit(n).alias(f"m{i}") for i, n in enumerate(counted)])
     lines = [_metric(name, check, column, F.col(f"m{i}")) for i, (check, column) in enumerate(failing)]
     return counts.select(F.inline(F.array(*lines)))
 
@@ -114,9 +146,14 @@ def _row_check(name: str, check: str, violations: DataFrame) -> DataFrame:
     return counted.select(F.inline(F.array(_metric(name, check, "", F.col("bad")))))
 
 
-def run_checks(relations: Mapping[str, DataFrame]) -> DataFrame:
-    """(relation, check, column, failures, verdict) for every declared check of the given relations."""
-    parts = [_column_checks(n, df) for n, df in relations.items() if n in NOT_NULL]
+def run_checks(relations: Mapping[str, DataFrame], counted: Mapping[str, list[int]] | None = None) -> DataFrame:
+    """(relation, check, column, failures, verdict) for every declared check of the given relations.
+
+    Relations ``counted`` while they were written (``RowChecks.found``) are not read again for
+    their row checks.
+    """
+    known = counted or {}
+    parts = [_column_checks(n, df, known.get(n)) for n, df in relations.items() if n in NOT_NULL]
     parts += [_unique_check(n, df) for n, df in relations.items() if n in UNIQUE]
     if {"stg_lap_times", "stg_results"} <= set(relations):
         laps, results = relations["stg_lap_times"], relations["stg_results"]

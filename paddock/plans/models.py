@@ -7,8 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from paddock.operators import scd
-from paddock.operators.suite import run_suite
+from paddock.operators.suite import suite_while_written
 from paddock.plans import declared_checks, features, marts, staging
+from paddock.plans.declared_checks import RowChecks
 from paddock.sources.catalog import read_raw
 from paddock.session import remove, scratch_scope
 from paddock.sources.sinks import materialize_table, read_version, versions
@@ -25,16 +26,27 @@ MARTS = [
 ]
 
 
-def build(raw_races: DataFrame, raw_results: DataFrame, raw_laps: DataFrame) -> dict[str, DataFrame]:
+def build(
+    raw_races: DataFrame, raw_results: DataFrame, raw_laps: DataFrame, checks: RowChecks | None = None
+) -> dict[str, DataFrame]:
     """Raw, staged, intermediate and mart relations by name.
 
-    Parents that several relations read (staged laps, lap analysis, feature frame) are
-    written once; everything else stays lazy.
+    Parents that several relations read (staged tables, lap analysis, feature frame) are
+    written once; everything else stays lazy. With ``checks`` these writes also count the rows
+    that fail: raw races and results go into their staged table without a shuffle, so the same
+    tasks see both; a feature frame has the rows and checked columns of both history relations.
     """
-    races, results = staging.stg_races(raw_races), staging.stg_results(raw_results)
-    laps = materialize_table(staging.stg_lap_times(raw_laps), label="staged-laps")
-    analysis = materialize_table(features.int_lap_analysis(laps, results), label="analysis")
-    frame = materialize_table(features.feature_frame(results, analysis), label="features")
+    watch = (lambda df, *names: df) if checks is None else checks.watch
+    races = watch(staging.stg_races(watch(raw_races, "races")), "stg_races")
+    results = watch(staging.stg_results(watch(raw_results, "results")), "stg_results")
+    races = materialize_table(races, label="staged-races")
+    results = materialize_table(results, label="staged-results")
+    laps = materialize_table(watch(staging.stg_lap_times(raw_laps), "stg_lap_times"), label="staged-laps")
+    analysis = features.int_lap_analysis(laps, results)
+    analysis = materialize_table(watch(analysis, "int_lap_analysis"), label="analysis")
+    frame = features.feature_frame(results, analysis)
+    histories = ("int_driver_race_features", "int_driver_cumulative_stats")
+    frame = materialize_table(watch(frame, *histories), label="features")
     return {
         "races": raw_races,
         "results": raw_results,
@@ -55,13 +67,17 @@ def build(raw_races: DataFrame, raw_results: DataFrame, raw_laps: DataFrame) ->
     }
 
 
-def write_marts(relations: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
+def write_marts(
+    relations: Mapping[str, DataFrame], root: str, checks: RowChecks | None = None
+) -> dict[str, DataFrame]:
     """The relations with the marts stored as new versions of tables below ``root``.
 
     ``read_mart`` gives the newest version that is written in full, so a reader never meets
-    half a table; the version before it stays for readers that have begun, older ones go.
+    half a table; the version before it stays for readers that have begun, older ones go. With
+    ``checks`` the write of a mart also counts its failing rows.
     """
-    return {n: _new_version(df, f"{root}/{n}") if n in MARTS else df for n, df in relations.items()}
+    watch = (lambda df, name: df) if checks is None else checks.watch
+    return {n: _new_version(watch(df, n), f"{root}/{n}") if n in MARTS else df for n, df in relations.items()}
 
 
 def _new_version(df: DataFrame, path: str) -> DataFrame:
@@ -86,13 +102,19 @@ def refresh_snapshot(results: DataFrame, path: str, at: Column | None = None) ->
 def refresh(spark: SparkSession, raw_root: str, root: str) -> dict[str, DataFrame]:
     """Models, declared checks, snapshot and raw suite over stored raw tables.
 
-    Gives ``checks``, ``snapshot`` and ``suite``; the marts are stored below ``root``.
+    Gives ``checks``, ``snapshot`` and ``suite``; the marts are stored below ``root``. Row
+    checks and the row expectations of the suite are counted by the writes; only raw laps,
+    uniqueness and orphans are read for their checks.
     """
-    raw = [read_raw(spark, raw_root, name) for name in ("races", "results", "lap_times")]
+    races, results, laps = (read_raw(spark, raw_root, name) for name in ("races", "results", "lap_times"))
+    watched, suite_report = suite_while_written(results, declared_checks.RAW_RESULTS_SUITE)
+    checks = RowChecks()
     with scratch_scope(spark):  # the shared parents are removed in the end
-        relations = write_marts(build(*raw), f"{root}/marts")
+        relations = write_marts(build(races, watched, laps, checks), f"{root}/marts", checks)
+        relations |= {"results": results, "races": races}
+        report = declared_checks.run_checks(relations, checks.found())
         return {
-            "checks": materialize_table(declared_checks.run_checks(relations), f"{root}/checks"),
+            "checks": materialize_table(report, f"{root}/checks"),
             "snapshot": refresh_snapshot(relations["stg_results"], f"{root}/snapshots/driver_teams"),
-            "suite": materialize_table(run_suite(raw[1], declared_checks.RAW_RESULTS_SUITE), f"{root}/suite"),
+            "suite": materialize_table(suite_report(results), f"{root}/suite"),
         }

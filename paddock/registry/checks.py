@@ -9,6 +9,7 @@ from paddock.plans import declared_checks, models, race_view
 from paddock.plans.race_view import table
 from paddock.registry import query, rounded
 from paddock.registry.race_sql import race_sql
+from paddock.session import scratch_path
 from paddock.sources.sinks import materialize_table
 
 
@@ -406,8 +407,7 @@ _single(
 )
 
 
-@query(
-    "dq29_run_suite",
+_ORDER_SUITE_SQL = (
     " UNION ALL ".join(
         [
             _suite_row("row_count_between", "", "SELECT 0", _COUNT),
@@ -430,12 +430,22 @@ _single(
                 _COUNT,
             ),
         ]
-    ),
+    )
 )
+
+
+@query("dq29_run_suite", _ORDER_SUITE_SQL)
 def dq29_orders(spark, sf):
     return suite.run_suite(table(spark, sf, "orders"), _ORDER_SUITE)
 
 
+@query("dq29_suite_while_written", _ORDER_SUITE_SQL)
+def dq29_while_written(spark, sf):
+    """The suite of the orders, counted by the write of a copy."""
+    orders, report = suite.suite_while_written(table(spark, sf, "orders"), _ORDER_SUITE)
+    return report(materialize_table(orders, label="orders"))
+
+
 _RAW = {
     "n": "SELECT count(*) FROM raw_results",
     "pos": "SELECT count(*) FROM raw_results WHERE finish_position NOT BETWEEN 1 AND 30",
@@ -571,3 +581,17 @@ def dq31(spark, sf):
     laps = materialize_table(race_view.laps(spark, sf, with_numbers=True), label="laps")
     races = materialize_table(race_view.races(spark, sf), label="races")
     return declared_checks.run_checks(models.build(races, results, laps))
+
+
+@query("dq31_counted_while_written", _declared_sql())
+def dq31_counted(spark, sf):
+    """The same report where row checks are counted by the writes of the relations."""
+    raw = [
+        materialize_table(frame, label="raw")
+        for frame in (
+            race_view.races(spark, sf), race_view.results(spark, sf), race_view.laps(spark, sf, with_numbers=True)
+        )
+    ]
+    row_checks = declared_checks.RowChecks()
+    relations = models.write_marts(models.build(*raw, row_checks), scratch_path(spark, "marts"), row_checks)
+    return declared_checks.run_checks(relations, row_checks.found())

@@ -249,3 +249,24 @@ def test_evaluate_thresholds(frame):
     assert verdict(error_if="> 5", warn_if="> 2") == "pass"
     assert verdict(where="v < 2") == "pass"
     assert verdict(where="v < 2", error_if="< 1", warn_if="< 0") == "error"
+
+
+def test_suite_counted_while_the_table_is_written(spark, frame, tmp_path):
+    df = frame([(1, "a", 5.0), (2, None, 50.0), (2, None, None)], "id int, name string, v double").repartition(3)
+    expectations = [
+        suite.row_count_between(1, 2), suite.values_not_null("name"), suite.values_between("v", 0, 10),
+        suite.compound_unique("id", "name"), suite.column_exists("none"), suite.values_not_null("none"),
+    ]
+    watched, report = suite.suite_while_written(df, expectations)
+    watched.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    assert rows(report(stored)) == rows(suite.run_suite(df, expectations))
+    plan = suite.run_suite(stored, expectations[:3], {"rows": 3})._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan
+
+
+def test_suite_of_an_empty_table(spark, tmp_path):
+    df = spark.createDataFrame([], "id int")
+    watched, report = suite.suite_while_written(df, [suite.values_not_null("id"), suite.row_count_between(1, None)])
+    watched.write.parquet(str(tmp_path / "t"))
+    assert [r.success for r in report(df).collect()] == [True, False]

@@ -317,3 +317,29 @@ def test_upsert_reads_only_touched_partitions(spark, frame, tmp_path):
     kept = {f for f in after.inputFiles()} & before
     assert len(kept) == len({f for f in before if "round_number=3" not in f})
     assert after.where("v = -1").count() == 3 and after.count() == 24
+
+
+def test_checks_counted_by_the_writes(spark, raw_results, raw_laps, races, tmp_path):
+    """Same report as by reading the relations again; row checks of written relations read nothing."""
+    from paddock.plans import models
+
+    row_checks = declared_checks.RowChecks()
+    relations = models.build(races, raw_results, raw_laps, row_checks)
+    relations = models.write_marts(relations, str(tmp_path / "marts"), row_checks)
+    counted = row_checks.found()
+    assert set(counted) == set(declared_checks.NOT_NULL) - {"lap_times"}
+    assert rows(declared_checks.run_checks(relations, counted)) == rows(declared_checks.run_checks(relations))
+    assert counted["results"] == [1, 0] and counted["fct_race_results"][3] == 1
+    alone = {n: df for n, df in relations.items() if n in counted and n not in declared_checks.UNIQUE}
+    plan = declared_checks.run_checks({n: alone[n] for n in ("dim_circuits", "int_lap_analysis")}, counted)
+    assert "Scan parquet" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_counts_of_an_empty_relation(spark, tmp_path):
+    from paddock.plans import models
+
+    none = [spark.createDataFrame([], s) for s in (schemas.RACES, schemas.RESULTS, schemas.LAP_TIMES)]
+    row_checks = declared_checks.RowChecks()
+    relations = models.write_marts(models.build(*none, row_checks), str(tmp_path / "marts"), row_checks)
+    report = declared_checks.run_checks(relations, row_checks.found())
+    assert report.count() == 71 and report.where("failures > 0").isEmpty()
