@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from paddock.functions.scalars import add_parts
 from paddock.operators.aggregates import not_null_share
+from paddock.operators import reconcile
+from paddock.operators.joins import orphans
 from paddock.operators.ordered import shifted
 from paddock.operators.sets import both_differences, sides
 
@@ -82,10 +84,19 @@ def fewer_rows_than(
 
 
 def equality(
-    df: DataFrame, compare: DataFrame, columns: Sequence[str] | None = None, keep_duplicates: bool = False
+    df: DataFrame,
+    compare: DataFrame,
+    columns: Sequence[str] | None = None,
+    keep_duplicates: bool = False,
+    range_key: str | None = None,
 ) -> DataFrame:
-    """Rows on one side only, with ``which_diff``; duplicates count only if asked for."""
+    """Rows on one side only, with ``which_diff``; duplicates count only if asked for.
+
+    With a ``range_key`` digests of its ranges are compared first, and only ranges that differ by rows.
+    """
     chosen = df.columns if columns is None else list(columns)
+    if range_key is not None:
+        return reconcile.both_differences(df.select(*chosen), compare.select(*chosen), range_key, keep_duplicates)
     return both_differences(df.select(*chosen), compare.select(*chosen), keep_duplicates)
 
 
@@ -199,7 +210,7 @@ def relationships_where(
     """Non-NULL values without a partner in the other frame."""
     child = df.where(from_condition).where(F.col(column).isNotNull()).select(F.col(column).alias("id"))
     parent = to.where(to_condition).select(F.col(field).alias("id"))
-    return child.join(parent, "id", "left_anti")
+    return orphans(child, parent, ["id"])
 
 
 def sequential_values(
@@ -249,7 +260,7 @@ def assert_equal(df: DataFrame, actual: str, expected: str) -> DataFrame:
 def no_orphan_laps(laps: DataFrame, results: DataFrame) -> DataFrame:
     """Laps without a result of the same driver and race."""
     entry = ["season", "round_number", "driver_abbr"]
-    return laps.select(*entry).join(results.select(*entry), entry, "left_anti")
+    return orphans(laps.select(*entry), results, entry)
 
 
 def valid_finish_positions(results: DataFrame) -> DataFrame:

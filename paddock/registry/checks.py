@@ -90,6 +90,38 @@ def dq5(spark, sf):
     return checks.equality(first, second, ["l_partkey", "l_returnflag"])
 
 
+@query(
+    "dq5_equality_by_digests",
+    f"SELECT 'a_minus_b' AS which_diff, * FROM (({_FIRST}) EXCEPT ({_SECOND})) UNION ALL "
+    f"SELECT 'b_minus_a', * FROM (({_SECOND}) EXCEPT ({_FIRST}))",
+)
+def dq5_digests(spark, sf):
+    lines = table(spark, sf, "lineitem")
+    first, second = lines.where("l_linenumber = 1"), lines.where("l_linenumber = 2")
+    return checks.equality(first, second, ["l_partkey", "l_returnflag"], range_key="l_partkey")
+
+
+_CORRECTED = (
+    "SELECT o_orderkey, o_custkey, CASE WHEN o_orderdate < DATE '1995-06-01' AND o_orderstatus = 'F' THEN "
+    "o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderdate FROM orders"
+)
+_STORED = "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders"
+
+
+@query(
+    "dq5_reconciled_orders",
+    f"SELECT 'a_minus_b' AS which_diff, * FROM (({_STORED}) EXCEPT ALL ({_CORRECTED})) UNION ALL "
+    f"SELECT 'b_minus_a', * FROM (({_CORRECTED}) EXCEPT ALL ({_STORED}))",
+)
+def dq5_reconciled(spark, sf):
+    """Orders against a copy in which old prices were corrected; other ranges of dates are not compared by rows."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus")
+    old = (F.col("o_orderdate") < "1995-06-01") & (F.col("o_orderstatus") == "F")
+    price = F.when(old, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    stored, corrected = orders.drop("o_orderstatus"), orders.withColumn("o_totalprice", price).drop("o_orderstatus")
+    return checks.equality(stored, corrected, keep_duplicates=True, range_key="o_orderdate")
+
+
 @query(
     "dq5_equality_with_duplicates",
     "SELECT 'a_minus_b' AS which_diff, * FROM (SELECT l_suppkey, l_quantity FROM lineitem WHERE l_returnflag = 'R' "
@@ -303,10 +335,11 @@ _ENTRY = "season, round_number, driver_abbr"
 @query(
     "dq22_no_orphan_laps",
     race_sql(f"SELECT {_ENTRY} FROM raw_laps ANTI JOIN (SELECT {_ENTRY} FROM raw_results "
-             "WHERE finish_position <= 100) USING (season, round_number, driver_abbr)"),
+             "WHERE NOT coalesce(is_dnf, false)) USING (season, round_number, driver_abbr)"),
 )
 def dq22(spark, sf):
-    results = race_view.results(spark, sf).where("finish_position <= 100")
+    """Laps of drivers who have no result as finishers."""
+    results = race_view.results(spark, sf).where(~F.coalesce("is_dnf", F.lit(False)))
     return checks.no_orphan_laps(race_view.laps(spark, sf), results)
 
 
