@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from paddock.functions.scalars import round_half_up, safe_divide
+from paddock.operators import sketches
 from paddock.plans.features import FEATURES
 from paddock.plans.staging import ENTRY, RACE
 
@@ -165,3 +166,13 @@ def fct_race_summary(races: DataFrame, results: DataFrame, lap_analysis: DataFra
             "avg_lap_consistency",
         )
     )
+
+
+def starters_by_round(results: DataFrame) -> DataFrame:
+    """Exact number of starters of each round, and a sketch of them to be stored beside it."""
+    return sketches.sketch_by(results, RACE, "driver_abbr")
+
+
+def starters_by_season(stored: DataFrame) -> DataFrame:
+    """Estimated number of different starters of each season, from the stored sketches of its rounds."""
+    return sketches.merged(stored, ["season"]).select("season", sketches.estimate().alias("starters"))

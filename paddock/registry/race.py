@@ -13,6 +13,7 @@ from paddock.operators.history import (
     prior_stddev,
     prior_sum,
 )
+from paddock.operators import sketches
 from paddock.operators.ordered import ranked
 from paddock.plans import features, incremental, marts, race_view, staging
 from paddock.registry import query, rounded, rounded_sql
@@ -392,3 +393,17 @@ def pl6_refreshed(spark, sf):
 @query("pl11_refreshed", race_sql("SELECT * FROM fct_championship_standings"))
 def pl11_refreshed(spark, sf):
     return _refreshed(spark, sf, "fct_championship_standings")
+
+
+@query(
+    "pl13_starters_from_sketches",
+    race_sql("SELECT season, count(DISTINCT driver_abbr) AS starters, true AS within_error FROM stg_results GROUP BY season"),
+)
+def pl13_starters(spark, sf):
+    """Starters of each season from the sketches of its rounds, held against the exact number."""
+    results = staged_results(spark, sf)
+    stored = materialize_table(marts.starters_by_round(results), label="sketches")
+    exact = results.groupBy("season").agg(F.count_distinct("driver_abbr").alias("exact"))
+    both = marts.starters_by_season(stored).join(exact, "season")
+    allowed = 4 * sketches.standard_error() * F.col("exact") + 0.5
+    return both.select("season", F.col("exact").alias("starters"), (F.abs(F.col("starters") - F.col("exact")) <= allowed).alias("within_error"))

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from paddock.functions.scalars import round_half_up
-from paddock.operators import aggregates, generators, joins, projection, sets, topk
+from paddock.operators import aggregates, checks, generators, joins, projection, sets, sketches, topk
 from paddock.operators.ordered import exact_median, numbered, ranked, rolling, running, shifted
 from paddock.plans.race_view import table
 from paddock.registry import query, rounded
 from paddock.session import scratch_path
+from paddock.sources import layout
+from paddock.sources.sinks import materialize_table
 
 # --- projections ------------------------------------------------------------------------
 
@@ -150,21 +152,18 @@ def flt7(spark, sf):
 # --- joins ------------------------------------------------------------------------------
 
 
-@query(
-    "jn1_inner",
+_REVENUE = (
     "SELECT o_orderpriority, count(*) AS orders, CAST(sum(lines) AS BIGINT) AS lines, round(CAST(sum(revenue) AS DECIMAL(28, 10)), 2)::DOUBLE AS revenue "
     "FROM orders JOIN (SELECT l_orderkey, count(*) AS lines, sum(l_extendedprice * (1 - l_discount)) AS revenue "
-    "FROM lineitem GROUP BY ALL) ON l_orderkey = o_orderkey GROUP BY ALL",
+    "FROM lineitem GROUP BY ALL) ON l_orderkey = o_orderkey GROUP BY ALL"
 )
-def jn1(spark, sf):
-    lines = table(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+
+
+def _revenue(orders: DataFrame, lines: DataFrame) -> DataFrame:
     revenue = F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue")
+    lines = lines.withColumnRenamed("l_orderkey", "o_orderkey")
     joined = joins.aggregate_then_join(
-        table(spark, sf, "orders").select("o_orderkey", "o_orderpriority"),
-        lines,
-        ["o_orderkey"],
-        [F.count(F.lit(1)).alias("lines"), revenue],
-        how="inner",
+        orders, lines, ["o_orderkey"], [F.count(F.lit(1)).alias("lines"), revenue], how="inner"
     )
     return joined.groupBy("o_orderpriority").agg(
         F.count(F.lit(1)).alias("orders"),
@@ -173,6 +172,50 @@ def jn1(spark, sf):
     )
 
 
+@query("jn1_inner", _REVENUE)
+def jn1(spark, sf):
+    return _revenue(table(spark, sf, "orders").select("o_orderkey", "o_orderpriority"), table(spark, sf, "lineitem"))
+
+
+def _stored_by_key(spark: SparkSession, df: DataFrame, label: str, keys: list[str]) -> DataFrame:
+    path = scratch_path(spark, label)
+    return layout.store_by_key(df, path.rsplit("/", 1)[1].replace("-", "_"), keys, path=path)
+
+
+@query("jn1_stored_by_key", _REVENUE)
+def jn1_stored(spark, sf):
+    """Both tables stored by the order: aggregate and join shuffle nothing."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice", "l_discount")
+    return _revenue(
+        _stored_by_key(spark, orders, "orders", ["o_orderkey"]), _stored_by_key(spark, lines, "lines", ["l_orderkey"])
+    )
+
+
+@query(
+    "dq18_unique_stored_by_key",
+    "SELECT o_custkey, count(*) AS n_records FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey HAVING count(*) > 1",
+)
+def dq18_stored(spark, sf):
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey")
+    return checks.unique(_stored_by_key(spark, orders, "orders", ["o_custkey"]), "o_custkey")
+
+
+@query(
+    "ag3_distinct_from_sketches",
+    "SELECT o_orderpriority, count(DISTINCT o_custkey) AS customers, true AS within_error FROM orders GROUP BY ALL",
+)
+def ag3_sketches(spark, sf):
+    """Customers of each priority from sketches per priority and month, held against the exact number."""
+    orders = table(spark, sf, "orders").withColumn("month", F.date_trunc("month", "o_orderdate"))
+    stored = materialize_table(sketches.sketch_by(orders, ["o_orderpriority", "month"], "o_custkey"), label="sketches")
+    exact = orders.groupBy("o_orderpriority").agg(F.count_distinct("o_custkey").alias("customers"))
+    both = sketches.merged(stored, ["o_orderpriority"]).join(exact, "o_orderpriority")
+    allowed = 4 * sketches.standard_error() * F.col("customers") + 0.5
+    close = F.abs(sketches.estimate() - F.col("customers")) <= allowed
+    return both.select("o_orderpriority", "customers", close.alias("within_error"))
+
+
 @query(
     "jn2_left_multiway",
     "SELECT c_custkey, n_name, r_name, orders FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey "
@@ -542,12 +585,12 @@ def set2(spark, sf):
 )
 def set2_files(spark, sf):
     base = scratch_path(spark, "files")
-    orders = table(spark, sf, "orders")
-    for status in topk.pivot_values(orders, "o_orderstatus"):
-        extra = ["o_orderpriority"] if status == "O" else []
-        part = orders.where(F.col("o_orderstatus") == status).select("o_orderkey", "o_totalprice", *extra)
-        part.write.parquet(f"{base}/status_{status}")
-    union = sets.union_files(spark, f"{base}/status_*", source_column="file")
+    # one write for all: a folder per status
+    status = F.concat(F.lit("status_"), F.col("o_orderstatus")).alias("file")
+    priority = F.when(F.col("o_orderstatus") == "O", F.col("o_orderpriority")).alias("o_orderpriority")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", priority, status)
+    orders.write.partitionBy("file").parquet(base)
+    union = sets.union_files(spark, f"{base}/file=status_*", source_column="file")
     return union.withColumn("part", F.regexp_extract("file", "status_[A-Z]", 0)).drop("file")
 
 
