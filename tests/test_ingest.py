@@ -288,3 +288,55 @@ def test_versions_need_a_finished_write(spark, frame, tmp_path):
     (tmp_path / "version=11").mkdir()
     assert sinks.versions(spark, str(tmp_path)) == [2, 10]
     assert sinks.versions(spark, str(tmp_path / "none")) == []
+
+
+def _bytes(path):
+    return {p.relative_to(path): p.read_bytes() for p in path.rglob("*.parquet")}
+
+
+def test_a_snapshot_run_touches_changed_buckets_only(spark, frame, tmp_path):
+    """One changed driver: the open rows of other buckets are not read (their files hold nothing readable)."""
+    path = tmp_path / "s"
+    rows_ = [(f"D{i}", f"T{i % 7}") for i in range(400)]
+    schema = "driver_abbr string, team_name string"
+    run = lambda data, day: snapshots.write_snapshot(
+        frame(data, schema), str(path), ["driver_abbr"], ["team_name"], at(day), buckets=16
+    )
+    run(rows_, 1)
+    kept = _bytes(path / "open")
+    assert len({p.parts[-2] for p in kept}) == 16
+    moved = [("D5", "elsewhere") if d == "D5" else (d, t) for d, t in rows_]
+    bucket = spark.sql("SELECT pmod(xxhash64('D5'), 16)").first()[0]
+    for p in (path / "open").rglob("*.parquet"):
+        if p.parent.name != f"_bucket={bucket}":
+            p.write_bytes(b"not to be read")
+    run(moved, 2)
+    for p, data in kept.items():
+        (path / "open" / p).write_bytes(data)
+    new = {p.parts[-2] for p in _bytes(path / "open/version=2")}
+    assert new == {f"_bucket={bucket}"}
+    got = snapshots.read_snapshot(spark, str(path))
+    assert got.count() == 401 and rows(got.where("driver_abbr = 'D5'"), "team_name") == [("T5",), ("elsewhere",)]
+    # nothing changed: nothing is written
+    before = _bytes(path)
+    run(moved, 3)
+    assert _bytes(path) == before
+
+
+def test_snapshot_versions_that_no_reader_needs_go(spark, frame, tmp_path):
+    path, schema = tmp_path / "s", "k string, v int"
+    for day in range(1, 7):
+        snapshots.write_snapshot(frame([("a", day), ("b", 0)], schema), str(path), ["k"], ["v"], at(day), buckets=4)
+    got = snapshots.read_snapshot(spark, str(path))
+    assert got.count() == 7 and rows(got.where("valid_to IS NULL"), "k", "v") == [("a", 6), ("b", 0)]
+    assert len(list((path / "manifest").glob("version=*"))) == 2
+    assert len(list((path / "open").rglob("*.parquet"))) <= 5
+
+
+def test_snapshot_of_nothing(spark, frame, tmp_path):
+    schema, path = "k string, v int", str(tmp_path / "s")
+    none = frame([], schema)
+    assert snapshots.write_snapshot(none, path, ["k"], ["v"], at(1)).isEmpty()
+    assert snapshots.write_snapshot(frame([("a", None)], schema), path, ["k"], ["v"], at(2)).count() == 1
+    assert rows(snapshots.write_snapshot(none, path, ["k"], ["v"], at(3)), "k", "v") == [("a", None)]
+    assert snapshots.read_snapshot(spark, path).where("valid_to IS NULL").isEmpty()
