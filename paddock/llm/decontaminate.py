@@ -25,7 +25,10 @@ SEED = 5
 COVERAGE = 0.8
 #: Words of the benchmark in one pass over the documents; a larger benchmark takes several passes.
 GROUP_WORDS = 2_000_000
+#: Pairs of equal seeds of an item and a document that are held at once; with more, tiles are sought one by one.
+PAIRS = 2_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _WORD = re.compile(r"\w+")
 
 
@@ -97,9 +100,11 @@ def tile(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, int,
     marked first.
     """
     least = min(least, len(item))
+    matches = _matches(item, doc, least)
+    if matches is None:
+        return _one_by_one(item, doc, least)
     free_item, free_doc = np.ones(len(item), bool), np.ones(len(doc), bool)
     tiles = []
-    matches = _matches(item, doc, least)
     # a match is marked at its turn if no word of it is marked; what is left of it comes again, shorter
     heap = [(-n, a, b) for a, b, n in matches]
     heapq.heapify(heap)
@@ -119,8 +124,71 @@ def tile(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, int,
     return tiles
 
 
-def _matches(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, int, int]]:
-    """All maximal matches of at least this many words: equal hashes on a diagonal, then the words compared."""
+class _Runs:
+    """Karp-Rabin hashes of runs of any length, from running sums."""
+
+    def __init__(self, codes: np.ndarray) -> None:
+        powers = np.cumprod(np.full(len(codes), _BASE))
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * powers)])
+        self.back = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(codes), _INVERSE)]))
+
+    def hashes(self, n: int) -> np.ndarray:
+        return (self.sums[n:] - self.sums[:-n]) * self.back[: len(self.sums) - n]
+
+
+def _one_by_one(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """The same tiles, each found by halving the length it may have: memory in proportion to the words.
+
+    If free runs of some length agree, shorter ones do; so the longest length is
+    found by halving. There are as many rounds as tiles, at most the words of the
+    item over ``least``.
+    """
+    own, theirs = _Runs(item), _Runs(doc)
+    marked_item, marked_doc = np.zeros(len(item) + 1, np.int64), np.zeros(len(doc) + 1, np.int64)
+    tiles: list[tuple[int, int, int]] = []
+
+    def first(n: int) -> tuple[int, int] | None:
+        """The first free match of n words, by place in the item, then in the document."""
+        if n > min(len(item), len(doc)):
+            return None
+        at_item = np.flatnonzero(marked_item[n:] == marked_item[:-n])
+        at_doc = np.flatnonzero(marked_doc[n:] == marked_doc[:-n])
+        ours, others = own.hashes(n)[at_item], theirs.hashes(n)[at_doc]
+        order = np.argsort(others, kind="stable")
+        low = np.searchsorted(others[order], ours, "left")
+        high = np.searchsorted(others[order], ours, "right")
+        for i in np.flatnonzero(low < high).tolist():
+            a = int(at_item[i])
+            for j in range(int(low[i]), int(high[i])):
+                b = int(at_doc[order[j]])
+                if np.array_equal(item[a : a + n], doc[b : b + n]):  # a hash is no proof
+                    return a, b
+        return None
+
+    longest = len(item)
+    while True:
+        low, high, found = least, longest, None
+        while low <= high:
+            n = (low + high) // 2
+            match = first(n)
+            if match is None:
+                high = n - 1
+            else:
+                low, found = n + 1, (*match, n)
+        if found is None:
+            return tiles
+        a, b, n = found
+        tiles.append(found)
+        longest = n
+        marked_item[1:] += np.clip(np.arange(1, len(item) + 1) - a, 0, n)
+        marked_doc[1:] += np.clip(np.arange(1, len(doc) + 1) - b, 0, n)
+
+
+def _matches(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, int, int]] | None:
+    """All maximal matches of at least this many words: equal hashes on a diagonal, then the words compared.
+
+    None where equal words of both repeat so often that there are more than PAIRS.
+    """
     if not least:
         return []
     own = rolling(item, least)
@@ -128,6 +196,8 @@ def _matches(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, i
     theirs = rolling(doc, least)
     low = np.searchsorted(own[order], theirs, "left")
     count = np.searchsorted(own[order], theirs, "right") - low
+    if int(count.sum()) > PAIRS:
+        return None
     at_doc = np.repeat(np.arange(len(theirs)), count)
     if not len(at_doc):
         return []
@@ -192,7 +262,12 @@ def _pass(docs: DataFrame, items: list[tuple[int | None, list[str]]], coverage:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """The rows of documents that no benchmark item contaminates, all columns kept."""
+    """The rows of documents that no benchmark item contaminates, all columns kept.
+
+    Rows without words, nulls included, and repeated rows stay (repeated ones all
+    or none); an empty table stays empty, an empty benchmark changes nothing; no
+    column is looked at but ``text``, whatever others are called.
+    """
     names = docs.columns
     plain = numbered(docs)
     for items in _groups(benchmark):

@@ -34,6 +34,24 @@ def test_tiles():
         assert dc.tile(np.array(a, np.uint64), np.array(b, np.uint64), 3) == brute(a, b, 3)
 
 
+def test_tiles_one_by_one(monkeypatch):
+    """The way of repeated words, in memory that grows with the words only, gives the same tiles."""
+    monkeypatch.setattr(dc, "PAIRS", 0)
+    chance = random.Random(3)
+    for _ in range(400):
+        a = [chance.randint(1, 3) for _ in range(chance.randint(1, 16))]
+        b = [chance.randint(0, 3) for _ in range(chance.randint(0, 30))]
+        assert dc.tile(np.array(a, np.uint64), np.array(b, np.uint64), 3) == brute(a, b, 3)
+
+
+def test_a_million_equal_words():
+    item, doc = np.full(500, 7, np.uint64), np.full(1_000_000, 7, np.uint64)
+    assert dc.tile(item, doc, dc.SEED) == [(0, 0, 500)]
+    doc[::11] = 3
+    tiles = dc.tile(item, doc, dc.SEED)
+    assert sum(n for _, _, n in tiles) == 500 and tiles[0] == (0, 1, 10)
+
+
 def test_documents(spark, docs, odd_texts, monkeypatch):
     chance = random.Random(7)
     vocabulary = [f"w{i}" for i in range(80)]
@@ -77,3 +95,4 @@ def test_empty(spark, docs):
     assert dc.matches(docs([(1, "a b c d e")]), empty).count() == 0
     assert dc.clean(docs([(1, "a b c d e")], clash=True), empty).count() == 1
     assert dc.matches(docs([]), spark.createDataFrame([(1, "a b c d e", "")], ITEMS)).count() == 0
+    assert dc.clean(docs([]), spark.createDataFrame([(1, "a b c d e", "")], ITEMS)).count() == 0
