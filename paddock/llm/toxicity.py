@@ -4,9 +4,10 @@ The lexicon is induced from labelled rows: words and word beginnings that occur
 in far more toxic than other documents. A document becomes a few numbers:
 densities of lexicon words, how near they stand to second-person words, shares
 of capitals and punctuation, rates of obfuscated words. Trees score these, an
-isotonic regression turns the margin into a probability. The lexicon, the trees
-and the calibration are fitted on three separate parts of a bounded sample of
-labelled rows; every document is scored over its whole text.
+isotonic regression turns the margin into a probability. The trees and the
+calibration are fitted on separate parts of a bounded sample of labelled rows,
+taken for each label; the lexicon is counted over all other labelled rows. Every
+document is scored over its whole text.
 """
 
 from __future__ import annotations
@@ -20,18 +21,19 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from paddock.llm.common import arrow_extend, arrow_map, numbered, pick
 
-#: Labelled rows that are used at most (in expectation: rows are taken by a hash of their id).
-TRAINING_ROWS = 20_000
-#: Entries of the lexicon at most, and what an entry needs.
-LEXICON = 5_000
+#: Rows of each label in the sample at most (in expectation: rows are taken by a hash of their id). Rows of a
+#: label with more weigh the more, so the shares of the labels stay as they are.
+TRAINING_ROWS = 10_000
+#: What an entry of the lexicon needs: toxic documents, at least this many and this share of all, and log-odds.
 LEAST_DOCUMENTS = 3
+LEAST_SHARE = 0.0005
 LEAST_LOG_ODDS = 2.5
-#: Rows of either label that a fit needs; with fewer every score is the share of toxic rows.
-LEAST_ROWS = 3
+#: Parts of the sample by place in it: 0 lexicon, 1 trees, 2 calibration; the first three rows of a label are spread.
+PARTS = (0, 1, 2, 0, 1, 0, 2, 0, 1, 0)
 THRESHOLD = 0.3
 #: Trees that are boosted.
 ROUNDS = 15
@@ -131,27 +133,40 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
-    """doc_id, text, toxic (0.0 or 1.0) and part (0 lexicon, 1 trees, 2 calibration) of labelled rows that may be learnt from.
+def _labelled(labels: DataFrame) -> DataFrame:
+    """doc_id and toxic (0.0 or 1.0) that may be learnt from; repeated labels count once, null ids and labels not at all."""
+    usable = pick(labels, "doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out())
+    return usable.groupBy("doc_id").agg(F.max("toxic").cast("double").alias("toxic"))
 
-    Repeated labels and documents count once, null ids and labels not at all.
+
+def _sample(docs: DataFrame, labels: DataFrame, bound: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows to fit on (doc_id, text, toxic, weight, part), and text and toxic of labelled rows beyond (None: there are none).
+
+    Repeated documents count once. Which rows are taken, and for what, depends on their ids only.
     """
-    usable = (
-        pick(labels, "doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out())
-        .groupBy("doc_id").agg(F.max("toxic").cast("double").alias("toxic"))
-    )
-    there = usable.count()
-    # by a hash of the id: the rows taken do not depend on how the table is stored
+    usable = _labelled(labels)
+    there = {r["toxic"]: r["count"] for r in usable.groupBy("toxic").count().collect()}
+    share = {label: min(1.0, bound / n) for label, n in there.items()}
     place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000))
-    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(10))
-    taken = usable.where(place < int(1_000_000 * min(1.0, bound / max(1, there))))
-    taken = taken.withColumn("part", F.when(part < 5, 0).when(part < 8, 1).otherwise(2))
-    return (
-        pick(docs, "doc_id", "text")
-        .join(F.broadcast(taken), "doc_id")  # about TRAINING_ROWS rows of three numbers
-        .groupBy("doc_id", "toxic", "part")
-        .agg(F.min("text").alias("text"))
+    of_label = lambda value: F.when(F.col("toxic") == 1, value(share.get(1.0, 1.0))).otherwise(value(share.get(0.0, 1.0)))
+    chosen = place < of_label(lambda x: F.lit(int(1_000_000 * x)))
+    # at most about ``bound`` rows of each label
+    order = W.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit("part")), "doc_id")
+    parts = F.array(*map(F.lit, PARTS))
+    taken = usable.where(chosen).select(
+        "doc_id",
+        "toxic",
+        of_label(lambda x: F.lit(1.0 / x)).alias("weight"),
+        parts[(F.row_number().over(order) - 1) % len(PARTS)].alias("part"),
     )
+    plain = pick(docs, "doc_id", "text")
+    sample = (
+        plain.join(F.broadcast(taken), "doc_id").groupBy("doc_id", "toxic", "weight", "part").agg(F.min("text").alias("text"))
+    )
+    if all(x == 1.0 for x in share.values()):
+        return sample, None
+    beyond = plain.join(usable.where(~chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    return sample, beyond.select("text", "toxic")
 
 
 def induce(sample: DataFrame) -> dict[str, float]:
@@ -167,12 +182,9 @@ def induce(sample: DataFrame) -> dict[str, float]:
     toxic, other = (float(t or 0) for t in totals)
     counted = found.groupBy("entry").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
     odds = F.log((F.col("a") + 0.5) / (toxic + 1)) - F.log((F.col("b") + 0.5) / (other + 1))
-    best = (
-        counted.where(F.col("a") >= LEAST_DOCUMENTS).select("entry", odds.alias("odds"))
-        .where(F.col("odds") >= LEAST_LOG_ODDS)
-        .orderBy(F.desc("odds"), "entry").limit(LEXICON)
-    )
-    return {r.entry: r.odds for r in best.collect()}
+    # a share of the toxic documents: however many rows there are, there are about as many entries
+    best = counted.where(F.col("a") >= max(LEAST_DOCUMENTS, LEAST_SHARE * toxic)).select("entry", odds.alias("odds"))
+    return {r.entry: r.odds for r in best.where(F.col("odds") >= LEAST_LOG_ODDS).collect()}
 
 
 def _featured(df: DataFrame, text: str, lexicon: dict[str, float], keep: list[str]) -> DataFrame:
@@ -207,24 +219,40 @@ def _margin(trees, featured: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS, rounds: int = ROUNDS) -> Model:
-    """Fit on a sample of at most about ``bound`` labelled rows that are not held out."""
-    sample = _sample(docs, labels, bound).checkpoint()
-    counts = {(r.part, r.toxic): r["count"] for r in sample.groupBy("part", "toxic").count().collect()}
-    toxic = sum(n for (_, t), n in counts.items() if t)
-    share = toxic / max(1, sum(counts.values()))
-    if any(counts.get((part, t), 0) < LEAST_ROWS for part in (1, 2) for t in (0.0, 1.0)):
+    """Fit on a sample of at most about ``bound`` rows of each label that are not held out.
+
+    Trees and calibration need a row of each label; without them every score is the share of toxic rows.
+    """
+    sample, beyond = _sample(docs, labels, bound)
+    sample = sample.checkpoint()
+    counts = {(r.part, r.toxic): (r.n, r.weight) for r in sample.groupBy("part", "toxic").agg(
+        F.count("*").alias("n"), F.sum("weight").alias("weight")).collect()}
+    toxic = sum(weight for (_, t), (_, weight) in counts.items() if t)
+    share = toxic / (sum(weight for _, weight in counts.values()) or 1)
+    if any((part, t) not in counts for part in (1, 2) for t in (0.0, 1.0)):
         return Model({}, None, None, share)
-    lexicon = induce(sample.where("part = 0").dropDuplicates(["text"]))
-    featured = _featured(sample, "text", lexicon, ["toxic", "part"]).checkpoint()
+    known = sample.where("part = 0").select("text", "toxic")
+    lexicon = induce((known if beyond is None else known.unionAll(beyond)).dropDuplicates(["text"]))
+    featured = _featured(sample, "text", lexicon, ["toxic", "weight", "part"]).checkpoint()
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(featured)
     trees = GBTClassifier(
-        labelCol="toxic", maxIter=rounds, maxDepth=4, stepSize=0.3, seed=7, minInstancesPerNode=5, maxMemoryInMB=64
-    ).fit(vectors.where("part = 1").coalesce(4))
-    margins = _margin(trees, featured.where("part = 2"))
-    calibration = IsotonicRegression(labelCol="toxic", featuresCol="margin", predictionCol="score").fit(margins)
+        labelCol="toxic", weightCol="weight", maxIter=rounds, maxDepth=4, stepSize=0.3, seed=7, minInstancesPerNode=5,
+        maxMemoryInMB=64,
+    ).fit(vectors.where("part = 1").coalesce(4))
+    calibration = IsotonicRegression(
+        labelCol="toxic", featuresCol="margin", weightCol="weight", predictionCol="score"
+    ).fit(_pooled(_margin(trees, featured.where("part = 2"))))
     return Model(lexicon, trees, calibration, share)
 
 
+def _pooled(margins: DataFrame) -> DataFrame:
+    """One row for each margin: weight and mean label of its rows. Trees give few margins, and many rows may share one."""
+    weight = F.sum("weight")
+    return margins.groupBy("margin").agg(
+        (F.sum(F.col("toxic") * F.col("weight")) / weight).alias("toxic"), weight.alias("weight")
+    )
+
+
 def score(
     docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS, threshold: float = THRESHOLD, rounds: int = ROUNDS
 ) -> DataFrame:
@@ -241,7 +269,13 @@ def score(
 
 
 def reject(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
-    """The rows that score below the threshold, all columns kept."""
+    """The rows that score below the threshold, all columns kept.
+
+    Null and empty texts are scored like a text without words, repeated rows
+    alike; an empty table stays empty; without enough labels all rows stay unless
+    the share of toxic labels reaches the threshold. Only ``text`` of the columns
+    is scored; ``doc_id`` finds the labelled rows.
+    """
     model = fit(docs, labels, rounds=rounds)
     names = docs.columns
     plain = numbered(docs)
