@@ -33,7 +33,7 @@ LEAST_DOCUMENTS = 3
 LEAST_SHARE = 0.0005
 LEAST_LOG_ODDS = 2.5
 #: Parts of the sample by place in it: 0 lexicon, 1 trees, 2 calibration; the first three rows of a label are spread.
-PARTS = (0, 1, 2, 0, 1, 0, 2, 0, 1, 0)
+PARTS = (2, 0, 1, 0, 1, 0, 2, 0, 1, 0)
 THRESHOLD = 0.3
 #: Trees that are boosted.
 ROUNDS = 15
