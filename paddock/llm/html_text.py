@@ -4,15 +4,16 @@ First pass: stop-word density, length and link density decide every block that
 does not stand in a menu, footer, form or the like. Names in classes and ids are
 hints: outside an article a plain one decides, inside it, or beside other words,
 it only asks for more of the text; an element with most of the page's text is
-never decided by a hint. Second pass: blocks that stayed open belong to the
-article element they stand in if that holds text of the first pass (or nothing
-does); others take the label of the nearest decided neighbours. The stop words
+never decided by a hint. Second pass: blocks that stayed open take the label of
+their nearest decided neighbours; an article element is a border of that search,
+and inside it bad neighbours count as farther away. The stop words
 are those of a fixed list per language; where a page fits none of them, length
 and link density decide alone.
 """
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 from collections import Counter
@@ -67,10 +68,14 @@ _COMMENTS = frozenset("comment comments respond replies disqus".split())
 _PARTS = re.compile(r"[_-]+|(?<=\D)(?=\d)")
 _ROLE = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 
+# A quote opens a value only behind an equals sign; elsewhere it is a character like others.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*+)(?:>|\Z)", re.S
-)
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|aria-label)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)"
+    r"((?:[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>\"'][^\s>]*+)?)?|=)*+)(?:>|\Z)", re.S
+)
+_ATTRIBUTE = re.compile(r"(=?[^\s=/>]++)(?:\s*+=\s*+(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?", re.S)
+_ATTRIBUTES = frozenset("class id role hidden style".split())
+_SAYS = re.compile("class|id|role|hidden|style", re.I)
 _WORD = re.compile(r"\w+")
 # Characters of scripts that say in one what others say in about three.
 _DENSE = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")
@@ -83,6 +88,8 @@ STOPS_LOW = 0.10
 LINKS_HIGH = 0.34
 
 GOOD, BAD, OPEN = 1, 0, None
+#: How much farther a bad neighbour inside an article counts than a good one.
+FAR = 4
 
 #: What a mark does: WEAK asks a region for some text, HINT for much of it inside an article and decides outside;
 #: COMMENT and PLACE decide, FIRM does so whatever the element holds.
@@ -198,8 +205,12 @@ def blocks(page: str) -> tuple[list[Block], list[Mark]]:
 def _kind(name: str, attributes: str) -> int:
     """What the attributes of an element say; 0 for nothing."""
     kind = 0
+    if not _SAYS.search(attributes):
+        return 0
     for match in _ATTRIBUTE.finditer(attributes):
-        key = match[1].lower()
+        key = (match[1] or "").lower()
+        if key not in _ATTRIBUTES:
+            continue
         value = match[2] or match[3] or match[4] or ""
         # ids of headings and sections are made from their titles
         if key == "class" or key == "id" and name not in HEADINGS and name != "section":
@@ -208,7 +219,7 @@ def _kind(name: str, attributes: str) -> int:
             return PLACE
         elif key == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return PLACE
-        elif key == "hidden" and not match[0].lower().startswith("hidden-"):
+        elif key == "hidden":
             return PLACE
     # a title is text unless it heads comments; beside other words a hint says nothing against an article
     return 0 if name in HEADINGS and kind != COMMENT or name in MAIN and kind == WEAK else kind
@@ -259,18 +270,7 @@ def label(found: list[Block], marks: list[Mark], texts: list[str]) -> list[int]:
             else:
                 first[i] = BAD
 
-    good = [i for i, f in enumerate(first) if f is GOOD]
-    texty = {found[i].main for i in good}
-    within = [len(texts[i]) for i in good if found[i].main >= 0]
-    articles = any(b.main >= 0 and f is OPEN for b, f in zip(found, first)) or bool(within)
-    mainly = articles and 2 * sum(within) >= sum(len(texts[i]) for i in good)
-    for i, block in enumerate(found):
-        if first[i] is OPEN and i not in loose:
-            if block.main >= 0 and (not good or block.main in texty):
-                first[i] = GOOD
-            elif block.main < 0 and mainly:
-                first[i] = BAD
-    return _inherit(first)
+    return _inherit(first, [b.main for b in found], [apart[b.mark] for b in found], [len(t) for t in texts], loose)
 
 
 def _count(text: str) -> tuple[int, Counter[str]]:
@@ -345,28 +345,54 @@ def _weigh(
     return apart, lowered
 
 
-def _inherit(first: list[int | None]) -> list[int]:
-    """Open blocks take the label of the nearer decided neighbour, good between good ones; alone they are bad."""
-    n = len(first)
-    before: list[tuple[int, int] | None] = [None] * n
-    after: list[tuple[int, int] | None] = [None] * n
-    for places, near in ((range(n), before), (range(n - 1, -1, -1), after)):
-        last = None
-        for i in places:
-            if first[i] is not OPEN:
-                last = i
-            near[i] = None if last is None else (abs(i - last), first[last])
+def _inherit(
+    first: list[int | None], mains: list[int], apart: list[bool], sizes: list[int], loose: set[int] = frozenset()
+) -> list[int]:
+    """Open blocks take the label of the nearest decided neighbours.
+
+    An article element is a border and a weight: a block inside looks at blocks of
+    the same element, where a bad one counts as FAR times as far away as a good
+    one and blocks of menus and forms do not count; where most text stands in
+    articles, a block outside looks at others outside. Without a decided
+    neighbour there, the nearest of the page decides for blocks of an article on
+    a page with text elsewhere; an article on a page without text is good, and all
+    else is bad. ``loose`` blocks look at the whole page.
+    """
+    good = [i for i, f in enumerate(first) if f is GOOD]
+    within = sum(sizes[i] for i in good if mains[i] >= 0)
+    mainly = (within or any(m >= 0 and f is OPEN for m, f in zip(mains, first))) and 2 * within >= sum(sizes[i] for i in good)
+    every: tuple[list[int], list[int]] = ([], good)  # places of bad and of good blocks
+    regions: dict[int, tuple[list[int], list[int]]] = {}
+    for i, f in enumerate(first):
+        if f is BAD:
+            every[0].append(i)
+        if f is not OPEN and (mains[i] < 0 or not apart[i]):
+            regions.setdefault(mains[i], ([], []))[f].append(i)
     out = []
     for i, decided in enumerate(first):
         if decided is not OPEN:
             out.append(decided)
-            continue
-        sides = [s for s in (before[i], after[i]) if s is not None]
-        # the nearer one; at equal distance a good one
-        out.append(min(sides, key=lambda s: (s[0], -s[1]))[1] if sides else BAD)
+        elif mains[i] >= 0 and i not in loose:
+            near = _nearest(i, *regions.get(mains[i], ([], [])), FAR)
+            out.append(near if near is not None else _nearest(i, *every) if good else GOOD)
+        else:
+            near = _nearest(i, *(regions.get(-1, ([], [])) if mainly and i not in loose else every))
+            out.append(BAD if near is None else near)
     return out
 
 
+def _nearest(i: int, bad: list[int], good: list[int], far: int = 1) -> int | None:
+    """Label of the nearest decided neighbour, the good one at equal distance; a bad one is ``far`` times as far away."""
+
+    def distance(places: list[int]) -> float:
+        at = bisect.bisect_left(places, i)
+        return min((abs(places[j] - i) for j in (at - 1, at) if 0 <= j < len(places)), default=float("inf"))
+
+    if not bad and not good:
+        return None
+    return GOOD if distance(good) <= far * distance(bad) else BAD
+
+
 def main_text(page: str | None) -> str:
     """The article of a page, one line per block; empty if there is none."""
     found, marks = blocks(page or "")

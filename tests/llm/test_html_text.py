@@ -1,5 +1,11 @@
 """Main text of pages of several layouts, and of odd input."""
 
+import random
+import re
+from collections import Counter
+from pathlib import Path
+
+import pyarrow.parquet as pq
 import pytest
 from paddock.llm import html_text
 
@@ -73,10 +79,75 @@ def test_deep_hints_take_linear_time():
         html_text.main_text(text)
 
 
+def _inherit(first, mains=None, apart=None, sizes=None, loose=frozenset()):
+    n = len(first)
+    return html_text._inherit(first, mains or [-1] * n, apart or [False] * n, sizes or [100] * n, loose)
+
+
 def test_neighbours():
     good, bad, open_ = html_text.GOOD, html_text.BAD, html_text.OPEN
-    assert html_text._inherit([open_, good, open_, open_, open_, bad, open_]) == [1, 1, 1, 1, 0, 0, 0]
-    assert html_text._inherit([open_, open_]) == [0, 0]
+    assert _inherit([open_, good, open_, open_, open_, bad, open_]) == [1, 1, 1, 1, 0, 0, 0]
+    assert _inherit([open_, open_]) == [0, 0]
+    # an article is a border for both sides, and bad neighbours in it count as farther away
+    mains = [-1, -1, 0, 0, 0, 0, 0, -1]
+    assert _inherit([bad, open_, good, open_, open_, open_, bad, open_], mains) == [0, 0, 1, 1, 1, 1, 0, 0]
+    assert _inherit([good, open_, open_, open_, open_, bad, open_, open_], [-1, 0, 0, 0, 0, 0, 0, -1])[1:] == [0, 0, 0, 0, 0, 0, 0]
+    # a menu inside an article says nothing about its text
+    assert _inherit([bad, open_, good], [0, 0, 0], [True, False, False]) == [0, 1, 1]
+    assert _inherit([open_, bad], [0, -1]) == [1, 0]
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_neighbours_against_a_plain_search(seed):
+    chance = random.Random(seed)
+    n = chance.randrange(1, 40)
+    first = [chance.choice([1, 0, None, None]) for _ in range(n)]
+    got = _inherit(first)
+    for i, f in enumerate(first):
+        near = sorted((abs(i - j), -g) for j, g in enumerate(first) if g is not None)
+        assert got[i] == (f if f is not None else -near[0][1] if near else 0)
+
+
+@pytest.mark.parametrize(
+    "body, want",
+    [
+        ("<p title=5\">One two</p><p class=\"b\">Three</p>", "One two\nThree"),
+        ("<p title=it's>One</p><p title='>'>Two</p><p title=\"a>b\" x='y'>Three</p>", "One\nTwo\nThree"),
+        ("<p title = \"a>b\">One</p><p a=b=\"c>Two</p><p \"x\" y>Three</p><p =\">Four</p>", "One\nTwo\nThree\nFour"),
+        ("<p data-class=\"footer\" title=\"a class=sidebar here\">One</p><p data-hidden=1>Two</p><p hidden>Gone</p>", "One\nTwo"),
+        ("<p title='whole page", ""),
+    ],
+)
+def test_quotes_in_attributes(body, want):
+    assert html_text.main_text(page(f"<article>{body}</article>")) == want
+
+
+def test_attributes_take_linear_time():
+    for text in ("<p " + "a=" * 200_000, "<p " + "a= " * 100_000 + ">", "<p a" + " " * 200_000, "<p " + "'" * 200_001, "<p =" * 100_000, "<p a='" * 50_000):
+        html_text.main_text(text)
+
+
+def _same_words(one, other):
+    a, b = Counter(one.split()), Counter(other.split())
+    return sum((a & b).values()) / max(1, sum((a | b).values()))
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.01/pages.parquet").exists(), reason="test tables are not here")
+def test_pages_without_their_article_element(monkeypatch):
+    """With the element's name changed the rules and neighbours find nearly the same text; both passes decide blocks."""
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"])["html"].to_pylist()
+    inherited, inherit = [0], html_text._inherit
+
+    def counted(first, *rest):
+        inherited[0] += sum(f is None for f in first)
+        return inherit(first, *rest)
+
+    monkeypatch.setattr(html_text, "_inherit", counted)
+    with_element = [html_text.main_text(p) for p in pages]
+    assert inherited[0] > 2 * len(pages)
+    without = [html_text.main_text(re.sub(r"<(/?)(?:article|main)\b", r"<\1div", p)) for p in pages]
+    found = [_same_words(a, b) for a, b in zip(with_element, without)]
+    assert sum(found) / len(found) > 0.9
 
 
 def test_columns(spark):
