@@ -4,10 +4,9 @@ The lexicon is induced from labelled rows: words and word beginnings that occur
 in far more toxic than other documents. A document becomes a few numbers:
 densities of lexicon words, how near they stand to second-person words, shares
 of capitals and punctuation, rates of obfuscated words. Trees score these, an
-isotonic regression turns the margin into a probability. The trees and the
-calibration are fitted on separate parts of a bounded sample of labelled rows,
-taken for each label; the lexicon is counted over all other labelled rows. Every
-document is scored over its whole text.
+isotonic regression turns the margin into a probability. The lexicon, the trees
+and the calibration are fitted on three separate parts of a sample of labelled
+rows, bounded for each label; every document is scored over its whole text.
 """
 
 from __future__ import annotations
@@ -139,8 +138,8 @@ def _labelled(labels: DataFrame) -> DataFrame:
     return usable.groupBy("doc_id").agg(F.max("toxic").cast("double").alias("toxic"))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, bound: int) -> tuple[DataFrame, DataFrame | None]:
-    """Rows to fit on (doc_id, text, toxic, weight, part), and text and toxic of labelled rows beyond (None: there are none).
+def _sample(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
+    """Rows to fit on (doc_id, text, toxic, weight, part), at most about ``bound`` of each label.
 
     Repeated documents count once. Which rows are taken, and for what, depends on their ids only.
     """
@@ -159,14 +158,8 @@ def _sample(docs: DataFrame, labels: DataFrame, bound: int) -> tuple[DataFrame,
         of_label(lambda x: F.lit(1.0 / x)).alias("weight"),
         parts[(F.row_number().over(order) - 1) % len(PARTS)].alias("part"),
     )
-    plain = pick(docs, "doc_id", "text")
-    sample = (
-        plain.join(F.broadcast(taken), "doc_id").groupBy("doc_id", "toxic", "weight", "part").agg(F.min("text").alias("text"))
-    )
-    if all(x == 1.0 for x in share.values()):
-        return sample, None
-    beyond = plain.join(usable.where(~chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    return sample, beyond.select("text", "toxic")
+    joined = pick(docs, "doc_id", "text").join(F.broadcast(taken), "doc_id")
+    return joined.groupBy("doc_id", "toxic", "weight", "part").agg(F.min("text").alias("text"))
 
 
 def induce(sample: DataFrame) -> dict[str, float]:
@@ -223,16 +216,14 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS, rounds:
 
     Trees and calibration need a row of each label; without them every score is the share of toxic rows.
     """
-    sample, beyond = _sample(docs, labels, bound)
-    sample = sample.checkpoint()
+    sample = _sample(docs, labels, bound).checkpoint()
     counts = {(r.part, r.toxic): (r.n, r.weight) for r in sample.groupBy("part", "toxic").agg(
         F.count("*").alias("n"), F.sum("weight").alias("weight")).collect()}
     toxic = sum(weight for (_, t), (_, weight) in counts.items() if t)
     share = toxic / (sum(weight for _, weight in counts.values()) or 1)
     if any((part, t) not in counts for part in (1, 2) for t in (0.0, 1.0)):
         return Model({}, None, None, share)
-    known = sample.where("part = 0").select("text", "toxic")
-    lexicon = induce((known if beyond is None else known.unionAll(beyond)).dropDuplicates(["text"]))
+    lexicon = induce(sample.where("part = 0").dropDuplicates(["text"]))
     featured = _featured(sample, "text", lexicon, ["toxic", "weight", "part"]).checkpoint()
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(featured)
     trees = GBTClassifier(

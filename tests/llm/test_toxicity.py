@@ -130,12 +130,12 @@ def test_rare_labels_are_sampled_by_label(spark, docs):
     """Of very many labelled rows few are toxic: they are all there, and weights keep the shares."""
     labels = spark.range(40_000).selectExpr("id AS doc_id", "1 AS quality", "CAST(id % 2000 = 0 AS INT) AS toxic")
     texts = spark.range(40_000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
-    sample, beyond = toxicity._sample(texts, labels, 500)
+    sample = toxicity._sample(texts, labels, 500)
     found = {(r.toxic, r.part): (r.n, r.w) for r in sample.groupBy("toxic", "part").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).collect()}
     usable = toxicity._labelled(labels)
     there = {r.toxic: r["count"] for r in usable.groupBy("toxic").count().collect()}
     assert sum(n for (t, _), (n, _) in found.items() if t) == there[1.0] < 20
     assert {p for t, p in found if t} == {0, 1, 2}
     plain = sum(n for (t, _), (n, _) in found.items() if not t)
-    assert 350 < plain < 650 and plain + sum(n for (t, _), (n, _) in found.items() if t) + beyond.count() == usable.count()
+    assert 350 < plain < 650
     assert sum(w for (t, _), (_, w) in found.items() if not t) == pytest.approx(there[0.0], rel=0.2)
