@@ -2,10 +2,14 @@
 
 Four base expressions find the seeds. Every place that looks like an identifier
 (a run of digits or a part of a long one, a spelled-out IP address, or a token
-with a sign of a mail address) is an instance with lexical patterns: the kind of identifier it could be, the words before it and
-the word behind it. Patterns and instances form a graph. Spark scores it in rounds until no new pattern is accepted: a pattern by
-the share and number of its instances that are believed, an instance by its best
-pattern. Patterns that end with high confidence mark the instances the base
+with a sign of a mail address) is an instance with lexical patterns, each for a
+kind of identifier: the words before it and the word behind it, a label right
+before it, and its own shape between the characters around it. Patterns and
+instances form a graph. Spark scores it in rounds until no new pattern is
+accepted: a pattern by the share of its instances that are believed and by how
+much evidence there is for that share; an instance of an accepted pattern is
+believed. So a shape that nearly always stands behind accepted labels is found
+elsewhere in the next round. Patterns that end with high confidence mark the instances the base
 expressions missed.
 """
 
@@ -15,7 +19,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from paddock.llm.common import arrow_map, join_spans, pick, sha256
 
@@ -26,25 +30,28 @@ Span = tuple[str, int, int]
 
 # The base expressions, in the forms that take linear time.
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+_LOCALS = frozenset(_LOCAL)
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
-#: What a pattern needs: distinct believed instances, share of believed ones.
-SUPPORT = 8
+#: What a pattern needs: the share of believed ones among its distinct instances, and the lower bound of that share
+#: (Wilson's, at two standard errors): 0.7 asks for 10 instances that are all believed, or 22 of which two are not.
 CONFIDENCE = 0.9
+EVIDENCE = 0.7
 
 
 def emails(text: str) -> Iterator[Span]:
     """Matches of ``[local]+@[label]+(\\.[label]+)+``: a sign, the domain behind it, all local characters before it."""
     done = 0
     for match in _DOMAIN.finditer(text):
-        before = text[done : match.start()]
-        local = len(before) - len(before.rstrip(_LOCAL))
-        if local:
-            yield "email", match.start() - local, match.end()
+        start = match.start()
+        while start > done and text[start - 1] in _LOCALS:
+            start -= 1
+        if start < match.start():
+            yield "email", start, match.end()
             done = match.end()
 
 
@@ -231,8 +238,39 @@ def _plain(text: str) -> str:
     return re.sub(r"[^0-9a-z@]", "", text.lower())
 
 
+_LABEL = re.compile(r"([^\W\d_]+)[.]?\x20?[:=#]\x20?[\"'(]?\Z")
+
+
+def _shape(kind: str, text: str) -> str:
+    """Digits as 9; in addresses, whose parts have any length, runs of letters and digits as one."""
+    if kind == "email":
+        return re.sub(r"[0-9]+", "9", re.sub(r"[^\W\d_]+", "a", text))
+    return re.sub(r"[^\W\d_]", "a", re.sub(r"[0-9]", "9", text))
+
+
+def _beside(character: str) -> str:
+    """A character next to a place: its kind, or itself."""
+    return " " if not character or character.isspace() else "a" if character.isalnum() else character
+
+
 def _patterns_at(kind: str, text: str, start: int, end: int) -> list[str]:
-    """Lexical patterns of a place: the kind, and words before (at most two) and behind (at most one), in lower case."""
+    """Lexical patterns of a place, each with the kind.
+
+    Words before (at most two) and behind (at most one), in lower case; the word
+    of a label such as ``tel:``; the shape of the place and the characters beside
+    it, but for cards, whose check digit says more than any shape.
+    """
+    found = _words_at(kind, text, start, end)
+    label = _LABEL.search(text[max(0, start - _NEAR) : start])
+    if label:
+        found.append(f"{kind} {label[1].lower()}: _")
+    if kind != "card" and end - start <= _NEAR:
+        beside = _beside(text[start - 1 : start]), _beside(text[end : end + 1])
+        found.append(f"{kind} {beside[0]}{_shape(kind, text[start:end])}{beside[1]}")
+    return found
+
+
+def _words_at(kind: str, text: str, start: int, end: int) -> list[str]:
     before = [w.lower() for w in _WORDS.findall(text[max(0, start - _NEAR) : start])[-2:]]
     after = [w.lower() for w in _WORDS.findall(text[end : end + _NEAR])[:1]]
     both = [(before, after), (before, [])] + [(before[-1:], after)] * (len(before) > 1)
@@ -245,7 +283,7 @@ _BASE = (
 )
 
 
-def find(docs: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
+def find(docs: DataFrame, evidence: float = EVIDENCE, confidence: float = CONFIDENCE) -> DataFrame:
     """doc_id, base counts, digest of the base spans, all spans, and n_more: how many the patterns added.
 
     One row per input row. Null and empty texts have no spans; repeated rows
@@ -268,7 +306,7 @@ def find(docs: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE
     # written once to the shared folder: the graph and the result read it
     scanned = arrow_map(texts.select("row", "doc_id", "text"), _BASE, rows).checkpoint()
     places = scanned.select("row", F.inline("more"))
-    believed = _patterns(places, support, confidence)
+    believed = _patterns(places, evidence, confidence)
     added = (
         places.where("NOT seed")
         .join(believed, "pattern")
@@ -301,13 +339,21 @@ def find(docs: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE
     )
 
 
-def _patterns(places: DataFrame, support: int, confidence: float) -> DataFrame:
+def _lower_bound(believed: str, n: str) -> Column:
+    """Lower end of Wilson's interval for a share, at two standard errors."""
+    share, count = F.col(believed) / F.col(n), F.col(n)
+    spread = 2 * F.sqrt(share * (1 - share) / count + 1 / (count * count))
+    return (share + 2 / count - spread) / (1 + 4 / count)
+
+
+def _patterns(places: DataFrame, evidence: float, confidence: float) -> DataFrame:
     """Patterns of high confidence: a column ``pattern``.
 
     Edges are distinct, so copies of a document weigh as one. Each round sums
     the belief of a pattern's instances (both sides pre-aggregated) and passes
-    the score of accepted patterns back to their instances. Belief only grows, so
-    patterns are only added, and the rounds end when one adds none.
+    acceptance of patterns back to their instances, which are then believed like
+    seeds. Belief only grows, so patterns are only added, and the rounds end when
+    one adds none.
     """
     edges = (
         places.withColumn("kind_instance", F.concat_ws(":", "kind", "instance"))
@@ -324,8 +370,8 @@ def _patterns(places: DataFrame, support: int, confidence: float) -> DataFrame:
             .join(belief, "kind_instance")
             .groupBy("pattern")
             .agg(F.sum("belief").alias("believed"), F.count("*").alias("n"))
-            .where((F.col("believed") >= support) & (F.col("believed") >= confidence * F.col("n")))
-            .select("pattern", (F.col("believed") / F.col("n")).alias("score"))
+            .where((_lower_bound("believed", "n") >= evidence) & (F.col("believed") >= confidence * F.col("n")))
+            .select("pattern", F.lit(1.0).alias("passed"))
             .checkpoint()
         )
         before, accepted = accepted, scores.count()
@@ -333,7 +379,7 @@ def _patterns(places: DataFrame, support: int, confidence: float) -> DataFrame:
             return scores.select("pattern")
         passed = (
             edges.select("pattern", "kind_instance").join(scores, "pattern")
-            .groupBy("kind_instance").agg(F.max("score").alias("passed"))
+            .groupBy("kind_instance").agg(F.max("passed").alias("passed"))
         )
         belief = seeds.join(passed, "kind_instance", "left").select(
             "kind_instance", F.greatest("belief", F.coalesce("passed", F.lit(0.0))).alias("belief")
