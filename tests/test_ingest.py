@@ -340,3 +340,61 @@ def test_snapshot_of_nothing(spark, frame, tmp_path):
     assert snapshots.write_snapshot(frame([("a", None)], schema), path, ["k"], ["v"], at(2)).count() == 1
     assert rows(snapshots.write_snapshot(none, path, ["k"], ["v"], at(3)), "k", "v") == [("a", None)]
     assert snapshots.read_snapshot(spark, path).where("valid_to IS NULL").isEmpty()
+
+
+class _Asked:
+    """Stands for a reader or writer of a source that is not run here: remembers what is asked of it."""
+
+    def __init__(self, result=None):
+        self.asked, self.result = {}, result
+
+    def format(self, name):
+        return self.option("format", name)
+
+    def mode(self, name):
+        return self.option("mode", name)
+
+    def option(self, key, value):
+        self.asked[key] = value
+        return self
+
+    def options(self, **more):
+        self.asked.update(more)
+        return self
+
+    def load(self):
+        return self.result
+
+    def save(self):
+        self.asked["saved"] = True
+
+
+def test_jdbc_reader_options():
+    """No database is started here; what is asked of Spark's source is checked instead."""
+
+    class Session:
+        read = _Asked("rows")
+
+    assert catalog.read_jdbc(Session(), "jdbc:x:y", "raw.results", user="me", driver="d.D") == "rows"
+    assert Session.read.asked == {"format": "jdbc", "url": "jdbc:x:y", "dbtable": "raw.results", "user": "me", "driver": "d.D"}
+    Session.read.asked.clear()
+    catalog.read_jdbc(Session(), "jdbc:x:y", "raw.laps", column="round_number", bounds=(1, 25), partitions=8)
+    assert Session.read.asked == {
+        "format": "jdbc", "url": "jdbc:x:y", "dbtable": "raw.laps", "partitionColumn": "round_number", "lowerBound": "1",
+        "upperBound": "25", "numPartitions": "8",
+    }
+
+
+def test_jdbc_writer_options():
+    class Frame:
+        write = _Asked()
+
+        def drop(self, name):
+            assert name == sinks.LOADED_AT
+            return self
+
+    sinks.write_jdbc(Frame(), "jdbc:x:y", "raw.results", batch_rows=500, password="p")
+    assert Frame.write.asked == {
+        "format": "jdbc", "mode": "append", "batchsize": "500", "url": "jdbc:x:y", "dbtable": "raw.results", "password": "p",
+        "saved": True,
+    }
