@@ -206,11 +206,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """One row of each component, the one of the smallest doc_id (of equal ids any one), all columns kept.
-
-    Rows are found again by fingerprint, not by a number given to them, so a task
-    that runs twice cannot name another row. The texts are shuffled once; only
-    components whose smallest id is repeated are reduced to one row.
+    """One row of each component, the one of the smallest doc_id, all columns kept.
+
+    Of rows that share this id the one with the least text stays (null first,
+    then by the other columns). Null ids come last; null and blank texts are one
+    component; an empty table stays empty. Rows are found again by fingerprint,
+    not by a number given to them, so a task that runs twice cannot name another
+    row. The texts are shuffled once; only components whose smallest id is
+    repeated are reduced to one row.
     """
     names = docs.columns
     plain = numbered(docs)
@@ -231,5 +234,6 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
     named = rooted.select("print", "root").join(chosen, "root").repartition("root")
     named = named.select("print", "root", F.col("least.doc_id").alias("least"), F.col("least.n").alias("equal"))
     kept = arrow_extend(plain, [text], "print long", rows).join(named, "print").where(F.col(doc_id).eqNullSafe(F.col("least")))
-    alone, repeated = kept.where("equal = 1"), kept.where("equal > 1").dropDuplicates(["root"])
-    return alone.union(repeated).select(*plain.columns).toDF(*names)
+    order = F.struct(F.col(text), F.to_json(F.struct(*plain.columns)))
+    repeated = kept.where("equal > 1").groupBy("root").agg(F.min_by(F.struct(*plain.columns), order).alias("row"))
+    return kept.where("equal = 1").select(*plain.columns).union(repeated.select("row.*")).toDF(*names)

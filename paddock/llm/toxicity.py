@@ -20,7 +20,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from paddock.llm.common import arrow_extend, arrow_map, numbered, pick
 
@@ -149,15 +149,14 @@ def _sample(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
     place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000))
     of_label = lambda value: F.when(F.col("toxic") == 1, value(share.get(1.0, 1.0))).otherwise(value(share.get(0.0, 1.0)))
     chosen = place < of_label(lambda x: F.lit(int(1_000_000 * x)))
-    # at most about ``bound`` rows of each label
-    order = W.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit("part")), "doc_id")
-    parts = F.array(*map(F.lit, PARTS))
-    taken = usable.where(chosen).select(
-        "doc_id",
-        "toxic",
-        of_label(lambda x: F.lit(1.0 / x)).alias("weight"),
-        parts[(F.row_number().over(order) - 1) % len(PARTS)].alias("part"),
-    )
+    # at most about ``bound`` ids of each label: three numbers each
+    chosen_ids = usable.where(chosen).orderBy(F.xxhash64("doc_id", F.lit("part")), "doc_id").collect()
+    seen = {0.0: 0, 1.0: 0}
+    rows = []
+    for doc_id, toxic in chosen_ids:
+        rows.append((doc_id, toxic, 1.0 / share[toxic], PARTS[seen[toxic] % len(PARTS)]))
+        seen[toxic] += 1
+    taken = docs.sparkSession.createDataFrame(rows, "doc_id long, toxic double, weight double, part int")
     joined = pick(docs, "doc_id", "text").join(F.broadcast(taken), "doc_id")
     return joined.groupBy("doc_id", "toxic", "weight", "part").agg(F.min("text").alias("text"))
 

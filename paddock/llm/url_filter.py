@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import struct
+import uuid
 from collections.abc import Iterable, Iterator
 from hashlib import md5
 
@@ -94,16 +95,19 @@ def distribute(spark: SparkSession, data: bytes) -> str:
     """Put a file into the shared folder and send it to all executors; its name there.
 
     The name is a digest of the content, so a list that was sent before is not
-    sent again.
+    sent again. The file gets its name when it is whole.
     """
     name = f"digests-{md5(data).hexdigest()}"
     context = spark.sparkContext
     path = context._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
     store = path.getFileSystem(context._jsc.hadoopConfiguration())
     if not store.exists(path):
-        out = store.create(path, True)
+        part = context._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+        out = store.create(part, True)
         out.write(bytearray(data))
         out.close()
+        if not store.rename(part, path) and not store.exists(path):
+            raise OSError(f"cannot write {path}")
     context.addFile(path.toString())
     return name
 

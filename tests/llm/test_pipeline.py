@@ -51,3 +51,48 @@ def test_registered():
     names = set(entry_points.queries())
     assert {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 11)}
     assert "pipeline" in names and [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash", "decontamination", "secrets", "bpe"]
+
+
+@pytest.fixture
+def small(spark, tmp_path):
+    """A folder of tables with odd documents and extra columns, and an empty one."""
+    odd = [None, "", " \t", "é ß Ω", "password = \"hunter2hunter2\"", "word " * 3000, "word " * 3000, "日本語 テキスト", "you and me"]
+    rows = [(i, t, "en", "s", None if t is None else len(t), "x", i) for i, t in enumerate(odd)]
+    rows += [rows[4], (None, "no id", "en", "s", 5, "x", 0), (3, "again", "en", "s", 5, "x", 0)]
+    columns = "doc_id long, text string, lang string, source string, n_chars long, spans string, score long"
+    item = "the first second third fourth fifth words of an item"
+    rows.append((50, f"before {item} behind", "en", "s", 60, "x", 1))
+
+    def build(name, documents):
+        folder = tmp_path / name
+        spark.createDataFrame(documents, columns).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([(i, 1, i % 2) for i in range(9)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+        return str(folder)
+
+    return build, rows
+
+
+def test_odd_documents_and_clashing_names(spark, small):
+    build, rows = small
+    folder = build("odd", rows)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns = docs.columns
+    for _, stage in corpus_pipeline.STAGES[1:-1]:  # the labels say nothing about toxic texts
+        docs = stage(spark, docs, folder)
+        assert docs.columns == columns
+        docs = docs.checkpoint()
+    kept = [(r.doc_id, r.text) for r in docs.collect()]
+    assert 50 not in {i for i, _ in kept} and len({t for _, t in kept if t}) == len([t for _, t in kept if t])
+    assert not any("hunter2hunter2" in (t or "") for _, t in kept)
+    assert corpus_pipeline.run(spark, folder).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_empty_table(spark, small):
+    build, _ = small
+    folder = build("empty", [])
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+        assert docs.count() == 0
+    assert corpus_pipeline.run(spark, folder).count() == 0

@@ -131,3 +131,15 @@ def test_documents(spark, docs, odd_texts):
     rows = kept.collect()
     assert sorted((r[0] for r in rows), key=repr) == sorted((min(x, default=None) for x in first.values()), key=repr)
     assert simhash.near_duplicates(docs([])).count() == simhash.one_of_each(docs([])).count() == 0
+
+
+def test_ties_of_the_smallest_id_go_to_the_least_text(spark, docs):
+    same = "one two three four five six seven eight nine ten"
+    pairs = [(1, f"{same}  "), (1, same), (1, f"{same} "), (2, same), (None, None), (None, " "), (9, "other words stand here")]
+    for order in (pairs, pairs[::-1]):
+        kept = simhash.one_of_each(docs(order, clash=True).repartition(3))
+        assert kept.columns == ["doc_id", "text", "TEXT", "spans", "score"]
+        assert sorted([tuple(r)[:2] for r in kept.collect()], key=repr) == sorted(
+            [(1, same), (9, "other words stand here"), (None, None)], key=repr
+        )
+    assert simhash.one_of_each(docs([], clash=True)).count() == 0

@@ -69,3 +69,37 @@ def test_equal_digests_are_told_apart(tmp_path, monkeypatch):
     path.write_bytes(b"x" * 64)
     with pytest.raises(ValueError):
         uf.Digests(str(path))
+
+
+def test_a_million_strings(spark, tmp_path):
+    """The file of a long list, families included: every string is found and no other one is."""
+    strings = [f"h:host{i}.example{i % 97}.com" for i in range(700_000)] + [f"f:family-{i}.brand{i % 31}" for i in range(300_000)]
+    path = tmp_path / "digests"
+    path.write_bytes(uf.build(strings))
+    digests = uf.Digests(str(path))
+    assert digests.n == 1_000_000
+    asked = strings[::997] + [f"{s}x" for s in strings[::991]] + [s[2:] for s in strings[::1009]]
+    assert digests.found(asked) == [True] * len(strings[::997]) + [False] * (len(asked) - len(strings[::997]))
+
+
+def test_long_lists_judge_pages(spark):
+    urls = [(i, f"https://sub.host{i}.example{i % 97}.com/a") for i in range(0, 5000, 7)]
+    urls += [(10_000 + i, f"http://x.family-{i}.brand{i % 31}.org/") for i in range(0, 3000, 11)] + [(99_999, "https://host1.example2.com/")]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    hosts = [f"host{i}.example{i % 97}.com" for i in range(100_000)]
+    families = [f"family-{i}.brand{i % 31}" for i in range(50_000)]
+    got = {r.page_id: r.verdict for r in uf.judge(pages, (), hosts, families).collect()}
+    assert got.pop(99_999) == "allow" and set(got.values()) == {"block"} and len(got) == len(urls) - 1
+
+
+def test_a_file_that_is_not_whole_has_no_name(spark, monkeypatch):
+    from pathlib import Path
+
+    from paddock.session import shared_dir
+
+    data = uf.build(["h:only.example.com"])
+    name = uf.distribute(spark, data)
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    assert (folder / name).read_bytes() == data
+    assert not [p for p in folder.glob(f"{name}.*")]
+    assert uf.distribute(spark, data) == name
