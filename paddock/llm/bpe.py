@@ -34,12 +34,14 @@ _SPACES = re.compile(f"[{_SPACE}]+")
 _SPACE_SET = {chr(c) for c in range(0x10000) if _SPACES.match(chr(c))}
 #: Characters of a text that are worked on together; longer texts are cut at white space.
 PIECE = 1 << 21
-#: Entries of the young half of the cache of words; it bounds memory, not results.
-CACHE = 450_000
+#: Words kept with their ids, their bytes and their ids; full, the store begins anew. These bound memory, not results.
+STORE_WORDS, STORE_BYTES, STORE_IDS = 1 << 20, 1 << 24, 1 << 22
+#: Entries of the young half of the cache of words of texts that are not told apart in arrays.
+CACHE = 100_000
 #: Code points below this are told apart by classes of letters and numbers written out, others by their properties.
 _LATIN = 0x250
-#: Longest word, in symbols, that is merged beside others; longer ones use a heap.
-SIDE_BY_SIDE = 32
+#: Longest word, in bytes, that is merged beside others; longer ones use a heap.
+SIDE_BY_SIDE = 64
 #: The split the file must name, and the endings it keeps apart.
 _ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -156,6 +158,91 @@ class Lookup:
         return values
 
 
+class Store:
+    """Words (bytes) with their ids, in arrays; many are looked up at once. Equal hashes are confirmed byte by byte."""
+
+    _ODD = 0x9E3779B97F4A7C15
+
+    def __init__(self) -> None:
+        self.bits = 1 + (STORE_WORDS - 1).bit_length()
+        self.power, self.back = np.ones(1, np.uint64), np.ones(1, np.uint64)
+        self.hash, self.at, self.size = (np.zeros(STORE_WORDS, t) for t in (np.uint64, np.int32, np.int32))
+        self.ids_at, self.ids_size = np.zeros(STORE_WORDS, np.int32), np.zeros(STORE_WORDS, np.int32)
+        self.text, self.ids = np.zeros(STORE_BYTES, np.uint8), np.zeros(STORE_IDS, np.uint16)
+        self.clear()
+
+    def clear(self) -> None:
+        self.slots = np.full(1 << self.bits, -1, np.int32)
+        self.n = self.n_text = self.n_ids = 0
+
+    def hashes(self, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """A hash of each word, from running sums over all bytes."""
+        if len(self.power) < len(flat) + 1:
+            n = 2 * len(flat) + 1
+            for name, factor in (("power", self._ODD), ("back", pow(self._ODD, -1, 1 << 64))):
+                own = np.full(n, factor, np.uint64)
+                own[0] = 1
+                setattr(self, name, np.cumprod(own))
+        sums = np.zeros(len(flat) + 1, np.uint64)
+        np.cumsum((flat + np.uint64(1)) * self.power[: len(flat)], out=sums[1:])
+        found = (sums[starts + sizes] - sums[starts]) * self.back[starts]
+        found ^= found >> np.uint64(31)
+        return found * np.uint64(self._ODD)
+
+    def find(self, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Place of each word, -1 where it is not kept."""
+        found = np.full(len(starts), -1, np.int64)
+        asked, slot = np.arange(len(starts)), self._slot(hashes)
+        while len(asked):
+            entry = self.slots[slot]
+            equal = (entry >= 0) & (self.hash[entry] == hashes[asked])
+            found[asked[equal]] = entry[equal]
+            on = (entry >= 0) & ~equal
+            asked, slot = asked[on], (slot[on] + 1) & (len(self.slots) - 1)
+        place = np.flatnonzero(found >= 0)
+        place, wrong = place[self.size[found[place]] == sizes[place]], found >= 0
+        wrong[place] = False
+        own, step = sizes[place], _steps(sizes[place])
+        differ = flat[np.repeat(starts[place], own) + step] != self.text[np.repeat(self.at[found[place]], own) + step]
+        if differ.any():
+            wrong[np.repeat(place, own)[differ]] = True
+        found[wrong] = -1
+        return found
+
+    def _slot(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def add(
+        self, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, ids: np.ndarray, count: np.ndarray
+    ) -> None:
+        """Keep distinct words that ``find`` did not have, with their ids one after the other."""
+        n, n_text, n_ids = len(starts), int(sizes.sum()), len(ids)
+        if self.n + n > STORE_WORDS or self.n_text + n_text > STORE_BYTES or self.n_ids + n_ids > STORE_IDS:
+            self.clear()
+            if n > STORE_WORDS or n_text > STORE_BYTES or n_ids > STORE_IDS:
+                return
+        new = slice(self.n, self.n + n)
+        self.hash[new], self.size[new], self.ids_size[new] = hashes, sizes, count
+        self.at[new] = self.n_text + np.cumsum(sizes) - sizes
+        self.ids_at[new] = self.n_ids + np.cumsum(count) - count
+        self.text[self.n_text : self.n_text + n_text] = flat[np.repeat(starts, sizes) + _steps(sizes)]
+        self.ids[self.n_ids : self.n_ids + n_ids] = ids
+        entry, slot = np.arange(self.n, self.n + n, dtype=np.int32), self._slot(hashes)
+        while len(entry):
+            free = np.flatnonzero(self.slots[slot] < 0)
+            _, first = np.unique(slot[free], return_index=True)
+            self.slots[slot[free[first]]] = entry[free[first]]
+            left = np.ones(len(entry), bool)
+            left[free[first]] = False
+            entry, slot = entry[left], (slot[left] + 1) & (len(self.slots) - 1)
+        self.n, self.n_text, self.n_ids = self.n + n, self.n_text + n_text, self.n_ids + n_ids
+
+
+def _steps(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each of the sizes, one after the other."""
+    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
 class Trie:
     """Longest tokens of many words at once: all words walk the tokens' bytes side by side."""
 
@@ -255,6 +342,7 @@ class WordBpe:
         self.symbols: dict[int, list[int]] = {}
         self.pairs = np.zeros(0, np.uint32)
         self.fits = np.zeros(0, bool)
+        self.store = Store()
         self.words = Cache(CACHE)
 
     # encoding
@@ -318,24 +406,50 @@ class WordBpe:
             ends = places[ends]
         buffers = pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)
         words = pa.StringArray.from_buffers(len(begins), *buffers).dictionary_encode()
-        distinct = words.dictionary.to_pylist()
-        known = self.words.holding({w for w in distinct if w[0] not in _SPACE_SET}, self._encode_words)
-        own = [b"" if w[0] in _SPACE_SET else known[w] for w in distinct]
+        own, sizes = self._known(words.dictionary)
         # the ids of all words, gathered by their place in the dictionary
-        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 2
         firsts = np.cumsum(sizes) - sizes
         index = words.indices.to_numpy()
         each = sizes[index]
         upto = np.cumsum(each)
         gather = np.repeat(firsts[index] - upto + each, each)
         gather += np.arange(len(gather))
-        ids = np.frombuffer(b"".join(own), np.uint16)[gather]
+        ids = own[gather]
         # words of earlier texts begin before a text does
         lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
         before = np.searchsorted(begins, np.cumsum(lengths) - lengths)
         cuts = [*np.append(0, upto)[before].tolist(), len(ids)]
         return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
+    def _known(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words, one after the other, and how many each has; blanks have none."""
+        _, offsets, data = words.buffers()
+        ends = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+        flat = np.frombuffer(data, np.uint8)
+        starts, sizes = ends[:-1], np.diff(ends)
+        first, second = flat[starts], flat[np.minimum(starts + 1, len(flat) - 1)]
+        # of the blanks below _LATIN two take two bytes
+        blank = (first == 32) | (first >= 9) & (first <= 13) | (first == 0xC2) & ((second == 0x85) | (second == 0xA0))
+        place = np.flatnonzero(~blank)
+        starts, sizes = starts[place], sizes[place]
+        hashes = self.store.hashes(flat, starts, sizes)
+        entry = self.store.find(flat, starts, sizes, hashes)
+        kept, new = np.flatnonzero(entry >= 0), np.flatnonzero(entry < 0)
+        made, made_count = self._encode_flat(flat, starts[new], sizes[new])
+        count = np.zeros(len(words), np.int64)
+        count[place[kept]], count[place[new]] = self.store.ids_size[entry[kept]], made_count
+        firsts = (np.cumsum(count) - count)[place]
+        ids = np.empty(int(count.sum()), np.uint16)
+        for some, source, at in (
+            (kept, self.store.ids, self.store.ids_at[entry[kept]]),
+            (new, made, np.cumsum(made_count) - made_count),
+        ):
+            own = count[place[some]]
+            step = _steps(own)
+            ids[np.repeat(firsts[some], own) + step] = source[np.repeat(at, own) + step]
+        self.store.add(flat, starts[new], sizes[new], hashes[new], made, made_count)
+        return ids, count
+
     def _words(self, text: str) -> list[str]:
         """Words of any text as they are merged; a special token is a word with its own spelling."""
         out: list[str] = []
@@ -347,22 +461,33 @@ class WordBpe:
         return out + self.split(_lower(text[at:]))
 
     def _encode_words(self, words: list[str]) -> dict[str, bytes]:
-        """Propose, check all neighbours at once, merge exactly where a check fails."""
+        """Ids of words and special tokens, as bytes."""
         out = {w: np.uint16(self.special[w]).tobytes() for w in words if w[:2] == "<|" and w in self.special}
-        short = [w for w in words if len(w) <= SIDE_BY_SIDE and w not in out]
-        for word in words:
-            if len(word) > SIDE_BY_SIDE:
-                mapped = self._mapped_word(word)
-                own = self._greedy(mapped)
-                if not self._fit(_pairs(own)).all():
-                    own = self._merge_long(self._start(mapped))
-                out[word] = np.array(own, np.uint16).tobytes()
-        if not short:
-            return out
-        encoded = [w.encode() for w in short]
-        flat = np.frombuffer(b"".join(encoded), np.uint8)
+        plain = [w for w in words if w not in out]
+        encoded = [w.encode() for w in plain]
         sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        starts = np.cumsum(sizes) - sizes
+        ids, count = self._encode_flat(np.frombuffer(b"".join(encoded), np.uint8), np.cumsum(sizes) - sizes, sizes)
+        ends = np.cumsum(count).tolist()
+        out.update({w: ids[a:b].tobytes() for w, a, b in zip(plain, [0, *ends], ends)})
+        return out
+
+    def _encode_flat(self, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words (bytes of ``flat``), one after the other, and how many each has.
+
+        Proposed, all neighbours checked at once, and merged exactly where a check fails.
+        """
+        long = np.flatnonzero(sizes > SIDE_BY_SIDE)
+        if len(long):
+            short = np.flatnonzero(sizes <= SIDE_BY_SIDE)
+            parts: list[np.ndarray] = [_NOTHING] * len(sizes)
+            ids, count = self._encode_flat(flat, starts[short], sizes[short])
+            for i, own in zip(short.tolist(), np.split(ids, np.cumsum(count)[:-1])):
+                parts[i] = own
+            for i in long.tolist():
+                parts[i] = self._encode_long(flat[starts[i] : starts[i] + sizes[i]].tobytes())
+            return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+        if not len(sizes):
+            return _NOTHING, np.zeros(0, np.int64)
         tokens, count = self.trie.longest(flat, starts, sizes)
         column = np.arange(tokens.shape[1])
         right = np.full_like(tokens, _ALONE)
@@ -381,10 +506,15 @@ class WordBpe:
             count[some] = (merged != _ALONE).sum(axis=1)
             fits = min(width, tokens.shape[1])  # no word has more tokens than bytes
             tokens[some, :fits] = merged[:, :fits]
-        ids = tokens[column < count[:, None]].astype(np.uint16).tobytes()
-        ends = (2 * np.cumsum(count)).tolist()
-        out.update({w: ids[a:b] for w, a, b in zip(short, [0, *ends], ends)})
-        return out
+        return tokens[column < count[:, None]].astype(np.uint16), count
+
+    def _encode_long(self, word: bytes) -> np.ndarray:
+        """The same for one word of any length."""
+        mapped = word.decode("latin-1").translate(self.characters)
+        own = self._greedy(mapped)
+        if not self._fit(_pairs(own)).all():
+            own = self._merge_long(self._start(mapped))
+        return np.array(own, np.uint16)
 
     def _mapped_word(self, word: str) -> str:
         return word.encode().decode("latin-1").translate(self.characters)

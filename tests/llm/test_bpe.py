@@ -45,8 +45,12 @@ def test_pair_rule(own):
 
 
 def test_cache_turns_over(library, own, monkeypatch):
+    for name, size in (("STORE_WORDS", 64), ("STORE_BYTES", 300), ("STORE_IDS", 200)):
+        monkeypatch.setattr(bpe, name, size)
     monkeypatch.setattr(own.words, "entries", 30)
-    texts = [" ".join(f"w{i}{j}" for j in range(40)) for i in range(30)] * 2
+    monkeypatch.setattr(own, "store", bpe.Store())
+    monkeypatch.setattr(bpe, "PIECE", 100)
+    texts = [" ".join(f"w{i}{j}" + "\u4e00" * (i % 3 == 2) for j in range(40)) for i in range(30)] * 2
     for text, ids in zip(texts, own.encode_many(texts)):
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
 
@@ -59,3 +63,20 @@ def test_spark(spark, docs, odd_texts, library):
     decoded = bpe.decode_documents(encoded).count()
     assert decoded == len(pairs) == bpe.round_trip(docs(pairs)).count()
     assert bpe.round_trip(docs([])).count() == 0
+
+
+def test_words_with_equal_hashes(library, own, monkeypatch):
+    """A hash decides nothing: all words share one, and the store keeps giving each its own ids."""
+    monkeypatch.setattr(bpe.Store, "hashes", lambda self, flat, starts, sizes: np.full(len(starts), 7, np.uint64))
+    monkeypatch.setattr(own, "store", bpe.Store())
+    texts = ["alpha beta gamma", "beta delta", "gamma alpha", "delta alphx"] * 3
+    monkeypatch.setattr(bpe, "PIECE", 10)
+    for text, ids in zip(texts, own.encode_many(texts)):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_words_of_every_length(library, own):
+    chance = random.Random(8)
+    texts = [" ".join("".join(chance.choice("abcdeé9") for _ in range(n)) for n in range(1, 140)) for _ in range(8)]
+    for text, ids in zip(texts, own.encode_many(texts)):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
