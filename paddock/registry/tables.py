@@ -254,14 +254,14 @@ def jn4(spark, sf):
 
 @query(
     "jn5_full_outer",
-    "SELECT nation, rows_a, rows_b FROM (SELECT c_nationkey AS nation, count(*) AS rows_a FROM customer "
-    "WHERE c_nationkey < 20 GROUP BY ALL) FULL JOIN (SELECT s_nationkey AS nation, count(*) AS rows_b FROM supplier "
-    "WHERE s_nationkey > 4 GROUP BY ALL) USING (nation)",
+    "SELECT number, rows_a, rows_b FROM (SELECT o_custkey AS number, count(*) AS rows_a FROM orders GROUP BY ALL) "
+    "FULL JOIN (SELECT l_suppkey AS number, count(*) AS rows_b FROM lineitem GROUP BY ALL) USING (number)",
 )
 def jn5(spark, sf):
-    customers = table(spark, sf, "customer").select(F.col("c_nationkey").alias("nation")).where("nation < 20")
-    suppliers = table(spark, sf, "supplier").select(F.col("s_nationkey").alias("nation")).where("nation > 4")
-    return joins.compare_counts(customers, suppliers, ["nation"])
+    """Numbers that only one of the two tables has are on one side."""
+    customers = table(spark, sf, "orders").select(F.col("o_custkey").alias("number"))
+    suppliers = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("number"))
+    return joins.compare_counts(customers, suppliers, ["number"])
 
 
 # --- aggregates -------------------------------------------------------------------------
