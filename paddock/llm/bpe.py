@@ -33,9 +33,9 @@ _SPACE = "\t-\r \x85\xa0  -     　"
 _SPACES = re.compile(f"[{_SPACE}]+")
 _SPACE_SET = {chr(c) for c in range(0x10000) if _SPACES.match(chr(c))}
 #: Characters of a text that are worked on together; longer texts are cut at white space.
-PIECE = 1 << 21
+PIECE = 1 << 19
 #: Words kept with their ids, their bytes and their ids; full, the store begins anew. These bound memory, not results.
-STORE_WORDS, STORE_BYTES, STORE_IDS = 1 << 20, 1 << 24, 1 << 22
+STORE_WORDS, STORE_BYTES, STORE_IDS = 1 << 19, 1 << 23, 1 << 21
 #: Entries of the young half of the cache of words of texts that are not told apart in arrays.
 CACHE = 100_000
 #: Code points below this are told apart by classes of letters and numbers written out, others by their properties.
