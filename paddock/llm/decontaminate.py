@@ -1,30 +1,37 @@
 """Benchmark decontamination by greedy string tiling.
 
-Runs of SEED words of the benchmark are the seeds. A document that shares one
-with an item is tiled against that item: the longest match that covers no marked
-word is found with running Karp-Rabin hashes and marked, again and again, until
-none of SEED words is left. Tiles may stand in any order, so reordered passages
-count in full. A document is contaminated by an item if the tiles cover at least
-COVERAGE of the item's words.
+Runs of SEED words are the seeds. Seeds of the benchmark are a table; a document
+is asked for its own seeds, those that a bit array of fixed size cannot rule out
+are joined with the table, and what meets is a candidate pair. A pair is tiled in
+a task: the longest match that covers no marked word is found with running
+Karp-Rabin hashes and marked, again and again, until none of SEED words is left.
+Tiles may stand in any order, so reordered passages count in full. A document is
+contaminated by an item if the tiles cover at least COVERAGE of the item's words.
 """
 
 from __future__ import annotations
 
+import functools
 import heapq
 import re
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from paddock.llm.common import arrow_extend, arrow_map, numbered, pick
+from paddock.session import scratch_path
 
-#: Words of a seed, which is also the shortest tile.
+#: Words of a seed, which is also the shortest tile; items with fewer words are sought as a whole.
 SEED = 5
 #: Share of an item's words that tiles must cover.
 COVERAGE = 0.8
-#: Words of the benchmark in one pass over the documents; a larger benchmark takes several passes.
-GROUP_WORDS = 2_000_000
+#: Bits that rule out most seeds of documents before the join: two megabytes, whatever the size of the benchmark.
+FILTER_BITS = 1 << 24
+#: Characters of documents whose seeds are computed together.
+TOGETHER = 1 << 20
+#: Parts that the rows of one seed are dealt into.
+SALTS = 16
 #: Pairs of equal seeds of an item and a document that are held at once; with more, tiles are sought one by one.
 PAIRS = 2_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -47,50 +54,135 @@ def rolling(codes: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-class Index:
-    """Seeds of a bounded group of benchmark items."""
-
-    def __init__(self, items: list[tuple[int | None, list[str]]]):
-        self.items = items
-        self.vocabulary: dict[str, int] = {}
-        for _, own in items:
-            for w in own:
-                self.vocabulary.setdefault(w, len(self.vocabulary) + 1)
-        self.codes = [np.array([self.vocabulary[w] for w in own], np.uint64) for _, own in items]
-        hashes = [rolling(c, min(SEED, len(c))) if len(c) else np.zeros(0, np.uint64) for c in self.codes]
-        # items shorter than a seed are sought as a whole, by their own length
-        self.by_length = {}
-        for n in sorted({min(SEED, len(c)) for c in self.codes if len(c)}):
-            own = [i for i, c in enumerate(self.codes) if min(SEED, len(c)) == n]
-            keys = np.concatenate([hashes[i] for i in own])
-            owner = np.concatenate([np.full(len(hashes[i]), i) for i in own])
-            order = np.argsort(keys, kind="stable")
-            self.by_length[n] = keys[order], owner[order]
-
-    def candidates(self, codes: np.ndarray) -> list[int]:
-        """Items that share a seed with a document (by hash; the tiling compares the words)."""
-        found: set[int] = set()
-        for n, (keys, owner) in self.by_length.items():
-            if len(codes) < n:
-                continue
-            # runs that hold a word the benchmark does not have are no seeds
-            gaps = np.cumsum(codes == 0)
-            clear = gaps[n - 1 :] == np.concatenate([[0], gaps[: len(codes) - n]])
-            places = np.nonzero(clear)[0]
-            if not len(places):
-                continue
-            hashes = np.unique(rolling(codes, n)[places])
-            low, high = np.searchsorted(keys, hashes, "left"), np.searchsorted(keys, hashes, "right")
-            for a, b in zip(low[low < high].tolist(), high[low < high].tolist()):
-                found.update(owner[a:b].tolist())
-        return sorted(found)
-
-    def tilings(self, text: str | None) -> Iterator[tuple[int | None, int, list[tuple[int, int, int]]]]:
-        """Item id, its length in words and the tiles, of every item that shares a seed with a text."""
-        code = self.vocabulary.get
-        codes = np.array([code(w, 0) for w in words(text)], np.uint64)
-        for i in self.candidates(codes):
-            yield self.items[i][0], len(self.codes[i]), tile(self.codes[i], codes, SEED)
+# seeds
+
+
+@functools.lru_cache(maxsize=1)
+def _in_words() -> np.ndarray:
+    """Whether each code point is part of a word."""
+    return np.array([chr(c).isalnum() for c in range(0x110000)]) | (np.arange(0x110000) == ord("_"))
+
+
+def _word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of every word of some texts, and the place of its text."""
+    low = [(text or "").lower() for text in texts]
+    codes = np.frombuffer("\n".join(low).encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = np.concatenate([[False], _in_words()[codes], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    power = np.cumprod(np.full(len(codes), _BASE))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((codes + np.uint64(1)) * power)])
+    back = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(codes), _INVERSE)]))
+    own = (sums[ends] - sums[starts]) * back[starts]
+    own ^= own >> np.uint64(29)
+    sizes = np.fromiter(map(len, low), np.int64, len(low)) + 1
+    return own * _BASE, np.searchsorted(np.cumsum(sizes), starts, side="right")
+
+
+def seeds(texts: list[str | None], lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of these numbers of words in each text, and the place of their text, by place."""
+    own, owner = _word_hashes(texts)
+    found = []
+    for n in lengths:
+        if len(own) >= n:
+            whole = owner[n - 1 :] == owner[: len(owner) - n + 1]
+            hashes = rolling(own, n) + np.uint64(n)
+            hashes ^= hashes >> np.uint64(32)
+            found.append(((hashes * _INVERSE)[whole], owner[: len(whole)][whole]))
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    hashes, places = (np.concatenate(parts) for parts in zip(*found))
+    order = np.argsort(places, kind="stable")
+    return hashes[order], places[order]
+
+
+class Benchmark:
+    """Items (item, item_id, text, n words) and their seeds as tables, and the bits that rule out other seeds."""
+
+    def __init__(self, benchmark: DataFrame) -> None:
+        spark = benchmark.sparkSession
+
+        def counted(tuples: Iterator[tuple]) -> Iterator[tuple]:
+            for item, item_id, text in tuples:
+                if n := len(words(text)):
+                    yield item, item_id, text, n
+
+        plain = pick(benchmark, "item_id", "text").withColumn("item", F.monotonically_increasing_id())
+        schema = "item long, item_id long, text string, n int"
+        self.items = arrow_map(plain.select("item", "item_id", "text"), schema, counted).checkpoint()
+        least = F.least("n", F.lit(SEED)).alias("n")
+        self.lengths = sorted(row["n"] for row in self.items.select(least).distinct().collect())  # SEED at most
+
+        def of_items(tuples: Iterator[tuple]) -> Iterator[tuple]:
+            for item, text, n in tuples:
+                yield from ((h, item) for h in np.unique(seeds([text], [n])[0].view(np.int64)).tolist())
+
+        short = self.items.select("item", "text", least)
+        self.seeds = arrow_map(short, "seed long, item long", of_items).checkpoint()
+        at = self.seeds.select(F.pmod("seed", F.lit(FILTER_BITS)).alias("bit"))
+        words_ = at.groupBy(F.floor(F.col("bit") / 64).alias("place")).agg(
+            F.expr("bit_or(shiftleft(1L, CAST(bit % 64 AS INT)))").alias("bits")
+        )
+        bits = np.zeros(FILTER_BITS // 64, np.int64)
+        for row in words_.collect():  # FILTER_BITS / 64 rows at most
+            bits[row["place"]] = row["bits"]
+        self.bits = spark.sparkContext.broadcast(bits.view(np.uint64))
+
+
+def _possible(bits: np.ndarray, lengths: list[int], texts: list[str | None]) -> list[list[int]]:
+    """For each text its seeds that the bits do not rule out, each once."""
+    found, place = seeds(texts, lengths)
+    at = found & np.uint64(64 * len(bits) - 1)
+    hit = bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1) == 1
+    found, place = found[hit].view(np.int64), place[hit]
+    out: list[list[int]] = [[]] * len(texts)
+    for i, own in zip(np.unique(place).tolist(), np.split(found, np.flatnonzero(np.diff(place)) + 1)):
+        out[i] = np.unique(own).tolist()
+    return out
+
+
+def _suspected(bits, lengths: list[int], tuples: Iterator[tuple]) -> Iterator[tuple[tuple, list[int]]]:
+    """Each tuple, whose last value is a text, with its possible seeds."""
+    group: list[tuple] = []
+    size = 0
+    for row in tuples:
+        group.append(row)
+        size += len(row[-1] or "")
+        if size > TOGETHER:
+            yield from zip(group, _possible(bits, lengths, [r[-1] for r in group]))
+            group, size = [], 0
+    yield from zip(group, _possible(bits, lengths, [r[-1] for r in group]))
+
+
+def _contaminated(suspects: DataFrame, bench: Benchmark, coverage: float) -> DataFrame:
+    """row, item_id, coverage, n_tiles and longest of the pairs that reach the coverage, from rows of row, text, seeds.
+
+    The rows of one seed are dealt into SALTS parts, so a passage of very many
+    documents goes to as many tasks.
+    """
+    salt = F.pmod(F.xxhash64("row"), F.lit(SALTS))
+    asked = suspects.select("row", F.explode("seeds").alias("seed")).withColumn("salt", salt)
+    offered = bench.seeds.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    pairs = asked.join(offered, ["seed", "salt"]).select("row", "item").distinct()
+    items = bench.items.select("item", "item_id", F.col("text").alias("item_text"))
+    both = pairs.join(items, "item").join(suspects.select("row", "text"), "row")
+    ordered = both.select("row", "item_id", "item_text", "text").sortWithinPartitions("row")
+
+    def rows(tuples: Iterator[tuple]) -> Iterator[tuple]:
+        last, own = None, []
+        for row, item_id, item_text, text in tuples:
+            if row != last:
+                last, own = row, words(text)
+            item = words(item_text)
+            code = {w: i for i, w in enumerate(dict.fromkeys(item), 1)}
+            tiles = tile(
+                np.array([code[w] for w in item], np.uint64), np.array([code.get(w, 0) for w in own], np.uint64), SEED
+            )
+            share = sum(n for _, _, n in tiles) / len(item)
+            if tiles and share >= coverage:
+                yield row, item_id, share, len(tiles), max(n for _, _, n in tiles)
+
+    return arrow_map(ordered, "row long, item_id long, coverage double, n_tiles int, longest int", rows)
 
 
 def tile(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, int, int]]:
@@ -221,44 +313,23 @@ def matches(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -
     One row per input row of documents and item that reaches the coverage. Texts
     without words, nulls included, match nothing; items without words are left
     out; repeated rows give repeated pairs; empty tables give an empty result.
-    Whole texts are read where they are. The benchmark does not grow with the
-    documents; it is taken to the tasks in groups of GROUP_WORDS words, so what a
-    task holds is bounded, and a benchmark of any size is searched in full.
+    Whole texts are read once, where they are; only texts with a possible seed
+    are written and shuffled. A benchmark of any size is searched in this one pass.
     """
-    schema = "doc_id long, item_id long, coverage double, n_tiles int, longest int"
-    found = docs.sparkSession.createDataFrame([], schema)
-    for items in _groups(benchmark):
-        found = found.union(_pass(pick(docs, "doc_id", "text"), items, coverage, schema))
-    return found
-
-
-def _groups(benchmark: DataFrame) -> Iterator[list[tuple[int | None, list[str]]]]:
-    group: list[tuple[int | None, list[str]]] = []
-    size = 0
-    for item_id, text in pick(benchmark, "item_id", "text").orderBy("item_id", "text").toLocalIterator():
-        own = words(text)
-        if group and size + len(own) > GROUP_WORDS:
-            yield group
-            group, size = [], 0
-        if own:
-            group.append((item_id, own))
-            size += len(own)
-    if group:
-        yield group
-
-
-def _pass(docs: DataFrame, items: list[tuple[int | None, list[str]]], coverage: float, schema: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+    bench = Benchmark(benchmark)
+    bits, lengths = bench.bits, bench.lengths
 
     def rows(tuples: Iterator[tuple]) -> Iterator[tuple]:
-        index = Index(shared.value)
-        for doc_id, text in tuples:
-            for item_id, length, tiles in index.tilings(text):
-                share = sum(n for _, _, n in tiles) / length
-                if share >= coverage:
-                    yield doc_id, item_id, share, len(tiles), max(n for _, _, n in tiles)
+        for (doc_id, text), found in _suspected(bits.value, lengths, tuples):
+            if found:
+                yield doc_id, text, found
 
-    return arrow_map(docs, schema, rows)
+    suspects = arrow_map(pick(docs, "doc_id", "text"), "doc_id long, text string, seeds array<bigint>", rows)
+    suspects = suspects.withColumn("row", F.monotonically_increasing_id()).checkpoint()
+    found = _contaminated(suspects, bench, coverage)
+    return found.join(suspects.select("row", "doc_id"), "row").select(
+        "doc_id", "item_id", "coverage", "n_tiles", "longest"
+    )
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
@@ -266,21 +337,25 @@ def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
 
     Rows without words, nulls included, and repeated rows stay (repeated ones all
     or none); an empty table stays empty, an empty benchmark changes nothing; no
-    column is looked at but ``text``, whatever others are called.
+    column is looked at but ``text``, whatever others are called. The rows are
+    written once with their possible seeds; those without any pass, the others
+    are judged and found again by a number that is written with them.
     """
     names = docs.columns
     plain = numbered(docs)
-    for items in _groups(benchmark):
-        plain = _kept(plain, f"_{names.index('text')}", items, coverage)
-    return plain.toDF(*names)
-
-
-def _kept(docs: DataFrame, text: str, items: list[tuple[int | None, list[str]]], coverage: float) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+    text = f"_{names.index('text')}"
+    bench = Benchmark(benchmark)
+    bits, lengths = bench.bits, bench.lengths
 
     def rows(tuples: Iterator[tuple]) -> Iterator[tuple]:
-        index = Index(shared.value)
-        for (whole,) in tuples:
-            yield (not any(sum(n for _, _, n in t) >= coverage * length for _, length, t in index.tilings(whole)),)
-
-    return arrow_extend(docs, [text], "clean boolean", rows).where("clean").drop("clean")
+        for _, found in _suspected(bits.value, lengths, tuples):
+            yield (found,)
+
+    folder = scratch_path(docs.sparkSession, "suspects")
+    flagged = arrow_extend(plain, [text], "seeds array<bigint>", rows).withColumn("row", F.monotonically_increasing_id())
+    flagged.write.parquet(folder)
+    flagged = docs.sparkSession.read.schema(flagged.schema).parquet(folder)
+    suspects = flagged.where(F.size("seeds") > 0)
+    bad = _contaminated(suspects.select("row", F.col(text).alias("text"), "seeds"), bench, coverage).select("row").distinct()
+    kept = flagged.where(F.size("seeds") == 0).unionAll(suspects.join(bad, "row", "left_anti").select(*flagged.columns))
+    return kept.select(*plain.columns).toDF(*names)

@@ -81,8 +81,9 @@ def test_documents(spark, docs, odd_texts, monkeypatch):
                     want.add((doc_id, item_id, share, len(tiles), max(n for _, _, n in tiles)))
     assert any(r[3] > 1 for r in want)
     table = spark.createDataFrame(bench, ITEMS)
-    for group in (2_000_000, 100):
-        monkeypatch.setattr(dc, "GROUP_WORDS", group)
+    for bits, together in ((dc.FILTER_BITS, dc.TOGETHER), (64, 50)):
+        monkeypatch.setattr(dc, "FILTER_BITS", bits)
+        monkeypatch.setattr(dc, "TOGETHER", together)
         got = [tuple(r) for r in dc.matches(docs(pairs, clash=True), table).collect()]
         assert set(got) == want and len(got) == len(want) + sum(r[0] == 1 for r in want)
         kept = dc.clean(docs(pairs), table)
@@ -90,6 +91,34 @@ def test_documents(spark, docs, odd_texts, monkeypatch):
         assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted((i for i, _ in pairs if i not in bad), key=repr)
 
 
+def test_words_and_seeds_in_arrays():
+    """Word borders as the expression finds them; equal runs of words, and only these, have equal seeds."""
+    chance = random.Random(5)
+    parts = ["one", "Two", "É", "ß", "_x", "9", "日本", " ", "  ", "\n", ".", "-", "\u0301", "🙂", "Σας", "İ"]
+    texts = ["".join(chance.choices(parts, k=chance.randrange(60))) for _ in range(300)] + [None, "", " "]
+    hashes, owner = dc._word_hashes(texts)
+    assert np.bincount(owner, minlength=len(texts)).tolist() == [len(dc.words(t)) for t in texts]
+    by_word = {}
+    for word, h in zip((w for t in texts for w in dc.words(t)), hashes.tolist()):
+        assert by_word.setdefault(word, h) == h
+    assert len(set(by_word.values())) == len(by_word)
+    for n in (1, 3, 5):
+        found, place = dc.seeds(texts, [n])
+        runs = [tuple(dc.words(t)[i : i + n]) for t in texts for i in range(len(dc.words(t)) - n + 1)]
+        assert len(runs) == len(found) and len(set(zip(runs, found.tolist()))) == len(set(runs)) == len(set(found.tolist()))
+
+
+def test_a_passage_of_many_documents_is_dealt_to_many_tasks(spark, docs):
+    item = "a passage that a third of all documents share with the benchmark"
+    pairs = [(i, f"{item} {i}" if i % 3 == 0 else f"text {i} of its own words") for i in range(600)]
+    table = spark.createDataFrame([(1, item, "")], ITEMS)
+    got = dc.matches(docs(pairs), table)
+    assert sorted(r.doc_id for r in got.collect()) == list(range(0, 600, 3))
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert "salt" in plan
+    assert dc.clean(docs(pairs), table).count() == 400
+
+
 def test_empty(spark, docs):
     empty = spark.createDataFrame([], ITEMS)
     assert dc.matches(docs([(1, "a b c d e")]), empty).count() == 0
