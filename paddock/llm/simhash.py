@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from paddock.llm.common import arrow_extend, arrow_map, numbered, pick
 from paddock.llm.components import smallest_reachable
+from paddock.session import scratch_path
 
 #: Words of a shingle, most differing bits of a link, and the seed of the hash.
 SHINGLE = 3
@@ -212,8 +213,8 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
     then by the other columns). Null ids come last; null and blank texts are one
     component; an empty table stays empty. Rows are found again by fingerprint,
     not by a number given to them, so a task that runs twice cannot name another
-    row. The texts are shuffled once; only components whose smallest id is
-    repeated are reduced to one row.
+    row. The rows are written once with their fingerprints, so no text is hashed
+    twice; only components whose smallest id is repeated are reduced to one row.
     """
     names = docs.columns
     plain = numbered(docs)
@@ -223,8 +224,11 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
         for (whole,) in tuples:
             yield (_signed(fingerprint(whole, shingle)),)
 
-    every = fingerprints(docs, shingle).checkpoint()
-    counted = every.groupBy("print", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    folder = scratch_path(docs.sparkSession, "fingerprints")
+    extended = arrow_extend(plain, [text], "print long", rows)
+    extended.write.parquet(folder)
+    extended = docs.sparkSession.read.schema(extended.schema).parquet(folder)
+    counted = extended.groupBy("print", F.col(doc_id).alias("doc_id")).agg(F.count(F.lit(1)).alias("n"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "n")).alias("first")
     firsts = counted.groupBy("print").agg(first).checkpoint()  # the smallest id of each fingerprint and its rows
     rooted = _rooted(firsts, distance).join(firsts, "print").select("print", "root", "first.*")
@@ -233,7 +237,7 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
     # dealt by root, so that the join deals both sides anew and Spark can split a fingerprint of very many rows
     named = rooted.select("print", "root").join(chosen, "root").repartition("root")
     named = named.select("print", "root", F.col("least.doc_id").alias("least"), F.col("least.n").alias("equal"))
-    kept = arrow_extend(plain, [text], "print long", rows).join(named, "print").where(F.col(doc_id).eqNullSafe(F.col("least")))
+    kept = extended.join(named, "print").where(F.col(doc_id).eqNullSafe(F.col("least")))
     order = F.struct(F.col(text), F.to_json(F.struct(*plain.columns)))
     repeated = kept.where("equal > 1").groupBy("root").agg(F.min_by(F.struct(*plain.columns), order).alias("row"))
     return kept.where("equal = 1").select(*plain.columns).union(repeated.select("row.*")).toDF(*names)
