@@ -3,7 +3,7 @@
 The histories run over rows that are unique per race (driver x race, or team x race
 after an aggregate), so a window partition never has more rows than there were races,
 whatever the size of the tables. For orders without such a bound use
-``paddock.operators.ordered``, which checks group sizes and splits large groups.
+``paddock.operators.ordered``, which cuts groups of any size.
 """
 
 from __future__ import annotations

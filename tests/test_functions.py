@@ -18,6 +18,7 @@ def test_safe_add_and_subtract(frame):
 
 
 def test_safe_divide(frame):
+    # Operands and quotients.
     data = [(6, 0), (10, 5), (None, None), (None, 0), (17, None), (0, None), (None, 9), (0, 5)]
     got = frame(data, "n int, d int").select(scalars.safe_divide(F.col("n"), F.col("d")))
     assert [r[0] for r in got.collect()] == [None, 2, None, None, None, None, None, 0]
@@ -28,6 +29,7 @@ def test_safe_divide(frame):
 
 def test_surrogate_key(frame):
     df = frame([("a", "b", "c"), ("a", None, "c"), (None, None, "c"), (None, None, None)], "x string, y string, z string")
+    # Keys that must come out for these rows.
     one = [r[0] for r in df.select(scalars.surrogate_key(["x"])).collect()]
     assert one == ["0cc175b9c0f1b6a831c399e269772661"] * 2 + ["f14cc5cdce0420f4a5a6b6d9d7b85f39"] * 2
     three = [r[0] for r in df.select(scalars.surrogate_key(["x", "y", "z"])).collect()]
@@ -70,6 +72,7 @@ def test_pair_distances(frame):
     assert got == {("p", "a"): 430, ("a", "a"): 0}
 
 
+# Urls and the host and path that must come out for them.
 LONG = "http://witanddelight.com/2018/01/tips-tricks-how-run-half-marathon-first-time/"
 
 HOSTS = {
