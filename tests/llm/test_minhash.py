@@ -7,7 +7,6 @@ import re
 import pytest
 import xxhash
 from paddock.llm import minhash
-from pyspark.sql import functions as F
 
 
 def xx(*parts):
