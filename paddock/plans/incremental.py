@@ -130,7 +130,8 @@ def _advance(
         replace_partition(relation, f"{root}/{name}", PARTITIONS)
     for name, relation in next_state(rows, results, state).items():
         materialize_table(relation, f"{root}/state/{name}/version={last}")
-    for version in [v for v in stored if v <= at][: -KEPT_STATES + 1]:
+    earlier = [v for v in stored if v <= at]
+    for version in earlier[: max(0, len(earlier) + 1 - KEPT_STATES)]:
         _drop_state(spark, root, version)
 
 

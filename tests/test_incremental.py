@@ -121,12 +121,12 @@ def test_a_refresh_that_ends_early_is_repeated(spark, load, tmp_path, monkeypatc
 
 
 def test_old_states_go(spark, load, tmp_path, monkeypatch):
-    monkeypatch.setattr(incremental, "KEPT_STATES", 2)
-    raw, out, rows = str(tmp_path / "raw"), str(tmp_path / "out"), season_rows(7, ROUNDS[:4])
-    for i in range(4):
+    monkeypatch.setattr(incremental, "KEPT_STATES", 1)
+    raw, out, rows = str(tmp_path / "raw"), str(tmp_path / "out"), season_rows(7, ROUNDS[:3])
+    for i in range(3):
         load(raw, rows, ROUNDS[i : i + 1])
         got = incremental.refresh(spark, raw, out)
-    assert sinks.versions(spark, f"{out}/state/slots") == [2024003, 2024004]
+    assert sinks.versions(spark, f"{out}/state/slots") == [2024003]
     assert same(spark, raw, got)
     # no state before the round is left: all rounds are read
     load(raw, season_rows(8, ROUNDS[1:2]), ROUNDS[1:2])
